@@ -59,7 +59,7 @@ def listed_artists(name: Column, **separators) -> Column:
     The dash test comes before the trim: ``'-'`` is no artist, ``' -'`` is one.
     """
     parts = F.filter(split_artists(name, **separators), lambda part: part != "-")
-    return F.transform(parts, F.trim)
+    return F.transform(parts, lambda part: F.trim(part))
 
 
 def tags_text(tags: Column) -> Column:

@@ -6,7 +6,6 @@ from dataclasses import dataclass
 
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
-from pyspark.sql import types as T
 
 from staveline.functions.numbers import pool_payment, royalty, usage_share, whole_units
 from staveline.functions.text import clean_song_code, country_of_sale, distribution_description
@@ -18,9 +17,8 @@ from staveline.operators.royalty import (
     with_scalars,
 )
 
-# Names, order and types of the report.
-REPORT_SCHEMA = T.StructType.fromDDL(
-    """
+# Names, order and types of the report columns.
+REPORT_FIELDS = """
     BlockId string, ISRC string, SONG_TITLE string, ResourceDisplayArtistName string,
     Quarter string, Usages double, NetRevenue double, ValidityPeriodStart string,
     DATE_SALE string, RightsController string, PUBLISHERS_SONGCODE string,
@@ -28,8 +26,8 @@ REPORT_SCHEMA = T.StructType.fromDDL(
     AllocatedUsages double, UsagesShare double, PAYEE string, Distribution_Description string,
     STORE_ID string, COUNTRY_OF_SALE string, CURRENCY string, GEPaymentsShare double,
     ROYALTIES_TO_BE_PAID double, TOTAL_UNITS long
-    """
-)
+"""
+REPORT_COLUMNS = [field.split()[0] for field in REPORT_FIELDS.split(",")]
 
 
 @dataclass(frozen=True)
@@ -95,5 +93,5 @@ def royalty_report(
         "TOTAL_UNITS": whole_units(F.col("AllocatedUsages")),
     }
     return amounts.select(
-        "service", *[values.get(n, F.col(n)).alias(n) for n in REPORT_SCHEMA.names]
+        "service", *[values.get(n, F.col(n)).alias(n) for n in REPORT_COLUMNS]
     )

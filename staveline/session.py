@@ -36,6 +36,7 @@ def local_session(cores: str = "*", app: str = "staveline", memory: str = "8g")
         .config("spark.driver.memory", memory)
         .config("spark.sql.shuffle.partitions", "8")
         .config("spark.ui.enabled", "false")
+        .config("spark.ui.showConsoleProgress", "false")
         .config("spark.sql.session.timeZone", "UTC")
     )
     return tune(builder.getOrCreate())

@@ -30,8 +30,9 @@ def append_records(df: DataFrame, path: str, partitions: Sequence[str] = PARTITI
     ).parquet(path)
 
 
-def check_schema(df: DataFrame, schema: T.StructType) -> DataFrame:
-    """The frame in the column order of the schema; fails on a different type."""
+def check_schema(df: DataFrame, fields: str) -> DataFrame:
+    """The frame in the column order of the field list; fails on a different type."""
+    schema = T.StructType.fromDDL(fields)
     ordered = df.select(*[F.col(quoted(n)) for n in schema.names])
     for have, want in zip(ordered.schema.fields, schema.fields):
         if have.dataType != want.dataType:

@@ -2,8 +2,6 @@
 
 from __future__ import annotations
 
-from functools import reduce
-
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
@@ -49,10 +47,14 @@ def route(name: Column) -> dict[str, Column]:
     return {"service": service_of(rest), "quarter": quarter}
 
 
+def is_routed() -> Column:
+    return (F.col("service") != "") & F.col("quarter").isNotNull()
+
+
 def split_routed(df: DataFrame) -> tuple[DataFrame, DataFrame]:
     """Rows with a service and a quarter, and the rest for quarantine."""
-    known = (F.col("service") != "") & F.col("quarter").isNotNull()
-    return df.where(known), df.where(~F.coalesce(known, F.lit(False)))
+    known = F.coalesce(is_routed(), F.lit(False))
+    return df.where(known), df.where(~known)
 
 
 def parse_lines(lines: DataFrame, line: str = "value", name: str = "file") -> DataFrame:
@@ -161,12 +163,15 @@ def split_bad_rows(parsed: DataFrame) -> tuple[DataFrame, DataFrame]:
 def check_bad_rows(parsed: DataFrame, max_bad: int = MAX_BAD_ROWS) -> tuple[DataFrame, DataFrame]:
     """Good rows and quarantine; fails when the quarantine exceeds the budget."""
     good, bad = split_bad_rows(parsed)
-    found = bad.limit(max_bad + 1).count()
-    if found > max_bad:
-        raise BadRowsError(f"more than {max_bad} malformed rows")
+    fail_above(bad, max_bad)
     return good, bad
 
 
+def fail_above(bad: DataFrame, max_bad: int) -> None:
+    if bad.limit(max_bad + 1).count() > max_bad:
+        raise BadRowsError(f"more than {max_bad} malformed rows")
+
+
 def record_counts(parsed: DataFrame) -> DataFrame:
     return parsed.groupBy("service", "quarter", "record_type").agg(F.count("*").alias("records"))
 
@@ -175,7 +180,3 @@ def to_lines(records: DataFrame, code: str) -> DataFrame:
     """Typed records written back as tab-separated text; the inverse of parsing."""
     fields = [F.coalesce(F.col(f.name).cast("string"), F.lit("")) for f in LAYOUTS[code]]
     return records.select("service", "Quarter", F.concat_ws("\t", F.lit(code), *fields).alias("value"))
-
-
-def union_lines(*frames: DataFrame) -> DataFrame:
-    return reduce(DataFrame.unionByName, frames)

@@ -9,20 +9,25 @@ from __future__ import annotations
 
 from collections.abc import Sequence
 
-from pyspark.errors import AnalysisException
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from staveline.sources.dsr import (
     MAX_BAD_ROWS,
     SERVICES,
-    check_bad_rows,
+    fail_above,
+    is_routed,
     object_name,
     parse_lines,
-    split_routed,
+    well_formed,
 )
 
-RECORDS, MANIFEST, QUARANTINE = "records", "manifest", "quarantine"
+RECORDS, MANIFEST = "records", "manifest"
+GOOD, BAD_ROUTE, BAD_WIDTH = "good", "route", "width"
+STORED = (
+    "load long, status string, record_type string, service string, quarter string, file string, "
+    "f array<string>"
+)
 
 
 def _write(df: DataFrame, path: str, *partitions: str) -> None:
@@ -32,20 +37,27 @@ def _write(df: DataFrame, path: str, *partitions: str) -> None:
 
 
 def load_batch(lines: DataFrame, load: int, store: str, max_bad: int = MAX_BAD_ROWS) -> None:
-    """Store one batch of lines (value, file). Too many bad rows fail the batch."""
+    """Store one batch of lines (value, file). Too many bad rows fail the batch.
+
+    The text is read once. The manifest is written last, from the stored rows:
+    a batch that failed is in no manifest, so no reader sees its rows.
+    """
+    spark = lines.sparkSession
     parsed = parse_lines(lines)
-    routed, unrouted = split_routed(parsed)
-    good, bad = check_bad_rows(routed, max_bad)
-    _write(good, f"{store}/{RECORDS}/load={load}", "record_type", "service", "quarter")
-    _write(
-        unrouted.withColumn("reason", F.lit("route"))
-        .unionByName(bad.withColumn("reason", F.lit("width"))),
-        f"{store}/{QUARANTINE}/load={load}", "reason",
+    status = (
+        F.when(~F.coalesce(is_routed(), F.lit(False)), BAD_ROUTE)
+        .when(~well_formed(), BAD_WIDTH)
+        .otherwise(GOOD)
     )
-    _write(
-        routed.groupBy("service", "quarter", "file").agg(F.count("*").alias("rows")),
-        f"{store}/{MANIFEST}/load={load}", "service",
+    folder = f"{store}/{RECORDS}/load={load}"
+    _write(parsed.withColumn("status", status), folder, "status", "record_type", "service", "quarter")
+
+    stored = spark.read.schema(STORED.removeprefix("load long, ")).parquet(folder)
+    fail_above(stored.where(F.col("status") == BAD_WIDTH), max_bad)
+    files = stored.where(F.col("status") == GOOD).groupBy("service", "quarter", "file").agg(
+        F.count("*").alias("rows")
     )
+    _write(files, f"{store}/{MANIFEST}/load={load}", "service")
 
 
 def ingest(
@@ -79,16 +91,19 @@ def records(spark: SparkSession, store: str) -> DataFrame:
     ``record_type``, ``service`` and ``quarter`` are folders, so a filter on
     them decides which files are read at all.
     """
-    rows = spark.read.schema(
-        "load long, record_type string, service string, quarter string, file string, "
-        "f array<string>"
-    ).parquet(f"{store}/{RECORDS}")
+    rows = spark.read.schema(STORED).parquet(f"{store}/{RECORDS}")
     current = manifest(spark, store).select("file", F.col("load").cast("long").alias("load"))
-    return rows.join(current, ["file", "load"], "left_semi").select(
+    return rows.where(F.col("status") == GOOD).join(current, ["file", "load"], "left_semi").select(
         "service", "quarter", "file", "record_type", "f"
     )
 
 
+def quarantine(spark: SparkSession, store: str) -> DataFrame:
+    """Rows that could not be routed or have the wrong width, with the reason."""
+    rows = spark.read.schema(STORED).parquet(f"{store}/{RECORDS}")
+    return rows.where(F.col("status") != GOOD).withColumnRenamed("status", "reason")
+
+
 def missing_services(files: DataFrame, required: Sequence[str] = SERVICES) -> DataFrame:
     """Per quarter the services no file has come for; complete quarters have none."""
     seen = files.groupBy("quarter").agg(F.collect_set("service").alias("seen"))
@@ -99,11 +114,3 @@ def missing_services(files: DataFrame, required: Sequence[str] = SERVICES) -> Da
 def complete_quarters(files: DataFrame, required: Sequence[str] = SERVICES) -> DataFrame:
     gate = missing_services(files, required)
     return gate.where(F.size("missing") == 0).select("quarter")
-
-
-def has_store(spark: SparkSession, store: str) -> bool:
-    try:
-        spark.read.parquet(f"{store}/{MANIFEST}")
-    except AnalysisException:
-        return False
-    return True
