@@ -555,14 +555,16 @@ SELECT "Quarter" AS quarter, array_to_string(list_filter(['ads', 'hardware', 'su
 FROM (
     SELECT CAST(year(o_orderdate) AS VARCHAR) || '_Q' || CAST(quarter(o_orderdate) AS VARCHAR)
             AS "Quarter",
-        list(CASE o_orderkey % 4 WHEN 0 THEN 'ads' WHEN 1 THEN 'hardware'
-            WHEN 2 THEN 'subs_music' ELSE 'subs_premium' END) AS seen
-    FROM orders WHERE NOT (o_orderkey % 4 = 1 AND month(o_orderdate) < 7) GROUP BY 1
+        list(CASE WHEN o_orderkey % 4 = 0 THEN 'ads'
+            WHEN o_orderkey % 4 = 1 AND month(o_orderdate) >= 7 THEN 'hardware'
+            WHEN o_orderkey % 4 = 2 THEN 'subs_music'
+            WHEN o_orderkey % 4 = 3 THEN 'subs_premium' END) AS seen
+    FROM orders GROUP BY 1
 )""")
 def gate(spark: SparkSession, sf: str) -> DataFrame:
     late = (F.col("o_orderkey") % 4 == 1) & (F.month("o_orderdate") < 7)
-    files = table(spark, sf, "orders").where(~late).select(
-        service_col(F.col("o_orderkey")).alias("service"),
+    files = table(spark, sf, "orders").select(
+        F.when(~late, service_col(F.col("o_orderkey"))).alias("service"),
         quarter_col(F.col("o_orderdate")).alias("quarter"),
     )
     return missing_services(files).select(

@@ -51,7 +51,7 @@ def series_diff(
     row, to the next cut that has rows.
     """
     points = df.where(F.col(value).isNotNull())
-    number = _order_number(df, order)
+    number = F.col(order)
     share = F.array(*[F.lit(i / slices) for i in range(1, slices)])
     cuts = points.select(F.percentile_approx(number, share, 1000).alias("cuts")).scalar()
     sliced = (
@@ -82,14 +82,6 @@ def series_diff(
     )
 
 
-def _order_number(df: DataFrame, order: str) -> Column:
-    kind = df.schema[order].dataType.typeName()
-    column = F.col(order)
-    if kind == "timestamp":
-        return F.unix_micros(column)
-    return F.unix_date(column) if kind == "date" else column
-
-
 def _slice_of(number: Column, low: int, high: int) -> Column:
     """How many of the cut points lie below the value, found by halving."""
     if low == high:
