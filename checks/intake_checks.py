@@ -9,8 +9,15 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from checks.registry import check, table
-from checks.report_checks import FILE_NAMES, TERMS, TOP
-from checks.standins import claims, report_records, sales, summary_rows, with_records
+from checks.report_checks import FILE_NAMES, RANKED, TERMS, TOP
+from checks.standins import (
+    claims,
+    merged_sql,
+    report_records,
+    sales,
+    summary_rows,
+    with_records,
+)
 from staveline.operators.frames import rename
 from staveline.plans.ranking import export_top, top_residual_artists
 from staveline.plans.report import royalty_report
@@ -62,13 +69,14 @@ def stream_gate(spark: SparkSession, sf: str) -> DataFrame:
     )
 
 
-@check("export_top")
+@check("export_top", with_records("SELECT * FROM ranked20", merged_sql(), RANKED))
 def export_top_check(spark: SparkSession, sf: str) -> DataFrame:
     """Ranking as one CSV file, read back."""
     path = scratch_folder(spark, "export")
     r = report_records(spark, sf)
-    export_top(top_residual_artists(r.as_, r.su, r.li, TOP), path)
-    return spark.read.option("header", "true").option("inferSchema", "true").csv(path)
+    top = top_residual_artists(r.as_, r.su, r.li, TOP)
+    export_top(top, path)
+    return spark.read.option("header", "true").schema(top.schema).csv(path)
 
 
 @check("report_snapshot", with_records("""

@@ -5,12 +5,14 @@ from __future__ import annotations
 from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql.types import StructType
 
 from staveline.session import tune
 
 Query = Callable[[SparkSession, str], DataFrame]
 QUERIES: dict[str, Query] = {}
 SQL: dict[str, str] = {}
+SCHEMAS: dict[str, StructType] = {}
 
 
 def check(name: str, sql: str | None = None) -> Callable[[Query], Query]:
@@ -32,4 +34,18 @@ def check(name: str, sql: str | None = None) -> Callable[[Query], Query]:
 
 
 def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
-    return spark.read.parquet(f"{sf_dir}/{name}.parquet")
+    path = f"{sf_dir}/{name}.parquet"
+    if path not in SCHEMAS:
+        SCHEMAS[path] = spark.read.parquet(path).schema
+    # With the schema given, no job has to look for it in the file again.
+    return spark.read.schema(SCHEMAS[path]).parquet(path)
+
+
+def spread(df: DataFrame) -> DataFrame:
+    """Rows over all cores, for work that costs much per row.
+
+    A small test table is one row group, which one task would work on alone.
+    Larger tables have more scan tasks than cores and stay as they are.
+    """
+    cores = df.sparkSession.sparkContext.defaultParallelism
+    return df.repartition(cores) if df.rdd.getNumPartitions() < cores else df

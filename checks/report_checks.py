@@ -26,13 +26,17 @@ from staveline.operators.royalty import claims_of, pool, royalty_rows
 from staveline.operators.usage import (
     artist_maxima,
     artist_totals,
-    artist_usage,
     block_join,
     merged_usage,
     residual_totals,
     with_artists,
 )
-from staveline.plans.ranking import RankingTerms, top_artist_songs, top_residual_artists
+from staveline.plans.ranking import (
+    RankingTerms,
+    artist_statistics,
+    top_artist_songs,
+    top_residual_artists,
+)
 from staveline.plans.report import ReportTerms, distinct_rows, royalty_report, with_usage_share
 from staveline.sources.dsr import (
     parse_lines,
@@ -505,7 +509,7 @@ def artists_of_recordings(spark: SparkSession, sf: str) -> DataFrame:
 
 def _stats(spark: SparkSession, sf: str) -> DataFrame:
     r = report_records(spark, sf)
-    return artist_usage(r.as_, r.su, r.li, money_type=EXACT)
+    return artist_statistics(r.as_, r.su, r.li, TOP)
 
 
 @check("artist_totals", with_records("SELECT * FROM totals", merged_sql()))

@@ -52,6 +52,8 @@ def _sold(spark: SparkSession, sf_dir: str) -> DataFrame:
         table(spark, sf_dir, "nation"), F.col("c_nationkey") == F.col("n_nationkey")
     ).select(F.col("c_custkey").alias("o_custkey"), "n_name")
     orders = _orders(spark, sf_dir).join(places, "o_custkey").drop("o_custkey", "o_totalprice")
+    # Both sides grow with the data, so neither is to be broadcast.
+    orders = orders.hint("merge")
     sale = F.concat(
         F.lit("T"), F.col("o_orderkey").cast("string"), F.lit("-"),
         F.col("l_partkey").cast("string"),

@@ -8,22 +8,34 @@ from pyspark.sql import functions as F
 TRAILING_DAYS = 3 * 365
 
 
-def _midnight_to_date(text: Column, tail: str) -> Column:
-    """``<date>T00:00:00<tail>`` as ``yyyy-MM-dd``; all other text as it is."""
-    day = F.regexp_extract(text, rf"^(\d{{4}}-\d{{1,2}}-\d{{1,2}})T00:00:00{tail}$", 1)
-    return F.coalesce(F.date_format(F.try_to_date(day, "yyyy-M-d"), "yyyy-MM-dd"), text)
+def _midnight_to_date(text: Column, tails: tuple[str, ...]) -> Column:
+    """``<date><tail>`` as ``yyyy-MM-dd``; all other text as it is.
+
+    The date has a year of four digits; month and day may have one. No regular
+    expression: this runs on every point of every series.
+    """
+    written = F.substring_index(text, "T", 1)
+    tail = F.substr(text, F.length(written) + 1)
+    dated = (
+        tail.isin(list(tails))
+        & F.length(written).between(8, 10)
+        & (F.substring(written, 5, 1) == "-")
+        & ~F.contains(written, F.lit(" "))
+    )
+    day = F.when(dated, written.try_cast("date"))
+    return F.coalesce(day.cast("string"), text)
 
 
 def utc_midnight_date(text: Column) -> Column:
-    return _midnight_to_date(text, r"\.000Z")
+    return _midnight_to_date(text, ("T00:00:00.000Z",))
 
 
 def full_timestamp_date(text: Column) -> Column:
-    return _midnight_to_date(text, r"\.0{3,6}")
+    return _midnight_to_date(text, tuple("T00:00:00." + "0" * n for n in range(3, 7)))
 
 
 def partial_timestamp_date(text: Column) -> Column:
-    return _midnight_to_date(text, "")
+    return _midnight_to_date(text, ("T00:00:00",))
 
 
 def day_count(start: Column, end: Column) -> Column:
@@ -31,12 +43,13 @@ def day_count(start: Column, end: Column) -> Column:
 
 
 def epoch_ms_date(millis: Column) -> Column:
-    return F.date_format(F.timestamp_millis(millis.cast("long")), "yyyy-MM-dd")
+    """Day of an epoch time in UTC, whatever the time zone of the session."""
+    return F.date_from_unix_date(F.floor(millis / 86_400_000).cast("int")).cast("string")
 
 
 def timestamp_text_date(text: Column) -> Column:
     """Calendar date as written: an offset in the text does not shift the day."""
-    return F.date_format(text.cast("timestamp_ntz"), "yyyy-MM-dd")
+    return text.cast("timestamp_ntz").cast("date").cast("string")
 
 
 def in_trailing_days(day: Column, as_of: Column, days: int = TRAILING_DAYS) -> Column:

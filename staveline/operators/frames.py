@@ -72,9 +72,8 @@ def stack_inner(*frames: DataFrame, attributes: Sequence[str] | None = None) ->
 
 def reference_frame(df: DataFrame, rows: Sequence[Mapping[str, str]]) -> DataFrame:
     """A short constant list of dicts as a frame of strings."""
-    names = list(rows[0])
-    schema = ", ".join(f"{quoted(n)} string" for n in names)
-    return df.sparkSession.createDataFrame([tuple(r[n] for n in names) for r in rows], schema)
+    entries = [F.struct(*[F.lit(v).alias(n) for n, v in r.items()]) for r in rows]
+    return df.sparkSession.range(0, 1, 1, 1).select(F.inline(F.array(*entries)))
 
 
 def tag_with_reference(

@@ -32,13 +32,14 @@ def royalty_rows(claims: DataFrame, su: DataFrame, as_: DataFrame) -> DataFrame:
     combining step of ``distinct`` runs before the shuffle, and copies do not
     multiply in the join.
     """
-    block = ["service", "Quarter", "BlockId"]
+    # The key with most values comes first: sorting for a join compares that first.
+    block = ["BlockId", "Quarter", "service"]
     claim = claims.select(
         *block, F.col("ParentSalesTransactionId").alias("SalesTransactionId"), *CLAIM_COLUMNS
     ).distinct()
     sale = su.select(*block, "SalesTransactionId", "DspResourceId", *SALE_COLUMNS).distinct()
     recording = as_.select(*block, "DspResourceId", *RECORDING_COLUMNS).distinct()
-    return claim.join(sale, [*block, "SalesTransactionId"]).join(
+    return claim.join(sale, ["SalesTransactionId", *block]).join(
         recording, [*block, "DspResourceId"]
     )
 

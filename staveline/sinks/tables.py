@@ -70,6 +70,8 @@ def write_by_key(
     """CSV with one folder per key value; label and date range name the table."""
     name = "_".join(part for part in (label, start, end) if part)
     folder = f"{key}_folder"
-    df.withColumn(folder, path_name(F.col(quoted(key)))).write.mode("overwrite").partitionBy(
+    rows = df.withColumn(folder, path_name(F.col(quoted(key))))
+    # Rows of a key come together, but a key with very many rows is split.
+    rows.hint("rebalance", F.col(quoted(folder))).write.mode("overwrite").partitionBy(
         folder
     ).option("header", "true").csv(f"{path}/{name}")

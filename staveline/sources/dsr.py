@@ -39,11 +39,12 @@ def route(name: Column) -> dict[str, Column]:
     ``uploads`` does not count as ``ads``. A ``key=`` in front of the quarter,
     as Spark writes it, is dropped. No second folder gives a NULL quarter.
     """
-    parts = F.split(name, "/")
-    quarter = F.when(F.size(parts) > 2, F.regexp_replace(F.get(parts, F.lit(1)), "^[^=]*=", ""))
-    rest = F.when(
-        F.size(parts) > 2, F.array_join(F.slice(parts, F.lit(3), F.size(parts)), "/")
-    ).otherwise(name)
+    # Runs on every line, so plain string functions only.
+    upto_quarter = F.substring_index(name, "/", 2)
+    nested = F.length(upto_quarter) < F.length(name)
+    folder = F.substring_index(upto_quarter, "/", -1)
+    quarter = F.when(nested, F.substring_index(folder, "=", -1))
+    rest = F.when(nested, F.substr(name, F.length(upto_quarter) + 2)).otherwise(name)
     return {"service": service_of(rest), "quarter": quarter}
 
 
@@ -63,14 +64,16 @@ def parse_lines(lines: DataFrame, line: str = "value", name: str = "file") -> Da
     Lines are split, not read as CSV: record types of different width share a
     file, and quotes have no meaning in it.
     """
-    text = F.regexp_replace(F.col(line), "\r$", "")
+    text = F.rtrim(F.col(line), F.lit("\r"))
     where = route(F.col(name))
     return lines.select(
         where["service"].alias("service"),
         where["quarter"].alias("quarter"),
         F.col(name).alias("file"),
+        # Not taken from the split, so a filter on it does not split the line.
+        F.substring_index(text, "\t", 1).alias("record_type"),
         F.split(text, "\t", -1).alias("f"),
-    ).select("service", "quarter", "file", F.get("f", F.lit(0)).alias("record_type"), "f")
+    )
 
 
 def object_name(root: str) -> Column:
@@ -146,9 +149,10 @@ def well_formed() -> Column:
     """
     def fits(width: int) -> Column:
         extra = F.slice(F.col("f"), F.lit(width + 2), F.size("f"))
-        return (F.size("f") > width) & ~F.exists(extra, lambda x: x != "")
+        padded = (F.size("f") > width) & ~F.exists(extra, lambda x: x != "")
+        return (F.size("f") == width + 1) | padded
 
-    test = F.when(F.col("record_type").isNull(), F.lit(False))
+    test = F.when(F.col("f").isNull(), F.lit(False))
     for width in sorted({len(fields) for fields in LAYOUTS.values()}):
         codes = [code for code, fields in LAYOUTS.items() if len(fields) == width]
         test = test.when(F.col("record_type").isin(codes), fits(width))
