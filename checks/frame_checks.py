@@ -418,7 +418,7 @@ PERF_SQL = """
 perf AS (
     SELECT unnest(CASE WHEN p_size % 5 = 0 THEN ['W' || p_partkey, 'V' || p_partkey]
         ELSE ['W' || p_partkey] END) AS comp_id, 'ISRC' || p_partkey AS isrc
-    FROM part WHERE p_retailprice > 950
+    FROM part WHERE p_size > 20
 ),
 tracks AS (
     SELECT l_orderkey, l_linenumber, CASE WHEN l_returnflag <> 'R' THEN 'ISRC' || l_partkey END AS isrc
@@ -427,11 +427,11 @@ tracks AS (
 
 
 def perf(spark: SparkSession, sf: str) -> DataFrame:
-    """A catalogue that lists parts above a price, some of them twice."""
+    """A catalogue that lists parts above a size, some of them twice."""
     works = F.when(
         F.col("p_size") % 5 == 0, F.array(tagged("W", "p_partkey"), tagged("V", "p_partkey"))
     ).otherwise(F.array(tagged("W", "p_partkey")))
-    return table(spark, sf, "part").where("p_retailprice > 950").select(
+    return table(spark, sf, "part").where("p_size > 20").select(
         F.explode(works).alias("comp_id"), tagged("ISRC", "p_partkey").alias("isrc")
     )
 
