@@ -37,7 +37,13 @@ from staveline.plans.ranking import (
     top_artist_songs,
     top_residual_artists,
 )
-from staveline.plans.report import ReportTerms, distinct_rows, royalty_report, with_usage_share
+from staveline.plans.report import (
+    ReportTerms,
+    distinct_rows,
+    own_claims,
+    royalty_report,
+    with_usage_share,
+)
 from staveline.sources.dsr import (
     parse_lines,
     record_counts,
@@ -365,20 +371,21 @@ REPORT_COLUMNS = """
 @check("royalty_join", with_records("SELECT * FROM joined", ROYALTY_JOIN_SQL))
 def royalty_join(spark: SparkSession, sf: str) -> DataFrame:
     r = report_records(spark, sf)
-    return royalty_rows(claims_of(r.li, CLAIMANT), r.su, r.as_)
+    return royalty_rows(claims_of(own_claims(r.li, TERMS), CLAIMANT), r.su, r.as_)
 
 
 @check("royalty_rows_distinct", with_records("SELECT * FROM rows_", ROYALTY_JOIN_SQL))
 def royalty_rows_distinct(spark: SparkSession, sf: str) -> DataFrame:
     r = report_records(spark, sf)
-    return distinct_rows(r.li, r.su, r.as_, TERMS)
+    return distinct_rows(own_claims(r.li, TERMS), r.su, r.as_, TERMS)
 
 
 @check("usage_share", _report_sql("""service, "BlockId", "ResourceISRC", "AllocatedUsages",
     "RightSharePercent", "UsagesShare" """))
 def usage_share(spark: SparkSession, sf: str) -> DataFrame:
     r = report_records(spark, sf)
-    rows = with_usage_share(distinct_rows(r.li, r.su, r.as_, TERMS), r.li, TERMS)
+    own = own_claims(r.li, TERMS)
+    rows = with_usage_share(distinct_rows(own, r.su, r.as_, TERMS), own, TERMS)
     return rows.select(
         "service", "BlockId", "ResourceISRC", "AllocatedUsages", "RightSharePercent", "UsagesShare"
     )

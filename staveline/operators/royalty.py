@@ -28,20 +28,28 @@ def claims_of(li: DataFrame, claimant: str, rights_type: str | None = MECHANICAL
 def royalty_rows(claims: DataFrame, su: DataFrame, as_: DataFrame) -> DataFrame:
     """Claims joined to their sale and recording, each combination once.
 
-    The result is distinct, so copies are taken out of each side first: the
-    combining step of ``distinct`` runs before the shuffle, and copies do not
-    multiply in the join.
+    One claimant has a small part of the file. Sales and recordings are first
+    cut down to its transactions and blocks, and copies are taken out before
+    the join, where they would multiply. ``claims`` is read three times, so
+    store it first.
     """
     # The key with most values comes first: sorting for a join compares that first.
     block = ["BlockId", "Quarter", "service"]
+    transaction = ["SalesTransactionId", *block]
     claim = claims.select(
         *block, F.col("ParentSalesTransactionId").alias("SalesTransactionId"), *CLAIM_COLUMNS
     ).distinct()
-    sale = su.select(*block, "SalesTransactionId", "DspResourceId", *SALE_COLUMNS).distinct()
-    recording = as_.select(*block, "DspResourceId", *RECORDING_COLUMNS).distinct()
-    return claim.join(sale, ["SalesTransactionId", *block]).join(
-        recording, [*block, "DspResourceId"]
+    sale = (
+        su.select(*block, "SalesTransactionId", "DspResourceId", *SALE_COLUMNS)
+        .join(claim.select(*transaction).distinct(), transaction, "left_semi")
+        .distinct()
     )
+    recording = (
+        as_.select(*block, "DspResourceId", *RECORDING_COLUMNS)
+        .join(claim.select(*block).distinct(), block, "left_semi")
+        .distinct()
+    )
+    return claim.join(sale, transaction).join(recording, [*block, "DspResourceId"])
 
 
 def usage_denominator(

@@ -50,16 +50,7 @@ def series_diff(
     1/slices of all rows. The last value of each cut is carried, as one extra
     row, to the next cut that has rows.
     """
-    points = df.where(F.col(value).isNotNull())
-    number = F.col(order)
-    share = F.array(*[F.lit(i / slices) for i in range(1, slices)])
-    cuts = points.select(F.percentile_approx(number, share, 1000).alias("cuts")).scalar()
-    sliced = (
-        points.withColumn("__cuts", cuts)
-        .withColumn("__slice", _slice_of(number, 0, slices - 1))
-        .drop("__cuts")
-    )
-
+    sliced = cut(df.where(F.col(value).isNotNull()), order, slices)
     names = [quoted(k) for k in keys]
     sort_key = F.struct(F.col(order), *[F.col(t) for t in tie_break])
     ends = sliced.groupBy(*names, "__slice").agg(F.max_by(value, sort_key).alias(value))
@@ -82,6 +73,17 @@ def series_diff(
     )
 
 
+def cut(df: DataFrame, order: str, slices: int = SLICES) -> DataFrame:
+    """Number the rows by quantile range of ``order``; equal values stay together."""
+    share = F.array(*[F.lit(i / slices) for i in range(1, slices)])
+    cuts = df.select(F.percentile_approx(order, share, 100 * slices).alias("cuts")).scalar()
+    return (
+        df.withColumn("__cuts", cuts)
+        .withColumn("__slice", _slice_of(F.col(order), 0, slices - 1))
+        .drop("__cuts")
+    )
+
+
 def _slice_of(number: Column, low: int, high: int) -> Column:
     """How many of the cut points lie below the value, found by halving."""
     if low == high:

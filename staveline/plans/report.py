@@ -10,12 +10,14 @@ from pyspark.sql import functions as F
 from staveline.functions.numbers import pool_payment, royalty, usage_share, whole_units
 from staveline.functions.text import clean_song_code, country_of_sale, distribution_description
 from staveline.operators.royalty import (
+    CLAIM_COLUMNS,
     claims_of,
     pool,
     royalty_rows,
     usage_denominator,
     with_scalars,
 )
+from staveline.session import settled
 
 # Names, order and types of the report columns.
 REPORT_FIELDS = """
@@ -48,6 +50,19 @@ class ReportTerms:
         return ("service", "Quarter") if self.by_quarter else ("service",)
 
 
+def own_claims(li: DataFrame, terms: ReportTerms) -> DataFrame:
+    """All claims of the claimant, stored.
+
+    The claim table is then scanned once for the whole report, and what is left
+    of it has a known size: small enough, it is broadcast and the other tables
+    need no shuffle.
+    """
+    own = claims_of(li, terms.claimant, rights_type=None).select(
+        "service", "Quarter", "BlockId", "ParentSalesTransactionId", "RightsType", *CLAIM_COLUMNS
+    )
+    return settled(own, "claims")
+
+
 def distinct_rows(li: DataFrame, su: DataFrame, as_: DataFrame, terms: ReportTerms) -> DataFrame:
     """Report rows before any amount is worked out."""
     joined = royalty_rows(claims_of(li, terms.claimant), su, as_)
@@ -71,9 +86,10 @@ def royalty_report(
     sy: DataFrame, li: DataFrame, su: DataFrame, as_: DataFrame, terms: ReportTerms
 ) -> DataFrame:
     """The 24 report columns, and the service each row belongs to."""
-    rows = with_usage_share(distinct_rows(li, su, as_, terms), li, terms)
+    own = own_claims(li, terms)
+    rows = with_usage_share(distinct_rows(own, su, as_, terms), own, terms)
     amounts = with_scalars(
-        rows, pool(sy, li, terms.claimant, terms.scope, terms.money_type), terms.scope
+        rows, pool(sy, own, terms.claimant, terms.scope, terms.money_type), terms.scope
     )
     share, general = F.col("UsagesShare"), F.col("Pool")
     values = {

@@ -20,14 +20,17 @@ def write_replace(df: DataFrame, path: str) -> None:
     df.write.mode("overwrite").option("partitionOverwriteMode", "static").parquet(path)
 
 
-def append_records(df: DataFrame, path: str, partitions: Sequence[str] = PARTITIONS) -> None:
+def append_records(
+    df: DataFrame, path: str, partitions: Sequence[str] = PARTITIONS, replace: bool = True
+) -> None:
     """Write the partitions the rows belong to; other partitions stay.
 
     Writing the same rows again replaces them, so a re-run changes nothing.
+    Without ``replace`` they are added, and count twice.
     """
-    df.write.mode("overwrite").option("partitionOverwriteMode", "dynamic").partitionBy(
-        *partitions
-    ).parquet(path)
+    df.write.mode("overwrite" if replace else "append").option(
+        "partitionOverwriteMode", "dynamic"
+    ).partitionBy(*partitions).parquet(path)
 
 
 def check_schema(df: DataFrame, fields: str) -> DataFrame:
