@@ -53,15 +53,6 @@ def split_artists(
     return F.split(F.lower(name), artist_separator(marks, words))
 
 
-def listed_artists(name: Column, **separators) -> Column:
-    """Trimmed artists of a display name.
-
-    The dash test comes before the trim: ``'-'`` is no artist, ``' -'`` is one.
-    """
-    parts = F.filter(split_artists(name, **separators), lambda part: part != "-")
-    return F.transform(parts, lambda part: F.trim(part))
-
-
 def tags_text(tags: Column) -> Column:
     return F.array_join(tags, ", ")
 

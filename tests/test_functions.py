@@ -36,18 +36,16 @@ def test_song_code_wildcard_and_remove_all(spark):
     assert strict == ["12", "CAC_1", "X_1", "C", "C_5", None, "XC_1"]
 
 
-def test_listed_artists(spark):
-    names = ["A feat. B", "A, B & C", "-", " -", "", None, "Daft & -", "AC/DC", "craft", "X vs. Y"]
-    assert apply(spark, names, text.listed_artists) == [
-        ["a", "b"], ["a", "b", "c"], [], ["-"], [""], None, ["daft", "-"], ["ac", "dc"], ["craft"],
+def test_split_artists(spark):
+    names = ["A feat. B", "A, B & C", "-", "", None, "Daft & -", "AC/DC", "craft", "X vs. Y"]
+    assert apply(spark, names, text.split_artists) == [
+        ["a", "b"], ["a", " b ", " c"], ["-"], [""], None, ["daft ", " -"], ["ac", "dc"], ["craft"],
         ["x", "y"],
     ]
 
 
 def test_separators_are_a_parameter(spark):
-    result = apply(
-        spark, ["a x b, c"], lambda c: text.listed_artists(c, marks=(), words=("x",))
-    )
+    result = apply(spark, ["a x b, c"], lambda c: text.split_artists(c, marks=(), words=("x",)))
     assert result == [["a", "b, c"]]
 
 
