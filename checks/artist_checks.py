@@ -65,7 +65,7 @@ SELECT c_custkey AS "Acme Artist ID", c_name AS "Artist Name",
     CASE WHEN c_custkey % 3 = 1 THEN 's' || c_custkey END AS "Spotify ID (single)",
     'a' || c_nationkey AS "Apple ID", 'a' || c_nationkey AS "Apple ID (single)",
     '' AS "Deezer ID", CAST(NULL AS VARCHAR) AS "Deezer ID (single)",
-    NULL AS "Amazon ID", CAST(NULL AS VARCHAR) AS "Amazon ID (single)"
+    CAST(NULL AS VARCHAR) AS "Amazon ID", CAST(NULL AS VARCHAR) AS "Amazon ID (single)"
 FROM customer""")
 def artist_crosswalk(spark: SparkSession, sf: str) -> DataFrame:
     key = F.col("c_custkey")
@@ -121,14 +121,14 @@ def fan_metrics(spark: SparkSession, sf: str) -> DataFrame:
 
 REGION_SQL = """n_name AS "Region Name", CAST(c_custkey AS DOUBLE) AS "Region Latitude",
     CAST(c_nationkey AS DOUBLE) AS "Region Longitude", 'CO' AS "Region Country Code",
-    c_nationkey AS "Region City ID", 'city' AS "Region Type\""""
+    CAST(c_nationkey AS BIGINT) AS "Region City ID", 'city' AS "Region Type\""""
 
 
 @check("three_way_split", f"""
 WITH base AS (SELECT * FROM customer JOIN nation ON c_nationkey = n_nationkey)
 SELECT 'trends' AS part, c_custkey AS "Acme Artist ID", 'YouTube' AS "Platform",
     'Views Insights' AS "Metric Type", 'q' || c_custkey AS "Metric Query ID", '2024-01-01' AS "Current Date",
-    {REGION_SQL}, c_custkey * 5 AS "Region Current Max Count", c_nationkey AS "Region Current Rank for Artist",
+    {REGION_SQL}, c_custkey * 5 AS "Region Current Max Count", CAST(c_nationkey AS BIGINT) AS "Region Current Rank for Artist",
     '2023-12-0' || i AS "Region Historical Views Timestamp", c_custkey + i AS "Region Historical Views Count",
     CAST(NULL AS BIGINT) AS "Region Current Number of Views", CAST(NULL AS BIGINT) AS "Region Previous Number of Views",
     CAST(NULL AS DOUBLE) AS "Region Views Market Share", CAST(NULL AS BIGINT) AS "Region Leading Acme Artist ID",
@@ -218,7 +218,7 @@ def social_audience(spark: SparkSession, sf: str) -> DataFrame:
 @check("listeners", """
 SELECT c_custkey AS "Acme Artist ID", 'Spotify' AS "Platform", region_name AS "Region Name",
     '2024-02-03' AS "Metric Date", 'CO' AS "Metric Country Code", kind AS "Metric Type",
-    c_custkey + i AS "Listeners", c_nationkey AS "Artist City Rank", c_custkey * 9 AS "Region Population"
+    c_custkey + i AS "Listeners", CAST(c_nationkey AS BIGINT) AS "Artist City Rank", c_custkey * 9 AS "Region Population"
 FROM (SELECT *, n_name AS region_name, 'city' AS kind, 0 AS i FROM customer JOIN nation ON c_nationkey = n_nationkey
     UNION ALL SELECT *, c_mktsegment, 'city', 1 FROM customer JOIN nation ON c_nationkey = n_nationkey
     UNION ALL SELECT *, 'Land ' || n_name, 'country', 2 FROM customer JOIN nation ON c_nationkey = n_nationkey)""")
@@ -261,7 +261,7 @@ SELECT o_orderpriority AS artist, 'p' || o_orderkey AS "Playlist ID", 'n' || o_o
     o_orderkey + 2 AS "Playlist Latest Followers Count", 'BR' AS "Playlist Country Code",
     'curator' AS "Playlist Curator", o_orderkey % 2 = 0 AS "Personalized Playlist",
     o_orderkey % 3 = 0 AS "Official Playlist", 'x, ' || o_orderstatus AS "Playlist Tags",
-    2 AS "Playlist Latest Track Count", o_totalprice AS "Playlist Active Ratio",
+    2::BIGINT AS "Playlist Latest Track Count", o_totalprice AS "Playlist Active Ratio",
     o_custkey AS "Last Track Position on Playlist", o_custkey + 1 AS "Peak Track Position on Playlist",
     o_custkey + i AS "Track Peak Position", o_custkey * 2 + i AS "Current Track Position",
     strftime(o_orderdate, '%Y-%m-%d') AS "Playlist Track Addition Date",

@@ -319,7 +319,7 @@ def _evolution_sql(entity: str, date: str) -> str:
 SELECT o_orderkey AS "Acme {entity} ID", platform AS "Platform",
     strftime(o_orderdate, '%Y-%m-%d') AS "{date}", o_orderkey + i AS "{entity} Playlist Count",
     o_custkey AS "{entity} Editorial Playlist Count", o_orderkey * 2 AS "{entity} Playlist Total Reach",
-    i AS "{entity} Editorial Playlist Total Reach"
+    CAST(i AS BIGINT) AS "{entity} Editorial Playlist Total Reach"
 FROM orders, (VALUES ('spotify', 0), ('spotify', 1), ('youtube', 0)) AS p(platform, i)"""
 
 
@@ -435,7 +435,7 @@ def audio_analysis(spark: SparkSession, sf: str) -> DataFrame:
 
 
 @check("service_tracks", """
-SELECT 's' || p_partkey AS id, p_size AS popularity, p_partkey * 1000 AS duration_ms,
+SELECT 's' || p_partkey AS id, CAST(p_size AS BIGINT) AS popularity, p_partkey * 1000 AS duration_ms,
     p_size % 2 = 0 AS explicit, p_size % 3 = 0 AS is_local, 'BR,' || p_brand AS available_markets
 FROM part""")
 def service_tracks(spark: SparkSession, sf: str) -> DataFrame:

@@ -16,8 +16,6 @@ RUNTIME_SETTINGS = {
     # exchange in front of the aggregation that follows the join.
     "spark.sql.adaptive.skewJoin.enabled": "true",
     "spark.sql.adaptive.forceOptimizeSkewedJoin": "true",
-    # A reload replaces the partitions it writes and no others.
-    "spark.sql.sources.partitionOverwriteMode": "dynamic",
 }
 
 
