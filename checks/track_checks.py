@@ -73,6 +73,17 @@ def first_hit(spark: SparkSession, sf: str) -> DataFrame:
     return tracks.first_hit(docs, "artists")
 
 
+@check("first_hit_track", """
+SELECT 'ISRC' || p_partkey AS query, CASE WHEN p_size % 2 = 0 THEN p_partkey + 5 END AS id FROM part""")
+def first_hit_track(spark: SparkSession, sf: str) -> DataFrame:
+    hits = F.slice(F.array(record(cm_track=F.col("p_partkey") + 5)), F.lit(1), 1 - F.col("p_size") % 2)
+    docs = landed(
+        table(spark, sf, "part"), {"query": tagged("ISRC", "p_partkey")}, record(tracks=hits),
+        "struct<tracks: array<struct<cm_track: bigint>>>",
+    )
+    return tracks.first_hit(docs, "tracks", "cm_track")
+
+
 # --- charts -----------------------------------------------------------------------
 
 CHART_PAYLOAD = (

@@ -2,6 +2,8 @@
 
 from __future__ import annotations
 
+from urllib.parse import quote
+
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
@@ -78,10 +80,11 @@ def parse_lines(lines: DataFrame, line: str = "value", name: str = "file") -> Da
 
 def object_name(root: str) -> Column:
     """Path of the file being read, starting with the last folder of ``root``."""
-    folder = root.rstrip("/")
-    keep = len(folder) - len(folder.rsplit("/", 1)[-1])
-    at = F.instr(F.col("_metadata.file_path"), folder)
-    return F.expr("_metadata.file_path").substr(at + F.lit(keep), F.lit(100_000))
+    folder = quote(root.rstrip("/"), safe="/:@!$&'()*+,;=")
+    parent = len(folder) - len(folder.rsplit("/", 1)[-1])
+    path = F.col("_metadata.file_path")
+    at = F.instr(path, folder)
+    return F.when(at > 0, F.substr(path, at + parent)).otherwise(path)
 
 
 def read_dsr(spark: SparkSession, root: str) -> DataFrame:

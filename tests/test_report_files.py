@@ -115,10 +115,10 @@ def test_demux_and_counts(spark):
 
 def test_read_dsr_from_folders(spark, tmp_path):
     for quarter, name in (("2024_Q1", "Report_ads.tsv"), ("2024_Q2", "Report_hardware.tsv")):
-        folder = tmp_path / "landing" / quarter
+        folder = tmp_path / "landing 1" / quarter
         folder.mkdir(parents=True)
         (folder / name).write_text("ST01\tb\tt\ts\t1\r\nST01\tc\tt\ts\t2\n")
-    frame = dsr.read_dsr(spark, str(tmp_path / "landing"))
+    frame = dsr.read_dsr(spark, str(tmp_path / "landing 1"))
     found = dsr.typed_records(frame, "ST01").select("service", "Quarter", "BlockId", "Usages")
     assert rows(found) == [
         ("b", "2024_Q1", 1, "ads"), ("b", "2024_Q2", 1, "hardware"),
