@@ -2,10 +2,10 @@
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from staveline.functions.dates import timestamp_text_date
+from staveline.functions.dates import TRAILING_DAYS, in_trailing_days, timestamp_text_date
 from staveline.operators.match import catalogue_match
 from staveline.operators.nested import flatten, path_or_null
 from staveline.operators.series import item_points
@@ -14,17 +14,23 @@ from staveline.operators.series import item_points
 PLATFORMS = ("spotify", "youtube", "soundcloud", "shazam", "tiktok", "genius")
 
 
-def stat_history(stats: DataFrame) -> DataFrame:
+def stat_history(
+    stats: DataFrame, as_of: Column | None = None, days: int = TRAILING_DAYS
+) -> DataFrame:
     """Points with a value, and the step from the point before.
 
     ``stats`` has one row per request: Artist, Track, ISRC, Platform and the
     payload, a list of series. Each series is one list, so the whole job is a
-    projection without a shuffle.
+    projection without a shuffle. ``as_of`` keeps the points of the days up to
+    that date.
     """
     listed = stats.where(F.col("Platform").isin(list(PLATFORMS)))
     tags = ["Artist", "Track", "ISRC", "Platform"]
     items = listed.select(*tags, F.explode("obj").alias("item"))
-    points = items.select(*tags, item_points(F.col("item.data")).alias("points"))
+    data = F.col("item.data")
+    if as_of is not None:
+        data = F.filter(data, lambda p: in_trailing_days(_written_day(p), as_of, days))
+    points = items.select(*tags, item_points(data).alias("points"))
     rows = points.select(*tags, F.explode("points").alias("p"))
     return rows.select(
         *tags,
@@ -34,7 +40,11 @@ def stat_history(stats: DataFrame) -> DataFrame:
     )
 
 
-def history_by_artist(tracks: DataFrame, stats: DataFrame) -> DataFrame:
+def _written_day(point: Column) -> Column:
+    return point.getField("timestp").cast("timestamp_ntz").cast("date")
+
+
+def history_by_artist(tracks: DataFrame, stats: DataFrame, **window) -> DataFrame:
     """History of all tracks of the seed artists.
 
     ``tracks``: seed ``artist`` and the list of its tracks; ``stats``:
@@ -47,11 +57,11 @@ def history_by_artist(tracks: DataFrame, stats: DataFrame) -> DataFrame:
         F.col("name").alias("Track"),
         F.col("isrc").alias("ISRC"),
     )
-    return stat_history(stats.withColumnRenamed("platform", "Platform").join(named, "track_id"))
+    return stat_history(stats.withColumnRenamed("platform", "Platform").join(named, "track_id"), **window)
 
 
 def history_by_isrc(
-    ids: DataFrame, metadata: DataFrame, stats: DataFrame, id_field: str = "ids"
+    ids: DataFrame, metadata: DataFrame, stats: DataFrame, id_field: str = "ids", **window
 ) -> DataFrame:
     """History of ISRCs: the first id of each, named by its first artist.
 
@@ -68,7 +78,7 @@ def history_by_isrc(
         path_or_null(metadata, "obj", "artists.name").alias("Artist"),
     )
     seeds = first.where(F.col("track_id").isNotNull()).join(named, "track_id")
-    return stat_history(stats.withColumnRenamed("platform", "Platform").join(seeds, "track_id"))
+    return stat_history(stats.withColumnRenamed("platform", "Platform").join(seeds, "track_id"), **window)
 
 
 def tracks_of_artists(tracks: DataFrame) -> DataFrame:

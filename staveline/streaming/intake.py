@@ -21,13 +21,19 @@ from staveline.sources.dsr import (
     parse_lines,
     well_formed,
 )
+from staveline.sources.layouts import LAYOUTS
+from staveline.sources.lookups import is_artist_metadata
 
 RECORDS, MANIFEST = "records", "manifest"
-GOOD, BAD_ROUTE, BAD_WIDTH = "good", "route", "width"
+GOOD, METADATA, BAD_ROUTE, BAD_WIDTH = "good", "metadata", "route", "width"
+OTHER = "other"  # folder of rows without a known record code
 STORED = (
     "load long, status string, record_type string, service string, quarter string, file string, "
     "f array<string>"
 )
+MANIFEST_FIELDS = (
+    "load long, status string, service string, quarter string, file string, rows long"
+)
 
 
 def _write(df: DataFrame, path: str, *partitions: str) -> None:
@@ -43,21 +49,26 @@ def load_batch(lines: DataFrame, load: int, store: str, max_bad: int = MAX_BAD_R
     a batch that failed is in no manifest, so no reader sees its rows.
     """
     spark = lines.sparkSession
-    parsed = parse_lines(lines)
     status = (
-        F.when(~F.coalesce(is_routed(), F.lit(False)), BAD_ROUTE)
+        F.when(is_artist_metadata(F.col("file")), METADATA)
+        .when(~F.coalesce(is_routed(), F.lit(False)), BAD_ROUTE)
         .when(~well_formed(), BAD_WIDTH)
         .otherwise(GOOD)
     )
+    rows = parse_lines(lines).withColumn("status", status)
+    known = (F.col("status") == GOOD) & F.col("record_type").isin(list(LAYOUTS))
+    rows = rows.withColumn("record_type", F.when(known, F.col("record_type")).otherwise(OTHER))
     folder = f"{store}/{RECORDS}/load={load}"
-    _write(parsed.withColumn("status", status), folder, "status", "record_type", "service", "quarter")
+    _write(rows, folder, "status", "record_type", "service", "quarter")
 
     stored = spark.read.schema(STORED.removeprefix("load long, ")).parquet(folder)
     fail_above(stored.where(F.col("status") == BAD_WIDTH), max_bad)
-    files = stored.where(F.col("status") == GOOD).groupBy("service", "quarter", "file").agg(
-        F.count("*").alias("rows")
+    files = (
+        stored.where(F.col("status").isin(GOOD, METADATA))
+        .groupBy("status", "service", "quarter", "file")
+        .agg(F.count("*").alias("rows"))
     )
-    _write(files, f"{store}/{MANIFEST}/load={load}", "service")
+    _write(files, f"{store}/{MANIFEST}/load={load}", "status")
 
 
 def ingest(
@@ -78,11 +89,19 @@ def ingest(
     query.awaitTermination()
 
 
-def manifest(spark: SparkSession, store: str) -> DataFrame:
-    """The newest load of every file."""
-    rows = spark.read.parquet(f"{store}/{MANIFEST}")
+def manifest(spark: SparkSession, store: str, status: str = GOOD) -> DataFrame:
+    """The newest load of every report file (or every metadata file)."""
+    rows = spark.read.schema(MANIFEST_FIELDS).parquet(f"{store}/{MANIFEST}").where(
+        F.col("status") == status
+    )
     newest = rows.groupBy("file").agg(F.max("load").alias("load"))
-    return rows.join(newest, ["file", "load"], "left_semi")
+    return rows.join(newest, ["file", "load"], "left_semi").drop("status")
+
+
+def _current(spark: SparkSession, store: str, status: str) -> DataFrame:
+    rows = spark.read.schema(STORED).parquet(f"{store}/{RECORDS}").where(F.col("status") == status)
+    files = manifest(spark, store, status).select("file", "load")
+    return rows.join(files, ["file", "load"], "left_semi")
 
 
 def records(spark: SparkSession, store: str) -> DataFrame:
@@ -91,17 +110,19 @@ def records(spark: SparkSession, store: str) -> DataFrame:
     ``record_type``, ``service`` and ``quarter`` are folders, so a filter on
     them decides which files are read at all.
     """
-    rows = spark.read.schema(STORED).parquet(f"{store}/{RECORDS}")
-    current = manifest(spark, store).select("file", F.col("load").cast("long").alias("load"))
-    return rows.where(F.col("status") == GOOD).join(current, ["file", "load"], "left_semi").select(
-        "service", "quarter", "file", "record_type", "f"
-    )
+    return _current(spark, store, GOOD).select("service", "quarter", "file", "record_type", "f")
+
+
+def artist_metadata(spark: SparkSession, store: str, columns: Sequence[str]) -> DataFrame:
+    """Rows of the ranked-artist files, which come with a header line."""
+    rows = _current(spark, store, METADATA).where(F.get("f", F.lit(0)) != columns[0])
+    return rows.select(*[F.get("f", F.lit(i)).alias(c) for i, c in enumerate(columns)])
 
 
 def quarantine(spark: SparkSession, store: str) -> DataFrame:
     """Rows that could not be routed or have the wrong width, with the reason."""
     rows = spark.read.schema(STORED).parquet(f"{store}/{RECORDS}")
-    return rows.where(F.col("status") != GOOD).withColumnRenamed("status", "reason")
+    return rows.where(F.col("status").isin(BAD_ROUTE, BAD_WIDTH)).withColumnRenamed("status", "reason")
 
 
 def missing_services(files: DataFrame, required: Sequence[str] = SERVICES) -> DataFrame:

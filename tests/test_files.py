@@ -132,6 +132,20 @@ def test_unroutable_files_are_kept_aside(spark, places):
     assert len(stored(spark, store)) == 1
 
 
+def test_metadata_files_go_their_own_way(spark, places):
+    landing, store, state = places
+    name = "top_residual_artists_metadata"
+    put(landing, "extra", f"{name}_1.tsv", "Artist\tgenre\tnote", "ada\tpop\t1")
+    put(landing, "extra", f"{name}_2.tsv", "Artist\tgenre\tnote", "ada\tpop\t1")
+    put(landing, "2024_Q1", "Report_ads.tsv", st("a", 1), "ZZ99\tunknown")
+    intake.ingest(spark, str(landing), store, state)
+    found = intake.artist_metadata(spark, store, ["Artist", "genre", "note"])
+    assert rows(found) == [("ada", "pop", "1")] * 2
+    assert intake.quarantine(spark, store).count() == 0
+    assert column(intake.manifest(spark, store), "service") == ["ads"]
+    assert sorted(column(intake.records(spark, store), "record_type")) == ["ST01", "other"]
+
+
 def test_gate_names_every_missing_service(spark, places):
     landing, store, state = places
     for name in ("ads", "hardware", "subscriptionpremium", "subscriptionmusic"):

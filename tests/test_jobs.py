@@ -80,6 +80,16 @@ def test_history_keeps_series_apart(spark):
     ]
 
 
+def test_history_of_the_trailing_days_starts_anew(spark):
+    body = ('{"obj": [{"data": [{"value": 1, "timestp": "2024-01-01T00:00:00.000Z"}, '
+            '{"value": 4, "timestp": "2024-01-03"}, {"value": 6, "timestp": "2024-01-04"}]}]}')
+    frame = docs(spark, [("a", "t", "i", "spotify", body)], STATS,
+                 "Artist string, Track string, ISRC string, Platform string")
+    found = history.stat_history(frame, F.lit("2024-01-03").cast("date"), days=1)
+    assert column(found, "Value", "Value_Diff") == [(4.0, None)]
+    assert history.stat_history(frame, F.lit("2024-01-03").cast("date")).count() == 2
+
+
 def test_history_of_each_artist_is_its_own(spark):
     tracks_ = docs(spark, [("x", '{"obj": [{"id": 1, "name": "one", "isrc": "I"}]}'),
                            ("y", '{"obj": [{"id": 2, "name": "two", "isrc": "J"}]}')],
