@@ -16,6 +16,7 @@ from checks.standins import (
     report_records,
     sales,
     service_col,
+    stored_records,
     summary_rows,
     with_records,
 )
@@ -549,7 +550,7 @@ def top(spark: SparkSession, sf: str) -> DataFrame:
     'SELECT * FROM split WHERE "Artist" IN (SELECT "Artist" FROM ranked20)', merged_sql(), RANKED
 ))
 def songs(spark: SparkSession, sf: str) -> DataFrame:
-    r = report_records(spark, sf)
+    r = stored_records(spark, sf)
     best = top_residual_artists(r.as_, r.su, r.li, TOP)
     return top_artist_songs(best, r.as_, r.su, r.li, TOP)
 

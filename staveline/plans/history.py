@@ -30,8 +30,7 @@ def stat_history(
     data = F.col("item.data")
     if as_of is not None:
         data = F.filter(data, lambda p: in_trailing_days(_written_day(p), as_of, days))
-    points = items.select(*tags, item_points(data).alias("points"))
-    rows = points.select(*tags, F.explode("points").alias("p"))
+    rows = items.select(*tags, F.explode(item_points(data)).alias("p"))
     return rows.select(
         *tags,
         F.col("p.point.value").alias("Value"),

@@ -6,6 +6,8 @@ from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
+from staveline.operators.frames import quoted
+
 
 def has_payload(obj: Column, kind: T.DataType) -> Column:
     """The payload is there and, for lists and maps, not empty."""
@@ -39,24 +41,28 @@ def read_landed(
     return rows.where(has_payload(F.col(member), kind))
 
 
+def _parsed(df: DataFrame, column: str, payload: Column, member: str, kind: T.DataType) -> DataFrame:
+    """Replace the text column by the payload and keep rows that have one.
+
+    The payload goes through a one-element list: a filter on a plain column
+    would be pushed below it, and parse the text again for each test.
+    """
+    kept = [F.col(quoted(c)) for c in df.columns if c != column]
+    rows = df.select(*kept, F.explode_outer(F.array(payload)).alias(member))
+    return rows.where(has_payload(F.col(member), kind))
+
+
 def parse_landed(
     df: DataFrame, column: str, payload: str | T.DataType, member: str = "obj"
 ) -> DataFrame:
     """Replace a column of envelope text by its typed payload."""
     kind = _schema(payload)
     envelope = T.StructType().add(member, kind)
-    parsed = df.select(
-        *[F.col(c) for c in df.columns if c != column],
-        F.from_json(F.col(column), envelope).getField(member).alias(member),
-    )
-    return parsed.where(has_payload(F.col(member), kind))
+    value = F.from_json(F.col(quoted(column)), envelope).getField(member)
+    return _parsed(df, column, value, member, kind)
 
 
 def parse_bare(df: DataFrame, column: str, payload: str | T.DataType) -> DataFrame:
     """The same for responses that come without an envelope."""
     kind = _schema(payload)
-    parsed = df.select(
-        *[F.col(c) for c in df.columns if c != column],
-        F.from_json(F.col(column), kind).alias("obj"),
-    )
-    return parsed.where(has_payload(F.col("obj"), kind))
+    return _parsed(df, column, F.from_json(F.col(quoted(column)), kind), "obj", kind)
