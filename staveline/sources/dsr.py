@@ -28,26 +28,38 @@ class BadRowsError(ValueError):
 
 def service_of(name: Column) -> Column:
     """First service whose marker is contained in the name; '' when none is."""
+    return _service_in(F.lower(name))
+
+
+def _service_in(lowered: Column) -> Column:
     chosen = F.lit("")
     for marker, service in reversed(SERVICE_OF_NAME.items()):
-        chosen = F.when(F.contains(F.lower(name), F.lit(marker)), F.lit(service)).otherwise(chosen)
+        chosen = F.when(F.contains(lowered, F.lit(marker)), F.lit(service)).otherwise(chosen)
     return chosen
 
 
-def route(name: Column) -> dict[str, Column]:
-    """Service and quarter of an object name ``<folder>/<quarter>/<file>``.
+def _name_parts(name: Column) -> tuple[Column, Column]:
+    """Quarter, and what stands behind it in lower case.
 
-    The service is looked for behind the quarter only, so a folder such as
-    ``uploads`` does not count as ``ads``. A ``key=`` in front of the quarter,
-    as Spark writes it, is dropped. No second folder gives a NULL quarter.
+    Runs on every line, so plain string functions only.
     """
-    # Runs on every line, so plain string functions only.
     upto_quarter = F.substring_index(name, "/", 2)
     nested = F.length(upto_quarter) < F.length(name)
     folder = F.substring_index(upto_quarter, "/", -1)
     quarter = F.when(nested, F.substring_index(folder, "=", -1))
     rest = F.when(nested, F.substr(name, F.length(upto_quarter) + 2)).otherwise(name)
-    return {"service": service_of(rest), "quarter": quarter}
+    return quarter, F.lower(rest)
+
+
+def route(name: Column) -> dict[str, Column]:
+    """Service and quarter of an object name ``<folder>/<quarter>/<file>``.
+
+    The service is looked for behind the quarter only, so a folder such as
+    ``uploads`` does not count as ``ads``. A ``key=`` in front of the quarter,
+    as Spark writes it, is dropped. No second folder gives a NULL quarter.
+    """
+    quarter, rest = _name_parts(name)
+    return {"service": _service_in(rest), "quarter": quarter}
 
 
 def is_routed() -> Column:
@@ -67,14 +79,19 @@ def parse_lines(lines: DataFrame, line: str = "value", name: str = "file") -> Da
     file, and quotes have no meaning in it.
     """
     text = F.rtrim(F.col(line), F.lit("\r"))
-    where = route(F.col(name))
-    return lines.select(
-        where["service"].alias("service"),
-        where["quarter"].alias("quarter"),
+    quarter, rest = _name_parts(F.col(name))
+    parts = F.struct(quarter.alias("quarter"), rest.alias("rest"), F.split(text, "\t", -1).alias("f"))
+    # The one-element list keeps filters and later columns from splitting the
+    # line again. The record type is not taken from it, so that a filter on the
+    # type comes before the split.
+    rows = lines.select(
         F.col(name).alias("file"),
-        # Not taken from the split, so a filter on it does not split the line.
         F.substring_index(text, "\t", 1).alias("record_type"),
-        F.split(text, "\t", -1).alias("f"),
+        F.explode_outer(F.array(parts)).alias("line"),
+    )
+    return rows.select(
+        _service_in(F.col("line.rest")).alias("service"), "line.quarter", "file", "record_type",
+        "line.f",
     )
 
 
