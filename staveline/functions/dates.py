@@ -30,12 +30,21 @@ def utc_midnight_date(text: Column) -> Column:
     return _midnight_to_date(text, ("T00:00:00.000Z",))
 
 
+FULL_TAILS = tuple("T00:00:00." + "0" * n for n in range(3, 7))
+PARTIAL_TAIL = "T00:00:00"
+
+
 def full_timestamp_date(text: Column) -> Column:
-    return _midnight_to_date(text, tuple("T00:00:00." + "0" * n for n in range(3, 7)))
+    return _midnight_to_date(text, FULL_TAILS)
 
 
 def partial_timestamp_date(text: Column) -> Column:
-    return _midnight_to_date(text, ("T00:00:00",))
+    return _midnight_to_date(text, (PARTIAL_TAIL,))
+
+
+def timestamp_date(text: Column) -> Column:
+    """Either of the two forms."""
+    return _midnight_to_date(text, (*FULL_TAILS, PARTIAL_TAIL))
 
 
 def day_count(start: Column, end: Column) -> Column:

@@ -9,12 +9,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from staveline.functions.dates import (
-    epoch_ms_date,
-    full_timestamp_date,
-    partial_timestamp_date,
-    utc_midnight_date,
-)
+from staveline.functions.dates import epoch_ms_date, timestamp_date, utc_midnight_date
 from staveline.operators.frames import (
     drop_all_null,
     present,
@@ -148,9 +143,7 @@ def video_history(df: DataFrame) -> DataFrame:
 
 def track_metadata(df: DataFrame, provider: Provider = NO_PROVIDER) -> DataFrame:
     """Track id with first artist, its creation date, and first album."""
-    created = partial_timestamp_date(
-        full_timestamp_date(path_or_null(df, "obj", "artists.created_at").cast("string"))
-    )
+    created = timestamp_date(path_or_null(df, "obj", "artists.created_at").cast("string"))
     return df.select(
         path_or_null(df, "obj", "id").alias(provider.label("Track ID")),
         path_or_null(df, "obj", "artists.id").alias("CM.artist.id"),

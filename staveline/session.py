@@ -8,6 +8,8 @@ import uuid
 from pyspark.sql import DataFrame, SparkSession
 
 RUNTIME_SETTINGS = {
+    # Bad numbers fail the job instead of becoming NULL.
+    "spark.sql.ansi.enabled": "true",
     # Date and timestamp text is defined in UTC.
     "spark.sql.session.timeZone": "UTC",
     "spark.sql.adaptive.enabled": "true",
