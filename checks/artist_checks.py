@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from checks.landed import choice, choice_sql, day, landed, midnight, record, tagged
+from checks.landed import choice, choice_sql, day, landed, midnight, record, source, tagged
 from checks.registry import check, table
 from staveline.operators.frames import stack_outer
 from staveline.plans import artists
@@ -110,7 +110,7 @@ def fan_metrics(spark: SparkSession, sf: str) -> DataFrame:
     for metric in ("followers", "likes", "views", "other"):
         pairs += [F.lit(metric), F.array(point)]
     docs = landed(
-        table(spark, sf, "events"),
+        source(spark, sf, "events"),
         {"artist_id": F.col("user_id"), "platform": choice(F.col("event_id"), FAN_PLATFORMS)},
         F.create_map(*pairs),
         "map<string, array<struct<timestp: string, value: double, diff: double, "
@@ -200,7 +200,7 @@ WHERE {" OR ".join(parts)}"""
 def social_audience(spark: SparkSession, sf: str) -> DataFrame:
     event = F.col("event_id")
     docs = landed(
-        table(spark, sf, "events"),
+        source(spark, sf, "events"),
         {
             "artist_id": F.col("user_id"), "kind": choice(event, KINDS),
             "platform": choice(F.floor(event / 4), AUDIENCE_PLATFORMS),
@@ -291,7 +291,7 @@ def artist_playlists(spark: SparkSession, sf: str) -> DataFrame:
         f"{f}: {PLAYLIST_KINDS.get(f, 'string')}" for f in artists.PLAYLIST_LABELS.values()
     )
     docs = landed(
-        table(spark, sf, "orders"), {"artist": F.col("o_orderpriority")}, F.array(playlist),
+        source(spark, sf, "orders"), {"artist": F.col("o_orderpriority")}, F.array(playlist),
         f"array<struct<{fields}, tracks: array<struct<peak_position: bigint, position: bigint, "
         "added_at: string, removed_at: string, period: bigint, isrc: string, "
         "spotify_track_ids: array<string>, cm_track: bigint, cm_artist: bigint, "

@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from checks.landed import landed, record, tagged, text
+from checks.landed import landed, record, source, tagged, text
 from checks.registry import check, table
 from staveline.functions import dates
 from staveline.functions.text import tags_text
@@ -245,7 +245,7 @@ def record_path(spark: SparkSession, sf: str) -> DataFrame:
               F.col("l_quantity") + F.col("l_extendedprice")]
     data = F.array(*[record(value=v, timestp=when) for v in values])
     docs = landed(
-        table(spark, sf, "lineitem"), {"order_key": F.col("l_orderkey")},
+        source(spark, sf, "lineitem"), {"order_key": F.col("l_orderkey")},
         F.array(record(data=data)),
         "array<struct<data: array<struct<value: double, timestp: string>>>>",
     )
@@ -263,7 +263,7 @@ def record_path_meta(spark: SparkSession, sf: str) -> DataFrame:
         priority=F.col("o_orderpriority"), owner=record(status=F.col("o_orderstatus")), items=steps
     )
     docs = landed(
-        table(spark, sf, "orders"), {"order_key": F.col("o_orderkey")}, obj,
+        source(spark, sf, "orders"), {"order_key": F.col("o_orderkey")}, obj,
         "struct<priority: string, owner: struct<status: string>, items: array<struct<step: bigint>>>",
     )
     return nested.record_path(
@@ -297,7 +297,7 @@ def map_rows(spark: SparkSession, sf: str) -> DataFrame:
         F.lit("doubled"), F.array(record(value=F.col("value") * 2, timestp=when)),
     )
     docs = landed(
-        table(spark, sf, "events"), {"user_id": F.col("user_id")}, obj,
+        source(spark, sf, "events"), {"user_id": F.col("user_id")}, obj,
         "map<string, array<struct<value: double, timestp: string>>>",
     )
     return nested.map_rows(docs, F.col("obj"), "metric", keep=["user_id"])
@@ -312,7 +312,7 @@ def path_default(spark: SparkSession, sf: str) -> DataFrame:
         F.col("event_id") % 3 == 1, F.array().cast("array<struct<id: bigint>>")
     )
     docs = landed(
-        table(spark, sf, "events"), {"event_id": F.col("event_id")},
+        source(spark, sf, "events"), {"event_id": F.col("event_id")},
         record(kind=F.col("event_type"), artists=artists),
         "struct<kind: string, artists: array<struct<id: bigint>>>",
     )

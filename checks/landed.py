@@ -4,22 +4,27 @@ from __future__ import annotations
 
 from collections.abc import Sequence
 
-from pyspark.sql import Column, DataFrame
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from checks.registry import spread
+from checks.registry import spread, table
 from staveline.sources.landed import parse_bare, parse_landed
 
 
+def source(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
+    """A driver table as the input of a job on documents."""
+    return spread(table(spark, sf_dir, name))
+
+
 def landed(df: DataFrame, tags: dict[str, Column], obj: Column, payload: str) -> DataFrame:
     """Write ``obj`` as envelope text next to the tags and read it back typed."""
     body = F.to_json(F.struct(obj.alias("obj")))
-    rows = spread(df).select(*[c.alias(n) for n, c in tags.items()], body.alias("body"))
+    rows = df.select(*[c.alias(n) for n, c in tags.items()], body.alias("body"))
     return parse_landed(rows, "body", payload)
 
 
 def landed_bare(df: DataFrame, tags: dict[str, Column], obj: Column, payload: str) -> DataFrame:
-    rows = spread(df).select(*[c.alias(n) for n, c in tags.items()], F.to_json(obj).alias("body"))
+    rows = df.select(*[c.alias(n) for n, c in tags.items()], F.to_json(obj).alias("body"))
     return parse_bare(rows, "body", payload)
 
 

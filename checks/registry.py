@@ -42,7 +42,7 @@ def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
 
 
 def spread(df: DataFrame) -> DataFrame:
-    """Rows over all cores, for work that costs much per row.
+    """Rows of a plain scan over all cores, for work that costs much per row.
 
     A small test table is one row group, which one task would work on alone.
     Larger tables have more scan tasks than cores and stay as they are.

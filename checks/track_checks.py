@@ -6,7 +6,7 @@ from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from checks.frame_checks import PERF_SQL, perf
-from checks.landed import choice, choice_sql, day, landed, landed_bare, midnight, record, tagged, text
+from checks.landed import choice, choice_sql, day, landed, landed_bare, midnight, record, source, tagged, text
 from checks.registry import check, table
 from staveline.operators.frames import stack_outer
 from staveline.plans import audio, history, tracks
@@ -114,7 +114,7 @@ def _charts(spark: SparkSession, sf: str) -> DataFrame:
         ) for i in range(2)
     ])
     return landed(
-        table(spark, sf, "lineitem"), {"chart_id": choice(F.col("l_linenumber"), CHART_IDS)},
+        source(spark, sf, "lineitem"), {"chart_id": choice(F.col("l_linenumber"), CHART_IDS)},
         record(length=F.size(data), data=data), CHART_PAYLOAD,
     )
 
@@ -143,7 +143,7 @@ def chart_collection(spark: SparkSession, sf: str) -> DataFrame:
         id=F.col("c_custkey"), name=F.col("c_name"), rank=F.col("c_custkey") + 1
     )))
     return tracks.stacked_charts(
-        landed(table(spark, sf, "orders"), {}, orders,
+        landed(source(spark, sf, "orders"), {}, orders,
                "struct<data: array<struct<id: bigint, name: string>>>"),
         landed(table(spark, sf, "customer"), {}, customers,
                "struct<data: array<struct<id: bigint, name: string, rank: bigint>>>"),
@@ -172,7 +172,7 @@ def video_history(spark: SparkSession, sf: str) -> DataFrame:
         link=tagged("l", event), tiktokVideoHistoricalStats=points,
     )
     docs = landed(
-        table(spark, sf, "events"), {"track_id": event}, F.array(video),
+        source(spark, sf, "events"), {"track_id": event}, F.array(video),
         "array<struct<created_at: string, username: string, video_id: string, "
         "thumbnail_url: string, followers: bigint, cm_id: bigint, sound_id: string, "
         "tiktok: string, tiktok_video: string, link: string, tiktokVideoHistoricalStats: "
@@ -200,7 +200,7 @@ def track_metadata(spark: SparkSession, sf: str) -> DataFrame:
         albums=F.when(key % 7 > 0, F.array(record(id=key + 1), record(id=key + 2))),
     )
     docs = landed(
-        table(spark, sf, "orders"), {}, obj,
+        source(spark, sf, "orders"), {}, obj,
         f"struct<id: bigint, name: string, artists: {kind}, albums: array<struct<id: bigint>>>",
     )
     return tracks.track_metadata(docs, ACME)
@@ -231,7 +231,7 @@ def track_stats(spark: SparkSession, sf: str) -> DataFrame:
     ])
     track = F.when(F.col("user_id") > 10, text("user_id")).when(event % 2 == 0, "")
     docs = landed(
-        table(spark, sf, "events"),
+        source(spark, sf, "events"),
         {"track_id": track, "platform": choice(event, [p for p, _ in STAT_PAIRS]),
          "stat": choice(event, [s for _, s in STAT_PAIRS])},
         F.array(record(data=data)), STAT_PAYLOAD,
@@ -254,7 +254,7 @@ def _playlist_frame(spark: SparkSession, sf: str, platform: str) -> DataFrame:
         ])
         kind += ", details: array<struct<country: string, place: bigint>>"
     return landed(
-        table(spark, sf, "orders"),
+        source(spark, sf, "orders"),
         {"track_id": key, "platform": choice(key, PLAYLIST_PLATFORMS)},
         F.array(record(playlist=F.struct(*[c.alias(n) for n, c in fields.items()]))),
         f"array<struct<playlist: struct<{kind}>>>",
@@ -322,7 +322,7 @@ def _evolution(spark: SparkSession, sf: str) -> DataFrame:
     obj = F.create_map(
         F.lit("spotify"), points(2), F.lit("youtube"), points(1), F.lit("deezer"), points(1)
     )
-    return landed(table(spark, sf, "orders"), {"id": key}, obj, EVOLUTION_PAYLOAD)
+    return landed(source(spark, sf, "orders"), {"id": key}, obj, EVOLUTION_PAYLOAD)
 
 
 def _evolution_sql(entity: str, date: str) -> str:
@@ -350,7 +350,7 @@ def _airplay(spark: SparkSession, sf: str) -> DataFrame:
     ms = F.unix_millis(F.col("ts").cast("timestamp"))
     spins = F.array(record(air_date=ms, spins=F.col("user_id")),
                     record(air_date=ms + 86_400_000, spins=F.col("event_id")))
-    return landed(table(spark, sf, "events"), {"id": F.col("event_id")}, spins,
+    return landed(source(spark, sf, "events"), {"id": F.col("event_id")}, spins,
                   "array<struct<air_date: bigint, spins: bigint>>")
 
 
@@ -524,7 +524,7 @@ def _point_stats(spark: SparkSession, sf: str) -> DataFrame:
         for i, v in enumerate(values)
     ])
     return landed(
-        table(spark, sf, "lineitem"),
+        source(spark, sf, "lineitem"),
         {"track_id": F.col("l_partkey"), "platform": choice(F.col("l_linenumber"), STAT_PLATFORMS)},
         F.array(record(data=data)), POINTS_PAYLOAD,
     )

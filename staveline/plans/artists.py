@@ -128,7 +128,7 @@ def fan_metrics(df: DataFrame, provider: Provider = NO_PROVIDER) -> DataFrame:
     ).distinct()
 
 
-def _region(record: Column | None = None) -> list[Column]:
+def _region() -> list[Column]:
     return [F.col(old).alias(new) for old, new in REGION_FIELDS.items()]
 
 

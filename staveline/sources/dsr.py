@@ -26,12 +26,8 @@ class BadRowsError(ValueError):
     """More malformed rows than the load allows."""
 
 
-def service_of(name: Column) -> Column:
-    """First service whose marker is contained in the name; '' when none is."""
-    return _service_in(F.lower(name))
-
-
 def _service_in(lowered: Column) -> Column:
+    """First service whose marker is contained in the text; '' when none is."""
     chosen = F.lit("")
     for marker, service in reversed(SERVICE_OF_NAME.items()):
         chosen = F.when(F.contains(lowered, F.lit(marker)), F.lit(service)).otherwise(chosen)
