@@ -23,7 +23,7 @@ from staveline.plans.ranking import export_top, top_residual_artists
 from staveline.plans.report import royalty_report
 from staveline.session import scratch_folder
 from staveline.sinks.tables import append_records, write_by_key, write_replace, write_report
-from staveline.sources.dsr import to_lines, typed_records
+from staveline.sources.dsr import check_bad_rows, read_dsr, to_lines, typed_records
 from staveline.sources.landed import read_landed
 from staveline.sources.lookups import load_artist_metadata, read_seed_artists
 from staveline.streaming.intake import ingest, manifest, missing_services, records
@@ -37,6 +37,20 @@ def _write_lines(records_: DataFrame, code: str, landing: str) -> None:
     lines.write.mode("append").partitionBy("Quarter", "report").text(landing)
 
 
+@check("dsr_scan", with_records("""
+SELECT service, "Quarter", "BlockId", "SalesTransactionId", "DspResourceId", "Usages", "NetRevenue",
+    "ValidityPeriodStart", "DATE_SALE" FROM su"""))
+def dsr_scan(spark: SparkSession, sf: str) -> DataFrame:
+    """Report files in folders, read as text and typed."""
+    landing = scratch_folder(spark, "scan")
+    _write_lines(sales(spark, sf), "SU03.02", landing)
+    good, _ = check_bad_rows(read_dsr(spark, landing))
+    return typed_records(good, "SU03.02").select(
+        "service", "Quarter", "BlockId", "SalesTransactionId", "DspResourceId", "Usages",
+        "NetRevenue", "ValidityPeriodStart", "DATE_SALE",
+    )
+
+
 @check("stream_ingest", with_records("""
 SELECT service, "Quarter", "BlockId", "RightsController", "AllocatedUsages",
     "ParentSalesTransactionId" FROM li"""))

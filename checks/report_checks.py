@@ -26,6 +26,7 @@ from staveline.operators.frames import dedupe
 from staveline.operators.royalty import claims_of, pool, royalty_rows
 from staveline.operators.usage import (
     artist_maxima,
+    artist_stats,
     artist_totals,
     block_join,
     merged_usage,
@@ -525,6 +526,18 @@ def totals(spark: SparkSession, sf: str) -> DataFrame:
     return artist_totals(_stats(spark, sf))
 
 
+@check("artist_stats", with_records("""
+SELECT t.*, r.* EXCLUDE ("Artist", "ResidualObservations"),
+    coalesce("ResidualObservations", 0) AS "ResidualObservations",
+    "ResidualObservations" IS NOT NULL AS "HasResidual"
+FROM totals t LEFT JOIN residual r ON r."Artist" = t."Artist"
+""", merged_sql()))
+def stats_of_merged(spark: SparkSession, sf: str) -> DataFrame:
+    """The same statistics from the merged table itself."""
+    r = report_records(spark, sf)
+    return artist_stats(merged_usage(r.as_, r.su, r.li, money_type=EXACT), EXACT)
+
+
 @check("residual_totals", with_records("SELECT * FROM residual", merged_sql()))
 def residuals(spark: SparkSession, sf: str) -> DataFrame:
     return residual_totals(_stats(spark, sf))
