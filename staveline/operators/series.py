@@ -4,7 +4,7 @@ from __future__ import annotations
 
 from collections.abc import Sequence
 
-from pyspark.sql import Column, DataFrame, Window
+from pyspark.sql import Column, DataFrame, Window, WindowSpec
 from pyspark.sql import functions as F
 
 from staveline.functions.dates import days_between
@@ -47,13 +47,19 @@ def series_diff(
 
     One series may hold a large part of the table, so series are cut along
     ``order`` at quantiles of the whole table: a window then sees at most about
-    1/slices of all rows. The last value of each cut is carried, as one extra
-    row, to the next cut that has rows.
+    1/slices of all rows, more only where one series repeats one ``order``
+    value that often. The last value of each cut is carried, as one extra row,
+    to the next cut that has rows. ``slices=1`` is for tables whose series are
+    all short: one window, no cuts.
     """
-    sliced = cut(df.where(F.col(value).isNotNull()), order, slices)
     names = [quoted(k) for k in keys]
-    sort_key = F.struct(F.col(order), *[F.col(t) for t in tie_break])
-    ends = sliced.groupBy(*names, "__slice").agg(F.max_by(value, sort_key).alias(value))
+    position = [F.col(order), *[F.col(t) for t in tie_break]]
+    points = df.where(F.col(value).isNotNull())
+    if slices == 1:
+        return _step(points, value, out, Window.partitionBy(*names).orderBy(*position))
+
+    sliced = cut(points, order, slices)
+    ends = sliced.groupBy(*names, "__slice").agg(F.max_by(value, F.struct(*position)).alias(value))
     following = F.lead("__slice").over(Window.partitionBy(*names).orderBy("__slice"))
     carried = (
         ends.withColumn("__slice", following)
@@ -63,14 +69,13 @@ def series_diff(
     rows = sliced.withColumn("__carried", F.lit(False)).unionByName(
         carried, allowMissingColumns=True
     )
-    along = Window.partitionBy(*names, "__slice").orderBy(
-        F.col("__carried").desc(), F.col(order), *[F.col(t) for t in tie_break]
-    )
-    return (
-        rows.withColumn(out, F.col(value) - F.lag(value).over(along))
-        .where(~F.col("__carried"))
-        .drop("__carried", "__slice")
-    )
+    along = Window.partitionBy(*names, "__slice").orderBy(F.col("__carried").desc(), *position)
+    steps = _step(rows, value, out, along)
+    return steps.where(~F.col("__carried")).drop("__carried", "__slice")
+
+
+def _step(rows: DataFrame, value: str, out: str, along: WindowSpec) -> DataFrame:
+    return rows.withColumn(out, F.col(value) - F.lag(value).over(along))
 
 
 def cut(df: DataFrame, order: str, slices: int = SLICES) -> DataFrame:

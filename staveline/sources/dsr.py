@@ -181,15 +181,16 @@ def split_bad_rows(parsed: DataFrame) -> tuple[DataFrame, DataFrame]:
 
 
 def check_bad_rows(parsed: DataFrame, max_bad: int = MAX_BAD_ROWS) -> tuple[DataFrame, DataFrame]:
-    """Good rows and quarantine; fails when the quarantine exceeds the budget."""
+    """Good rows and quarantine; fails when a file has more bad rows than allowed."""
     good, bad = split_bad_rows(parsed)
     fail_above(bad, max_bad)
     return good, bad
 
 
 def fail_above(bad: DataFrame, max_bad: int) -> None:
-    if bad.limit(max_bad + 1).count() > max_bad:
-        raise BadRowsError(f"more than {max_bad} malformed rows")
+    worst = bad.groupBy("file").count().where(F.col("count") > max_bad).first()
+    if worst is not None:
+        raise BadRowsError(f"{worst['file']}: {worst['count']} malformed rows, {max_bad} allowed")
 
 
 def record_counts(parsed: DataFrame) -> DataFrame:

@@ -43,7 +43,7 @@ def _write(df: DataFrame, path: str, *partitions: str) -> None:
 
 
 def load_batch(lines: DataFrame, load: int, store: str, max_bad: int = MAX_BAD_ROWS) -> None:
-    """Store one batch of lines (value, file). Too many bad rows fail the batch.
+    """Store one batch of lines (value, file). A file with too many bad rows fails it.
 
     The text is read once. The manifest is written last, from the stored rows:
     a batch that failed is in no manifest, so no reader sees its rows.

@@ -92,8 +92,11 @@ def test_bad_rows_and_budget(spark):
     bad = ["ST01\tb\tt\ts", "ST01\tb\tt\ts\t7\tx"]
     kept, quarantine = dsr.check_bad_rows(parsed(spark, good + bad), max_bad=2)
     assert (kept.count(), quarantine.count()) == (3, 2)
-    with pytest.raises(dsr.BadRowsError):
+    with pytest.raises(dsr.BadRowsError, match="Report_ads.tsv: 2"):
         dsr.check_bad_rows(parsed(spark, good + bad), max_bad=1)
+    other = parsed(spark, bad, "dsr/2024_Q1/Report_hardware.tsv")
+    _, quarantine = dsr.check_bad_rows(parsed(spark, bad).unionByName(other), max_bad=2)
+    assert quarantine.count() == 4
 
 
 def test_round_trip_of_every_layout(spark):
