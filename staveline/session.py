@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+import re
 import tempfile
 import uuid
 
@@ -45,14 +46,15 @@ def local_session(cores: str = "*", app: str = "staveline", memory: str = "8g")
 def scratch_folder(spark: SparkSession, label: str) -> str:
     """A new path below the shared folder named by ``spark.checkpoint.dir``.
 
-    A cluster has to name one; only a local session may fall back to a
-    temporary folder of this machine.
+    A cluster has to name one. A session on one machine that names none gets a
+    folder once, written into its settings, so that everything lies in one place.
     """
     base = spark.conf.get("spark.checkpoint.dir", None)
     if not base:
-        if not spark.sparkContext.master.startswith("local"):
+        if not re.fullmatch(r"local(\[[^-]*\])?", spark.sparkContext.master):
             raise ValueError("set spark.checkpoint.dir to a folder all executors share")
         base = tempfile.mkdtemp(prefix="staveline-")
+        spark.conf.set("spark.checkpoint.dir", base)
     return f"{base.rstrip('/')}/{label}-{uuid.uuid4().hex}"
 
 

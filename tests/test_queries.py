@@ -7,6 +7,7 @@ import pytest
 
 import __spark_entry__ as entry
 from checks.compare import TABLES, rows_of
+from checks.registry import QUERIES, SQL
 
 SF = "/root/testdata/sf0.001"
 # Work that must not be in a plan: products of two sides, Python per row.
@@ -25,7 +26,7 @@ def db():
 
 
 def test_every_query_has_its_sql():
-    assert set(entry.queries()) == set(entry.oracle_sql())
+    assert set(QUERIES) == set(SQL)
 
 
 def test_entry_runs(spark):
@@ -33,11 +34,11 @@ def test_entry_runs(spark):
     assert frame.count() > 0 and len(frame.columns) == 25
 
 
-@pytest.mark.parametrize("name", list(entry.queries()))
+@pytest.mark.parametrize("name", list(QUERIES))
 def test_query(spark, db, name):
-    frame = entry.queries()[name](spark, SF)
+    frame = QUERIES[name](spark, SF)
     found = rows_of(frame.columns, [tuple(r) for r in frame.collect()])
-    result = db.execute(entry.oracle_sql()[name])
+    result = db.execute(SQL[name])
     expected = rows_of([d[0] for d in result.description], result.fetchall())
     assert sorted(frame.columns) == sorted(d[0] for d in result.description)
     assert sum(expected.values()) > 0
