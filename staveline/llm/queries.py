@@ -7,8 +7,18 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from staveline.llm import copies, lines, neighbours, packing, sharding
-from staveline.llm.common import table
+from staveline.llm import (
+    bpe,
+    copies,
+    lines,
+    neighbours,
+    ngram_join,
+    packing,
+    sharding,
+    suffix_tree,
+    toxicity,
+)
+from staveline.llm.common import held_out, table
 from staveline.llm.tokens import vocabulary_path
 from staveline.session import tune
 
@@ -27,6 +37,19 @@ def register(name: str, sql: str | None = None) -> Callable[[Query], Query]:
     return keep
 
 
+@register("op1_bpe")
+def op1(spark: SparkSession, sf_dir: str) -> DataFrame:
+    docs = table(spark, sf_dir, "documents")
+    coded = bpe.encode_and_decode(docs, vocabulary_path("word_bpe_49k.json"))
+    joined = F.array_join(F.transform("ids", lambda i: i.cast("string")), " ")
+    return coded.select(
+        "doc_id",
+        F.size("ids").cast("long").alias("n_tokens"),
+        F.sha2(joined.cast("binary"), 256).alias("ids_sha256"),
+        F.sha2(F.col("decoded").cast("binary"), 256).alias("decoded_sha256"),
+    )
+
+
 @register("op2_packing")
 def op2(spark: SparkSession, sf_dir: str) -> DataFrame:
     docs = table(spark, sf_dir, "documents")
@@ -38,6 +61,13 @@ def op3(spark: SparkSession, sf_dir: str) -> DataFrame:
     return neighbours.nearest(table(spark, sf_dir, "embeddings"), k=20, every=20)
 
 
+@register("op5_toxicity")
+def op5(spark: SparkSession, sf_dir: str) -> DataFrame:
+    docs, labels = table(spark, sf_dir, "documents"), table(spark, sf_dir, "labels")
+    scored = toxicity.score(docs, labels, modulus=3, remainder=1)
+    return scored.select("doc_id", "held_out", "score", "predicted")
+
+
 @register(
     "op6_line_dedup",
     r"""
@@ -84,6 +114,11 @@ def op7(spark: SparkSession, sf_dir: str) -> DataFrame:
     return named.select("doc_id", "keep_id", "group_size", "kept", "text_sha256")
 
 
+@register("op8_ngram_join")
+def op8(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return ngram_join.jaccard_components(table(spark, sf_dir, "documents"), words=4, num=85, den=100)
+
+
 @register("op9_sharding")
 def op9(spark: SparkSession, sf_dir: str) -> DataFrame:
     dealt = sharding.shard(table(spark, sf_dir, "documents"), shards=40)
@@ -96,3 +131,13 @@ def op9(spark: SparkSession, sf_dir: str) -> DataFrame:
         "slot",
         F.lit(None).cast("int").alias("grown_shard"),
     )
+
+
+@register("op10_suffix_tree")
+def op10(spark: SparkSession, sf_dir: str) -> DataFrame:
+    docs = table(spark, sf_dir, "documents")
+    scored = suffix_tree.score(docs, modulus=5, remainder=1).alias("s")
+    out = held_out(1, 5).alias("held_out")
+    return scored.select(
+        "doc_id", out, "n_tokens", "n_known", "train_tokens", "base_score", "score"
+    )
