@@ -9,10 +9,10 @@ from collections.abc import Iterable, Iterator
 import numpy as np
 import pyarrow as pa
 import xxhash
-from pyspark.sql import DataFrame
+from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
-from staveline.llm.common import ASCII_LOWER
+from staveline.llm.common import ASCII_LOWER, unpacked, with_row
 from staveline.llm.components import components
 from staveline.session import settled
 
@@ -189,8 +189,9 @@ def _measured(batches: Iterable[pa.RecordBatch], words: int) -> Iterator[pa.Reco
                 pa.array(ids, pa.binary()),
                 pa.array([node_of(i) for i in ids], pa.int64()),
                 pa.array([point_of(s).tobytes() for s in sets], pa.binary()),
+                *batch.columns[2:],
             ],
-            names=["doc_id", "n_shingles", "set_id", "node", "point"],
+            names=["doc_id", "n_shingles", "set_id", "node", "point", *batch.schema.names[2:]],
         )
 
 
@@ -272,6 +273,12 @@ def _verified(batches: Iterable[pa.RecordBatch], words: int, num: int, den: int)
         yield batch.select([0, 1]).filter(pa.array(keep, pa.bool_()))
 
 
+def row_keys() -> list[Column]:
+    """What tells rows of different doc_ids or texts apart."""
+    key = (F.col("doc_id").cast("long"), F.col("text").cast("binary"))
+    return [F.xxhash64(*key).alias("r1"), F.xxhash64(F.lit("second"), *key).alias("r2")]
+
+
 class _Join:
     """The steps of one join over the sets of ``docs``."""
 
@@ -281,8 +288,9 @@ class _Join:
         self.spark = docs.sparkSession
         self.words, self.num, self.den = words, num, den
         self.slim = docs.select(F.col("doc_id").cast("long").alias("doc_id"), F.col("text").cast("binary").alias("text"))
-        measured = self.slim.mapInArrow(
-            lambda it: _measured(it, words), "doc_id long, n_shingles long, set_id binary, node long, point binary"
+        measured = self.slim.select("*", *row_keys()).mapInArrow(
+            lambda it: _measured(it, words),
+            "doc_id long, n_shingles long, set_id binary, node long, point binary, r1 long, r2 long",
         )
         self.rows = settled(measured, "ngram-rows")
         self.sets = (
@@ -388,6 +396,28 @@ class _Join:
         return found.distinct()
 
 
+def _rooted(docs: DataFrame, words: int, num: int, den: int) -> DataFrame:
+    """(doc_id, n_shingles, root, r1, r2) of every row; rows with the same root are connected."""
+    join = _Join(docs, words, num, den)
+    sets = settled(join.sets, "ngram-sets")
+    candidates = join.candidates()
+    nodes = candidates.groupBy("node").agg(F.min("low").alias("low"), F.max("high").alias("high"))
+    stars = nodes.select("node", F.explode(F.array("low", "high")).alias("other")).filter("node <> other")
+    # Different sets that agree in the 40 bits of their node are candidates as well.
+    same = sets.groupBy("node").agg(F.count("*").alias("m")).filter("m > 1").select("node", F.col("node").alias("other"))
+    met = nodes.select("node").unionByName(same.select("node")).distinct()
+    wanted = settled(sets.join(met, "node", "left_semi"), "ngram-wanted")
+    texts = join.texts(wanted)
+    first = join.linked(join.bounded(stars.unionByName(same), wanted), texts)
+    roots = components(first, "ngram-first")
+    rest = join.across(candidates, wanted, roots.withColumnRenamed("node", "node_id"))
+    second = join.linked(rest, texts)
+    roots = components(first.unionByName(second), "ngram-roots")
+    return join.rows.join(
+        roots.select(F.col("node").alias("node_id"), "root"), F.col("set_id") == F.col("node_id"), "left"
+    ).select("doc_id", "n_shingles", F.coalesce("root", "set_id").alias("root"), "r1", "r2")
+
+
 def jaccard_components(docs: DataFrame, words: int = 4, num: int = 85, den: int = 100) -> DataFrame:
     """Documents linked by shared shingles: (doc_id, n_shingles, component_id).
 
@@ -410,25 +440,26 @@ def jaccard_components(docs: DataFrame, words: int = 4, num: int = 85, den: int
     doc_id of the component, null where all are null. Other columns are not read. An
     empty table gives an empty table.
     """
-    join = _Join(docs, words, num, den)
-    sets = settled(join.sets, "ngram-sets")
-    candidates = join.candidates()
-    nodes = candidates.groupBy("node").agg(F.min("low").alias("low"), F.max("high").alias("high"))
-    stars = nodes.select("node", F.explode(F.array("low", "high")).alias("other")).filter("node <> other")
-    # Different sets that agree in these 40 bits are candidates as well.
-    same = sets.groupBy("node").agg(F.count("*").alias("m")).filter("m > 1").select("node", F.col("node").alias("other"))
-    wanted = sets.join(nodes.select("node").unionByName(same.select("node")).distinct(), "node", "left_semi")
-    texts = join.texts(wanted)
-    first = join.linked(join.bounded(stars.unionByName(same), sets), texts)
-    roots = components(first, "ngram-first")
-    rest = join.across(candidates, wanted, roots.withColumnRenamed("node", "node_id"))
-    second = join.linked(rest, texts)
-    roots = components(first.unionByName(second), "ngram-roots")
-    rooted = join.rows.join(
-        roots.select(F.col("node").alias("node_id"), "root"), F.col("set_id") == F.col("node_id"), "left"
-    ).select("doc_id", "n_shingles", F.coalesce("root", "set_id").alias("root"))
+    rooted = _rooted(docs, words, num, den)
     empty = F.col("n_shingles") == 0
     least = rooted.filter(~empty).groupBy("root").agg(F.min("doc_id").alias("least"))
     return rooted.join(least, "root", "left").select(
         "doc_id", "n_shingles", F.when(empty, F.col("doc_id")).otherwise(F.col("least")).alias("component_id")
     )
+
+
+def one_of_each(docs: DataFrame, words: int = 5, num: int = 80, den: int = 100) -> DataFrame:
+    """The input rows without near copies: of each component the row of the smallest doc_id.
+
+    A null doc_id is taken only where all are null; of rows that agree in doc_id and
+    text one stays. Rows without words are no copies of each other. The text is
+    shuffled once, to meet the rows that stay.
+    """
+    rooted = settled(_rooted(docs, words, num, den), "ngram-rooted")
+    first = F.min(F.struct(F.col("doc_id").isNull().alias("null"), "doc_id", "r1", "r2")).alias("s")
+    stay = rooted.filter("n_shingles > 0").groupBy("root").agg(first).select("s.r1", "s.r2")
+    stay = stay.unionByName(rooted.filter("n_shingles = 0").select("r1", "r2")).distinct()
+    keyed = with_row(docs, *row_keys()).join(stay, ["r1", "r2"])
+    alike = Window.partitionBy("r1", "r2").orderBy("r1")
+    kept = keyed.withColumn("n", F.row_number().over(alike)).filter("n = 1")
+    return unpacked(kept, docs.columns)

@@ -10,6 +10,7 @@ from pyspark.sql import functions as F
 from staveline.llm import (
     bpe,
     copies,
+    licenses,
     lines,
     neighbours,
     ngram_join,
@@ -61,6 +62,17 @@ def op3(spark: SparkSession, sf_dir: str) -> DataFrame:
     return neighbours.nearest(table(spark, sf_dir, "embeddings"), k=20, every=20)
 
 
+# The corpus has no paths of its own: a document lies below its source and its language.
+PLACE = "concat(source, '/', lang, '/', CAST(doc_id AS STRING))"
+
+
+@register("op4_licenses", licenses.scan_sql("documents", PLACE.replace("STRING", "VARCHAR")))
+def op4(spark: SparkSession, sf_dir: str) -> DataFrame:
+    docs = table(spark, sf_dir, "documents")
+    found = licenses.scan(docs, F.expr(PLACE))
+    return found.select("doc_id", "path", "license", "via", "license_dir", "license_score")
+
+
 @register("op5_toxicity")
 def op5(spark: SparkSession, sf_dir: str) -> DataFrame:
     docs, labels = table(spark, sf_dir, "documents"), table(spark, sf_dir, "labels")

@@ -12,6 +12,7 @@ import numpy as np
 import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
+from pyspark.sql.types import StructType
 
 from staveline.llm.common import held_out
 
@@ -82,27 +83,9 @@ class Model:
         """Probability that the document is toxic, and its sentences above one half."""
         of_word = self.cache.__getitem__
         spans, sums = [], []
-        start = end = 0
-        total, words = 0.0, 0
-        low = text.lower()
-        if len(low) != len(text):  # some letters change length; then go word by word
-            low = None
-        for m in _PARTS.finditer(low if low is not None else text):
-            part = m.group()
-            if part[0] in ".!?\n":
-                if words:
-                    spans.append((start, m.end()))
-                    sums.append(total)
-                total, words = 0.0, 0
-            else:
-                if not words:
-                    start = m.start()
-                total += of_word(part if low is not None else part.lower())
-                words += 1
-                end = m.end()
-        if words:
+        for start, end, words in sentences(text):
             spans.append((start, end))
-            sums.append(total)
+            sums.append(sum(map(of_word, words)))
         if not sums:
             sums = [0.0]
             spans = [(0, 0)]
@@ -234,7 +217,9 @@ SCORED = (
 )
 
 
-def score(docs: DataFrame, labels: DataFrame, modulus: int = 3, remainder: int = 1) -> DataFrame:
+def score(
+    docs: DataFrame, labels: DataFrame, modulus: int = 3, remainder: int = 1, carry: bool = False
+) -> DataFrame:
     """The toxicity of every whole text, and where it is.
 
     Sentences end at . ! ? and line ends. A sentence is scored by its words and
@@ -244,7 +229,8 @@ def score(docs: DataFrame, labels: DataFrame, modulus: int = 3, remainder: int =
 
     Null text is empty: one sentence without words. Rows with null or repeated
     doc_ids and repeated rows are scored each; a null doc_id counts as empty text for
-    ``held_out``. Other columns are not read. An empty table gives an empty table.
+    ``held_out``. Other columns are not read, but with ``carry`` the whole input row
+    comes along as ``document``. An empty table gives an empty table.
     """
     model = train(docs, labels, modulus, remainder)
 
@@ -261,10 +247,19 @@ def score(docs: DataFrame, labels: DataFrame, modulus: int = 3, remainder: int =
                     pa.array(scores, pa.float64()),
                     pa.array([int(s >= THRESHOLD) for s in scores], pa.int32()),
                     pa.array(spans, pa.list_(span)),
+                    *batch.columns[3:],
                 ],
-                names=["doc_id", "held_out", "score", "predicted", "sentences"],
+                names=["doc_id", "held_out", "score", "predicted", "sentences", *batch.schema.names[3:]],
             )
 
-    out = held_out(remainder, modulus).alias("held_out")
-    slim = docs.select(F.col("doc_id").cast("long").alias("doc_id"), out, "text")
-    return slim.mapInArrow(scored, SCORED)
+    whole = F.struct(*[F.col(f"`{c}`") for c in docs.columns]).alias("document")
+    slim = docs.select(
+        F.col("doc_id").cast("long").alias("doc_id"),
+        held_out(remainder, modulus).alias("held_out"),
+        "text",
+        *([whole] if carry else []),
+    )
+    schema = StructType.fromDDL(SCORED)
+    if carry:
+        schema = schema.add(slim.schema["document"])
+    return slim.mapInArrow(scored, schema)
