@@ -82,8 +82,8 @@ def bin_plan(counts: dict[int, int], capacity: int) -> list[tuple[int, int, int,
 
     Each bin takes the longest length left and the combination that leaves the
     least slack; it is repeated while its lengths last. So each step uses up a
-    length, and the plan is no longer than the capacity allows, whatever the
-    corpus. Rows: length, first and last+1 rank among the pieces of the length,
+    length or leaves less than one bin takes of it: at most about four times the
+    capacity of steps, whatever the corpus. Rows: length, first and last+1 rank among the pieces of the length,
     pieces per sequence, first sequence, offset of the first such piece.
     """
     left = {k: v for k, v in counts.items() if v}
@@ -137,7 +137,7 @@ def pack(
 
     Only the lengths decide who shares a sequence, so the plan is made from the
     count of each length: at most ``capacity`` numbers, whatever the corpus. It
-    has at most ``capacity`` combinations, and its table is broadcast. Pieces of
+    has at most about four times as many combinations, and its table is broadcast. Pieces of
     one length are told apart by their rank, which is counted in buckets, so that
     a length that most pieces have is spread over all tasks.
 

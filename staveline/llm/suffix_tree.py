@@ -181,7 +181,8 @@ def _level(
     shorter = _probability(levels, parent[context], keys % symbols, symbols, root)
     stored = np.bincount(context, counts, minlength=n)
     # Counts times log ratios of all stored symbols, and of the rest taken together.
-    gain = np.bincount(context, counts * np.log(own / np.maximum(shorter, 1e-300)), minlength=n)
+    each = counts * np.log(own / np.maximum(shorter, 1e-300))
+    gain = np.bincount(context, each, minlength=n).astype(float)
     expected = np.bincount(context, shorter, minlength=n)
     rest = np.maximum(totals - stored, 0)
     ratio = (rest / np.maximum(totals, 1)) / np.maximum(1 - expected, 1e-12)
