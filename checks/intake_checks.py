@@ -5,11 +5,11 @@ All files go below the shared scratch folder; the results read them back.
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from checks.registry import check, table
-from checks.report_checks import FILE_NAMES, RANKED, TERMS, TOP
+from checks.report_checks import FILE_NAMES, RANKED, TOP
 from checks.standins import (
     claims,
     merged_sql,
@@ -20,13 +20,20 @@ from checks.standins import (
 )
 from staveline.operators.frames import rename
 from staveline.plans.ranking import export_top, top_residual_artists
-from staveline.plans.report import royalty_report
 from staveline.session import scratch_folder
 from staveline.sinks.tables import append_records, write_by_key, write_replace, write_report
 from staveline.sources.dsr import check_bad_rows, read_dsr, to_lines, typed_records
 from staveline.sources.landed import read_landed
 from staveline.sources.lookups import load_artist_metadata, read_seed_artists
-from staveline.streaming.intake import ingest, manifest, missing_services, records
+from staveline.streaming.intake import (
+    artist_metadata,
+    ingest,
+    manifest,
+    missing_services,
+    quarantine,
+    records,
+    rejected,
+)
 
 
 def _write_lines(records_: DataFrame, code: str, landing: str) -> None:
@@ -67,6 +74,139 @@ def stream_ingest(spark: SparkSession, sf: str) -> DataFrame:
     )
 
 
+# --- versions of files ------------------------------------------------------------
+
+SERVICE_SQL = """CASE o_orderkey % 4 WHEN 0 THEN 'ads' WHEN 1 THEN 'hardware'
+    WHEN 2 THEN 'subs_music' ELSE 'subs_premium' END"""
+USED_SQL = """
+SELECT service, block, usages FROM (
+    SELECT {service} AS service, CAST(o_orderkey AS VARCHAR) AS block, {usages} AS usages FROM orders
+) WHERE usages IS NOT NULL"""
+
+
+def _put(spark: SparkSession, lines: DataFrame, path: str) -> None:
+    """Write lines to one file of a given name, over what is there."""
+    folder = scratch_folder(spark, "lines")
+    lines.coalesce(1).write.text(folder)
+    files = spark.sparkContext._jvm.org.apache.hadoop.fs
+    place = files.Path(path)
+    system = place.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration())
+    part = system.globStatus(files.Path(f"{folder}/part-*"))[0].getPath()
+    system.mkdirs(place.getParent())
+    system.delete(place, False)
+    system.rename(part, place)
+
+
+def _send(spark: SparkSession, sf: str, landing: str, service: str, line: Column) -> None:
+    """All orders of a service as one report file; a null line is left out."""
+    number = list(FILE_NAMES).index(service)
+    orders = table(spark, sf, "orders").where(F.col("o_orderkey") % 4 == number)
+    rows = orders.select(line.alias("value")).where("value IS NOT NULL")
+    _put(spark, rows, f"{landing}/1998_Q1/{FILE_NAMES[service]}")
+
+
+def _used(usages: Column) -> Column:
+    """An ST01 line of the order; null usages give no line."""
+    return F.concat(F.lit("ST01\t"), F.col("o_orderkey"), F.lit("\ts\tS\t"), usages)
+
+
+def _short() -> Column:
+    """An ST01 line of the wrong width."""
+    return F.concat(F.lit("ST01\t"), F.col("o_orderkey"))
+
+
+def _stored(spark: SparkSession, store: str) -> DataFrame:
+    rows = typed_records(records(spark, store), "ST01")
+    return rows.select("service", F.col("BlockId").alias("block"), F.col("Usages").alias("usages"))
+
+
+@check("intake_sent_again", USED_SQL.format(service=SERVICE_SQL, usages="""CASE
+    WHEN o_orderkey % 4 >= 2 THEN 1 WHEN o_orderkey % 3 = 0 THEN 2 END"""))
+def sent_again(spark: SparkSession, sf: str) -> DataFrame:
+    """Two of four files come again under their name, with fewer lines and other values."""
+    base = scratch_folder(spark, "again")
+    landing, store, state = (f"{base}/{part}" for part in ("landing", "store", "state"))
+    for service in FILE_NAMES:
+        _send(spark, sf, landing, service, _used(F.lit(1)))
+    ingest(spark, landing, store, state)
+    for service in ("ads", "hardware"):
+        _send(spark, sf, landing, service, _used(F.when(F.col("o_orderkey") % 3 == 0, 2)))
+    ingest(spark, landing, store, state)
+    return _stored(spark, store)
+
+
+@check("intake_new_checkpoint", USED_SQL.format(service=SERVICE_SQL, usages="1"))
+def new_checkpoint(spark: SparkSession, sf: str) -> DataFrame:
+    """A second checkpoint on the same store: nothing is lost, nothing counts twice."""
+    base = scratch_folder(spark, "checkpoint")
+    landing, store = f"{base}/landing", f"{base}/store"
+    for state, services in (("one", ("ads", "hardware")), ("two", ("subs_music", "subs_premium"))):
+        for service in services:
+            _send(spark, sf, landing, service, _used(F.lit(1)))
+        ingest(spark, landing, store, f"{base}/{state}")
+    return _stored(spark, store)
+
+
+@check("intake_rejected", """
+SELECT status, service, count(*) AS n FROM (
+    SELECT *, CASE WHEN service = 'hardware' THEN 'rejected' ELSE 'good' END AS status
+    FROM (SELECT """ + SERVICE_SQL + """ AS service FROM orders)
+) GROUP BY ALL""")
+def rejected_file(spark: SparkSession, sf: str) -> DataFrame:
+    """One file of malformed lines beside good ones, and a good file in a later run."""
+    base = scratch_folder(spark, "rejected")
+    landing, store, state = (f"{base}/{part}" for part in ("landing", "store", "state"))
+    _send(spark, sf, landing, "ads", _used(F.lit(1)))
+    _send(spark, sf, landing, "hardware", _short())
+    _send(spark, sf, landing, "subs_music", _used(F.lit(1)))
+    ingest(spark, landing, store, state, max_bad=5)
+    _send(spark, sf, landing, "subs_premium", _used(F.lit(1)))
+    ingest(spark, landing, store, state, max_bad=5)
+    taken = _stored(spark, store).groupBy("service").agg(F.count("*").alias("n"))
+    refused = rejected(spark, store).select("service", F.col("bad").alias("n"))
+    return taken.withColumn("status", F.lit("good")).unionByName(
+        refused.withColumn("status", F.lit("rejected"))
+    )
+
+
+@check("intake_spoilt", """
+SELECT place, service, block FROM (
+    SELECT """ + SERVICE_SQL + """ AS service, CAST(o_orderkey AS VARCHAR) AS block FROM orders
+) JOIN (VALUES ('ads', 'quarantine'), ('hardware', 'stored'), ('subs_music', 'stored'),
+    ('subs_premium', 'stored')) AS p(name, place) ON service = name""")
+def spoilt_file(spark: SparkSession, sf: str) -> DataFrame:
+    """A good file comes again with malformed lines only: its old rows are gone."""
+    base = scratch_folder(spark, "spoilt")
+    landing, store, state = (f"{base}/{part}" for part in ("landing", "store", "state"))
+    for service in FILE_NAMES:
+        _send(spark, sf, landing, service, _used(F.lit(1)))
+    ingest(spark, landing, store, state, max_bad=5)
+    _send(spark, sf, landing, "ads", _short())
+    ingest(spark, landing, store, state, max_bad=5)
+    aside = quarantine(spark, store).select("service", F.get("f", F.lit(1)).alias("block"))
+    return _stored(spark, store).select("service", "block").withColumn(
+        "place", F.lit("stored")
+    ).unionByName(aside.withColumn("place", F.lit("quarantine")))
+
+
+@check("stream_metadata", """
+SELECT s_name AS "Artist", CAST(s_nationkey AS VARCHAR) AS country, CAST(s_suppkey AS VARCHAR) AS note
+FROM supplier""")
+def stream_metadata(spark: SparkSession, sf: str) -> DataFrame:
+    """Metadata files of the ranked artists, with a header, taken in beside a report file."""
+    base = scratch_folder(spark, "stream-metadata")
+    landing, store, state = (f"{base}/{part}" for part in ("landing", "store", "state"))
+    line = F.concat_ws("\t", "s_name", "s_nationkey", "s_suppkey").alias("value")
+    header = spark.createDataFrame([("Artist\tcountry\tnote",)], "value string")
+    for rest in (0, 1):
+        rows = table(spark, sf, "supplier").where(F.col("s_suppkey") % 2 == rest).select(line)
+        name = f"{landing}/extra/top_residual_artists_metadata_{rest}.tsv"
+        _put(spark, header.unionByName(rows), name)
+    _send(spark, sf, landing, "ads", _used(F.lit(1)))
+    ingest(spark, landing, store, state)
+    return artist_metadata(spark, store, ["Artist", "country", "note"])
+
+
 @check("stream_gate", """
 SELECT DISTINCT CAST(year(o_orderdate) AS VARCHAR) || '_Q' || CAST(quarter(o_orderdate) AS VARCHAR)
     AS quarter, '' AS missing FROM orders""")
@@ -94,39 +234,53 @@ def export_top_check(spark: SparkSession, sf: str) -> DataFrame:
 
 
 @check("report_snapshot", with_records("""
-SELECT service, '1998Q1' AS period, count(*) AS rows_latest
-FROM (
-    SELECT DISTINCT l.service, l."Quarter", l."BlockId", a."ResourceISRC", a."ResourceTitle",
-        a."ResourceDisplayArtistName", s."Usages", s."NetRevenue", s."DATE_SALE",
-        l."PUBLISHERS_SONGCODE", l."RightSharePercent", l."AllocatedNetRevenue",
-        l."AllocatedAmount", l."AllocatedUsages", split_part(s."SalesTransactionId", ':', 2)
+SELECT place, r.* FROM (
+    SELECT DISTINCT l.service, l."Quarter" AS quarter, l."BlockId", a."ResourceISRC" AS isrc,
+        a."ResourceTitle" AS title, s."Usages" AS usages, l."AllocatedAmount" AS amount,
+        l."AllocatedUsages" AS allocated, s."SalesTransactionId" AS txn
     FROM li l
     JOIN su s ON l.service = s.service AND l."BlockId" = s."BlockId"
         AND l."ParentSalesTransactionId" = s."SalesTransactionId" AND l."Quarter" = s."Quarter"
     JOIN as_ a ON l.service = a.service AND l."BlockId" = a."BlockId"
         AND s."DspResourceId" = a."DspResourceId" AND s."Quarter" = a."Quarter"
     WHERE "RightsController" = 'PubA' AND "RightsType" = 'MechanicalRight'
-) GROUP BY service"""))
+        AND l."Quarter" IN ('1997_Q4', '1998_Q1')
+) r JOIN (VALUES ('latest', '1998_Q1'), ('1997Q4', '1997_Q4'), ('1998Q1', '1998_Q1')) AS p(place, q)
+    ON r.quarter = p.q"""))
 def report_snapshot(spark: SparkSession, sf: str) -> DataFrame:
-    """Latest report and its copy by period, written and counted."""
+    """Rows of two quarters published one after the other: the latest, and the copy of each."""
     path = scratch_folder(spark, "snapshot")
     r = report_records(spark, sf)
-    write_report(royalty_report(r.sy, r.li, r.su, r.as_, TERMS), path, "1998_Q1")
-    latest = spark.read.parquet(f"{path}/latest").groupBy("service").agg(
-        F.count("*").alias("rows_latest")
+    key = ["service", "BlockId", "Quarter"]
+    own = r.li.where("RightsController = 'PubA' AND RightsType = 'MechanicalRight'")
+    sold = own.join(
+        r.su.withColumnRenamed("SalesTransactionId", "ParentSalesTransactionId").drop("SummaryRecordId"),
+        [*key, "ParentSalesTransactionId"],
     )
-    kept = spark.read.parquet(f"{path}/by_period").select("service", "period").distinct()
-    return latest.join(kept, "service")
+    rows = sold.join(r.as_, [*key, "DspResourceId"]).select(
+        "service", F.col("Quarter").alias("quarter"), "BlockId", F.col("ResourceISRC").alias("isrc"),
+        F.col("ResourceTitle").alias("title"), F.col("Usages").alias("usages"),
+        F.col("AllocatedAmount").alias("amount"), F.col("AllocatedUsages").alias("allocated"),
+        F.col("ParentSalesTransactionId").alias("txn"),
+    ).distinct()
+    for quarter in ("1997_Q4", "1998_Q1"):
+        write_report(rows.where(F.col("quarter") == quarter), path, quarter)
+    latest = spark.read.parquet(f"{path}/latest").withColumn("place", F.lit("latest"))
+    kept = spark.read.parquet(f"{path}/by_period").withColumnRenamed("period", "place")
+    return latest.unionByName(kept)
 
 
-@check("append_records", with_records('SELECT service, "Quarter", count(*) AS n FROM su GROUP BY ALL'))
+@check("append_records", with_records("""
+SELECT service, "Quarter", "BlockId", "SalesTransactionId", "DspResourceId", "Usages", "NetRevenue" FROM su"""))
 def append_check(spark: SparkSession, sf: str) -> DataFrame:
     """The same records written twice count once."""
     path = scratch_folder(spark, "append")
-    rows = sales(spark, sf)
+    rows = sales(spark, sf).select(
+        "service", "Quarter", "BlockId", "SalesTransactionId", "DspResourceId", "Usages", "NetRevenue"
+    )
     append_records(rows, path)
     append_records(rows, path)
-    return spark.read.parquet(path).groupBy("service", "Quarter").agg(F.count("*").alias("n"))
+    return spark.read.parquet(path)
 
 
 @check("write_replace", "SELECT DISTINCT p_brand AS brand FROM part")

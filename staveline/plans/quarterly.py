@@ -2,6 +2,8 @@
 
 from __future__ import annotations
 
+from collections.abc import Sequence
+
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
@@ -15,7 +17,16 @@ from staveline.plans.report import ReportTerms, royalty_report
 from staveline.session import settled
 from staveline.sinks.tables import write_replace, write_report
 from staveline.sources.dsr import SERVICES, summaries, typed_records
-from staveline.streaming.intake import ingest, manifest, missing_services, records
+from staveline.streaming.intake import (
+    GOOD,
+    MANIFEST,
+    MANIFEST_FIELDS,
+    REJECTED,
+    ingest,
+    manifest,
+    missing_services,
+    records,
+)
 
 
 def quarter_records(spark: SparkSession, store: str, quarter: str) -> dict[str, DataFrame]:
@@ -55,14 +66,29 @@ def publish_ranking(
     )
 
 
+def touched_quarters(spark: SparkSession, store: str, loads: Sequence[str]) -> list[str]:
+    """Quarters that files of these loads belong to, oldest first; rejected files count as well."""
+    rows = spark.read.schema(MANIFEST_FIELDS).parquet(f"{store}/{MANIFEST}")
+    report = F.col("status").isin(GOOD, REJECTED) & F.col("load").isin(list(loads))
+    found = rows.where(report & F.col("quarter").isNotNull()).select("quarter").distinct()
+    return sorted(r.quarter for r in found.collect())
+
+
 def on_new_files(
-    spark: SparkSession, landing: str, store: str, state: str, out: str, quarter: str,
+    spark: SparkSession, landing: str, store: str, state: str, out: str,
     report: ReportTerms, ranking: RankingTerms = RankingTerms(),
-) -> list[str]:
-    """Take in what has arrived and publish what can be; returns what is missing."""
-    ingest(spark, landing, store, state)
-    publish_report(spark, store, f"{out}/report", quarter, report)
-    missing = missing_for(spark, store, quarter)
-    if not missing:
-        publish_ranking(spark, store, out, quarter, ranking)
+) -> dict[str, list[str]]:
+    """Take in what has arrived and publish every quarter it belongs to.
+
+    Returns, for each of these quarters, the services that are missing. The ranking
+    is that of the newest complete quarter among them.
+    """
+    loads = ingest(spark, landing, store, state)
+    missing = {}
+    for quarter in touched_quarters(spark, store, loads) if loads else []:
+        publish_report(spark, store, f"{out}/report", quarter, report)
+        missing[quarter] = missing_for(spark, store, quarter)
+    complete = [quarter for quarter, services in missing.items() if not services]
+    if complete:
+        publish_ranking(spark, store, out, complete[-1], ranking)
     return missing

@@ -28,7 +28,9 @@ def append_records(
     Writing the same rows again replaces them, so a re-run changes nothing.
     Without ``replace`` they are added, and count twice.
     """
-    df.write.mode("overwrite" if replace else "append").option(
+    # Rows of a folder come together, so files do not multiply with tasks.
+    together = df.hint("rebalance", *[F.col(quoted(p)) for p in partitions])
+    together.write.mode("overwrite" if replace else "append").option(
         "partitionOverwriteMode", "dynamic"
     ).partitionBy(*partitions).parquet(path)
 

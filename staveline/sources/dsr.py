@@ -2,12 +2,14 @@
 
 from __future__ import annotations
 
+from collections.abc import Sequence
 from urllib.parse import quote
 
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from staveline.operators.frames import stack_outer
+from staveline.session import settled
 from staveline.sources.layouts import LAYOUTS, SUMMARY_NARROW, SUMMARY_WIDE
 
 # File name part -> service, tried in this order.
@@ -68,8 +70,10 @@ def split_routed(df: DataFrame) -> tuple[DataFrame, DataFrame]:
     return df.where(known), df.where(~known)
 
 
-def parse_lines(lines: DataFrame, line: str = "value", name: str = "file") -> DataFrame:
-    """Lines of text -> (service, quarter, file, record_type, f).
+def parse_lines(
+    lines: DataFrame, line: str = "value", name: str = "file", keep: Sequence[str] = ()
+) -> DataFrame:
+    """Lines of text -> (service, quarter, file, record_type, f), and columns to keep.
 
     Lines are split, not read as CSV: record types of different width share a
     file, and quotes have no meaning in it.
@@ -81,13 +85,14 @@ def parse_lines(lines: DataFrame, line: str = "value", name: str = "file") -> Da
     # line again. The record type is not taken from it, so that a filter on the
     # type comes before the split.
     rows = lines.select(
+        *keep,
         F.col(name).alias("file"),
         F.substring_index(text, "\t", 1).alias("record_type"),
         F.explode_outer(F.array(parts)).alias("line"),
     )
     return rows.select(
         _service_in(F.col("line.rest")).alias("service"), "line.quarter", "file", "record_type",
-        "line.f",
+        "line.f", *keep,
     )
 
 
@@ -181,8 +186,11 @@ def split_bad_rows(parsed: DataFrame) -> tuple[DataFrame, DataFrame]:
 
 
 def check_bad_rows(parsed: DataFrame, max_bad: int = MAX_BAD_ROWS) -> tuple[DataFrame, DataFrame]:
-    """Good rows and quarantine; fails when a file has more bad rows than allowed."""
-    good, bad = split_bad_rows(parsed)
+    """Good rows and quarantine; fails when a file has more bad rows than allowed.
+
+    The parsed rows are stored first, so the text is read once.
+    """
+    good, bad = split_bad_rows(settled(parsed, "parsed"))
     fail_above(bad, max_bad)
     return good, bad
 

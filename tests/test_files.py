@@ -1,6 +1,8 @@
 """Tables, exports and the streaming intake."""
 
 import os
+import time
+from datetime import datetime
 from types import SimpleNamespace
 
 import pytest
@@ -50,15 +52,21 @@ def test_csv_exports(spark, tmp_path):
 def test_scratch_folder_is_taken_from_the_session():
     def session(master, **settings):
         return SimpleNamespace(
-            conf=SimpleNamespace(get=lambda key, default: settings.get(key.replace(".", "_"), default)),
+            conf=SimpleNamespace(
+                get=lambda key, default: settings.get(key.replace(".", "_"), default),
+                set=lambda key, value: settings.update({key.replace(".", "_"): value}),
+            ),
             sparkContext=SimpleNamespace(master=master),
         )
 
     shared = session("spark://host", spark_checkpoint_dir="hdfs:///shared/")
     assert scratch_folder(shared, "x").startswith("hdfs:///shared/x-")
-    assert scratch_folder(session("local[2]"), "x") != scratch_folder(session("local[2]"), "x")
-    with pytest.raises(ValueError):
-        scratch_folder(session("spark://host"), "x")
+    local = session("local[2]")
+    one, two = scratch_folder(local, "x"), scratch_folder(local, "x")
+    assert one != two and os.path.dirname(one) == os.path.dirname(two)
+    for master in ("spark://host", "local-cluster[2,1,1024]"):
+        with pytest.raises(ValueError):
+            scratch_folder(session(master), "x")
 
 
 # --- intake ---------------------------------------------------------------------
@@ -95,32 +103,82 @@ def test_files_one_at_a_time_equal_one_batch(spark, places):
     assert stored(spark, store) == rows(batch) and batch.count() == 4
 
 
+def age(landing, quarter, name, seconds):
+    """Set the time of modification that many seconds from now."""
+    path, now = landing / quarter / name, time.time()
+    os.utime(path, (now + seconds, now + seconds))
+
+
 def test_a_file_sent_again_replaces_itself(spark, places):
     landing, store, state = places
     put(landing, "2024_Q1", "Report_ads.tsv", st("a", 1), st("b", 2))
-    put(landing, "2024_Q1", "Report_ads_2.tsv", st("z", 9))
+    put(landing, "2024_Q1", "Report ads 2.tsv", st("z", 9))
     intake.ingest(spark, str(landing), store, state)
-    lines = spark.createDataFrame(
-        [(st("a", 7), "landing/2024_Q1/Report_ads.tsv")], "value string, file string"
-    )
-    intake.load_batch(lines, 5, store)
-    intake.load_batch(lines, 5, store)  # a retry of the same batch
+    put(landing, "2024_Q1", "Report_ads.tsv", st("a", 7))
+    age(landing, "2024_Q1", "Report_ads.tsv", 10)
+    assert len(intake.ingest(spark, str(landing), store, state)) == 1
+    assert intake.ingest(spark, str(landing), store, state) == []
     found = typed_records(intake.records(spark, store), "ST01")
     assert sorted(column(found, "BlockId", "Usages")) == [("a", 7), ("z", 9)]
 
 
-def test_too_many_bad_rows_leave_no_trace(spark, places):
+def test_a_new_checkpoint_loses_and_doubles_nothing(spark, places):
     landing, store, state = places
-    put(landing, "2024_Q1", "Report_ads.tsv", st("a", 1), "ST01\tshort")
+    put(landing, "2024_Q1", "Report_ads.tsv", st("a", 1), st("b", 2))
     intake.ingest(spark, str(landing), store, state)
-    assert len(stored(spark, store)) == 1
-    bad = spark.createDataFrame(
-        [("ST01\tx", "landing/2024_Q1/Report_hardware.tsv")] * 3, "value string, file string"
+    put(landing, "2024_Q1", "Report_hardware.tsv", st("h", 3))
+    intake.ingest(spark, str(landing), store, state + "-2")
+    (landing / "2024_Q1" / "Report_ads.tsv").unlink()
+    intake.ingest(spark, str(landing), store, state + "-3")
+    assert [r[0] for r in stored(spark, store)] == ["a", "b", "h"]
+    assert intake.manifest(spark, store).count() == 2
+
+
+def test_a_rejected_file_holds_up_no_other(spark, places):
+    landing, store, state = places
+    put(landing, "2024_Q1", "Report_ads.tsv", st("a", 1), "ST01\tshort")
+    put(landing, "2024_Q1", "Report_hardware.tsv", *["ST01\tx"] * 3, st("h", 1))
+    intake.ingest(spark, str(landing), store, state, max_bad=2)
+    put(landing, "2024_Q1", "Report_subscriptionpremium.tsv", st("p", 1))
+    intake.ingest(spark, str(landing), store, state, max_bad=2)
+    assert [r[0] for r in stored(spark, store)] == ["a", "p"]
+    assert column(intake.rejected(spark, store), "service", "rows", "bad") == [("hardware", 4, 3)]
+    reasons = column(intake.quarantine(spark, store), "reason")
+    assert sorted(reasons) == ["rejected", "width", "width", "width", "width"]
+    # Mended and sent again, it is taken; its old rows leave the quarantine.
+    put(landing, "2024_Q1", "Report_hardware.tsv", st("h", 2))
+    age(landing, "2024_Q1", "Report_hardware.tsv", 10)
+    intake.ingest(spark, str(landing), store, state, max_bad=2)
+    assert [r[0] for r in stored(spark, store)] == ["a", "h", "p"]
+    assert column(intake.quarantine(spark, store), "reason") == ["width"]
+
+
+def test_a_retry_replaces_its_load(spark, places):
+    landing, store, state = places
+    lines = spark.createDataFrame(
+        [(st("a", 1), "landing/2024_Q1/Report_ads.tsv", datetime(2024, 1, 1))],
+        "value string, file string, modified timestamp",
     )
-    with pytest.raises(ValueError):
-        intake.load_batch(bad, 9, store, max_bad=2)
+    intake.load_batch(lines, "q-0", store)
+    intake.load_batch(lines, "q-0", store)
     assert len(stored(spark, store)) == 1
-    assert column(intake.quarantine(spark, store).where("load = 0"), "reason") == ["width"]
+
+
+def test_files_do_not_multiply_with_tasks(spark, places):
+    landing, store, state = places
+    for name in ("ads", "hardware"):
+        for i in range(12):
+            put(landing, "2024_Q1", f"Report_{name}_{i}.tsv", st("a", i), "LI01.03" + "\t" * 12)
+    [load] = intake.ingest(spark, str(landing), store, state)
+    folders = [f for _, _, f in os.walk(f"{store}/records/load={load}")]
+    counts = [sum(x.endswith(".parquet") for x in f) for f in folders]
+    assert max(counts) == 1 and sum(counts) == 4
+    path = str(landing.parent / "appended")
+    rows = spark.range(4000).repartition(16).select(
+        (F.col("id") % 2).cast("string").alias("service"), F.lit("q").alias("Quarter"), "id"
+    )
+    tables.append_records(rows, path)
+    assert max(sum(x.endswith(".parquet") for x in f) for _, _, f in os.walk(path)) == 1
 
 
 def test_unroutable_files_are_kept_aside(spark, places):

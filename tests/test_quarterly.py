@@ -28,13 +28,11 @@ def test_whole_quarter(spark, tmp_path):
     folder = landing / "2024_Q1"
     folder.mkdir(parents=True)
     store, state, out = (str(tmp_path / p) for p in ("store", "state", "out"))
-    terms, ranking = ReportTerms("Us"), RankingTerms(k=1)
+    terms, ranking = ReportTerms("Us", "Payee", "store", "EUR"), RankingTerms(k=1)
     for i, marker in enumerate(MARKERS):
         (folder / f"Report_{marker}.tsv").write_text("\n".join(lines(i + 1)) + "\n")
-        missing = on_new_files(
-            spark, str(landing), store, state, out, "2024_Q1", terms, ranking
-        )
-        assert len(missing) == 3 - i
+        missing = on_new_files(spark, str(landing), store, state, out, terms, ranking)
+        assert list(missing) == ["2024_Q1"] and len(missing["2024_Q1"]) == 3 - i
         assert os.path.exists(f"{out}/top_residual_artists") == (i == 3)
     latest = {r.service: r for r in spark.read.parquet(f"{out}/report/latest").collect()}
     assert set(latest) == {"ads", "hardware", "subs_premium", "subs_music"}
@@ -48,3 +46,17 @@ def test_whole_quarter(spark, tmp_path):
     assert rows(exported) == rows(top) and exported.first().Artist == "ada"
     songs = spark.read.parquet(f"{out}/top_residual_artists_songs")
     assert songs.count() == 8 and {x.Artist for x in songs.collect()} == {"ada"}
+
+
+def test_every_quarter_that_arrived_is_published(spark, tmp_path):
+    landing = tmp_path / "landing"
+    store, state, out = (str(tmp_path / p) for p in ("store", "state", "out"))
+    terms = ReportTerms("Us", "Payee", "store", "EUR", by_quarter=True)
+    for quarter in ("2023_Q4", "2024_Q1"):
+        (landing / quarter).mkdir(parents=True)
+        (landing / quarter / "Report_ads.tsv").write_text("\n".join(lines(1)) + "\n")
+    missing = on_new_files(spark, str(landing), store, state, out, terms)
+    assert list(missing) == ["2023_Q4", "2024_Q1"]
+    kept = spark.read.parquet(f"{out}/report/by_period")
+    assert {r.period for r in kept.collect()} == {"2023Q4", "2024Q1"}
+    assert on_new_files(spark, str(landing), store, state, out, terms) == {}
