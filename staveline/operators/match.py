@@ -2,13 +2,9 @@
 
 from __future__ import annotations
 
-from pyspark.sql import Column, DataFrame
+from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from staveline.operators.frames import quoted
-
-SPREAD = 1024
-
 
 def perf_for(tracks: DataFrame, perf: DataFrame) -> DataFrame:
     """Catalogue rows for the ISRCs of the tracks."""
@@ -20,15 +16,12 @@ def catalogue_match(tracks: DataFrame, perf: DataFrame) -> DataFrame:
     """Every track with its ``comp_id`` and MATCH or NO MATCH.
 
     An ISRC with several works repeats the track. Tracks without ISRC match
-    nothing; a second key spreads them, as they would all meet in one task.
+    nothing and stay out of the join, where they would all meet in one task.
     """
-    uncoded = F.pmod(F.xxhash64(*hashable(tracks)), F.lit(SPREAD))
-    coded = tracks.withColumn("__spread", F.when(F.col("isrc").isNull(), uncoded).otherwise(0))
-    works = perf.select("comp_id", "isrc", F.lit(0).cast("long").alias("__spread"))
+    works = perf.select("comp_id", "isrc")
+    coded = tracks.where(F.col("isrc").isNotNull()).join(works, "isrc", "left")
+    uncoded = tracks.where(F.col("isrc").isNull()).withColumn(
+        "comp_id", F.lit(None).cast(works.schema["comp_id"].dataType)
+    )
     flag = F.when(F.col("comp_id").isNotNull(), "MATCH").otherwise("NO MATCH")
-    return coded.join(works, ["isrc", "__spread"], "left").drop("__spread").withColumn("Match", flag)
-
-
-def hashable(df: DataFrame) -> list[Column]:
-    """Columns a hash can be taken of; maps have none."""
-    return [F.col(quoted(f.name)) for f in df.schema.fields if "map<" not in f.dataType.simpleString()]
+    return coded.unionByName(uncoded).withColumn("Match", flag)

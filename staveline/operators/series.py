@@ -9,9 +9,7 @@ from pyspark.sql import functions as F
 
 from staveline.functions.dates import days_between
 from staveline.operators.frames import quoted
-
-SLICES = 64
-
+from staveline.session import settled
 
 def item_points(data: Column, value: str = "value") -> Column:
     """Points of one response item that have a value, each with ``difference``.
@@ -37,7 +35,7 @@ def series_diff(
     value: str,
     tie_break: Sequence[str] = (),
     out: str = "difference",
-    slices: int = SLICES,
+    slices: int | None = None,
 ) -> DataFrame:
     """Value minus the previous value of the same series, for long tables.
 
@@ -48,17 +46,15 @@ def series_diff(
     One series may hold a large part of the table, so series are cut along
     ``order`` at quantiles of the whole table: a window then sees at most about
     1/slices of all rows, more only where one series repeats one ``order``
-    value that often. The last value of each cut is carried, as one extra row,
-    to the next cut that has rows. ``slices=1`` is for tables whose series are
-    all short: one window, no cuts.
+    value that often. There are as many slices as the session has shuffle
+    partitions, unless given. The last value of each cut is carried, as one extra
+    row, to the next cut that has rows. The cut rows are stored when this is
+    called, so the input is read for the quantiles and once more.
     """
     names = [quoted(k) for k in keys]
     position = [F.col(order), *[F.col(t) for t in tie_break]]
     points = df.where(F.col(value).isNotNull())
-    if slices == 1:
-        return _step(points, value, out, Window.partitionBy(*names).orderBy(*position))
-
-    sliced = cut(points, order, slices)
+    sliced = settled(cut(points, order, slices), "series")
     ends = sliced.groupBy(*names, "__slice").agg(F.max_by(value, F.struct(*position)).alias(value))
     following = F.lead("__slice").over(Window.partitionBy(*names).orderBy("__slice"))
     carried = (
@@ -78,8 +74,9 @@ def _step(rows: DataFrame, value: str, out: str, along: WindowSpec) -> DataFrame
     return rows.withColumn(out, F.col(value) - F.lag(value).over(along))
 
 
-def cut(df: DataFrame, order: str, slices: int = SLICES) -> DataFrame:
+def cut(df: DataFrame, order: str, slices: int | None = None) -> DataFrame:
     """Number the rows by quantile range of ``order``; equal values stay together."""
+    slices = slices or max(2, int(df.sparkSession.conf.get("spark.sql.shuffle.partitions")))
     share = F.array(*[F.lit(i / slices) for i in range(1, slices)])
     cuts = df.select(F.percentile_approx(order, share, 100 * slices).alias("cuts")).scalar()
     return (

@@ -129,7 +129,7 @@ def plain_diff(points):
     )
 
 
-@pytest.mark.parametrize("seed, slices", [(1, 2), (2, 8), (3, 64), (4, 64), (5, 1)])
+@pytest.mark.parametrize("seed, slices", [(1, 2), (2, 8), (3, 64), (4, 64), (5, None)])
 def test_series_diff_over_cuts(spark, seed, slices):
     """One series holds most points; many share a time; some have no value."""
     pick = random.Random(seed)

@@ -91,8 +91,8 @@ def test_one_large_block_is_ranked_without_its_pairs(spark):
     assert found["ada"].AvgResidualRightsSharePctg == 40.0
 
 
-def test_long_series_is_cut(spark):
-    n, slices = 40_000, 32
+@pytest.mark.parametrize("n, slices", [(40_000, 32), (160_000, 128)])
+def test_long_series_is_cut(spark, n, slices):
     key = F.when(F.col("id") % 3 > 0, "HOT").otherwise(F.col("id").cast("string"))
     points = spark.range(n).select(key.alias("k"), F.col("id").alias("t"), F.rand(3).alias("v"))
     largest = series.cut(points, "t", slices).groupBy("k", "__slice").count().agg(F.max("count")).first()[0]
