@@ -288,7 +288,8 @@ def artist_playlists(spark: SparkSession, sf: str) -> DataFrame:
         peak_position=customer + 1, tracks=F.array(on_list(0), on_list(1)),
     )
     fields = ", ".join(
-        f"{f}: {PLAYLIST_KINDS.get(f, 'string')}" for f in artists.PLAYLIST_LABELS.values()
+        f"{f}: {PLAYLIST_KINDS.get(f, 'string')}"
+        for f in artists.PLAYLIST_LABELS.values() if not f.startswith("track.")
     )
     docs = landed(
         source(spark, sf, "orders"), {"artist": F.col("o_orderpriority")}, F.array(playlist),

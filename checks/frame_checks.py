@@ -417,8 +417,9 @@ def window_filter(spark: SparkSession, sf: str) -> DataFrame:
 PERF_SQL = """
 perf AS (
     SELECT unnest(CASE WHEN p_size % 5 = 0 THEN ['W' || p_partkey, 'V' || p_partkey]
-        ELSE ['W' || p_partkey] END) AS comp_id, 'ISRC' || p_partkey AS isrc
-    FROM part WHERE p_size > 20
+        ELSE ['W' || p_partkey] END) AS comp_id,
+        CASE WHEN p_size > 20 THEN 'ISRC' ELSE 'OTHER' END || p_partkey AS isrc
+    FROM part
 ),
 tracks AS (
     SELECT l_orderkey, l_linenumber, CASE WHEN l_returnflag <> 'R' THEN 'ISRC' || l_partkey END AS isrc
@@ -427,12 +428,13 @@ tracks AS (
 
 
 def perf(spark: SparkSession, sf: str) -> DataFrame:
-    """A catalogue that lists parts above a size, some of them twice."""
+    """A catalogue of all parts, some twice; those up to a size have another ISRC than their track."""
     works = F.when(
         F.col("p_size") % 5 == 0, F.array(tagged("W", "p_partkey"), tagged("V", "p_partkey"))
     ).otherwise(F.array(tagged("W", "p_partkey")))
-    return table(spark, sf, "part").where("p_size > 20").select(
-        F.explode(works).alias("comp_id"), tagged("ISRC", "p_partkey").alias("isrc")
+    prefix = F.when(F.col("p_size") > 20, "ISRC").otherwise("OTHER")
+    return table(spark, sf, "part").select(
+        F.explode(works).alias("comp_id"), F.concat(prefix, text("p_partkey")).alias("isrc")
     )
 
 

@@ -7,13 +7,13 @@ from collections.abc import Sequence
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from checks.registry import spread, table
+from checks.registry import table
 from staveline.sources.landed import parse_bare, parse_landed
 
 
 def source(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
     """A driver table as the input of a job on documents."""
-    return spread(table(spark, sf_dir, name))
+    return table(spark, sf_dir, name)
 
 
 def landed(df: DataFrame, tags: dict[str, Column], obj: Column, payload: str) -> DataFrame:

@@ -39,13 +39,3 @@ def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
         SCHEMAS[path] = spark.read.parquet(path).schema
     # With the schema given, no job has to look for it in the file again.
     return spark.read.schema(SCHEMAS[path]).parquet(path)
-
-
-def spread(df: DataFrame) -> DataFrame:
-    """Rows of a plain scan over all cores, for work that costs much per row.
-
-    A small test table is one row group, which one task would work on alone.
-    Larger tables have more scan tasks than cores and stay as they are.
-    """
-    cores = df.sparkSession.sparkContext.defaultParallelism
-    return df.repartition(cores) if df.rdd.getNumPartitions() < cores else df

@@ -46,6 +46,7 @@ from staveline.plans.report import (
     royalty_report,
     with_usage_share,
 )
+from staveline.session import settled
 from staveline.sources.dsr import (
     parse_lines,
     record_counts,
@@ -58,7 +59,9 @@ from staveline.sources.dsr import (
 from staveline.sources.layouts import LAYOUTS
 from staveline.streaming.intake import missing_services
 
-TERMS = ReportTerms(CLAIMANT, money_type=EXACT)
+# Payee, store and currency of the report; free to choose.
+SHOP = ("YOUTUBE", "youtube_comp", "USD")
+TERMS = ReportTerms(CLAIMANT, *SHOP, money_type=EXACT)
 TOP = RankingTerms(k=20, money_type=EXACT)
 
 FILE_NAMES = {
@@ -409,7 +412,7 @@ def royalty_report_all(spark: SparkSession, sf: str) -> DataFrame:
 @check("royalty_report_by_quarter", _report_sql(REPORT_COLUMNS, by_quarter=True))
 def royalty_report_by_quarter(spark: SparkSession, sf: str) -> DataFrame:
     r = report_records(spark, sf)
-    terms = ReportTerms(CLAIMANT, money_type=EXACT, by_quarter=True)
+    terms = ReportTerms(CLAIMANT, *SHOP, money_type=EXACT, by_quarter=True)
     return royalty_report(r.sy, r.li, r.su, r.as_, terms)
 
 
@@ -564,7 +567,8 @@ def top(spark: SparkSession, sf: str) -> DataFrame:
 ))
 def songs(spark: SparkSession, sf: str) -> DataFrame:
     r = stored_records(spark, sf)
-    best = top_residual_artists(r.as_, r.su, r.li, TOP)
+    # The ranking is read for its songs and again to tell whose they are.
+    best = settled(top_residual_artists(r.as_, r.su, r.li, TOP), "top-artists")
     return top_artist_songs(best, r.as_, r.su, r.li, TOP)
 
 

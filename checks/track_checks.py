@@ -411,18 +411,19 @@ def audio_features(spark: SparkSession, sf: str) -> DataFrame:
     )
 
 
-ANALYSIS_SIZES = {"sections": 3, "segments": 6, "beats": 5, "bars": 4, "tatums": 8}
+# Part -> how many places its numbers are shifted, so that the parts differ.
+ANALYSIS_SHIFTS = {"sections": 3, "segments": 6, "beats": 5, "bars": 4, "tatums": 8}
 
 
 def _analysis(spark: SparkSession, sf: str) -> DataFrame:
     vector = F.col("embedding").cast("array<double>")
 
-    def parts(size: int) -> Column:
+    def parts(shift: int) -> Column:
         return F.transform(
-            F.slice(vector, 1, size), lambda v, i: F.struct(v.alias("start"), i.alias("duration"))
+            vector, lambda v, i: F.struct(v.alias("start"), (i + shift).alias("duration"))
         )
 
-    fields = {name: parts(size) for name, size in ANALYSIS_SIZES.items()}
+    fields = {name: parts(shift) for name, shift in ANALYSIS_SHIFTS.items()}
     obj = record(tempo=vector[0], key=F.col("label"), **fields)
     kinds = ", ".join(f"{n}: array<struct<start: double, duration: bigint>>" for n in fields)
     return landed_bare(table(spark, sf, "embeddings"), {"track_id": tagged("s", "vec_id")}, obj,
@@ -431,9 +432,10 @@ def _analysis(spark: SparkSession, sf: str) -> DataFrame:
 
 @check("audio_analysis", " UNION ALL ".join(
     [f"""SELECT '{name}' AS part, 's' || vec_id AS "Spotify Track ID",
-    CAST(embedding[i] AS DOUBLE) AS start, i - 1 AS duration, i AS number,
+    CAST(embedding[i] AS DOUBLE) AS start, i - 1 + {shift} AS duration, i AS number,
     CAST(NULL AS DOUBLE) AS tempo, CAST(NULL AS BIGINT) AS key
-    FROM embeddings, range(1, {size + 1}) AS r(i)""" for name, size in ANALYSIS_SIZES.items()]
+    FROM embeddings, unnest(range(1, len(embedding) + 1)) AS r(i)"""
+     for name, shift in ANALYSIS_SHIFTS.items()]
     + ["""SELECT 'track', 's' || vec_id, NULL, NULL, NULL, CAST(embedding[1] AS DOUBLE), label
     FROM embeddings"""]
 ))

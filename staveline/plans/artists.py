@@ -216,12 +216,17 @@ def listeners(df: DataFrame, provider: Provider = NO_PROVIDER) -> DataFrame:
     )
 
 
-# Label -> field of the playlist, and of the track on it.
+# Label -> field of the playlist, or of a track on it.
 PLAYLIST_LABELS = {
     "Playlist ID": "id",
     "Playlist Name": "name",
+    "Track Peak Position": "track.peak_position",
+    "Current Track Position": "track.position",
     "Monthly Change in Followers": "fdiff_month",
     "Weekly Change in Followers": "fdiff_week",
+    "Playlist Track Addition Date": "track.added_at",
+    "Playlist Track Removal Date": "track.removed_at",
+    "Playlist Track Inclusion Period": "track.period",
     "Playlist Latest Followers Count": "followers",
     "Playlist Country Code": "code2",
     "Playlist Curator": "curator_name",
@@ -232,41 +237,27 @@ PLAYLIST_LABELS = {
     "Playlist Active Ratio": "active_ratio",
     "Last Track Position on Playlist": "last_position",
     "Peak Track Position on Playlist": "peak_position",
+    "Track ISRC": "track.isrc",
+    "Platform Track ID": "track.spotify_track_ids",
+    "Track ID": "track.cm_track",
+    "Artist ID": "track.cm_artist",
+    "Platform Track Genres": "track.genres",
 }
-PLAYLIST_TRACK_LABELS = {
-    "Track Peak Position": "peak_position",
-    "Current Track Position": "position",
-    "Playlist Track Addition Date": "added_at",
-    "Playlist Track Removal Date": "removed_at",
-    "Playlist Track Inclusion Period": "period",
-    "Track ISRC": "isrc",
-    "Platform Track ID": "spotify_track_ids",
-    "Track ID": "cm_track",
-    "Artist ID": "cm_artist",
-    "Platform Track Genres": "genres",
-}
+PROVIDER_IDS = ("track.cm_track", "track.cm_artist")
+PLAYLIST_LISTS = ("tags", "track.genres")
 
 
 def artist_playlists(df: DataFrame, provider: Provider = NO_PROVIDER) -> DataFrame:
     """Playlists an artist's tracks are on: one row per playlist and track."""
-    rows = record_path(
-        df, ["tracks"], meta=[[f] for f in PLAYLIST_LABELS.values()], record_prefix="track.",
-        keep=["artist"],
-    )
+    of_playlist = [[f] for f in PLAYLIST_LABELS.values() if not f.startswith("track.")]
+    rows = record_path(df, ["tracks"], meta=of_playlist, record_prefix="track.", keep=["artist"])
 
-    def labelled(labels: dict[str, str], prefix: str) -> list[Column]:
-        out = []
-        for label, name in labels.items():
-            value = F.col(f"`{prefix}{name}`")
-            value = tags_text(value) if name in ("tags", "genres") else value
-            out.append(
-                value.alias(provider.label(label) if name in ("cm_track", "cm_artist") else label)
-            )
-        return out
+    def labelled(label: str, name: str) -> Column:
+        value = F.col(f"`{name}`")
+        value = tags_text(value) if name in PLAYLIST_LISTS else value
+        return value.alias(provider.label(label) if name in PROVIDER_IDS else label)
 
-    return rows.select(
-        "artist", *labelled(PLAYLIST_LABELS, ""), *labelled(PLAYLIST_TRACK_LABELS, "track.")
-    )
+    return rows.select("artist", *[labelled(k, v) for k, v in PLAYLIST_LABELS.items()])
 
 
 def linked_artists(df: DataFrame) -> DataFrame:

@@ -37,9 +37,9 @@ class ReportTerms:
     """Who the report is for, its constant columns and its options."""
 
     claimant: str
-    payee: str = "YOUTUBE"
-    store_id: str = "youtube_comp"
-    currency: str = "USD"
+    payee: str
+    store_id: str
+    currency: str
     by_quarter: bool = False  # scalars per quarter, not over all quarters present
     strict: bool = False  # fail on a zero denominator or an id without country
     strict_prefix: bool = False  # strip the song code prefix only at the start

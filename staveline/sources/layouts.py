@@ -1,84 +1,100 @@
 """Positional layouts of the report records.
 
 Fixed values: the record codes, field names, order and types are given by the
-file format. ``name:type`` marks a typed field, all others are strings.
+file format.
 """
 
 from __future__ import annotations
 
 from dataclasses import dataclass
 
-LAYOUT_TEXT = {
+LAYOUT_FIELDS = {
     "HEAD": """
-        MessageVersion Profile ProfileVersion MessageId MessageCreatedDateTime
-        FileNumber:long NumberOfFiles:long UsageStartDate:date UsageEndDate:date
-        SenderPartyId SenderName ServiceDescription RecipientPartyId RecipientName
-        RepresentedRepertoire
+        MessageVersion string, Profile string, ProfileVersion string, MessageId string,
+        MessageCreatedDateTime string, FileNumber long, NumberOfFiles long, UsageStartDate date,
+        UsageEndDate date, SenderPartyId string, SenderName string, ServiceDescription string,
+        RecipientPartyId string, RecipientName string, RepresentedRepertoire string
     """,
     "SY05.03": """
-        SummaryRecordId DistributionChannel DistributionChannelDPID CommercialModel UseType
-        Territory ServiceDescription RightsController RightsControllerPartyId RightsType
-        TotalUsages:long AllocatedUsages:double MusicUsagePercentage:double
-        AllocatedNetRevenue:double AllocatedRevenue:double RightsControllerMarketShare:double
-        CurrencyOfReporting CurrencyOfTransaction ExchangeRate:double SubscriberType
-        SubPeriodStartDate SubPeriodEndDate ContentCategory RightsTypePercentage:double
-        ParentSummaryRecordId
+        SummaryRecordId string, DistributionChannel string, DistributionChannelDPID string,
+        CommercialModel string, UseType string, Territory string, ServiceDescription string,
+        RightsController string, RightsControllerPartyId string, RightsType string,
+        TotalUsages long, AllocatedUsages double, MusicUsagePercentage double,
+        AllocatedNetRevenue double, AllocatedRevenue double, RightsControllerMarketShare double,
+        CurrencyOfReporting string, CurrencyOfTransaction string, ExchangeRate double,
+        SubscriberType string, SubPeriodStartDate string, SubPeriodEndDate string,
+        ContentCategory string, RightsTypePercentage double, ParentSummaryRecordId string
     """,
     "SY02.03": """
-        SummaryRecordId DistributionChannel DistributionChannelDPID CommercialModel UseType
-        Territory ServiceDescription TotalUsages:long Users:long CurrencyOfReporting
-        NetRevenue:double RightsController RightsControllerPartyId AllocatedUsages:double
-        AllocatedRevenue:double AllocatedNetRevenue:double RightsType ContentCategory
-        CurrencyOfTransaction ExchangeRate:double RightsTypePercentage:double
+        SummaryRecordId string, DistributionChannel string, DistributionChannelDPID string,
+        CommercialModel string, UseType string, Territory string, ServiceDescription string,
+        TotalUsages long, Users long, CurrencyOfReporting string, NetRevenue double,
+        RightsController string, RightsControllerPartyId string, AllocatedUsages double,
+        AllocatedRevenue double, AllocatedNetRevenue double, RightsType string,
+        ContentCategory string, CurrencyOfTransaction string, ExchangeRate double,
+        RightsTypePercentage double
     """,
     "AS01.02": """
-        BlockId ResourceReference DspResourceId ResourceISRC ResourceTitle ResourceSubTitle
-        ResourceDisplayArtistName ResourceDisplayArtistPartyId ResourceDuration ResourceType
-        IsMasterRecording IsSubjectToOwnershipConflict LastConflictCheck
+        BlockId string, ResourceReference string, DspResourceId string, ResourceISRC string,
+        ResourceTitle string, ResourceSubTitle string, ResourceDisplayArtistName string,
+        ResourceDisplayArtistPartyId string, ResourceDuration string, ResourceType string,
+        IsMasterRecording string, IsSubjectToOwnershipConflict string, LastConflictCheck string
     """,
     "RU01.02": """
-        BlockId SummaryRecordId DspReleaseId Usages ContentCategory ParentResourceReference
+        BlockId string, SummaryRecordId string, DspReleaseId string, Usages string,
+        ContentCategory string, ParentResourceReference string
     """,
     "SU03.02": """
-        BlockId SalesTransactionId SummaryRecordId DspResourceId Usages:double
-        NetRevenue:double ValidityPeriodStart DATE_SALE ContentCategory IsRoyaltyBearing
+        BlockId string, SalesTransactionId string, SummaryRecordId string, DspResourceId string,
+        Usages double, NetRevenue double, ValidityPeriodStart string, DATE_SALE string,
+        ContentCategory string, IsRoyaltyBearing string
     """,
     "LI01.03": """
-        BlockId SummaryRecordId RightsController RightsControllerPartyId PUBLISHERS_SONGCODE
-        RightSharePercent:double RightsType AllocatedNetRevenue:double AllocatedAmount:double
-        AllocatedUsages:double ParentSalesTransactionId LicensorDataRecordId
+        BlockId string, SummaryRecordId string, RightsController string,
+        RightsControllerPartyId string, PUBLISHERS_SONGCODE string, RightSharePercent double,
+        RightsType string, AllocatedNetRevenue double, AllocatedAmount double,
+        AllocatedUsages double, ParentSalesTransactionId string, LicensorDataRecordId string
     """,
     "MW01.02": """
-        BlockId DspMusicalWorkId MusicalWorkISWC MusicalWorkTitle MusicalWorkSubTitle
-        MusicalWorkComposerAuthorName MusicalWorkComposerAuthorPartyId MusicalWorkArrangerName
-        MusicalWorkArrangerPartyId MusicPublisherName MusicPublisherPartyId
-        MusicalWorkContributorName MusicalWorkContributorPartyId DataProviderName
-        ProprietaryMusicalWorkId ResourceReference ParentLicensorDataRecordId ParentMasterlistId
+        BlockId string, DspMusicalWorkId string, MusicalWorkISWC string, MusicalWorkTitle string,
+        MusicalWorkSubTitle string, MusicalWorkComposerAuthorName string,
+        MusicalWorkComposerAuthorPartyId string, MusicalWorkArrangerName string,
+        MusicalWorkArrangerPartyId string, MusicPublisherName string,
+        MusicPublisherPartyId string, MusicalWorkContributorName string,
+        MusicalWorkContributorPartyId string, DataProviderName string,
+        ProprietaryMusicalWorkId string, ResourceReference string,
+        ParentLicensorDataRecordId string, ParentMasterlistId string
     """,
     "LC01": """
-        BlockId ResourceReference DspResourceId ISRC ResourceTitle ResourceSubTitle
-        ResourceDisplayArtistName ResourceDisplayArtistPartyId ResourceDuration ResourceType
-        MusicalWorkISWC MusicalWorkComposerAuthorName MusicalWorkComposerAuthorPartyId
-        MusicalWorkArrangerName MusicalWorkArrangerPartyId MusicPublisherName
-        MusicPublisherPartyId MusicalWorkContributorName MusicalWorkContributorPartyId
-        ProprietaryMusicalWorkId DataProviderName IsSubjectToOwnershipConflict
+        BlockId string, ResourceReference string, DspResourceId string, ISRC string,
+        ResourceTitle string, ResourceSubTitle string, ResourceDisplayArtistName string,
+        ResourceDisplayArtistPartyId string, ResourceDuration string, ResourceType string,
+        MusicalWorkISWC string, MusicalWorkComposerAuthorName string,
+        MusicalWorkComposerAuthorPartyId string, MusicalWorkArrangerName string,
+        MusicalWorkArrangerPartyId string, MusicPublisherName string,
+        MusicPublisherPartyId string, MusicalWorkContributorName string,
+        MusicalWorkContributorPartyId string, ProprietaryMusicalWorkId string,
+        DataProviderName string, IsSubjectToOwnershipConflict string
     """,
     "SY04.02": """
-        SummaryRecordId DistributionChannel DistributionChannelDPID CommercialModel UseType
-        Territory ServiceDescription SubscriberType Subscribers:long SubPeriodStartDate
-        SubPeriodEndDate TotalUsagesInSubPeriod:long TotalUsagesInReportingPeriod:long
-        CurrencyOfReporting CurrencyOfTransaction ExchangeRate:double
-        ConsumerPaidUnitPrice:double NetRevenue:double MusicUsagePercentage:double
+        SummaryRecordId string, DistributionChannel string, DistributionChannelDPID string,
+        CommercialModel string, UseType string, Territory string, ServiceDescription string,
+        SubscriberType string, Subscribers long, SubPeriodStartDate string,
+        SubPeriodEndDate string, TotalUsagesInSubPeriod long, TotalUsagesInReportingPeriod long,
+        CurrencyOfReporting string, CurrencyOfTransaction string, ExchangeRate double,
+        ConsumerPaidUnitPrice double, NetRevenue double, MusicUsagePercentage double
     """,
     "SY09.01": """
-        SummaryRecordId CommercialModel UseType Territory ServiceDescription SubscriberType
-        RightsController RightsControllerPartyId RightsType TotalUsages:double
-        AllocatedUsages:double NetRevenue:double IndirectValue:double
-        RightsControllerMarketShare CurrencyOfReporting CurrencyOfTransaction ExchangeRate
-        RightsTypePercentage SubPeriodStartDate SubPeriodEndDate ParentSummaryRecordId
+        SummaryRecordId string, CommercialModel string, UseType string, Territory string,
+        ServiceDescription string, SubscriberType string, RightsController string,
+        RightsControllerPartyId string, RightsType string, TotalUsages double,
+        AllocatedUsages double, NetRevenue double, IndirectValue double,
+        RightsControllerMarketShare string, CurrencyOfReporting string,
+        CurrencyOfTransaction string, ExchangeRate string, RightsTypePercentage string,
+        SubPeriodStartDate string, SubPeriodEndDate string, ParentSummaryRecordId string
     """,
     "ST01": """
-        BlockId ParentSalesTransactionId SummaryRecordId Usages:long
+        BlockId string, ParentSalesTransactionId string, SummaryRecordId string, Usages long
     """,
 }
 
@@ -109,12 +125,7 @@ class Field:
     type: str
 
 
-def _fields(text: str) -> tuple[Field, ...]:
-    out = []
-    for word in text.split():
-        name, _, kind = word.partition(":")
-        out.append(Field(name, kind or "string"))
-    return tuple(out)
-
-
-LAYOUTS: dict[str, tuple[Field, ...]] = {code: _fields(text) for code, text in LAYOUT_TEXT.items()}
+LAYOUTS: dict[str, tuple[Field, ...]] = {
+    code: tuple(Field(*field.split()) for field in fields.split(","))
+    for code, fields in LAYOUT_FIELDS.items()
+}

@@ -27,6 +27,8 @@ SY = "service string, Quarter string, RightsController string, AllocatedRevenue
 Q = "2024_Q1"
 M = "MechanicalRight"
 
+SHOP = ("YOUTUBE", "youtube_comp", "USD")
+
 
 @pytest.fixture(scope="module")
 def quarter(spark):
@@ -52,7 +54,7 @@ def quarter(spark):
 
 
 def report(quarter, **terms):
-    return royalty_report(*quarter, ReportTerms("Us", **terms))
+    return royalty_report(*quarter, ReportTerms("Us", *SHOP, **terms))
 
 
 def test_golden_report(quarter):
@@ -91,7 +93,7 @@ def test_shares_sum_to_one_without_loss(quarter):
 
 def test_copies_of_records_do_not_multiply_rows(quarter):
     sy, li, su, as_ = quarter
-    twice = royalty_report(sy, li, su.union(su), as_.union(as_), ReportTerms("Us"))
+    twice = royalty_report(sy, li, su.union(su), as_.union(as_), ReportTerms("Us", *SHOP))
     assert rows(twice) == rows(report(quarter))
 
 
@@ -99,7 +101,7 @@ def test_repeated_claims_change_the_scalars_only(quarter):
     # Claims loaded twice: shares halve and the pool loses the amounts again.
     sy, li, su, as_ = quarter
     found = {
-        r.BlockId: r for r in royalty_report(sy, li.union(li), su, as_, ReportTerms("Us")).collect()
+        r.BlockId: r for r in royalty_report(sy, li.union(li), su, as_, ReportTerms("Us", *SHOP)).collect()
     }
     assert len(found) == 2
     assert found["B1"].UsagesShare == 0.375
@@ -109,29 +111,29 @@ def test_repeated_claims_change_the_scalars_only(quarter):
 def test_zero_denominator(spark, quarter):
     sy, li, su, as_ = quarter
     zero = li.withColumn("AllocatedUsages", F.lit(0.0))
-    row = royalty_report(sy, zero, su, as_, ReportTerms("Us")).first()
+    row = royalty_report(sy, zero, su, as_, ReportTerms("Us", *SHOP)).first()
     assert row.UsagesShare is None and row.ROYALTIES_TO_BE_PAID is None
     with pytest.raises(Exception, match="DIVIDE_BY_ZERO"):
-        royalty_report(sy, zero, su, as_, ReportTerms("Us", strict=True)).collect()
+        royalty_report(sy, zero, su, as_, ReportTerms("Us", *SHOP, strict=True)).collect()
 
 
 def test_pool_is_null_without_summary(spark, quarter):
     sy, li, su, as_ = quarter
     assert pool(sy.limit(0), li, "Us").first().Pool is None
-    assert royalty_report(sy.limit(0), li, su, as_, ReportTerms("Us")).first().GEPaymentsShare is None
+    assert royalty_report(sy.limit(0), li, su, as_, ReportTerms("Us", *SHOP)).first().GEPaymentsShare is None
 
 
 def test_scalars_by_quarter(spark, quarter):
     sy, li, su, as_ = quarter
     later = [df.withColumn("Quarter", F.lit("2024_Q2")) for df in (sy, li, su, as_)]
     both = [a.unionByName(b) for a, b in zip((sy, li, su, as_), later)]
-    every = royalty_report(*both, ReportTerms("Us"))
+    every = royalty_report(*both, ReportTerms("Us", *SHOP))
     assert every.where("BlockId = 'B1'").first().UsagesShare == 0.375
-    apart = royalty_report(*both, ReportTerms("Us", by_quarter=True))
+    apart = royalty_report(*both, ReportTerms("Us", *SHOP, by_quarter=True))
     assert {r.UsagesShare for r in apart.where("BlockId = 'B1'").collect()} == {0.75}
 
 
 def test_quarters_and_services_do_not_mix(spark, quarter):
     sy, li, su, as_ = quarter
     other = su.withColumn("service", F.lit("hardware"))
-    assert royalty_report(sy, li, other, as_, ReportTerms("Us")).count() == 0
+    assert royalty_report(sy, li, other, as_, ReportTerms("Us", *SHOP)).count() == 0
