@@ -85,7 +85,8 @@ class Model:
         spans, sums = [], []
         for start, end, words in sentences(text):
             spans.append((start, end))
-            sums.append(sum(map(of_word, words)))
+            # A word counts once in a sentence, so that repeating it says nothing new.
+            sums.append(math.fsum(map(of_word, set(words))))
         if not sums:
             sums = [0.0]
             spans = [(0, 0)]
@@ -133,7 +134,7 @@ def fit(texts: list[str], labels: list[int], weights: list[float], rounds: int =
         found = list(sentences(text)) or [(0, 0, [])]
         sizes.append(math.log1p(len(found)))
         for _, _, words in found:
-            for w in words:
+            for w in sorted(set(words)):
                 hits = [index[f] for f in _features(w) if f in index]
                 columns += hits
                 rows += [n] * len(hits)
@@ -144,7 +145,7 @@ def fit(texts: list[str], labels: list[int], weights: list[float], rounds: int =
     theta = np.zeros(len(index) + 2)
     theta[-2] = -4.0
     m, v = np.zeros_like(theta), np.zeros_like(theta)
-    charge = np.full(len(theta), 2e-5)
+    charge = np.full(len(theta), 1e-5)
     charge[-2:] = 0
     for step in range(1, rounds + 1):
         z = np.bincount(row, theta[col], minlength=n) + theta[-2] + theta[-1] * size
