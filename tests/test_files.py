@@ -8,7 +8,7 @@ from types import SimpleNamespace
 import pytest
 from pyspark.sql import functions as F
 
-from staveline.session import scratch_folder
+from staveline.session import release, scratch_folder, settled
 from staveline.sinks import tables
 from staveline.sources.dsr import read_dsr, typed_records
 from staveline.streaming import intake
@@ -69,6 +69,16 @@ def test_scratch_folder_is_taken_from_the_session():
             scratch_folder(session(master), "x")
 
 
+def test_stored_frames_can_be_released(spark):
+    kept = settled(spark.range(5).toDF("n"), "kept")
+    folder = kept.stored_in
+    assert kept.count() == 5 and os.path.isdir(folder.removeprefix("file:"))
+    release(kept)
+    assert not os.path.exists(folder.removeprefix("file:"))
+    with pytest.raises(ValueError):
+        release(spark.range(1))
+
+
 # --- intake ---------------------------------------------------------------------
 
 def put(landing, quarter, name, *lines):
