@@ -17,7 +17,7 @@ from staveline.llm.components import components
 from staveline.session import settled
 
 # Coordinates of a point.
-GROUPS = 64
+GROUPS = 128
 # Sizes of one class differ by less than this factor.
 CLASS_RATIO = 1.5
 # Bits of a filter that keeps most keys of single documents out of a shuffle. Its size
@@ -25,6 +25,10 @@ CLASS_RATIO = 1.5
 FILTER_BITS = 1 << 27
 BUCKET_ROWS = 2048
 LEAF = 16
+# Shingles of recent sets that a verifying task remembers.
+HELD_SHINGLES = 4_000_000
+# Rounds in which each set only tries its nearest partner of another component.
+NEAREST_ROUNDS = 2
 
 _ODD = np.uint64(0x9E3779B97F4A7C15)
 _MIX = np.uint64(0xBF58476D1CE4E5B9)
@@ -161,7 +165,7 @@ class RTree:
             own = sizes[asking]
             fits = (own * num <= most[node] * den) & (least[node] * num <= own * den)
             asking = asking[fits]
-            bound = np.minimum(points[asking], boxes[node]).sum(axis=1)
+            bound = _overlap(points[asking], boxes[node])
             asking = asking[bound * (num + den) >= num * (sizes[asking] + least[node])]
             if not len(asking):
                 continue
@@ -174,10 +178,21 @@ class RTree:
 
 def _points(column: pa.ChunkedArray) -> np.ndarray:
     blobs = column.to_pylist()
-    return np.frombuffer(b"".join(blobs), dtype="<u4").reshape(len(blobs), GROUPS).astype(np.int64)
+    return np.frombuffer(b"".join(blobs), dtype="<u4").reshape(len(blobs), GROUPS)
 
 
-def _measured(batches: Iterable[pa.RecordBatch], words: int) -> Iterator[pa.RecordBatch]:
+def _overlap(a: np.ndarray, b: np.ndarray) -> np.ndarray:
+    """Sums of coordinate minima: no two sets share more."""
+    return np.minimum(a, b).sum(axis=1, dtype=np.int64)
+
+
+def _listed(lists: list[np.ndarray]) -> pa.ListArray:
+    ends = np.cumsum([0, *map(len, lists)])
+    values = np.concatenate([*lists, np.empty(0, np.int64)]).astype(np.int64)
+    return pa.ListArray.from_arrays(pa.array(ends, pa.int32()), pa.array(values))
+
+
+def _measured(batches: Iterable[pa.RecordBatch], words: int, num: int, den: int) -> Iterator[pa.RecordBatch]:
     shingles = Shingles(words)
     for batch in batches:
         sets = [shingles(t.as_py() or b"") for t in batch.column(1).cast(pa.large_binary())]
@@ -189,27 +204,22 @@ def _measured(batches: Iterable[pa.RecordBatch], words: int) -> Iterator[pa.Reco
                 pa.array(ids, pa.binary()),
                 pa.array([node_of(i) for i in ids], pa.int64()),
                 pa.array([point_of(s).tobytes() for s in sets], pa.binary()),
+                _listed([keys_of(s, num, den) for s in sets]),
                 *batch.columns[2:],
             ],
-            names=["doc_id", "n_shingles", "set_id", "node", "point", *batch.schema.names[2:]],
+            names=["doc_id", "n_shingles", "set_id", "node", "point", "keys", *batch.schema.names[2:]],
         )
 
 
-def _keyed(batches: Iterable[pa.RecordBatch], words: int, num: int, den: int, bits: np.ndarray | None):
-    shingles = Shingles(words)
+def _shared_keys(batches: Iterable[pa.RecordBatch], bits: np.ndarray) -> Iterator[pa.RecordBatch]:
+    """(key, node) of each list of keys, without most keys that no other set has."""
     for batch in batches:
-        keys, nodes = [], []
-        for text in batch.column(1).cast(pa.large_binary()):
-            found = shingles(text.as_py() or b"")
-            key = keys_of(found, num, den).astype(np.int64)
-            if bits is not None:
-                key = key[_in_filter(bits, key)]
-            keys.append(key)
-            nodes.append(np.full(len(key), node_of(set_id(found)), dtype=np.int64))
-        yield pa.RecordBatch.from_arrays(
-            [pa.array(np.concatenate([*keys, np.empty(0, np.int64)])), pa.array(np.concatenate([*nodes, np.empty(0, np.int64)]))],
-            names=["key", "node"],
-        )
+        lists = batch.column(0)
+        key = lists.flatten().to_numpy(zero_copy_only=False)
+        count = np.diff(lists.offsets.to_numpy())
+        node = np.repeat(batch.column(1).to_numpy(), count)
+        keep = _in_filter(bits, key)
+        yield pa.RecordBatch.from_arrays([pa.array(key[keep]), pa.array(node[keep])], names=["key", "node"])
 
 
 def _filter_of(values: DataFrame, name: str) -> np.ndarray:
@@ -235,39 +245,121 @@ def _bounded(batches: Iterable[pa.RecordBatch], num: int, den: int) -> Iterator[
     """Pairs of sets that sizes and the sum of coordinate minima allow to be linked."""
     for batch in batches:
         a, b = (batch.column(i).to_numpy(zero_copy_only=False) for i in (2, 3))
-        both = np.minimum(_points(batch.column(4)), _points(batch.column(5))).sum(axis=1)
-        keep = (both * (num + den) >= num * (a + b)) & (a * num <= b * den) & (b * num <= a * den)
-        yield batch.select([0, 1]).filter(pa.array(keep))
-
-
-def _searched(group: pa.Table, num: int, den: int) -> pa.Table:
-    """Pairs of one bucket, or of two of its blocks, that its R-tree does not rule out."""
-    ids, roots = group.column("set_id").to_pylist(), group.column("root").to_pylist()
-    sizes = group.column("n").to_numpy()
-    points, left = _points(group.column("point")), group.column("left").to_numpy(zero_copy_only=False)
-    side = [np.flatnonzero(left), np.flatnonzero(~left)]
-    if group.column("one")[0].as_py():
-        side[1] = side[0]
-    out = set()
-    if len(side[0]) and len(side[1]):
-        tree = RTree(points[side[1]], sizes[side[1]])
-        for asking, place in tree.search(points[side[0]], sizes[side[0]], num, den):
-            b = side[1][place]
-            out |= {
-                (min(ids[a], ids[b]), max(ids[a], ids[b])) for a in side[0][asking] if roots[a] != roots[b]
-            }
-    return pa.table({
-        "u": pa.array([a for a, _ in out], pa.binary()),
-        "v": pa.array([b for _, b in out], pa.binary()),
-    })
+        both = _overlap(_points(batch.column(4)), _points(batch.column(5)))
+        yield batch.select([0, 1]).filter(pa.array(_allowed(both, a, b, num, den)))
+
+
+SEARCHED = ["bucket", "i", "j", "left", "one", "set_id", "root", "n", "point"]
+
+
+def _whole_buckets(batches: Iterable[pa.RecordBatch]) -> Iterator[pa.Table]:
+    """The rows again, cut only where a bucket (or pair of its blocks) ends."""
+    held: list[pa.RecordBatch] = []
+    for batch in batches:
+        if not batch.num_rows:
+            continue
+        held.append(batch)
+        keys = np.stack([batch.column(i).to_numpy() for i in range(3)])
+        ends = np.flatnonzero((keys[:, 1:] != keys[:, :-1]).any(axis=0))
+        first = [held[0].column(i)[0].as_py() for i in range(3)]
+        if len(ends):
+            cut = int(ends[-1]) + 1
+        elif first != keys[:, 0].tolist():
+            cut = 0
+        else:
+            continue
+        held[-1] = batch.slice(0, cut)
+        yield pa.Table.from_batches(held)
+        held = [batch.slice(cut)]
+    if held:
+        yield pa.Table.from_batches(held)
+
+
+def _searched(batches: Iterable[pa.RecordBatch], num: int, den: int, nearest: bool) -> Iterator[pa.RecordBatch]:
+    """Pairs of different components in one bucket that its R-tree does not rule out.
+
+    Rows come sorted by bucket and pair of blocks. A bucket that fits into one leaf
+    is the leaf: its pairs meet directly, those of many buckets at once and each once.
+    In a larger one the sets outside its largest component look for partners in the
+    tree of all. With ``nearest`` each set keeps only the pair of the highest bound.
+    """
+    for table in _whole_buckets(batches):
+        keys = np.stack([table.column(i).to_numpy() for i in range(3)])
+        starts = np.concatenate([[0], np.flatnonzero((keys[:, 1:] != keys[:, :-1]).any(axis=0)) + 1])
+        count = np.diff(np.append(starts, table.num_rows))
+        left, one = (table.column(i).to_numpy() for i in (3, 4))
+        id_of, root_of = (_numbered(table.column(i)) for i in (5, 6))
+        sizes, points = table.column(7).to_numpy(), _points(table.column(8))
+        pairs = []
+        for m in np.unique(count[count <= LEAF]):
+            x, y = np.triu_indices(m, 1)
+            at = starts[count == m][:, None]
+            a, b = (at + x).ravel(), (at + y).ravel()
+            meets = one[a] | (left[a] != left[b])
+            pairs.append(np.stack([a[meets], b[meets]]))
+        for at, m in zip(starts[count > LEAF], count[count > LEAF]):
+            rows = np.arange(at, at + m)
+            most = np.bincount(root_of[rows]).argmax()
+            few, many = rows[root_of[rows] != most], rows[root_of[rows] == most]
+            if one[at]:
+                sides = [(few, rows)]
+            else:
+                sides = [(few[left[few]], rows[~left[rows]]), (few[~left[few]], many[left[many]])]
+            for asking, asked in sides:
+                if len(asked) and len(asking):
+                    tree = RTree(points[asked], sizes[asked])
+                    for a, b in tree.search(points[asking], sizes[asking], num, den):
+                        pairs.append(np.stack([asking[a], np.full(len(a), asked[b])]))
+        a, b = np.concatenate([*pairs, np.empty((2, 0), dtype=np.int64)], axis=1).astype(np.int64)
+        apart = root_of[a] != root_of[b]
+        a, b = a[apart], b[apart]
+        low, high = np.minimum(id_of[a], id_of[b]), np.maximum(id_of[a], id_of[b])
+        _, first = np.unique(low * table.num_rows + high, return_index=True)
+        a, b = a[first], b[first]
+        parts = [slice(i, i + 65536) for i in range(0, len(a), 65536)]
+        both = np.concatenate([*[_overlap(points[a[p]], points[b[p]]) for p in parts], np.empty(0, np.int64)])
+        keep = _allowed(both, sizes[a], sizes[b], num, den)
+        a, b, both = a[keep], b[keep], both[keep]
+        if nearest:
+            alike = both / np.maximum(sizes[a] + sizes[b] - both, 1)
+            best = np.zeros(len(a), dtype=bool)
+            for own in (id_of[a], id_of[b]):
+                order = np.lexsort((-alike, own))
+                best[order[np.concatenate([[True], own[order][1:] != own[order][:-1]])[: len(order)]]] = True
+            a, b = a[best], b[best]
+        sets = table.column(5)
+        yield pa.RecordBatch.from_arrays(
+            [sets.take(pa.array(x)).combine_chunks() for x in (a, b)], names=["u", "v"]
+        )
+
+
+def _numbered(column: pa.ChunkedArray) -> np.ndarray:
+    """Equal values as equal numbers."""
+    return column.combine_chunks().dictionary_encode().indices.to_numpy()
+
+
+def _allowed(both: np.ndarray, a: np.ndarray, b: np.ndarray, num: int, den: int) -> np.ndarray:
+    """Whether sets of sizes a and b that share at most ``both`` may be linked."""
+    return (both * (num + den) >= num * (a + b)) & (a * num <= b * den) & (b * num <= a * den)
 
 
 def _verified(batches: Iterable[pa.RecordBatch], words: int, num: int, den: int) -> Iterator[pa.RecordBatch]:
     shingles = Shingles(words)
+    known: dict[bytes, np.ndarray] = {}
+    held = 0
     for batch in batches:
         keep = []
-        for x, y in zip(batch.column(2), batch.column(3)):
-            a, b = shingles(x.as_py() or b""), shingles(y.as_py() or b"")
+        for u, v, *texts in zip(*batch.columns):
+            sets = []
+            for key, text in zip((u.as_py(), v.as_py()), texts):
+                if key not in known:
+                    if held > HELD_SHINGLES:
+                        known.clear()
+                        held = 0
+                    known[key] = shingles(text.as_py() or b"")
+                    held += len(known[key])
+                sets.append(known[key])
+            a, b = sets
             both = len(np.intersect1d(a, b, assume_unique=True))
             keep.append(den * both >= num * (len(a) + len(b) - both))
         yield batch.select([0, 1]).filter(pa.array(keep, pa.bool_()))
@@ -289,8 +381,9 @@ class _Join:
         self.words, self.num, self.den = words, num, den
         self.slim = docs.select(F.col("doc_id").cast("long").alias("doc_id"), F.col("text").cast("binary").alias("text"))
         measured = self.slim.select("*", *row_keys()).mapInArrow(
-            lambda it: _measured(it, words),
-            "doc_id long, n_shingles long, set_id binary, node long, point binary, r1 long, r2 long",
+            lambda it: _measured(it, words, num, den),
+            "doc_id long, n_shingles long, set_id binary, node long, point binary, keys array<long>,"
+            " r1 long, r2 long",
         )
         self.rows = settled(measured, "ngram-rows")
         self.sets = (
@@ -304,17 +397,16 @@ class _Join:
             )
         )
 
-    def keys(self, bits: np.ndarray | None = None) -> DataFrame:
-        words, num, den = self.words, self.num, self.den
-        sent = self.spark.sparkContext.broadcast(bits)
-        return self.slim.mapInArrow(lambda it: _keyed(it, words, num, den, sent.value), "key long, node long")
-
     def candidates(self) -> DataFrame:
-        """(key, node, low, high) of all keys that sets with different nodes share."""
-        ends = self.keys().groupBy("key").agg(F.min("node").alias("low"), F.max("node").alias("high"))
+        """(key, node) of all keys that sets with different nodes share."""
+        keys = self.rows.select(F.explode("keys").alias("key"), "node")
+        ends = keys.groupBy("key").agg(F.min("node").alias("low"), F.max("node").alias("high"))
         shared = settled(ends.filter("low <> high"), "ngram-shared")
-        again = self.keys(_filter_of(shared, "key")).distinct()
-        return settled(again.join(shared, "key"), "ngram-candidates")
+        sent = self.spark.sparkContext.broadcast(_filter_of(shared, "key"))
+        again = self.rows.select("keys", "node").mapInArrow(
+            lambda it: _shared_keys(it, sent.value), "key long, node long"
+        )
+        return settled(again.distinct().join(shared.select("key"), "key", "left_semi"), "ngram-candidates")
 
     def texts(self, wanted: DataFrame) -> DataFrame:
         """(set_id, text): a text of every wanted set."""
@@ -361,10 +453,21 @@ class _Join:
         joined = pairs.join(a, "node").join(b, "other").filter("u <> v").select("u", "v", "n_u", "n_v", "p_u", "p_v")
         return joined.mapInArrow(lambda it: _bounded(it, num, den), "u binary, v binary").distinct()
 
-    def across(self, candidates: DataFrame, sets: DataFrame, roots: DataFrame) -> DataFrame:
-        """All pairs (u, v) not yet connected that share a key and pass the R-tree of its bucket."""
+    def stars(self, candidates: DataFrame) -> DataFrame:
+        """Each node with the most popular one it shares a key with: what most of a group is near to."""
+        sizes = candidates.groupBy("key").agg(F.count("*").alias("m"))
+        weighed = candidates.join(sizes, "key")
+        popular = weighed.groupBy("node").agg(F.sum("m").alias("p"))
+        rated = candidates.join(popular, "node").withColumn("rated", F.struct("p", "node"))
+        hubs = rated.groupBy("key").agg(F.max("rated").alias("hub"))
+        best = candidates.join(hubs, "key").groupBy("node").agg(F.max("hub").alias("hub"))
+        return best.select("node", F.col("hub.node").alias("other")).filter("node <> other")
+
+    def across(self, candidates: DataFrame, sets: DataFrame, roots: DataFrame, nearest: bool) -> DataFrame:
+        """Pairs (u, v) not yet connected that share a key and pass the R-tree of its bucket."""
         num, den = self.num, self.den
-        rooted = sets.join(roots, F.col("set_id") == F.col("node_id"), "left").select(
+        named = roots.withColumnRenamed("node", "node_id")
+        rooted = sets.join(named, F.col("set_id") == F.col("node_id"), "left").select(
             "set_id", "node", "n", "point", F.coalesce("root", "set_id").alias("root")
         )
         members = candidates.select("key", "node").join(rooted.drop("point", "n"), "node")
@@ -390,8 +493,13 @@ class _Join:
             )
             .join(rooted.select("set_id", "n", "point"), "set_id")
         )
-        found = dealt.groupBy("key", "i", "j").applyInArrow(
-            lambda group: _searched(group, num, den), "u binary, v binary"
+        # Sorted by bucket, so that a task works through its many small buckets in a stream.
+        found = (
+            dealt.withColumnRenamed("key", "bucket")
+            .select(*SEARCHED)
+            .repartition("bucket", "i", "j")
+            .sortWithinPartitions("bucket", "i", "j")
+            .mapInArrow(lambda it: _searched(it, num, den, nearest), "u binary, v binary")
         )
         return found.distinct()
 
@@ -401,18 +509,17 @@ def _rooted(docs: DataFrame, words: int, num: int, den: int) -> DataFrame:
     join = _Join(docs, words, num, den)
     sets = settled(join.sets, "ngram-sets")
     candidates = join.candidates()
-    nodes = candidates.groupBy("node").agg(F.min("low").alias("low"), F.max("high").alias("high"))
-    stars = nodes.select("node", F.explode(F.array("low", "high")).alias("other")).filter("node <> other")
     # Different sets that agree in the 40 bits of their node are candidates as well.
     same = sets.groupBy("node").agg(F.count("*").alias("m")).filter("m > 1").select("node", F.col("node").alias("other"))
-    met = nodes.select("node").unionByName(same.select("node")).distinct()
+    met = candidates.select("node").unionByName(same.select("node")).distinct()
     wanted = settled(sets.join(met, "node", "left_semi"), "ngram-wanted")
     texts = join.texts(wanted)
-    first = join.linked(join.bounded(stars.unionByName(same), wanted), texts)
-    roots = components(first, "ngram-first")
-    rest = join.across(candidates, wanted, roots.withColumnRenamed("node", "node_id"))
-    second = join.linked(rest, texts)
-    roots = components(first.unionByName(second), "ngram-roots")
+    links = join.linked(join.bounded(join.stars(candidates).unionByName(same), wanted), texts)
+    roots = components(links, "ngram-roots")
+    for turn in range(NEAREST_ROUNDS + 1):
+        pairs = join.across(candidates, wanted, roots, nearest=turn < NEAREST_ROUNDS)
+        links = links.unionByName(join.linked(pairs, texts))
+        roots = components(links, "ngram-roots")
     return join.rows.join(
         roots.select(F.col("node").alias("node_id"), "root"), F.col("set_id") == F.col("node_id"), "left"
     ).select("doc_id", "n_shingles", F.coalesce("root", "set_id").alias("root"), "r1", "r2")
@@ -427,13 +534,14 @@ def jaccard_components(docs: DataFrame, words: int = 4, num: int = 85, den: int
 
     Equal sets are one set. The shingles of a set are hashed into groups, finely
     enough that linked sets have at least one group in common: sets meet in the
-    buckets of their groups. Each set is a point of 64 group counts; the sum of
+    buckets of their groups. Each set is a point of 128 group counts; the sum of
     coordinate minima bounds the overlap of two sets, and R-trees over the points of
     a bucket bound it for many at once. Pairs that no bound rules out are verified on
-    their texts. First each set meets one partner of its buckets at either end, and
-    what is linked is connected. Then all pairs of all buckets are searched that are
-    not connected yet. So a large group of near copies takes about one verified link
-    for each text, and no link between different components is lost.
+    their texts. First each set meets the most popular set of its buckets, then twice
+    its nearest partner of another component, and what is linked is connected. At last
+    all pairs of all buckets are searched that are not connected yet. So a large group
+    of near copies takes a few verified pairs for each text, and no link between
+    different components is lost.
 
     Null or empty texts have no shingles, and are components of their own. Every row
     is a document; rows with equal sets are linked; component_id is the smallest
