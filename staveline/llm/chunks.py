@@ -19,7 +19,7 @@ import zstandard
 
 from staveline.llm.common import ASCII_LOWER
 
-CHUNK_BYTES = 32 << 20
+CHUNK_BYTES = 12 << 20
 
 
 @dataclass
