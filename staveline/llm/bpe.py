@@ -24,6 +24,8 @@ from staveline.llm.tokens import load
 from staveline.session import settled
 
 BATCH = 8192
+# Buckets that words meet in, at least; a small input is dealt like a large one.
+BUCKETS = 64
 
 
 def _check(vocabulary: str) -> None:
@@ -153,7 +155,7 @@ def encode_and_decode(docs: DataFrame, vocabulary: str, buckets: int | None = No
     """
     _check(vocabulary)
     spark = docs.sparkSession
-    n = buckets or partitions(spark)
+    n = buckets or max(BUCKETS, partitions(spark) // 8)
     slim = docs.select(F.col("doc_id").cast("long").alias("doc_id"), F.lit(False).alias("flag"), "text")
     words = slim.mapInArrow(lambda it: _word_rows(it, n), "chunk long, bucket int, words binary")
     encoded = settled(
