@@ -28,7 +28,7 @@ LEAF = 16
 # Shingles of recent sets that a verifying task remembers.
 HELD_SHINGLES = 4_000_000
 # Rounds in which each set only tries its nearest partner of another component.
-NEAREST_ROUNDS = 2
+NEAREST_ROUNDS = 1
 
 _ODD = np.uint64(0x9E3779B97F4A7C15)
 _MIX = np.uint64(0xBF58476D1CE4E5B9)
@@ -124,8 +124,9 @@ def keys_of(shingles: np.ndarray, num: int, den: int) -> np.ndarray:
 
 
 def point_of(shingles: np.ndarray) -> np.ndarray:
-    """Counts of the shingles by group of their hash."""
-    return np.bincount((shingles >> np.uint64(8)) % np.uint64(GROUPS), minlength=GROUPS).astype("<u4")
+    """Counts of the shingles by group of their hash, in bytes where they fit."""
+    counts = np.bincount((shingles >> np.uint64(8)) % np.uint64(GROUPS), minlength=GROUPS)
+    return counts.astype("<u4" if counts.max() > 255 else "u1")
 
 
 def set_id(shingles: np.ndarray) -> bytes:
@@ -178,7 +179,12 @@ class RTree:
 
 def _points(column: pa.ChunkedArray) -> np.ndarray:
     blobs = column.to_pylist()
-    return np.frombuffer(b"".join(blobs), dtype="<u4").reshape(len(blobs), GROUPS)
+    out = np.empty((len(blobs), GROUPS), dtype=np.uint32)
+    wide = np.array([len(x) > GROUPS for x in blobs], dtype=bool)
+    for kind, chosen in (("u1", ~wide), ("<u4", wide)):
+        joined = b"".join(x for x, c in zip(blobs, chosen) if c)
+        out[chosen] = np.frombuffer(joined, dtype=kind).reshape(-1, GROUPS)
+    return out
 
 
 def _overlap(a: np.ndarray, b: np.ndarray) -> np.ndarray:
@@ -249,7 +255,7 @@ def _bounded(batches: Iterable[pa.RecordBatch], num: int, den: int) -> Iterator[
         yield batch.select([0, 1]).filter(pa.array(_allowed(both, a, b, num, den)))
 
 
-SEARCHED = ["bucket", "i", "j", "left", "one", "set_id", "root", "n", "point"]
+SEARCHED = ["bucket", "i", "j", "left", "one", "id", "root", "n", "point"]
 
 
 def _whole_buckets(batches: Iterable[pa.RecordBatch]) -> Iterator[pa.Table]:
@@ -288,7 +294,8 @@ def _searched(batches: Iterable[pa.RecordBatch], num: int, den: int, nearest: bo
         starts = np.concatenate([[0], np.flatnonzero((keys[:, 1:] != keys[:, :-1]).any(axis=0)) + 1])
         count = np.diff(np.append(starts, table.num_rows))
         left, one = (table.column(i).to_numpy() for i in (3, 4))
-        id_of, root_of = (_numbered(table.column(i)) for i in (5, 6))
+        ids, id_of = np.unique(table.column(5).to_numpy(), return_inverse=True)
+        _, root_of = np.unique(table.column(6).to_numpy(), return_inverse=True)
         sizes, points = table.column(7).to_numpy(), _points(table.column(8))
         pairs = []
         for m in np.unique(count[count <= LEAF]):
@@ -327,15 +334,8 @@ def _searched(batches: Iterable[pa.RecordBatch], num: int, den: int, nearest: bo
                 order = np.lexsort((-alike, own))
                 best[order[np.concatenate([[True], own[order][1:] != own[order][:-1]])[: len(order)]]] = True
             a, b = a[best], b[best]
-        sets = table.column(5)
-        yield pa.RecordBatch.from_arrays(
-            [sets.take(pa.array(x)).combine_chunks() for x in (a, b)], names=["u", "v"]
-        )
-
-
-def _numbered(column: pa.ChunkedArray) -> np.ndarray:
-    """Equal values as equal numbers."""
-    return column.combine_chunks().dictionary_encode().indices.to_numpy()
+        ends = (np.minimum(id_of[a], id_of[b]), np.maximum(id_of[a], id_of[b]))
+        yield pa.RecordBatch.from_arrays([pa.array(ids[x]) for x in ends], names=["u", "v"])
 
 
 def _allowed(both: np.ndarray, a: np.ndarray, b: np.ndarray, num: int, den: int) -> np.ndarray:
@@ -345,7 +345,7 @@ def _allowed(both: np.ndarray, a: np.ndarray, b: np.ndarray, num: int, den: int)
 
 def _verified(batches: Iterable[pa.RecordBatch], words: int, num: int, den: int) -> Iterator[pa.RecordBatch]:
     shingles = Shingles(words)
-    known: dict[bytes, np.ndarray] = {}
+    known: dict[int, np.ndarray] = {}
     held = 0
     for batch in batches:
         keep = []
@@ -409,8 +409,8 @@ class _Join:
         return settled(again.distinct().join(shared.select("key"), "key", "left_semi"), "ngram-candidates")
 
     def texts(self, wanted: DataFrame) -> DataFrame:
-        """(set_id, text): a text of every wanted set."""
-        needed = wanted.select("set_id", F.xxhash64("sample").alias("sample_hash"))
+        """(id, text): a text of every wanted set."""
+        needed = wanted.select("id", "set_id", F.xxhash64("sample").alias("sample_hash"))
         bits = self.spark.sparkContext.broadcast(_filter_of(needed, "sample_hash"))
         words = self.words
 
@@ -428,59 +428,54 @@ class _Join:
 
         bit = F.pmod(F.xxhash64(F.xxhash64("doc_id")), F.lit(FILTER_BITS))
         found = self.slim.select(bit.alias("bit"), "text").mapInArrow(likely, "set_id binary, text binary")
-        whole = found.join(needed.select("set_id"), "set_id", "left_semi")
-        return settled(whole.dropDuplicates(["set_id"]), "ngram-texts")
+        whole = found.join(needed.select("id", "set_id"), "set_id").select("id", "text")
+        return settled(whole.dropDuplicates(["id"]), "ngram-texts")
 
     def linked(self, pairs: DataFrame, texts: DataFrame) -> DataFrame:
         """The pairs (u, v) of sets whose texts are linked."""
         words, num, den = self.words, self.num, self.den
         both = (
-            pairs.join(texts.select(F.col("set_id").alias("u"), F.col("text").alias("u_text")), "u")
-            .join(texts.select(F.col("set_id").alias("v"), F.col("text").alias("v_text")), "v")
+            pairs.join(texts.select(F.col("id").alias("u"), F.col("text").alias("u_text")), "u")
+            .join(texts.select(F.col("id").alias("v"), F.col("text").alias("v_text")), "v")
             .select("u", "v", "u_text", "v_text")
         )
         return settled(
-            both.mapInArrow(lambda it: _verified(it, words, num, den), "u binary, v binary"), "ngram-links"
+            both.mapInArrow(lambda it: _verified(it, words, num, den), "u long, v long"), "ngram-links"
         )
 
     def bounded(self, pairs: DataFrame, sets: DataFrame) -> DataFrame:
-        """Pairs (node, other) of nodes as pairs (u, v) of sets that the bound allows."""
+        """The pairs (u, v) of sets that the bound allows."""
         num, den = self.num, self.den
-        a = sets.select("node", F.col("set_id").alias("u"), F.col("n").alias("n_u"), F.col("point").alias("p_u"))
-        b = sets.select(
-            F.col("node").alias("other"), F.col("set_id").alias("v"), F.col("n").alias("n_v"), F.col("point").alias("p_v")
-        )
-        joined = pairs.join(a, "node").join(b, "other").filter("u <> v").select("u", "v", "n_u", "n_v", "p_u", "p_v")
-        return joined.mapInArrow(lambda it: _bounded(it, num, den), "u binary, v binary").distinct()
-
-    def stars(self, candidates: DataFrame) -> DataFrame:
-        """Each node with the most popular one it shares a key with: what most of a group is near to."""
-        sizes = candidates.groupBy("key").agg(F.count("*").alias("m"))
-        weighed = candidates.join(sizes, "key")
-        popular = weighed.groupBy("node").agg(F.sum("m").alias("p"))
-        rated = candidates.join(popular, "node").withColumn("rated", F.struct("p", "node"))
+        a = sets.select(F.col("id").alias("u"), F.col("n").alias("n_u"), F.col("point").alias("p_u"))
+        b = sets.select(F.col("id").alias("v"), F.col("n").alias("n_v"), F.col("point").alias("p_v"))
+        joined = pairs.join(a, "u").join(b, "v").select("u", "v", "n_u", "n_v", "p_u", "p_v")
+        return joined.mapInArrow(lambda it: _bounded(it, num, den), "u long, v long").distinct()
+
+    def stars(self, members: DataFrame) -> DataFrame:
+        """Each set with the most popular one it shares a key with: what most of a group is near to."""
+        sizes = members.groupBy("key").agg(F.count("*").alias("m"))
+        popular = members.join(sizes, "key").groupBy("id").agg(F.sum("m").alias("p"))
+        rated = members.join(popular, "id").withColumn("rated", F.struct("p", "id"))
         hubs = rated.groupBy("key").agg(F.max("rated").alias("hub"))
-        best = candidates.join(hubs, "key").groupBy("node").agg(F.max("hub").alias("hub"))
-        return best.select("node", F.col("hub.node").alias("other")).filter("node <> other")
+        best = members.join(hubs, "key").groupBy("id").agg(F.max("hub").alias("hub"))
+        return best.select(F.col("id").alias("u"), F.col("hub.id").alias("v")).filter("u <> v")
 
-    def across(self, candidates: DataFrame, sets: DataFrame, roots: DataFrame, nearest: bool) -> DataFrame:
+    def across(self, members: DataFrame, sets: DataFrame, roots: DataFrame, nearest: bool) -> DataFrame:
         """Pairs (u, v) not yet connected that share a key and pass the R-tree of its bucket."""
         num, den = self.num, self.den
-        named = roots.withColumnRenamed("node", "node_id")
-        rooted = sets.join(named, F.col("set_id") == F.col("node_id"), "left").select(
-            "set_id", "node", "n", "point", F.coalesce("root", "set_id").alias("root")
+        named = members.join(roots.withColumnRenamed("node", "id"), "id", "left").select(
+            "key", "id", F.coalesce("root", "id").alias("root")
         )
-        members = candidates.select("key", "node").join(rooted.drop("point", "n"), "node")
         mixed = (
-            members.groupBy("key")
+            named.groupBy("key")
             .agg(F.min("root").alias("a"), F.max("root").alias("b"), F.count("*").alias("m"))
             .filter("a <> b")
             .select("key", F.ceil(F.col("m") / BUCKET_ROWS).cast("int").alias("blocks"))
         )
         # A bucket of many rows is searched block by block, each pair of blocks once.
         dealt = (
-            members.join(mixed, "key")
-            .withColumn("block", F.pmod(F.xxhash64("set_id"), F.col("blocks")).cast("int"))
+            named.join(mixed, "key")
+            .withColumn("block", F.pmod(F.xxhash64("id"), F.col("blocks")).cast("int"))
             .withColumn("other", F.explode(F.sequence(F.lit(0), F.col("blocks") - 1)))
             .select(
                 "key",
@@ -488,10 +483,10 @@ class _Join:
                 F.greatest("block", "other").alias("j"),
                 (F.col("block") <= F.col("other")).alias("left"),
                 (F.col("block") == F.col("other")).alias("one"),
-                "set_id",
+                "id",
                 "root",
             )
-            .join(rooted.select("set_id", "n", "point"), "set_id")
+            .join(sets.select("id", "n", "point"), "id")
         )
         # Sorted by bucket, so that a task works through its many small buckets in a stream.
         found = (
@@ -499,7 +494,7 @@ class _Join:
             .select(*SEARCHED)
             .repartition("bucket", "i", "j")
             .sortWithinPartitions("bucket", "i", "j")
-            .mapInArrow(lambda it: _searched(it, num, den, nearest), "u binary, v binary")
+            .mapInArrow(lambda it: _searched(it, num, den, nearest), "u long, v long")
         )
         return found.distinct()
 
@@ -510,19 +505,29 @@ def _rooted(docs: DataFrame, words: int, num: int, den: int) -> DataFrame:
     sets = settled(join.sets, "ngram-sets")
     candidates = join.candidates()
     # Different sets that agree in the 40 bits of their node are candidates as well.
-    same = sets.groupBy("node").agg(F.count("*").alias("m")).filter("m > 1").select("node", F.col("node").alias("other"))
+    same = sets.groupBy("node").agg(F.count("*").alias("m")).filter("m > 1").select("node")
     met = candidates.select("node").unionByName(same.select("node")).distinct()
-    wanted = settled(sets.join(met, "node", "left_semi"), "ngram-wanted")
+    # From here on a number stands for each set that has a candidate.
+    numbered = sets.join(met, "node", "left_semi").withColumn("id", F.monotonically_increasing_id())
+    wanted = settled(numbered, "ngram-wanted")
+    members = settled(candidates.join(wanted.select("node", "id"), "node").select("key", "id"), "ngram-members")
+    twins = wanted.join(same, "node").select("node", F.col("id").alias("u"))
+    twins = twins.join(twins.withColumnRenamed("u", "v"), "node").filter("u < v").select("u", "v")
     texts = join.texts(wanted)
-    links = join.linked(join.bounded(join.stars(candidates).unionByName(same), wanted), texts)
+    links = join.linked(join.bounded(join.stars(members).unionByName(twins), wanted), texts)
     roots = components(links, "ngram-roots")
     for turn in range(NEAREST_ROUNDS + 1):
-        pairs = join.across(candidates, wanted, roots, nearest=turn < NEAREST_ROUNDS)
-        links = links.unionByName(join.linked(pairs, texts))
-        roots = components(links, "ngram-roots")
-    return join.rows.join(
-        roots.select(F.col("node").alias("node_id"), "root"), F.col("set_id") == F.col("node_id"), "left"
-    ).select("doc_id", "n_shingles", F.coalesce("root", "set_id").alias("root"), "r1", "r2")
+        pairs = join.across(members, wanted, roots, nearest=turn < NEAREST_ROUNDS)
+        fresh = join.linked(pairs, texts)
+        if not fresh.isEmpty():
+            links = links.unionByName(fresh)
+            roots = components(links, "ngram-roots")
+    named = wanted.join(roots.withColumnRenamed("node", "id"), "id").select("set_id", "root")
+    # Numbers of components are told from set_ids by their length.
+    label = F.coalesce(F.lpad(F.col("root").cast("string"), 20, "0").cast("binary"), "set_id")
+    return join.rows.join(named, "set_id", "left").select(
+        "doc_id", "n_shingles", label.alias("root"), "r1", "r2"
+    )
 
 
 def jaccard_components(docs: DataFrame, words: int = 4, num: int = 85, den: int = 100) -> DataFrame:
@@ -537,8 +542,8 @@ def jaccard_components(docs: DataFrame, words: int = 4, num: int = 85, den: int
     buckets of their groups. Each set is a point of 128 group counts; the sum of
     coordinate minima bounds the overlap of two sets, and R-trees over the points of
     a bucket bound it for many at once. Pairs that no bound rules out are verified on
-    their texts. First each set meets the most popular set of its buckets, then twice
-    its nearest partner of another component, and what is linked is connected. At last
+    their texts. First each set meets the most popular set of its buckets, then its
+    nearest partner of another component, and what is linked is connected. At last
     all pairs of all buckets are searched that are not connected yet. So a large group
     of near copies takes a few verified pairs for each text, and no link between
     different components is lost.
