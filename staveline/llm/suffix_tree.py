@@ -2,13 +2,16 @@
 
 from __future__ import annotations
 
+import pickle
 from collections import Counter
-from collections.abc import Iterable, Iterator
+from collections.abc import Callable, Iterable, Iterator
 from dataclasses import dataclass
 
 import numpy as np
 import pyarrow as pa
 import pyarrow.compute as pc
+import xxhash
+import zstandard
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
@@ -16,12 +19,12 @@ from staveline.llm.chunks import chunks, dealt, ordered_blob, ordered_from, sque
 from staveline.llm.common import held_out, partitions
 from staveline.session import settled
 
-# A word is a symbol of its own from this share of the training tokens on; the others
-# are one symbol, shared out by their own counts. So there are at most 1 / SYMBOL symbols.
-SYMBOL = 1e-4
-# A context is tried, and a next symbol of it stored, from these shares on.
-CONTEXT = 2e-5
-ENTRY = 1e-6
+# A word is a symbol of its own from this count on; words seen once are one symbol,
+# shared out by their own counts.
+SYMBOL = 2
+# A context is tried, and a next symbol of it stored, from these counts on.
+CONTEXT = 2
+ENTRY = 2
 DEPTH = 3
 # A context stays if its counts tell it from its suffix by so many nats for each stored symbol.
 DIVERGENCE = 3.0
@@ -112,7 +115,14 @@ COUNTED = (
 
 
 def _counted_bucket(group: pa.Table) -> pa.Table:
-    """Training counts of the words of the bucket, summed, for each chunk that has them."""
+    return _counted(group, named=True)
+
+
+def _counted(group: pa.Table, named: bool = False) -> pa.Table:
+    """Training counts of the words of the bucket, summed, for each chunk that has them.
+
+    ``named`` also lists the words that are symbols, for a tree in one process.
+    """
     total: Counter[bytes] = Counter()
     rows = []
     for blob, counts in zip(group.column("words").to_pylist(), group.column("counts").to_pylist()):
@@ -123,7 +133,7 @@ def _counted_bucket(group: pa.Table) -> pa.Table:
     tokens = pc.sum(group.column("tokens")).as_py()
     documents = pc.sum(group.column("documents")).as_py()
     seen = [n for n in total.values() if n]
-    often = sorted((w, n) for w, n in total.items() if n and n >= SYMBOL * (tokens + documents))
+    often = sorted((w, n) for w, n in total.items() if n >= SYMBOL) if named else []
     blobs = [squeeze(np.array([total[w] for w in row], dtype=np.uint32)) for row in rows]
     chunk = group.column("chunk").to_pylist()
     n = len(rows)
@@ -258,7 +268,7 @@ class Model:
 
 
 def _fit(slim: DataFrame, summary: DataFrame) -> Model:
-    """The tree, level by level; each level's counts are summed by Spark over all training rows."""
+    """The tree of a small table in one process, which ``score`` has to agree with."""
     spark = slim.sparkSession
     rows = summary.collect()
     words = sum(r["tokens"] for r in rows[:1])
@@ -287,17 +297,15 @@ def _fit(slim: DataFrame, summary: DataFrame) -> Model:
 
         def counted(it, sent=sent):
             names, tree = sent.value
-            return _next_counts(it, names, tree, CONTEXT * tokens)
+            return _next_counts(it, names, tree, CONTEXT)
 
-        least = max(2, int(np.ceil(ENTRY * tokens)))
         sums = slim.mapInArrow(counted, "key long, n long").groupBy("key").agg(F.sum("n").alias("n"))
-        # At most 1 / ENTRY rows, as their counts add up to no more than all tokens.
-        stored = sums.filter(F.col("n") >= least).toArrow()
+        stored = sums.filter(F.col("n") >= ENTRY).toArrow()
         order = np.argsort(stored.column("key").to_numpy())
         keys = stored.column("key").to_numpy()[order]
         counts = stored.column("n").to_numpy()[order]
         if depth:
-            totals = np.where(levels[-1].counts >= CONTEXT * tokens, levels[-1].counts, 0)
+            totals = np.where(levels[-1].counts >= CONTEXT, levels[-1].counts, 0)
         levels.append(_level(keys, counts, totals, levels, symbols, root))
         if not len(keys):
             break
@@ -305,48 +313,286 @@ def _fit(slim: DataFrame, summary: DataFrame) -> Model:
 
 
 SCORED = "doc_id long, n_tokens long, n_known long, base_score double, score double"
+STATE = "chunk long, kind int, bucket int, blob binary"
+MESSAGE = "chunk long, kind int, bucket int, keys binary, body binary"
+# Stand for the rare words and the end where symbols are hashes.
+RARE_HASH, END_HASH = (np.uint64(xxhash.xxh3_64_intdigest(b" " + x)) for x in (b"rare", b"end"))
 
 
-def _document_rows(
-    batches: Iterable[pa.RecordBatch], buckets: int, symbol: dict[bytes, int]
-) -> Iterator[pa.RecordBatch]:
+@dataclass
+class Totals:
+    """What all training documents add up to."""
+
+    words: int
+    documents: int
+    distinct: int  # words, and the end
+    once: int
+    discount: float
+    unknown: float
+
+    @property
+    def rare(self) -> float:
+        """Discounted counts of all rare words and the unknown one."""
+        return self.once * (1 - self.discount) + self.unknown
+
+    @property
+    def mass(self) -> float:
+        seen = self.distinct - (self.documents > 0)
+        return self.words - self.discount * seen + self.unknown + max(self.documents, 0.5)
+
+
+def _totals(summary: DataFrame) -> Totals:
+    rows = summary.collect()
+    words, documents = (sum(r[c] for r in rows[:1]) for c in ("tokens", "documents"))
+    distinct = sum(r["distinct"] for r in rows)
+    once, twice = sum(r["once"] for r in rows), sum(r["twice"] for r in rows)
+    discount = once / (once + 2 * twice) if once else 0.0
+    unknown = max(discount * distinct, 0.5)
+    return Totals(words, documents, distinct + (documents > 0), once, discount, unknown)
+
+
+def _packed(*arrays: np.ndarray) -> bytes:
+    return zstandard.ZstdCompressor(level=1).compress(pickle.dumps(arrays, protocol=5))
+
+
+def _unpacked(blob: bytes) -> tuple:
+    return pickle.loads(zstandard.ZstdDecompressor().decompress(blob))
+
+
+def _mixed(a: np.ndarray, b: np.ndarray) -> np.ndarray:
+    """64-bit hashes of pairs of hashes, the order of a pair counting."""
+    z = a * np.uint64(0x9E3779B97F4A7C15) + b
+    z = (z ^ (z >> np.uint64(30))) * np.uint64(0xBF58476D1CE4E5B9)
+    z = (z ^ (z >> np.uint64(27))) * np.uint64(0x94D049BB133111EB)
+    return z ^ (z >> np.uint64(31))
+
+
+def _cuts(keys: np.ndarray, buckets: int) -> np.ndarray:
+    """Where each bucket begins in sorted keys; buckets are ranges of hashes."""
+    of_key = ((keys >> np.uint64(32)) * np.uint64(buckets)) >> np.uint64(32)
+    return np.searchsorted(of_key, np.arange(buckets + 1, dtype=np.uint64))
+
+
+def _document_rows(batches: Iterable[pa.RecordBatch], buckets: int) -> Iterator[pa.RecordBatch]:
     for chunk in chunks(batches, lower=True):
         order, _ = dealt(chunk, buckets)
+        hashes = np.fromiter(map(xxhash.xxh3_64_intdigest, chunk.words), np.uint64, len(chunk.words))
         yield pa.RecordBatch.from_arrays(
             [
                 pa.array([chunk.key], pa.int64()),
                 pa.array([chunk.doc_ids], pa.list_(pa.int64())),
+                pa.array([chunk.flags], pa.list_(pa.bool_())),
                 pa.array([chunk.lengths.tolist()], pa.list_(pa.int64())),
                 pa.array([squeeze(chunk.codes)], pa.binary()),
                 pa.array([ordered_blob(order)], pa.binary()),
-                pa.array([squeeze(_symbols(chunk.words, symbol, len(symbol)))], pa.binary()),
+                pa.array([hashes.tobytes()], pa.binary()),
             ],
-            names=["d_chunk", "doc_ids", "lengths", "codes", "word_order", "symbols"],
+            names=["d_chunk", "doc_ids", "flags", "lengths", "codes", "word_order", "hashes"],
         )
 
 
-def _scored(documents: pa.Table, found: pa.Table, model: Model) -> pa.Table:
+def _state(documents: pa.Table, found: pa.Table) -> pa.Table:
+    """A chunk as symbols: words from SYMBOL on, then known rare words, unknown ones, and the end."""
     if not documents.num_rows:
         raise ValueError("the documents were not read in the same order twice")
     by_bucket = dict(zip(found.column("bucket").to_pylist(), found.column("totals").to_pylist()))
     lists = [unsqueeze(by_bucket[b]) for b in sorted(by_bucket)]
     in_order = np.concatenate([*lists, np.empty(0, np.uint32)]).astype(np.int64)
-    out: dict[str, list] = {k: [] for k in ("doc_id", "n_tokens", "n_known", "base_score", "score")}
+    blobs = []
     for row in documents.to_pylist():
         order, codes = ordered_from(row["word_order"]), unsqueeze(row["codes"]).astype(np.int64)
         if len(order) != len(in_order):
             raise ValueError("the documents were not read in the same order twice")
         totals = np.empty(len(order), dtype=np.int64)
         totals[order] = in_order
-        lengths = np.array(row["lengths"], dtype=np.int64)
-        known, base, score = model.scores(codes, lengths, unsqueeze(row["symbols"]).astype(np.int64), totals)
-        out["doc_id"] += row["doc_ids"]
-        out["n_tokens"] += (lengths + 1).tolist()
-        out["n_known"] += known.tolist()
-        out["base_score"] += base.tolist()
-        out["score"] += score.tolist()
-    kinds = {"base_score": pa.float64(), "score": pa.float64()}
-    return pa.table({k: pa.array(v, kinds.get(k, pa.int64())) for k, v in out.items()})
+        often = totals >= SYMBOL
+        n = int(often.sum())
+        of_word = np.where(often, np.cumsum(often) - 1, np.where(totals > 0, n, n + 1))
+        x = _sequence(codes, np.array(row["lengths"], dtype=np.int64), of_word, n + 2)
+        hashes = np.frombuffer(row["hashes"], np.uint64)[often]
+        kept = (row["doc_ids"], row["flags"], squeeze(x), squeeze(totals[often]), hashes.tobytes())
+        blobs.append(pickle.dumps(kept))
+    zeros = pa.array([0] * len(blobs), pa.int32())
+    chunk = pa.array(documents.column("d_chunk").to_pylist(), pa.int64())
+    return pa.table({"chunk": chunk, "kind": zeros, "bucket": zeros, "blob": pa.array(blobs, pa.binary())})
+
+
+class _Walk:
+    """The tokens of a chunk, level by level, as far as the buckets have answered.
+
+    Answers come in the order of the sorted hashes that were asked for. ``p`` is the
+    probability of each next symbol under the contexts answered so far, which is also
+    what the next level is tested against.
+    """
+
+    def __init__(self, group: pa.Table, totals: Totals):
+        kinds, buckets, blobs = (group.column(c).to_pylist() for c in ("kind", "bucket", "blob"))
+        states = [b for k, b in zip(kinds, blobs) if k == 0]
+        self.copies = len(states)
+        self.answers: dict[int, dict[int, bytes]] = {}
+        for kind, bucket, blob in zip(kinds, buckets, blobs):
+            if kind:
+                self.answers.setdefault(kind, {})[bucket] = blob
+        self.doc_ids, flags, x, counts, hashes = pickle.loads(states[0])
+        self.flags = np.array(flags, dtype=bool)
+        self.x = unsqueeze(x).astype(np.int64)
+        counts = unsqueeze(counts).astype(np.int64)
+        self.rare = len(counts)
+        self.end = self.rare + 2
+        self.all = totals
+        self.counts = np.concatenate([counts, [totals.once, totals.once, totals.documents]])
+        tail = np.array([RARE_HASH, RARE_HASH, END_HASH], np.uint64)
+        self.hashes = np.concatenate([np.frombuffer(hashes, np.uint64), tail])[self.x]
+        self.nxt = self.x[1:]
+        self.lengths = np.diff(np.flatnonzero(self.x == self.end)) - 1
+        self.train = np.repeat(self.flags, self.lengths + 1)
+        root = np.concatenate([counts - totals.discount, [totals.rare, totals.rare, max(totals.documents, 0.5)]])
+        self.p = (root / totals.mass)[self.nxt]
+        self.context = self.hashes[:-1]
+        self.times = self.counts[self.x[:-1]]  # training count of each context
+        self.at = np.arange(len(self.nxt))
+        self._grams()
+
+    def _grams(self) -> None:
+        """Distinct grams: the contexts and the symbols behind them."""
+        keys = _mixed(self.context, self.hashes[1:][self.at])
+        self.keys = keys
+        self.grams, self.first, self.of_gram = np.unique(keys, return_index=True, return_inverse=True)
+
+    def _answer(self, kind: int) -> list[np.ndarray]:
+        """The answers of all buckets, one after the other."""
+        found = self.answers.get(kind, {})
+        parts = [_unpacked(found[b]) for b in sorted(found)]
+        out = [np.concatenate(p) for p in zip(*parts)]
+        return out or [np.empty(0, np.uint32), np.empty(0, bool)]
+
+    def gram_rows(self) -> tuple[np.ndarray, list[np.ndarray]]:
+        n = np.bincount(self.of_gram[self.train[self.at]], minlength=len(self.grams)) * self.copies
+        return self.grams, [n.astype(np.uint32)]
+
+    def counted(self, level: int) -> None:
+        """Take the counts of the grams in; contexts and what this chunk has to say of them."""
+        self.n_gram, self.own = self._answer(2 * level)
+        self.n = self.n_gram.astype(np.int64)[self.of_gram]
+        self.contexts, at, self.of_context = np.unique(self.context, return_index=True, return_inverse=True)
+        self.total = self.times[at]
+
+    def context_rows(self) -> tuple[np.ndarray, list[np.ndarray]]:
+        """Sums over the stored grams that this chunk reports, for each of its contexts."""
+        own = np.flatnonzero(self.own)
+        n = self.n_gram[own].astype(np.float64)
+        place = self.first[own]
+        context, p = self.of_context[place], self.p[self.at[place]]
+        many = len(self.contexts)
+        each = n * np.log(n / np.maximum(p, 1e-300))
+        sums = [np.bincount(context, w, minlength=many).astype(float) for w in (n, np.ones(len(n)), each, p)]
+        return self.contexts, [self.total, *sums]
+
+    def mixed(self, level: int) -> None:
+        """Take the test of the contexts in."""
+        left = self._answer(2 * level + 1)[0][self.of_context] if len(self.contexts) else np.empty(0)
+        kept = left >= 0
+        at = self.at[kept]
+        self.p[at] = self.n[kept] / (self.times[kept] + PRIOR) + left[kept] * self.p[at]
+
+    def longer(self) -> None:
+        """Contexts with one symbol more: the grams that were found often enough, inside a document."""
+        inside = (self.n >= CONTEXT) & (self.nxt[self.at] != self.end)
+        self.context, self.times = self.keys[inside], self.n[inside]
+        self.at = self.at[inside] + 1
+        self._grams()
+
+
+def _rows_of(walk: _Walk, chunk: int, level: int, buckets: int) -> Iterator[tuple]:
+    """Messages of a round: grams of ``level``, and contexts of the level before."""
+
+    def messages(kind: int, keys: np.ndarray, body: list[np.ndarray]) -> Iterator[tuple]:
+        cuts = _cuts(keys, buckets)
+        for b in np.flatnonzero(np.diff(cuts)):
+            span = slice(cuts[b], cuts[b + 1])
+            yield chunk, kind, int(b), keys[span].tobytes(), _packed(*[a[span] for a in body])
+
+    for depth in range(1, level):
+        walk.counted(depth)
+        if depth < level - 1:
+            walk.mixed(depth)
+        else:
+            yield from messages(2 * depth + 1, *walk.context_rows())
+        if depth < DEPTH:
+            walk.longer()
+    if level <= DEPTH:
+        yield from messages(2 * level, *walk.gram_rows())
+
+
+def _asking(totals: Totals, level: int, buckets: int) -> Callable[[pa.Table], pa.Table]:
+    kinds = {"chunk": pa.int64(), "kind": pa.int32(), "bucket": pa.int32(), "keys": pa.binary(), "body": pa.binary()}
+
+    def messages(group: pa.Table) -> pa.Table:
+        chunk = group.column("chunk")[0].as_py()
+        rows = list(_rows_of(_Walk(group, totals), chunk, level, buckets))
+        columns = list(zip(*rows)) or [()] * len(kinds)
+        return pa.table({k: pa.array(c, kind) for (k, kind), c in zip(kinds.items(), columns)})
+
+    return messages
+
+
+def _answers(group: pa.Table) -> pa.Table:
+    """Counts of the grams of a bucket, or the divergence test of its contexts, for each chunk."""
+    group = group.sort_by("chunk")
+    keys = [np.frombuffer(b.as_buffer(), np.uint64) for b in group.column("keys")]
+    bodies = [np.concatenate(a) for a in zip(*(_unpacked(b.as_py()) for b in group.column("body")))]
+    every, first, place = np.unique(np.concatenate(keys), return_index=True, return_inverse=True)
+    kind = group.column("kind")[0].as_py()
+    if kind % 2 == 0:
+        n = np.bincount(place, bodies[0], minlength=len(every)).astype(np.int64)
+        n[n < ENTRY] = 0
+        # One chunk reports a gram to its context, so that it counts once.
+        own = np.zeros(len(place), dtype=bool)
+        own[first[n > 0]] = True
+        out = [n[place].astype(np.uint32), own]
+    else:
+        total = bodies[0][first]
+        stored, many, gain, expected = (np.bincount(place, a, minlength=len(every)) for a in bodies[1:])
+        # Counts times log ratios of all stored symbols, and of the rest taken together.
+        gain = gain - stored * np.log(np.maximum(total, 1))
+        rest = np.maximum(total - stored, 0)
+        ratio = (rest / np.maximum(total, 1)) / np.maximum(1 - expected, 1e-12)
+        gain += np.where(rest > 0, rest * np.log(np.maximum(ratio, 1e-12)), 0)
+        kept = (gain > DIVERGENCE * np.maximum(many, 1)) & (many > 0)
+        out = [np.where(kept, 1 - stored / (total + PRIOR), -1.0)[place]]
+    cuts = np.cumsum([0, *map(len, keys)])
+    blobs = [_packed(*[a[i:j] for a in out]) for i, j in zip(cuts, cuts[1:])]
+    return group.select(["chunk", "kind", "bucket"]).append_column("blob", pa.array(blobs, pa.binary()))
+
+
+def _scored(group: pa.Table, totals: Totals) -> pa.Table:
+    walk = _Walk(group, totals)
+    for level in range(1, DEPTH + 1):
+        walk.counted(level)
+        walk.mixed(level)
+        if level < DEPTH:
+            walk.longer()
+    unseen, rare = walk.nxt == walk.rare + 1, walk.nxt >= walk.rare
+    count = walk.counts[walk.nxt]
+    rare &= walk.nxt != walk.end
+    count[rare] = np.where(unseen[rare], 0, 1)
+    base = np.log10((count + 0.5) / (totals.words + totals.documents + 0.5 * (totals.distinct + 1)))
+    # A rare word has its part of the rare symbol; unknown words share one part.
+    single = np.where(unseen, totals.unknown, count - totals.discount)
+    p = np.where(rare, walk.p * single / totals.rare, walk.p)
+    starts = np.cumsum(walk.lengths + 1) - walk.lengths - 1
+    n = walk.copies
+
+    def summed(values: np.ndarray) -> np.ndarray:
+        return np.tile(np.add.reduceat(values, starts), n)
+
+    return pa.table({
+        "doc_id": pa.array(walk.doc_ids * n, pa.int64()),
+        "n_tokens": pa.array(np.tile(walk.lengths + 1, n), pa.int64()),
+        "n_known": pa.array(summed((count > 0).astype(np.int64)), pa.int64()),
+        "base_score": pa.array(summed(base), pa.float64()),
+        "score": pa.array(summed(np.log10(np.maximum(p, 1e-300))), pa.float64()),
+    })
 
 
 def score(docs: DataFrame, modulus: int = 5, remainder: int = 1, buckets: int | None = None) -> DataFrame:
@@ -354,19 +600,21 @@ def score(docs: DataFrame, modulus: int = 5, remainder: int = 1, buckets: int |
 
     Tokens are words between ASCII white space, A-Z in lower case, then one end.
     The tree is learnt from the documents whose crc32 of the doc_id does not leave
-    ``remainder``. Its symbols are the frequent words, all rarer words together,
-    and the end. Contexts of up to ``DEPTH`` symbols are tried where they make up a
-    share of ``CONTEXT`` of the tokens; one stays if the divergence of its
-    next-symbol distribution from that of its suffix, times its count, exceeds a
-    charge for each stored symbol. A distribution is mixed with that of the longest
-    shorter suffix in the tree, down to the single words, whose counts are discounted
-    in favour of one event for unknown words. All probabilities of next words and
-    that event add up to one.
-
-    Counts are taken over all training documents. The shares bound the tree (at most
-    1 / ENTRY next symbols a level), so it is sent to all tasks; the counts of all
-    single words, which are not bounded, are summed by hash bucket and come back to
-    each chunk of documents by position.
+    ``remainder``. Its symbols are the words seen ``SYMBOL`` times, all rarer words
+    together, and the end. Contexts of up to ``DEPTH`` symbols are tried where they
+    occur ``CONTEXT`` times; one stays if the divergence of its next-symbol
+    distribution from that of its suffix, times its count, exceeds a charge for each
+    stored symbol (seen there ``ENTRY`` times). A distribution is mixed with that of
+    the longest shorter suffix in the tree, down to the single words, whose counts are
+    discounted in favour of one event for unknown words. All probabilities of next
+    words and that event add up to one.
+
+    Counts are taken over all training documents, and none of these numbers depends on
+    how many there are, so the tree grows with the corpus. No process holds it: chunks
+    of documents send their distinct words, grams and contexts to hash buckets, which
+    sum them, make the test and answer by position. A gram reaches its context through
+    one chunk, as sums, so a frequent context is one row a chunk. 64-bit hashes stand
+    for grams.
 
     Returns doc_id, n_tokens, n_known, base_score, score, train_tokens. Null text is
     empty: one token. A null doc_id counts as empty text for the split. Repeated rows
@@ -378,18 +626,22 @@ def score(docs: DataFrame, modulus: int = 5, remainder: int = 1, buckets: int |
     train = ~held_out(remainder, modulus)
     slim = docs.select(F.col("doc_id").cast("long").alias("doc_id"), train.alias("flag"), "text")
     words = slim.mapInArrow(lambda it: _word_rows(it, n), WORDS)
-    counted = settled(words.groupBy("bucket").applyInArrow(_counted_bucket, COUNTED), "lm-words")
-    model = _fit(slim, counted.filter(F.col("chunk").isNull()).drop("chunk", "bucket", "totals"))
-    sent = spark.sparkContext.broadcast(model)
+    counted = settled(
+        words.groupBy("bucket").applyInArrow(lambda t: _counted(t), COUNTED), "lm-words"
+    )
+    totals = _totals(counted.filter(F.col("chunk").isNull()).drop("chunk", "bucket", "totals"))
     documents = slim.mapInArrow(
-        lambda it: _document_rows(it, n, sent.value.symbol),
-        "d_chunk long, doc_ids array<long>, lengths array<long>, codes binary, word_order binary,"
-        " symbols binary",
+        lambda it: _document_rows(it, n),
+        "d_chunk long, doc_ids array<long>, flags array<boolean>, lengths array<long>, codes binary,"
+        " word_order binary, hashes binary",
     )
-    totals = counted.filter(F.col("chunk").isNotNull()).select("chunk", "bucket", "totals")
-    scored = (
-        documents.groupBy("d_chunk")
-        .cogroup(totals.groupBy("chunk"))
-        .applyInArrow(lambda d, t: _scored(d, t, sent.value), SCORED)
+    found = counted.filter(F.col("chunk").isNotNull()).select("chunk", "bucket", "totals")
+    held = settled(
+        documents.groupBy("d_chunk").cogroup(found.groupBy("chunk")).applyInArrow(_state, STATE), "lm-chunks"
     )
-    return scored.withColumn("train_tokens", F.lit(model.tokens).cast("long"))
+    for level in range(1, DEPTH + 2):
+        asked = held.groupBy("chunk").applyInArrow(_asking(totals, level, n), MESSAGE)
+        answered = asked.groupBy("kind", "bucket").applyInArrow(_answers, STATE)
+        held = held.unionAll(settled(answered, f"lm-level-{level}"))
+    scored = held.groupBy("chunk").applyInArrow(lambda t: _scored(t, totals), SCORED)
+    return scored.withColumn("train_tokens", F.lit(totals.words + totals.documents).cast("long"))

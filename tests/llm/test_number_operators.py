@@ -282,3 +282,41 @@ def test_suffix_tree_of_nothing(spark):
     only = suffix_tree.score(documents(spark, [(1, None), (2, "a")])).collect()
     assert {(r.doc_id, r.n_tokens) for r in only} == {(1, 1), (2, 2)}
     assert all(math.isfinite(r.score) and math.isfinite(r.base_score) for r in only)
+
+
+def test_suffix_tree_is_that_of_one_process(spark):
+    from staveline.llm.chunks import chunks
+    from staveline.llm.common import held_out
+
+    rows = [*language_rows(), *language_rows()[:30]]
+    docs = documents(spark, rows).select("doc_id", (~held_out(1, 5)).alias("flag"), "text").coalesce(1)
+    words = docs.mapInArrow(lambda it: suffix_tree._word_rows(it, 2), suffix_tree.WORDS)
+    counted = words.groupBy("bucket").applyInArrow(suffix_tree._counted_bucket, suffix_tree.COUNTED)
+    model = suffix_tree._fit(docs, counted.filter("chunk IS NULL").drop("chunk", "bucket", "totals"))
+    assert len(model.levels) == 3 and all(level.kept.any() for level in model.levels)
+    (chunk,) = chunks(docs.toArrow().to_batches(), lower=True)
+    tokens = np.repeat(np.array(chunk.flags), chunk.lengths)
+    totals = np.bincount(chunk.codes[tokens], minlength=len(chunk.words))
+    of_word = suffix_tree._symbols(chunk.words, model.symbol, len(model.symbol))
+    scores = model.scores(chunk.codes, chunk.lengths, of_word, totals)[2]
+    want = sorted(((d or 0), round(float(s), 6)) for d, s in zip(chunk.doc_ids, scores))
+    for pieces in (1, 4):
+        out = suffix_tree.score(documents(spark, rows).repartition(pieces), buckets=5).collect()
+        got = sorted(((r.doc_id or 0), round(r.score, 6)) for r in out)
+        assert [d for d, _ in got] == [d for d, _ in want]
+        assert np.allclose([s for _, s in got], [s for _, s in want], rtol=1e-7, atol=2e-6)
+
+
+def test_a_passage_is_learnt_whatever_else_there_is(spark):
+    passage = " ".join(f"passage{i}" for i in range(40))
+    few = [(i, passage) for i in range(8)]
+    pick = random.Random(5)
+    # Common words, and words that occur once.
+    drawn = lambda: " ".join(f"w{pick.randrange(300)} once{pick.getrandbits(60)}" for _ in range(300))
+    many = [(100 + i, drawn()) for i in range(400)]
+    gains = []
+    for rows in (few + many[:4], few + many):
+        out = suffix_tree.score(documents(spark, rows), buckets=3).collect()
+        gains.append(next(r.score / r.base_score for r in out if r.doc_id == 0))
+    # Less than half the digits of the base, on the larger table as on the small one.
+    assert all(g < 0.5 for g in gains)
