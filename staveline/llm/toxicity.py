@@ -24,13 +24,30 @@ FEATURES = 20_000
 CACHED_WORDS = 500_000
 THRESHOLD = 0.7
 
-_PARTS = re.compile(r"\w+|[.!?\n]+")
+# Longer runs of letters are not one word.
+LONGEST_WORD = 40
+# Pieces of text in scripts without spaces that are features, wherever they begin.
+PIECES = range(1, 10)
+# Thai, Lao, Burmese, Khmer, kana, Chinese characters, half-width kana.
+_UNSPACED = (
+    "\u0e00-\u0eff\u1000-\u109f\u1780-\u17ff\u3005-\u3007\u3040-\u30fa\u30fc-\u30ff\u31f0-\u31ff"
+    "\u3400-\u4dbf\u4e00-\u9fff\uf900-\ufaff\uff66-\uff9f\U00020000-\U0003134f"
+)
+_PARTS = re.compile(rf"[{_UNSPACED}]+|[^\W_{_UNSPACED}]+|[.!?\n]+")
+_FIRST_UNSPACED = re.compile(f"[{_UNSPACED}]")
 
 
 def _features(word: str) -> list[str]:
-    """The whole word and its beginnings; of a very long word only what its beginnings say."""
-    stems = [word[:n] for n in STEMS if n < len(word)]
-    return [*stems, f"{word}$"] if len(word) <= 40 else stems
+    """The whole word and its beginnings, each once.
+
+    Where words are not told apart, in scripts without spaces and in very long runs,
+    a word may begin at any place; those that begin elsewhere have the same features.
+    """
+    unspaced = _FIRST_UNSPACED.match(word)
+    if unspaced or len(word) > LONGEST_WORD:
+        sizes = PIECES if unspaced else STEMS
+        return list(dict.fromkeys(word[i : i + n] for i in range(len(word)) for n in sizes if i + n <= len(word)))
+    return [*(word[:n] for n in STEMS if n < len(word)), f"{word}$"]
 
 
 def sentences(text: str) -> Iterator[tuple[int, int, list[str]]]:
@@ -59,10 +76,11 @@ class _Weights(dict):
         self.weights = weights
 
     def __missing__(self, word: str) -> float:
-        if len(self) >= CACHED_WORDS:
-            self.clear()
         found = sum(self.weights.get(f, 0.0) for f in _features(word))
-        self[word] = found
+        if len(word) <= LONGEST_WORD:
+            if len(self) >= CACHED_WORDS:
+                self.clear()
+            self[word] = found
         return found
 
 
@@ -223,8 +241,9 @@ def score(
 ) -> DataFrame:
     """The toxicity of every whole text, and where it is.
 
-    Sentences end at . ! ? and line ends. A sentence is scored by its words and
-    their beginnings, the document by the noisy-or of its sentences; ``sentences``
+    Sentences end at . ! ? and line ends; underscores part words. A sentence is scored
+    by its words and their beginnings, text without spaces and very long runs of
+    letters by the pieces that begin at each place, the document by the noisy-or of its sentences; ``sentences``
     has the character spans of those above one half. ``predicted`` is 1 from a score
     of 0.7. Only the text is an input of a score.
 

@@ -177,6 +177,32 @@ def test_toxicity_learns_and_locates(spark):
             assert not any("gobl" not in text[s.start : s.end] for s in r.sentences)
 
 
+def test_toxicity_is_seen_at_any_place_of_a_run(spark):
+    docs, labels = labelled(spark)
+    glued = [(10**6, "a_fine_rotten_goblins_day"), (10**6 + 1, "zyx" * 20 + "rottengoblins" + "zyx" * 20)]
+    fine = [(10**6 + 2, "a_fine_and_sunny_day"), (10**6 + 3, "zyx" * 40)]
+    out = toxicity.score(documents(spark, [*docs, *glued, *fine]), labels).collect()
+    score = {r.doc_id: r.score for r in out}
+    assert all(score[d] > 100 * score[e] for (d, _), (e, _) in zip(glued, fine))
+    assert all(score[d] >= 0.7 for d, _ in glued)
+
+
+def test_toxicity_of_text_without_spaces(spark):
+    pick = random.Random(11)
+    letters = "天地玄黄宇宙洪荒日月盈昃辰宿列张寒来暑往秋收冬藏"
+    docs, labels = [], []
+    for i in range(400):
+        text = "".join(pick.choices(letters, k=60))
+        at = pick.randint(15, 55)
+        docs.append((i, f"{text[:at]}坏蛋{text[at:]}" if i % 4 == 0 else text))
+        labels.append((i, int(i % 4 == 0)))
+    given = spark.createDataFrame(labels, "doc_id long, toxic int")
+    out = toxicity.score(documents(spark, docs), given).collect()
+    assert {r.doc_id: r.predicted for r in out if r.held_out} == {
+        d: t for d, t in labels if zlib.crc32(str(d).encode()) % 3 == 1
+    }
+
+
 def test_toxicity_without_labels_or_rows(spark):
     docs, labels = labelled(spark, 20)
     none = toxicity.score(documents(spark, docs), labels.limit(0))
