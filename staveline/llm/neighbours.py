@@ -15,6 +15,8 @@ from staveline.session import settled
 QUERY_BLOCK = 1024
 CANDIDATE_BLOCK = 4096
 TILE = 256
+# Columns whose int8 products add up to less than 2^24.
+SLICE = 1000
 
 FOUND = "query_id long, vec_id long, score double"
 
@@ -38,7 +40,8 @@ def _tile(queries: pa.Table, candidates: pa.Table, k: int) -> pa.Table:
 
     <x, y> differs from the product of the quantised rows by no more than
     |x'||ey| + |ex||y'| + |ex||ey|; integer products are exact in float32, as
-    each is below 2^24. A pair whose upper bound is below the k-th best lower
+    those of a slice of the columns are below 2^24, and slices are added in double
+    precision. A pair whose upper bound is below the k-th best lower
     bound of its query cannot be among the k best; all others are recomputed.
     """
     if not queries.num_rows or not candidates.num_rows:
@@ -48,15 +51,16 @@ def _tile(queries: pa.Table, candidates: pa.Table, k: int) -> pa.Table:
     c_ids = candidates.column("c_id").to_numpy()
     order = np.argsort(c_ids, kind="stable")
     c, c_ids = c[order], c_ids[order]
-    if q.shape[1] >= 1024:  # products would no longer be exact
-        raise ValueError("vectors of 1024 or more numbers need wider tiles")
     q8, q_scale, q_norm, q_miss = _quantised(q)
     c8, c_scale, c_norm, c_miss = _quantised(c)
     right = c8.T.astype(np.float32)
     found: list[tuple[int, int, float]] = []
     for at in range(0, len(q), TILE):
         rows = slice(at, at + TILE)
-        near = (q8[rows].astype(np.float32) @ right).astype(np.float64)
+        near = np.zeros((len(q8[rows]), len(c_ids)))
+        for column in range(0, len(right), SLICE):
+            part = slice(column, column + SLICE)
+            near += q8[rows, part].astype(np.float32) @ right[part]
         near *= q_scale[rows, None] * c_scale[None, :]
         slack = (
             q_norm[rows, None] * c_miss[None, :]
@@ -117,8 +121,8 @@ def nearest(
     Returns query_id, rank (from 1, ties to the smaller vec_id), vec_id and score.
     Vectors that are null, empty, zero, or hold null or non-finite numbers, and rows
     without a vec_id, take no part. Of rows with the same vec_id the smallest vector
-    counts. Vectors of different lengths are not compared. Other columns are not
-    read. An empty table gives an empty table.
+    counts. Vectors may be of any length; those of different lengths are not compared.
+    Other columns are not read. An empty table gives an empty table.
     """
     usable = settled(_usable(vectors).withColumn("dim", F.size("vector")), "vectors")
     rows = usable.count()

@@ -124,6 +124,14 @@ def test_neighbours_of_few_or_none(spark):
     assert neighbours.nearest(vectors(spark, [])).count() == 0
 
 
+def test_neighbours_of_any_width(spark):
+    pick = np.random.default_rng(6)
+    wide = [(i, [float(x) for x in pick.integers(-9, 10, n)]) for n in (1024, 2100) for i in range(n, n + 30)]
+    rows = [*wide, (0, [1.0, 0.0]), (1, [0.5, 0.5])]
+    got = neighbours.nearest(vectors(spark, rows), k=4, every=20)
+    assert found(got, "query_id", "rank", "vec_id", "score") == nearest_by_hand(rows, 4, 20)
+
+
 def test_tiles_drop_only_what_the_bounds_rule_out():
     pick = np.random.default_rng(5)
     q = pick.normal(size=(40, 64))
