@@ -2,10 +2,13 @@
 
 from __future__ import annotations
 
-import re
+import io
 import tempfile
 import uuid
+import zipfile
+from pathlib import Path
 
+from pyspark import SparkConf
 from pyspark.sql import DataFrame, SparkSession
 
 RUNTIME_SETTINGS = {
@@ -29,8 +32,34 @@ def tune(spark: SparkSession) -> SparkSession:
     return spark
 
 
+def ship_package(spark: SparkSession) -> SparkSession:
+    """Send this package to the Python workers, once a session.
+
+    For operators with Python in their tasks, so that they run from any working
+    directory. The package lies in the shared scratch folder, where workers fetch it.
+    """
+    context = spark.sparkContext
+    if getattr(context, "_staveline_shipped", None) is None:
+        packed, root = io.BytesIO(), Path(__file__).resolve().parent
+        with zipfile.ZipFile(packed, "w", zipfile.ZIP_DEFLATED) as archive:
+            for file in sorted(root.rglob("*.py")):
+                archive.write(file, str(file.relative_to(root.parent)))
+        target = scratch_folder(spark, "staveline") + ".zip"
+        path = context._jvm.org.apache.hadoop.fs.Path(target)
+        out = path.getFileSystem(context._jsc.hadoopConfiguration()).create(path)
+        out.write(bytearray(packed.getvalue()))
+        out.close()
+        context.addPyFile(target)
+        context._staveline_shipped = target
+    return spark
+
+
 def local_session(cores: str = "*", app: str = "staveline", memory: str = "8g") -> SparkSession:
-    """A session for tests and small runs on one machine."""
+    """A session for tests and small runs on one machine.
+
+    Unless Spark's own settings name a shared folder, it gets a new one.
+    """
+    given = SparkConf().get("spark.checkpoint.dir")
     builder = (
         SparkSession.builder.master(f"local[{cores}]")
         .appName(app)
@@ -40,21 +69,21 @@ def local_session(cores: str = "*", app: str = "staveline", memory: str = "8g")
         .config("spark.ui.showConsoleProgress", "false")
         .config("spark.sql.session.timeZone", "UTC")
     )
+    if not given:
+        builder = builder.config("spark.checkpoint.dir", tempfile.mkdtemp(prefix="staveline-"))
     return tune(builder.getOrCreate())
 
 
 def scratch_folder(spark: SparkSession, label: str) -> str:
     """A new path below the shared folder named by ``spark.checkpoint.dir``.
 
-    A cluster has to name one. A session on one machine that names none gets a
-    folder once, written into its settings, so that everything lies in one place.
+    The folder is set when the session is built; ``local_session`` does so.
     """
     base = spark.conf.get("spark.checkpoint.dir", None)
     if not base:
-        if not re.fullmatch(r"local(\[[^-]*\])?", spark.sparkContext.master):
-            raise ValueError("set spark.checkpoint.dir to a folder all executors share")
-        base = tempfile.mkdtemp(prefix="staveline-")
-        spark.conf.set("spark.checkpoint.dir", base)
+        raise ValueError(
+            "build the session with spark.checkpoint.dir, a folder that the driver and all executors share"
+        )
     return f"{base.rstrip('/')}/{label}-{uuid.uuid4().hex}"
 
 

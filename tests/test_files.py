@@ -1,9 +1,10 @@
 """Tables, exports and the streaming intake."""
 
 import os
+import subprocess
+import sys
 import time
 from datetime import datetime
-from types import SimpleNamespace
 
 import pytest
 from pyspark.sql import functions as F
@@ -49,24 +50,59 @@ def test_csv_exports(spark, tmp_path):
     assert {"artist_folder=Yo_No", "artist_folder=Tu"} <= set(os.listdir(folder))
 
 
-def test_scratch_folder_is_taken_from_the_session():
-    def session(master, **settings):
-        return SimpleNamespace(
-            conf=SimpleNamespace(
-                get=lambda key, default: settings.get(key.replace(".", "_"), default),
-                set=lambda key, value: settings.update({key.replace(".", "_"): value}),
-            ),
-            sparkContext=SimpleNamespace(master=master),
-        )
-
-    shared = session("spark://host", spark_checkpoint_dir="hdfs:///shared/")
-    assert scratch_folder(shared, "x").startswith("hdfs:///shared/x-")
-    local = session("local[2]")
-    one, two = scratch_folder(local, "x"), scratch_folder(local, "x")
-    assert one != two and os.path.dirname(one) == os.path.dirname(two)
-    for master in ("spark://host", "local-cluster[2,1,1024]"):
-        with pytest.raises(ValueError):
-            scratch_folder(session(master), "x")
+STORE = """
+import sys
+from pyspark.sql import SparkSession
+from staveline.session import local_session, scratch_folder, settled
+if sys.argv[1] == "own":
+    spark = SparkSession.builder.master("local[1]").config("spark.ui.enabled", "false").getOrCreate()
+    try:
+        scratch_folder(spark, "x")
+    except ValueError as error:
+        print("refused:", "spark.checkpoint.dir" in str(error))
+else:
+    spark = local_session("1", "alone")
+    one, two = settled(spark.range(3), "x"), settled(spark.range(4), "x")
+    print("stored:", one.count(), two.count(), one.stored_in != two.stored_in)
+"""
+
+
+@pytest.mark.parametrize(("session", "said"), [("library", "stored: 3 4 True"), ("own", "refused: True")])
+def test_sessions_without_settings_of_their_machine(tmp_path, session, said):
+    """Real sessions, with no defaults that name a checkpoint folder."""
+    root = os.path.dirname(os.path.dirname(os.path.abspath(__file__)))
+    env = {**os.environ, "SPARK_CONF_DIR": str(tmp_path), "PYTHONPATH": root}
+    run = subprocess.run([sys.executable, "-c", STORE, session], cwd=tmp_path, env=env, capture_output=True, text=True)
+    assert said in run.stdout, run.stderr[-2000:]
+
+
+def test_scratch_folder_is_taken_from_the_session(spark):
+    one, two = scratch_folder(spark, "x"), scratch_folder(spark, "x")
+    base = spark.conf.get("spark.checkpoint.dir").rstrip("/")
+    assert one != two and one.startswith(f"{base}/x-")
+
+
+WORKER = """
+import sys
+sys.path.insert(0, sys.argv[1])
+from staveline.functions import text
+from staveline.session import local_session, ship_package
+
+spark = ship_package(ship_package(local_session("1", "elsewhere")))
+
+def names(batches):
+    import staveline.session
+    yield from batches
+
+print("rows:", spark.range(3).mapInArrow(names, "id long").count())
+"""
+
+
+def test_workers_find_the_package_from_anywhere(tmp_path):
+    root = os.path.dirname(os.path.dirname(os.path.abspath(__file__)))
+    env = {k: v for k, v in os.environ.items() if k != "PYTHONPATH"}
+    run = subprocess.run([sys.executable, "-c", WORKER, root], cwd=tmp_path, env=env, capture_output=True, text=True)
+    assert "rows: 3" in run.stdout, run.stderr[-2000:]
 
 
 def test_stored_frames_can_be_released(spark):
