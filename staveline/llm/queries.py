@@ -9,6 +9,7 @@ from pyspark.sql import functions as F
 
 from staveline.llm import (
     bpe,
+    collocations,
     copies,
     licenses,
     lines,
@@ -16,12 +17,14 @@ from staveline.llm import (
     ngram_join,
     packing,
     sharding,
+    spelling,
+    substrings,
     suffix_tree,
     toxicity,
 )
 from staveline.llm.common import held_out, table
 from staveline.llm.tokens import vocabulary_path
-from staveline.session import tune
+from staveline.session import ship_package, tune
 
 Query = Callable[[SparkSession, str], DataFrame]
 QUERIES: dict[str, Query] = {}
@@ -30,7 +33,7 @@ SQL: dict[str, str] = {}
 
 def register(name: str, sql: str | None = None) -> Callable[[Query], Query]:
     def keep(query: Query) -> Query:
-        QUERIES[name] = lambda spark, sf_dir: query(tune(spark), sf_dir)
+        QUERIES[name] = lambda spark, sf_dir: query(ship_package(tune(spark)), sf_dir)
         if sql is not None:
             SQL[name] = sql
         return query
@@ -153,3 +156,92 @@ def op10(spark: SparkSession, sf_dir: str) -> DataFrame:
     return scored.select(
         "doc_id", out, "n_tokens", "n_known", "train_tokens", "base_score", "score"
     )
+
+
+@register(
+    "op11_substrings",
+    r"""
+    WITH split AS (
+        SELECT rowid AS row, doc_id,
+               [w FOR w IN regexp_split_to_array(coalesce(text, ''), '[ \t\n\x0b\x0c\r]+') IF w <> ''] AS words
+        FROM (SELECT *, row_number() OVER () AS rowid FROM documents)
+    ), windows AS (
+        SELECT row, doc_id, i, array_to_string(words[i : i + 12], ' ') AS passage
+        FROM (SELECT *, unnest(range(1, len(words) - 11)) AS i FROM split)
+    ), first AS (
+        SELECT passage, min(doc_id) AS least FROM windows GROUP BY passage HAVING min(doc_id) < max(doc_id)
+    ), gone AS (
+        SELECT DISTINCT row, unnest(range(i, i + 13)) AS i
+        FROM windows JOIN first USING (passage) WHERE least < doc_id
+    ), places AS (
+        SELECT row, doc_id, i, words[i] AS word FROM (SELECT *, unnest(range(1, len(words) + 1)) AS i FROM split)
+    ), marked AS (
+        SELECT p.*, g.i IS NOT NULL AS gone FROM places p LEFT JOIN gone g ON p.row = g.row AND p.i = g.i
+    ), kept AS (
+        SELECT row, count(*) AS n, count(*) FILTER (gone) AS n_gone,
+               coalesce(string_agg(word, ' ' ORDER BY i) FILTER (NOT gone), '') AS text
+        FROM marked GROUP BY row
+    )
+    SELECT s.doc_id, coalesce(k.n, 0) AS n_words, coalesce(k.n_gone, 0) AS n_removed,
+           sha256(coalesce(k.text, '')) AS kept_sha256
+    FROM split s LEFT JOIN kept k ON s.row = k.row
+    """,
+)
+def op11(spark: SparkSession, sf_dir: str) -> DataFrame:
+    kept = substrings.dedup_substrings(table(spark, sf_dir, "documents"), words=13)
+    kept_sha = F.sha2(F.col("kept").cast("binary"), 256)
+    return kept.select("doc_id", "n_words", "n_removed", kept_sha.alias("kept_sha256"))
+
+
+@register("op12_spelling")
+def op12(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return spelling.variants(table(spark, sf_dir, "documents"), min_letters=6, min_count=5, ratio=5, noise=199)
+
+
+@register(
+    "op13_collocations",
+    r"""
+    WITH pieces AS (
+        SELECT coalesce(lang, 'und') AS lang, unnest(regexp_split_to_array(
+            translate(coalesce(text, ''), 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz'),
+            '[.,;:!?\n\x0b\x0c\r]')) AS piece
+        FROM documents
+    ), split AS (
+        SELECT lang, [w FOR w IN regexp_split_to_array(piece, '[ \t]+') IF w <> ''] AS words FROM pieces
+    ), totals AS (
+        SELECT lang, sum(len(words)) AS n FROM split GROUP BY lang
+    ), grams AS (
+        SELECT lang, size, array_to_string(words[i : i + size - 1], ' ') AS phrase
+        FROM (SELECT lang, words, size, unnest(range(1, len(words) - size + 2)) AS i
+              FROM split, (SELECT unnest(range(1, 6)) AS size))
+    ), counted AS (
+        SELECT lang, size, phrase, count(*) AS f FROM grams GROUP BY ALL HAVING count(*) >= 100
+    ), listed AS (
+        SELECT *, string_split(phrase, ' ') AS words FROM counted
+    ), longer AS (
+        SELECT lang, unnest([array_to_string(words[1 : size - 1], ' '), array_to_string(words[2 : size], ' ')]) AS phrase, f
+        FROM listed WHERE size > 2
+    ), carried AS (
+        SELECT lang, phrase, max(f) AS f FROM longer GROUP BY ALL
+    ), cut AS (
+        SELECT c.lang, c.phrase, c.f AS a, k, array_to_string(words[1 : k], ' ') AS head,
+               array_to_string(words[k + 1 : size], ' ') AS tail
+        FROM (SELECT *, unnest(range(1, size)) AS k FROM listed WHERE size > 1) c
+        LEFT JOIN carried l ON l.lang = c.lang AND l.phrase = c.phrase
+        WHERE l.f IS NULL OR l.f < c.f
+    ), scored AS (
+        SELECT c.*, h.f AS l, t.f AS r, o.n,
+               (1000::HUGEINT * a * o.n::HUGEINT) // (h.f::HUGEINT * t.f::HUGEINT) AS score
+        FROM cut c JOIN counted h ON h.lang = c.lang AND h.phrase = c.head
+        JOIN counted t ON t.lang = c.lang AND t.phrase = c.tail JOIN totals o ON o.lang = c.lang
+    ), lowest AS (
+        SELECT * FROM scored QUALIFY row_number() OVER (PARTITION BY lang, phrase ORDER BY score, k) = 1
+    )
+    SELECT lang, row_number() OVER best AS rank, phrase, a, l, r, n::BIGINT AS n, score::BIGINT AS score
+    FROM lowest
+    WINDOW best AS (PARTITION BY lang ORDER BY score DESC, a DESC, phrase)
+    QUALIFY rank <= 2000
+    """,
+)
+def op13(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return collocations.collocations(table(spark, sf_dir, "documents"), longest=5, min_count=100, top=2000)

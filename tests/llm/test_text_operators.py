@@ -197,7 +197,7 @@ def test_rtree_finds_what_the_bound_allows():
 
     pick = np.random.default_rng(4)
     points = pick.poisson(2.0, (700, ngram_join.GROUPS))
-    points[::7] = points[0] + pick.integers(0, 2, (100, ngram_join.GROUPS)) * (pick.random((100, 64)) < 0.05)
+    points[::7] = points[0] + pick.integers(0, 2, (100, ngram_join.GROUPS)) * (pick.random((100, ngram_join.GROUPS)) < 0.05)
     sizes = points.sum(axis=1)
     tree = ngram_join.RTree(points, sizes)
     got = {(int(a), b) for asking, b in tree.search(points[:200], sizes[:200], 85, 100) for a in asking}
