@@ -9,7 +9,7 @@ from functools import reduce
 import numpy as np
 import pyarrow as pa
 import xxhash
-from pyspark.sql import Column, DataFrame, Window
+from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
 from staveline.llm.common import partitions
@@ -35,18 +35,23 @@ _TABLE = bytes.maketrans(
     b"ABCDEFGHIJKLMNOPQRSTUVWXYZ\t" + _ENDS, b"abcdefghijklmnopqrstuvwxyz " + BREAK * len(_ENDS)
 )
 ID_BYTES = 8
+RUN = 256
 
 
 def _chunks(batches: Iterable[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-    """Words of each language as numbers, 0 where a piece ends."""
-    held, size = {}, 0
+    """Words of each language as numbers, 0 where a piece ends.
 
-    def packed() -> Iterator[pa.RecordBatch]:
-        for lang, (number, codes) in held.items():
-            joined = np.concatenate(codes)
-            columns = chunk_columns(list(number), joined)
-            n = pa.array([int(np.count_nonzero(joined))], pa.int64())
-            yield pa.RecordBatch.from_arrays([pa.array([lang], pa.string()), n, *columns], ["lang", "n", "words", "codes"])
+    A language's chunk is full at ``CHUNK_BYTES``; all are stored when they have four times that.
+    """
+    held, sizes = {}, defaultdict(int)
+
+    def packed(lang: str) -> pa.RecordBatch:
+        number, codes = held.pop(lang)
+        sizes.pop(lang)
+        joined = np.concatenate(codes)
+        n = pa.array([int(np.count_nonzero(joined))], pa.int64())
+        columns = [pa.array([lang], pa.string()), n, *chunk_columns(list(number), joined)]
+        return pa.RecordBatch.from_arrays(columns, ["lang", "n", "words", "codes"])
 
     for batch in batches:
         langs, texts = batch.column(0).to_pylist(), batch.column(1).cast(pa.large_binary())
@@ -60,11 +65,12 @@ def _chunks(batches: Iterable[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
             words = text.translate(_TABLE).replace(BREAK, b" . ").split()
             words.append(BREAK)
             codes.append(np.fromiter(map(number.__getitem__, words), np.uint32, len(words)))
-            size += len(text) + 64
-            if size >= CHUNK_BYTES:
-                yield from packed()
-                held, size = {}, 0
-    yield from packed()
+            sizes[lang] += len(text) + 64
+            if sizes[lang] >= CHUNK_BYTES:
+                yield packed(lang)
+            elif sum(sizes.values()) >= 4 * CHUNK_BYTES:
+                yield from map(packed, list(held))
+    yield from map(packed, list(held))
 
 
 def _ids(row: dict[str, pa.Scalar]) -> tuple[np.ndarray, list[bytes]]:
@@ -114,46 +120,71 @@ def _pair_counts(row: dict[str, pa.Scalar]) -> Iterator[pa.RecordBatch]:
     yield _counted(row, keys, n)
 
 
+def _grams(words: np.ndarray, places: np.ndarray, size: int) -> pa.Array:
+    """The ids of ``size`` words from each place on, as bytes."""
+    text = words[places[:, None] + np.arange(size)].astype(">u8").tobytes()
+    ends = np.arange(len(places) + 1, dtype=np.int32) * (size * ID_BYTES)
+    return pa.Array.from_buffers(pa.binary(), len(places), [None, pa.py_buffer(ends), pa.py_buffer(text)])
+
+
+def _own(row: dict[str, pa.Scalar], keys: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+    """Where among these keys those are that this chunk has to tell of, each once, and their counts."""
+    own, n = listed(row["own"]).view(np.uint64), listed(row["own_n"])
+    order = np.argsort(own)
+    own, n = own[order], n[order]
+    distinct, first = np.unique(keys, return_index=True)
+    mine = _isin(distinct, own)
+    return first[mine], n[np.searchsorted(own, distinct[mine])]
+
+
 def _own_words(row: dict[str, pa.Scalar]) -> Iterator[pa.RecordBatch]:
-    """(id, lang, word) of the words that this chunk has to tell of."""
+    """(gram, n, lang, word) of the frequent words that this chunk has to tell of."""
     ids, words = _ids(row)
-    mine = np.flatnonzero(_isin(ids, np.sort(listed(row["own"]).view(np.uint64))))
-    lang = row["lang"].as_py()
+    mine, n = _own(row, ids)
     texts = pa.array([words[i] for i in mine], pa.binary()).cast(pa.string())
-    columns = [pa.array(ids[mine].view(np.int64)), pa.array([lang] * len(mine), pa.string()), texts]
-    yield pa.RecordBatch.from_arrays(columns, ["id", "lang", "word"])
+    langs = pa.array([row["lang"].as_py()] * len(mine), pa.string())
+    yield pa.RecordBatch.from_arrays([_grams(ids, mine, 1), pa.array(n), langs, texts], ["gram", "n", "lang", "word"])
 
 
-def _grams(row: dict[str, pa.Scalar], longest: int) -> Iterator[pa.RecordBatch]:
-    """(gram, n): edges of ``longest`` words, and shorter grams that end where a run ends.
+def _own_pairs(row: dict[str, pa.Scalar]) -> Iterator[pa.RecordBatch]:
+    """(gram, n) of the frequent pairs that this chunk has to tell of."""
+    words = _frequent(row)
+    pairs, both = _pairs(words)
+    places = np.flatnonzero(both)
+    mine, n = _own(row, pairs[places])
+    yield pa.RecordBatch.from_arrays([_grams(words, places[mine], 2), pa.array(n)], ["gram", "n"])
+
 
-    A run is words of a piece in which each two neighbours are a frequent pair.
+def _runs(row: dict[str, pa.Scalar], longest: int) -> Iterator[pa.RecordBatch]:
+    """(run, starts): words of a piece in which each two neighbours are a frequent pair.
+
+    Runs of three words or more. ``starts`` is how many places of the run grams of three
+    words or more start at; a long run comes in several rows, with the words behind.
     """
     words = _frequent(row)
     pairs, both = _pairs(words)
-    joined = np.zeros(len(words), bool)
-    joined[: len(pairs)] = both & _isin(pairs, np.sort(listed(row["pairs"]).view(np.uint64)))
-    run = words != 0  # whether a gram of j words starts here
-    for j in range(1, longest + 1):
-        if j > 1:
-            run = run[: len(words) - j + 1] & joined[j - 2 : j - 2 + len(words) - j + 1]
-        taken = run if j == longest else run & ~joined[j - 1 : j - 1 + len(run)]
-        at = np.flatnonzero(taken)
-        if not len(at):
-            continue
-        _, first, n = np.unique(rolled(words, j)[at], return_index=True, return_counts=True)
-        places = at[first][:, None] + np.arange(j)
-        text = words[places].astype(">u8").tobytes()
-        ends = np.arange(len(first) + 1, dtype=np.int32) * (j * ID_BYTES)
-        grams = pa.Array.from_buffers(pa.binary(), len(first), [None, pa.py_buffer(ends), pa.py_buffer(text)])
-        yield pa.RecordBatch.from_arrays([grams, pa.array(n.astype(np.int64))], ["gram", "n"])
+    joined = np.concatenate([[False], both & _isin(pairs, np.sort(listed(row["pairs"]).view(np.uint64))), [False]])
+    first = np.flatnonzero(joined[1:] & ~joined[:-1])
+    starts = np.flatnonzero(joined[:-1] & ~joined[1:]) - first - 1
+    # Cut after RUN starts; all but the last piece of a run are followed by more words.
+    pieces = -(-starts // RUN)
+    of = np.repeat(np.arange(len(first)), pieces)
+    step = (np.arange(len(of)) - np.repeat(np.cumsum(pieces) - pieces, pieces)) * RUN
+    begin, n = first[of] + step, np.minimum(starts[of] - step, RUN)
+    size = np.minimum(n + longest - 1, starts[of] - step + 2)
+    ends = np.concatenate([[0], np.cumsum(size)])
+    at = np.repeat(begin - ends[:-1], size) + np.arange(ends[-1])
+    text = words[at].astype(">u8").tobytes()
+    offsets = (ends * ID_BYTES).astype(np.int32)
+    runs = pa.Array.from_buffers(pa.binary(), len(size), [None, pa.py_buffer(offsets), pa.py_buffer(text)])
+    yield pa.RecordBatch.from_arrays([runs, pa.array(n.astype(np.int32))], ["run", "starts"])
 
 
 def _reaching(chunks: DataFrame, counted: Callable, min_count: int, label: str) -> DataFrame:
-    """(chunk, keys, own): the keys of each chunk that reach the count over all chunks.
+    """(chunk, keys, own, own_n): the keys of each chunk that reach the count over all chunks.
 
-    ``own`` are those that the chunk of smallest number has. A key comes as one row a
-    chunk, so a frequent one is as many rows as there are chunks.
+    ``own`` are those that the chunk of smallest number has, with their counts. A key
+    comes as one row a chunk, so a frequent one is as many rows as there are chunks.
     """
     alike = Window.partitionBy("key")
     rows = chunks.mapInArrow(each_row(counted), COUNTED)
@@ -162,30 +193,30 @@ def _reaching(chunks: DataFrame, counted: Callable, min_count: int, label: str)
         .withColumn("owner", F.min("chunk").over(alike))
         .filter(F.col("all") >= min_count)
     )
-    own = F.when(F.col("owner") == F.col("chunk"), F.col("key"))
+    own = F.when(F.col("owner") == F.col("chunk"), F.struct("key", "all"))
     grouped = reached.groupBy("chunk").agg(F.collect_list("key").alias("keys"), F.collect_list(own).alias("own"))
+    grouped = grouped.select("chunk", "keys", F.col("own.key").alias("own"), F.col("own.all").alias("own_n"))
     return settled(grouped, label)
 
 
-def _head(words: int) -> Column:
-    return F.substring("gram", 1, words * ID_BYTES)
-
-
-def _flows(edges: DataFrame, longest: int) -> DataFrame:
-    """(gram, size, n) of every gram of 1 to ``longest`` words.
+def _flows(runs: DataFrame, longest: int) -> list[DataFrame]:
+    """(gram, n) of all grams of ``longest`` words, of one word less, and so on to three.
 
-    A gram occurs as often as the longer ones that begin with it, and the runs that end with it.
+    Edges have ``longest`` words and are summed over all runs. A shorter gram occurs as
+    often as the longer ones that begin with it, and the runs that end with it.
     """
-    edges = settled(edges, "phrase-edges")
+    start = F.sequence(F.lit(0), F.col("starts") - 1)
+    gram = F.transform(start, lambda i: F.col("run").substr(i * ID_BYTES + 1, F.lit(longest * ID_BYTES)))
+    grams = runs.select(F.explode(gram).alias("gram")).groupBy("gram").agg(F.count("*").alias("n"))
+    edges = settled(grams, "phrase-edges")
     levels: list[DataFrame] = []
-    for size in range(longest, 0, -1):
+    for size in range(longest, 2, -1):
         rows = edges.filter(F.octet_length("gram") == size * ID_BYTES)
         if levels:
-            rows = rows.unionByName(levels[-1].select(_head(size).alias("gram"), "n"))
-        level = rows.groupBy("gram").agg(F.sum("n").alias("n"))
-        levels.append(settled(level, "phrase-flow"))
-    named = [lv.select("gram", F.lit(longest - i).alias("size"), "n") for i, lv in enumerate(levels)]
-    return reduce(DataFrame.unionByName, named)
+            flow = levels[-1].select(F.substring("gram", 1, size * ID_BYTES).alias("gram"), "n")
+            rows = rows.unionByName(flow).groupBy("gram").agg(F.sum("n").alias("n"))
+        levels.append(settled(rows, "phrase-flow"))
+    return levels
 
 
 def _compacted(phrases: DataFrame) -> DataFrame:
@@ -221,10 +252,10 @@ def collocations(docs: DataFrame, longest: int = 5, min_count: int = 100, top: i
     are not read; an empty table gives an empty table. Very long texts are counted whole.
 
     Words, then pairs of words, that are rarer than a candidate may be end a run of words,
-    as they are in no candidate. The rest is a de Bruijn graph: nodes are runs of
-    ``longest`` - 1 words, edges of ``longest`` words with their counts. Edges are
-    summed once; shorter grams have the flow out of them, and the runs that end with
-    them. Unary paths are compacted, so that a phrase stays only where another word
+    as they are in no candidate; counting them gives the counts of the others. The rest
+    is a de Bruijn graph: nodes are ``longest`` - 1 words, edges ``longest`` words with
+    their counts. Edges are summed once; shorter grams, down to three words, have the
+    flow out of them, and the runs that end with them. Unary paths are compacted, so that a phrase stays only where another word
     may follow or precede it. 64-bit hashes stand for words and pairs.
     """
     slim = docs.select(F.coalesce("lang", F.lit("und")).alias("lang"), "text")
@@ -234,12 +265,16 @@ def collocations(docs: DataFrame, longest: int = 5, min_count: int = 100, top: i
     words = _reaching(chunks, _word_counts, min_count, "phrase-words")
     words = words.withColumnRenamed("keys", "frequent")
     met = chunks.join(words, "chunk")
-    pairs = _reaching(met, _pair_counts, min_count, "phrase-pairs").select("chunk", F.col("keys").alias("pairs"))
-    linked = met.join(pairs, "chunk", "left")
-    edges = linked.mapInArrow(each_row(lambda row: _grams(row, longest)), "gram binary, n long")
-    flows = _flows(edges, longest).filter(F.col("n") >= min_count)
-    phrases = settled(flows, "phrase-counts")
-    spelt = settled(met.mapInArrow(each_row(_own_words), "id long, lang string, word string"), "phrase-spelt")
+    spelt = met.mapInArrow(each_row(_own_words), "gram binary, n long, lang string, word string")
+    spelt = settled(spelt, "phrase-spelt")
+    known = met.drop("own", "own_n")
+    pairs = _reaching(known, _pair_counts, min_count, "phrase-pairs").withColumnRenamed("keys", "pairs")
+    linked = known.join(pairs, "chunk")
+    levels = _flows(linked.mapInArrow(each_row(lambda row: _runs(row, longest)), "run binary, starts int"), longest)
+    levels = [*levels, linked.mapInArrow(each_row(_own_pairs), "gram binary, n long"), spelt.select("gram", "n")]
+    size = (F.octet_length("gram") / ID_BYTES).cast("int").alias("size")
+    flows = reduce(DataFrame.unionByName, levels).filter(F.col("n") >= min_count)
+    phrases = settled(flows.select("gram", size, "n"), "phrase-counts")
 
     part = phrases.select("gram", "n")
     cut = _compacted(phrases).withColumn("k", F.explode(F.expr("sequence(1, size - 1)")))
@@ -249,12 +284,11 @@ def collocations(docs: DataFrame, longest: int = 5, min_count: int = 100, top: i
     cut = cut.join(part.select(F.col("gram").alias("head"), F.col("n").alias("l")), "head")
     cut = cut.join(part.select(F.col("gram").alias("tail"), F.col("n").alias("r")), "tail")
     # The first word tells the language.
-    hexed = F.hex(F.substring("gram", 1, ID_BYTES))
-    first = spelt.select(F.lpad(F.hex("id"), 2 * ID_BYTES, "0").alias("first"), "lang")
+    word = spelt.select(F.col("gram").alias("first"), "lang", "word")
     totals = chunks.groupBy("lang").agg(F.sum("n").alias("n"))
     scored = (
-        cut.withColumn("first", hexed)
-        .join(first, "first")
+        cut.withColumn("first", F.substring("gram", 1, ID_BYTES))
+        .join(word.drop("word"), "first")
         .join(totals, "lang")
         .withColumn("score", F.expr(
             "(CAST(1000 AS DECIMAL(4,0)) * CAST(a AS DECIMAL(17,0)) * CAST(n AS DECIMAL(17,0)))"
@@ -263,8 +297,8 @@ def collocations(docs: DataFrame, longest: int = 5, min_count: int = 100, top: i
     )
     lowest = scored.groupBy("lang", "gram", "size", "a", "n").agg(F.min(F.struct("score", "k", "l", "r")).alias("low"))
     places = lowest.withColumn("i", F.explode(F.expr("sequence(0, size - 1)")))
-    places = places.withColumn("first", F.expr(f"hex(substring(gram, i * {ID_BYTES} + 1, {ID_BYTES}))"))
-    named = places.join(spelt.select(F.lpad(F.hex("id"), 2 * ID_BYTES, "0").alias("first"), "word"), "first")
+    places = places.withColumn("first", F.expr(f"substring(gram, i * {ID_BYTES} + 1, {ID_BYTES})"))
+    named = places.join(word.drop("lang"), "first")
     in_order = F.transform(F.sort_array(F.collect_list(F.struct("i", "word"))), lambda x: x["word"])
     phrased = named.groupBy("lang", "gram", "a", "n", "low").agg(F.array_join(in_order, " ").alias("phrase"))
     phrased = phrased.select("lang", "phrase", "a", "low.l", "low.r", "n", "low.score")

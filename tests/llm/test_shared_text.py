@@ -282,10 +282,13 @@ def chatter(seed, count):
     return [*out, ("en", None), ("fr", ""), ("fr", "..!"), ("", "x x x x x x")]
 
 
-@pytest.mark.parametrize(("longest", "min_count", "top"), [(5, 12, 2000), (5, 3, 20), (2, 5, 50), (4, 40, 7)])
-def test_collocations_by_brute_force(spark, longest, min_count, top):
+@pytest.mark.parametrize(
+    ("longest", "min_count", "top", "run"), [(5, 12, 2000, 256), (5, 3, 20, 4), (2, 5, 50, 256), (3, 5, 50, 1), (4, 40, 7, 2)]
+)
+def test_collocations_by_brute_force(spark, monkeypatch, longest, min_count, top, run):
     rows = chatter(longest, 150)
     docs = spark.createDataFrame([(i, t, lang, 1, "k") for i, (lang, t) in enumerate(rows)], "doc_id long, text string, lang string, n int, gram string")
+    monkeypatch.setattr(collocations, "RUN", run)
     got = found(collocations.collocations(docs.repartition(5), longest, min_count, top), *PHRASE)
     want = brute_collocations(rows, longest, min_count, top)
     assert want and got == dict.fromkeys(want, 1)
