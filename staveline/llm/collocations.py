@@ -15,6 +15,7 @@ from pyspark.sql import functions as F
 from staveline.llm.common import partitions
 from staveline.llm.stored import (
     SEED,
+    bucketed,
     chunk_codes,
     chunk_columns,
     chunk_words,
@@ -196,7 +197,7 @@ def _reaching(chunks: DataFrame, counted: Callable, min_count: int, label: str)
     own = F.when(F.col("owner") == F.col("chunk"), F.struct("key", "all"))
     grouped = reached.groupBy("chunk").agg(F.collect_list("key").alias("keys"), F.collect_list(own).alias("own"))
     grouped = grouped.select("chunk", "keys", F.col("own.key").alias("own"), F.col("own.all").alias("own_n"))
-    return settled(grouped, label)
+    return bucketed(grouped, label)
 
 
 def _flows(runs: DataFrame, longest: int) -> list[DataFrame]:

@@ -26,16 +26,20 @@ CHUNK = "chunk long, head array<long>, sizes array<int>, words binary, codes bin
 SEED = 42
 
 
-def store_chunks(chunks: DataFrame, label: str) -> DataFrame:
-    """The chunks numbered and written in buckets; joins on ``chunk`` leave them in place."""
-    spark = chunks.sparkSession
+def bucketed(rows: DataFrame, label: str) -> DataFrame:
+    """The rows written in buckets of ``chunk``; joins on it leave them in place."""
+    spark = rows.sparkSession
     name = f"{label}_{uuid.uuid4().hex}".replace("-", "_")
-    numbered = chunks.withColumn("chunk", F.monotonically_increasing_id())
-    writer = numbered.write.bucketBy(partitions(spark), "chunk").sortBy("chunk")
+    writer = rows.write.bucketBy(partitions(spark), "chunk").sortBy("chunk")
     writer.option("path", scratch_folder(spark, label)).saveAsTable(name)
     return spark.table(name)
 
 
+def store_chunks(chunks: DataFrame, label: str) -> DataFrame:
+    """The chunks numbered and stored in buckets."""
+    return bucketed(chunks.withColumn("chunk", F.monotonically_increasing_id()), label)
+
+
 def chunk_columns(words: list[bytes], codes: np.ndarray) -> list[pa.Array]:
     """The columns ``words`` and ``codes`` of one chunk; words hold no space."""
     blob = zstandard.ZstdCompressor(level=3).compress(b" ".join(words))
