@@ -16,10 +16,13 @@ from staveline.operators.usage import (
     with_artists,
 )
 from staveline.plans.ranking import RankingTerms, top_artist_songs, top_residual_artists
+from staveline.session import settled
+from staveline.sinks import blocks
 from tests.helpers import close, column, rows
 from tests.test_royalty import AS, LI, SU
 
 MONEY = "decimal(28,6)"
+# Column names and services of the definition that is compared.
 SERVICES = ["ads", "hardware", "subs_music", "subs_premium"]
 M, P = "MechanicalRight", "PerformingRight"
 
@@ -169,6 +172,55 @@ def test_songs_are_the_merged_rows_of_the_artists(spark):
     assert rows(found) == rows(expected)
 
 
+def from_tables(df, *tables):
+    """Shuffles in the final plan that stand above a scan of one of these tables and no aggregation."""
+    df.write.format("noop").mode("overwrite").save()
+    found, stack = [], []
+    for line in df._jdf.queryExecution().executedPlan().toString().split("\n"):
+        depth = len(line) - len(line.lstrip(" :+-"))
+        while stack and stack[-1][0] >= depth:
+            stack.pop()
+        stack.append((depth, line.strip(" :+-*()0123456789")))
+        if any(t in line for t in tables):
+            found += [x for _, x in stack if x.startswith("Exchange")]
+    return found
+
+
+def test_tables_stored_by_block_join_without_a_shuffle(spark):
+    before = spark.conf.get(blocks.SUBSET_KEYS)
+    spark.conf.set("spark.sql.autoBroadcastJoinThreshold", "-1")
+    try:
+        plain = dict(zip(("as_", "su", "li"), random_records(spark, 3, size=80)))
+        stored = blocks.store_by_block(plain, "records")
+        assert all(rows(stored[n]) == rows(plain[n]) for n in plain)
+        summed = [block_usage(t["su"], t["li"], MONEY) for t in (plain, stored)]
+        assert from_tables(summed[1], "records_su", "records_li") == [] and rows(summed[0]) == rows(summed[1])
+        spark.conf.set("spark.sql.autoBroadcastJoinThreshold", "10m")
+        # Stored as a ranking is: its size is known, so Spark sends it to the recordings.
+        wanted = settled(spark.createDataFrame([("a",), ("c",)], "Artist string"), "top-artists")
+        songs = [songs_of(wanted, t["as_"], t["su"], t["li"], money_type=MONEY) for t in (plain, stored)]
+        assert from_tables(songs[1], "records_as_", "records_su", "records_li") == []
+        assert rows(songs[0]) == rows(songs[1]) and songs[0].count() > 0
+        # A block that is too large for one task: no buckets, so that joins can split it.
+        large = blocks.store_by_block(plain, "records", largest=5)
+        assert all("spark_catalog" not in large[n]._jdf.queryExecution().toString() for n in plain)
+        assert all(rows(large[n]) == rows(plain[n]) for n in plain)
+        empty = {n: df.limit(0) for n, df in plain.items()}
+        assert blocks.store_by_block(empty, "records")["su"].count() == 0
+    finally:
+        spark.conf.unset("spark.sql.autoBroadcastJoinThreshold")
+        spark.conf.set(blocks.SUBSET_KEYS, before)
+
+
+def test_a_name_that_stands_twice_is_two_rows(spark):
+    as_ = spark.createDataFrame([("ads", q, "B", "R1", "I1", "t", "A & A, a", "k", None) for q in "qqr"], AS)
+    su = spark.createDataFrame([("ads", q, "B", "T", "R1", 10.0, 1.0, "v", "d") for q in "qr"], SU)
+    li = spark.createDataFrame([("ads", q, "B", "T", "Us", "c", 5.0, M, 1.0, 1.0, 1.0) for q in "qr"], LI)
+    wanted = spark.createDataFrame([("a",)], "Artist string")
+    expected = with_artists(merged_usage(as_, su, li)).join(wanted, "Artist", "left_semi")
+    assert rows(songs_of(wanted, as_, su, li)) == rows(expected) and expected.count() == 3
+
+
 def test_whole_ranking(spark):
     as_, su, li = random_records(spark, 5, size=80)
     terms = RankingTerms(k=2, money_type=MONEY)
