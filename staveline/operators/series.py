@@ -43,18 +43,18 @@ def series_diff(
     difference. ``order`` is a number, date or timestamp; ``tie_break`` makes
     the order total.
 
-    One series may hold a large part of the table, so series are cut along
-    ``order`` at quantiles of the whole table: a window then sees at most about
-    1/slices of all rows, more only where one series repeats one ``order``
-    value that often. There are as many slices as the session has shuffle
-    partitions, unless given. The last value of each cut is carried, as one extra
-    row, to the next cut that has rows. The cut rows are stored when this is
-    called, so the input is read for the quantiles and once more.
+    One series may hold a large part of the table, so rows are dealt by range of keys
+    and position: a range holds about 1/slices of all rows, whatever the keys, more
+    only where one series repeats one position that often. There are as many ranges as
+    the session has shuffle partitions, unless given. The last value of a series in
+    each range is carried, as one extra row, to its next range. The dealt rows are
+    stored when this is called, so the input is read for the sample of the ranges and
+    once more.
     """
     names = [quoted(k) for k in keys]
     position = [F.col(order), *[F.col(t) for t in tie_break]]
     points = df.where(F.col(value).isNotNull())
-    sliced = settled(cut(points, order, slices), "series")
+    sliced = settled(cut(points, keys, order, tie_break, slices), "series")
     ends = sliced.groupBy(*names, "__slice").agg(F.max_by(value, F.struct(*position)).alias(value))
     following = F.lead("__slice").over(Window.partitionBy(*names).orderBy("__slice"))
     carried = (
@@ -74,26 +74,13 @@ def _step(rows: DataFrame, value: str, out: str, along: WindowSpec) -> DataFrame
     return rows.withColumn(out, F.col(value) - F.lag(value).over(along))
 
 
-def cut(df: DataFrame, order: str, slices: int | None = None) -> DataFrame:
-    """Number the rows by quantile range of ``order``; equal values stay together."""
+def cut(
+    df: DataFrame, keys: Sequence[str], order: str, tie_break: Sequence[str] = (), slices: int | None = None
+) -> DataFrame:
+    """Number the rows by range of keys and position; rows that agree in them stay together."""
     slices = slices or max(2, int(df.sparkSession.conf.get("spark.sql.shuffle.partitions")))
-    share = F.array(*[F.lit(i / slices) for i in range(1, slices)])
-    cuts = df.select(F.percentile_approx(order, share, 100 * slices).alias("cuts")).scalar()
-    return (
-        df.withColumn("__cuts", cuts)
-        .withColumn("__slice", _slice_of(F.col(order), 0, slices - 1))
-        .drop("__cuts")
-    )
-
-
-def _slice_of(number: Column, low: int, high: int) -> Column:
-    """How many of the cut points lie below the value, found by halving."""
-    if low == high:
-        return F.lit(low)
-    middle = (low + high) // 2
-    return F.when(
-        F.get("__cuts", F.lit(middle)) < number, _slice_of(number, middle + 1, high)
-    ).otherwise(_slice_of(number, low, middle))
+    along = [F.col(quoted(c)) for c in (*keys, order, *tie_break)]
+    return df.repartitionByRange(slices, *along).withColumn("__slice", F.spark_partition_id())
 
 
 def record_days(df: DataFrame, start: str, end: str, day: str, keep: Sequence[str] = ()) -> DataFrame:

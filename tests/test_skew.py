@@ -91,11 +91,25 @@ def test_one_large_block_is_ranked_without_its_pairs(spark):
     assert found["ada"].AvgResidualRightsSharePctg == 40.0
 
 
-@pytest.mark.parametrize("n, slices", [(40_000, 32), (160_000, 128)])
+@pytest.mark.parametrize("n, slices", [(40_000, 200), (100_000, 5_000)])
 def test_long_series_is_cut(spark, n, slices):
     key = F.when(F.col("id") % 3 > 0, "HOT").otherwise(F.col("id").cast("string"))
     points = spark.range(n).select(key.alias("k"), F.col("id").alias("t"), F.rand(3).alias("v"))
-    largest = series.cut(points, "t", slices).groupBy("k", "__slice").count().agg(F.max("count")).first()[0]
+    dealt = series.cut(points, ["k"], "t", slices=slices)
+    largest = dealt.groupBy("k", "__slice").count().agg(F.max("count")).first()[0]
     assert largest <= 2 * n / slices
-    steps = series.series_diff(points, ["k"], "t", "v", slices=slices).where("k = 'HOT'")
-    assert steps.where("difference IS NULL").count() == 1
+    # No expression of the plan grows with the ranges.
+    assert len(dealt._jdf.queryExecution().analyzed().toString()) < 2_000
+
+
+@pytest.mark.parametrize("slices", [2, 200])
+def test_carried_values_of_a_long_series(spark, slices):
+    key = F.when(F.col("id") % 3 > 0, "HOT").otherwise((F.col("id") % 9).cast("string"))
+    value = F.when(F.col("id") % 7 > 0, F.col("id") * F.col("id"))
+    points = spark.range(3_000).select(key.alias("k"), (F.col("id") / 2).cast("long").alias("t"), "id", value.alias("v"))
+    found = series.series_diff(points, ["k"], "t", "v", ["id"], slices=slices)
+    last, want = {}, {}
+    for r in points.where("v IS NOT NULL").orderBy("id").collect():
+        want[r.id] = r.v - last[r.k] if r.k in last else None
+        last[r.k] = r.v
+    assert {r.id: r.difference for r in found.collect()} == want
