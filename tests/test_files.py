@@ -1,5 +1,6 @@
 """Tables, exports and the streaming intake."""
 
+import glob
 import os
 import subprocess
 import sys
@@ -12,7 +13,7 @@ from pyspark.sql import functions as F
 from staveline.session import release, scratch_folder, settled
 from staveline.sinks import tables
 from staveline.sources.dsr import read_dsr, typed_records
-from staveline.streaming import intake
+from staveline.streaming import gate, intake
 from tests.helpers import column, rows
 
 
@@ -30,14 +31,91 @@ def test_append_replaces_its_own_partitions(spark, tmp_path):
     assert column(spark.read.parquet(path), "n") == [9]
 
 
-def test_report_snapshots(spark, tmp_path):
-    path = str(tmp_path / "r")
+def report_rows(spark, path):
+    latest = column(tables.read_report(spark, path), "service", "Quarter", "n")
+    return sorted(latest), sorted(column(tables.read_report(spark, path, tables.BY_PERIOD), "period", "service", "n"))
+
+
+def test_report_keeps_a_copy_per_period(spark, tmp_path):
+    path = str(tmp_path / "report")
+    with pytest.raises(ValueError):
+        tables.read_report(spark, path)
     tables.write_report(frame(spark, ("ads", "2024_Q1", 1)), path, "2024_Q1")
     tables.write_report(frame(spark, ("ads", "2024_Q2", 2)), path, "2024_Q2")
     tables.write_report(frame(spark, ("hardware", "2024_Q2", 3)), path, "2024_Q2")
-    assert sorted(column(spark.read.parquet(f"{path}/latest"), "n")) == [2, 3]
-    kept = column(spark.read.parquet(f"{path}/by_period"), "period", "n")
-    assert sorted(kept) == [("2024Q1", 1), ("2024Q2", 2), ("2024Q2", 3)]
+    tables.write_report(frame(spark, ("x", "q", 0)).limit(0), path, "2024_Q3")
+    assert report_rows(spark, path) == (
+        [("ads", "2024_Q2", 2), ("hardware", "2024_Q2", 3)],
+        [("2024Q1", "ads", 1), ("2024Q2", "ads", 2), ("2024Q2", "hardware", 3)],
+    )
+    # The same period again replaces its copy.
+    tables.write_report(frame(spark, ("ads", "2024_Q2", 7)), path, "2024_Q2")
+    want = report_rows(spark, path)
+    assert ("2024Q2", "ads", 7) in want[1] and len(want[1]) == 3
+    removed = tables.drop_old_versions(spark, path)
+    assert len(removed) == 3 and report_rows(spark, path) == want
+
+
+def test_a_report_is_published_whole_or_not_at_all(spark, tmp_path, monkeypatch):
+    path = str(tmp_path / "report")
+    tables.write_report(frame(spark, ("ads", "2024_Q1", 1)), path, "2024_Q1")
+    before = report_rows(spark, path)
+    write, commit = tables._write_version, tables._commit
+
+    def second_fails(df, folder, *partitions):
+        write(df, folder, *partitions)
+        if tables.BY_PERIOD in folder:
+            raise OSError("disk full")
+
+    monkeypatch.setattr(tables, "_write_version", second_fails)
+    with pytest.raises(OSError):
+        tables.write_report(frame(spark, ("ads", "2024_Q2", 2)), path, "2024_Q2")
+    assert report_rows(spark, path) == before
+    monkeypatch.setattr(tables, "_write_version", write)
+
+    def beaten(spark_, path_, number, content):
+        commit(spark_, path_, number, before_content)
+        commit(spark_, path_, number, content)
+
+    before_content = tables._newest_commit(spark, path)[1]
+    monkeypatch.setattr(tables, "_commit", beaten)
+    with pytest.raises(RuntimeError):
+        tables.write_report(frame(spark, ("ads", "2024_Q2", 2)), path, "2024_Q2")
+    monkeypatch.setattr(tables, "_commit", commit)
+    assert report_rows(spark, path) == before
+    tables.write_report(frame(spark, ("ads", "2024_Q2", 2)), path, "2024_Q2")
+    assert len(tables.drop_old_versions(spark, path)) == 5
+    assert report_rows(spark, path)[0] == [("ads", "2024_Q2", 2)]
+
+
+def test_a_quarter_is_emitted_once(spark, tmp_path):
+    store, state = str(tmp_path / "store"), str(tmp_path / "gate")
+    fields = intake.MANIFEST_FIELDS
+
+    def arrive(load, *files):
+        data = [(load, status, service, quarter, f"{quarter}/{service}", datetime(2024, 1, 1), 1, 0)
+                for service, quarter, status in files]
+        spark.createDataFrame(data, fields).write.partitionBy("status").parquet(
+            f"{store}/{intake.MANIFEST}/load={load}")
+
+    def run():
+        return gate.emit_completed(spark, store, state, ["a", "b"])
+
+    assert run() == [] and gate.completed(spark, store).count() == 0
+    arrive("1", ("a", "q1", "good"), ("b", "q1", "rejected"), ("a", "q2", "good"), ("a", None, "good"))
+    assert run() == []
+    arrive("2", ("b", "q1", "good"), ("b", "q3", "good"))
+    assert run() == ["q1"]
+    assert run() == []
+    arrive("3", ("a", "q1", "good"), ("b", "q1", "good"))
+    arrive("4", ("b", "q2", "good"), ("c", "q2", "good"), ("a", "q3", "good"))
+    assert run() == ["q2", "q3"]
+    # A batch that failed after it was written, and runs again, replaces its folder.
+    last = max(int(os.path.basename(p)) for p in glob.glob(f"{state}/commits/[0-9]*"))
+    os.remove(f"{state}/commits/{last}")
+    os.remove(f"{state}/commits/.{last}.crc")
+    run()
+    assert sorted(column(gate.completed(spark, store), "quarter")) == ["q1", "q2", "q3"]
 
 
 def test_csv_exports(spark, tmp_path):

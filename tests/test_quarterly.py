@@ -5,6 +5,7 @@ import os
 from staveline.plans.quarterly import on_new_files, quarter_records
 from staveline.plans.ranking import RankingTerms, top_residual_artists
 from staveline.plans.report import ReportTerms
+from staveline.sinks.tables import read_report
 from tests.helpers import rows
 
 MARKERS = ["ads", "hardware", "subscriptionpremium", "subscriptionmusic"]
@@ -34,11 +35,11 @@ def test_whole_quarter(spark, tmp_path):
         missing = on_new_files(spark, str(landing), store, state, out, terms, ranking)
         assert list(missing) == ["2024_Q1"] and len(missing["2024_Q1"]) == 3 - i
         assert os.path.exists(f"{out}/top_residual_artists") == (i == 3)
-    latest = {r.service: r for r in spark.read.parquet(f"{out}/report/latest").collect()}
+    latest = {r.service: r for r in read_report(spark, f"{out}/report").collect()}
     assert set(latest) == {"ads", "hardware", "subs_premium", "subs_music"}
     # The summary line came twice and counts once: pool 30 - 2.
     assert latest["ads"].GEPaymentsShare == 28.0 and latest["ads"].ROYALTIES_TO_BE_PAID == 30.0
-    assert spark.read.parquet(f"{out}/report/by_period").first().period == "2024Q1"
+    assert read_report(spark, f"{out}/report", "by_period").first().period == "2024Q1"
 
     r = quarter_records(spark, store, "2024_Q1")
     top = top_residual_artists(r["as_"], r["su"], r["li"], ranking)
@@ -57,6 +58,6 @@ def test_every_quarter_that_arrived_is_published(spark, tmp_path):
         (landing / quarter / "Report_ads.tsv").write_text("\n".join(lines(1)) + "\n")
     missing = on_new_files(spark, str(landing), store, state, out, terms)
     assert list(missing) == ["2023_Q4", "2024_Q1"]
-    kept = spark.read.parquet(f"{out}/report/by_period")
+    kept = read_report(spark, f"{out}/report", "by_period")
     assert {r.period for r in kept.collect()} == {"2023Q4", "2024Q1"}
     assert on_new_files(spark, str(landing), store, state, out, terms) == {}
