@@ -14,6 +14,7 @@ from staveline.plans.ranking import (
     top_residual_artists,
 )
 from staveline.plans.report import ReportTerms, royalty_report
+from staveline.plans.scalars import loaded_scalars, update_scalars
 from staveline.session import settled
 from staveline.sinks.tables import write_replace, write_report
 from staveline.sources.dsr import SERVICES, summaries, typed_records
@@ -43,9 +44,15 @@ def quarter_records(spark: SparkSession, store: str, quarter: str) -> dict[str,
 def publish_report(
     spark: SparkSession, store: str, out: str, quarter: str, terms: ReportTerms
 ) -> None:
-    """Report of all services that have come for the quarter."""
+    """Report of all services that have come for the quarter.
+
+    Its scalars cover all loaded quarters, or each quarter by itself, as the terms say;
+    they are added up from sums that ``update_scalars`` stores.
+    """
     r = quarter_records(spark, store, quarter)
-    write_report(royalty_report(r["sy"], r["li"], r["su"], r["as_"], terms), out, quarter)
+    update_scalars(spark, store, terms)
+    scalars = settled(loaded_scalars(spark, store, terms), "scalars")
+    write_report(royalty_report(None, r["li"], r["su"], r["as_"], terms, scalars), out, quarter)
 
 
 def missing_for(spark: SparkSession, store: str, quarter: str) -> list[str]:

@@ -74,8 +74,11 @@ def distinct_rows(li: DataFrame, su: DataFrame, as_: DataFrame, terms: ReportTer
     )
 
 
-def with_usage_share(rows: DataFrame, li: DataFrame, terms: ReportTerms) -> DataFrame:
-    total = usage_denominator(claims_of(li, terms.claimant), terms.scope, terms.money_type)
+def with_usage_share(
+    rows: DataFrame, li: DataFrame, terms: ReportTerms, total: DataFrame | None = None
+) -> DataFrame:
+    if total is None:
+        total = usage_denominator(claims_of(li, terms.claimant), terms.scope, terms.money_type)
     share = usage_share(F.col("AllocatedUsages"), F.col("UsagesTotal"), terms.strict)
     return with_scalars(rows, total, terms.scope).withColumn("UsagesShare", share).drop(
         "UsagesTotal"
@@ -83,14 +86,22 @@ def with_usage_share(rows: DataFrame, li: DataFrame, terms: ReportTerms) -> Data
 
 
 def royalty_report(
-    sy: DataFrame, li: DataFrame, su: DataFrame, as_: DataFrame, terms: ReportTerms
+    sy: DataFrame | None, li: DataFrame, su: DataFrame, as_: DataFrame, terms: ReportTerms,
+    scalars: DataFrame | None = None,
 ) -> DataFrame:
-    """The 24 report columns, and the service each row belongs to."""
+    """The 24 report columns, and the service each row belongs to.
+
+    The share denominator and the pool cover the records given, or are taken from
+    ``scalars`` (UsagesTotal and Pool in the scope of the terms), which may cover more;
+    ``sy`` is not read then.
+    """
     own = own_claims(li, terms)
-    rows = with_usage_share(distinct_rows(own, su, as_, terms), own, terms)
-    amounts = with_scalars(
-        rows, pool(sy, own, terms.claimant, terms.scope, terms.money_type), terms.scope
-    )
+    if scalars is None:
+        total, rest = None, pool(sy, own, terms.claimant, terms.scope, terms.money_type)
+    else:
+        total, rest = scalars.drop("Pool"), scalars.drop("UsagesTotal")
+    rows = with_usage_share(distinct_rows(own, su, as_, terms), own, terms, total)
+    amounts = with_scalars(rows, rest, terms.scope)
     share, general = F.col("UsagesShare"), F.col("Pool")
     values = {
         "ISRC": F.col("ResourceISRC"),

@@ -131,7 +131,7 @@ def _take_changed(spark: SparkSession, landing: str, store: str, max_bad: int) -
         F.col("_metadata.file_path").alias("path"),
         F.col("_metadata.file_modification_time").alias("modified"),
     )
-    known = _newest(spark, store).select("file", F.col("modified").alias("taken"))
+    known = newest_files(spark, store).select("file", F.col("modified").alias("taken"))
     changed = found.join(known, "file").where(F.col("modified") > F.col("taken"))
     # As many names as files were sent again since the last run.
     names = changed.select("path", "file", "modified").collect()
@@ -144,7 +144,7 @@ def _take_changed(spark: SparkSession, landing: str, store: str, max_bad: int) -
     return [load]
 
 
-def _newest(spark: SparkSession, store: str) -> DataFrame:
+def newest_files(spark: SparkSession, store: str) -> DataFrame:
     """The newest version of every file, whatever the verdict on it."""
     rows = spark.read.schema(MANIFEST_FIELDS).parquet(f"{store}/{MANIFEST}")
     newest = rows.groupBy("file").agg(F.max(F.struct("modified", "load")).alias("v"))
@@ -153,7 +153,7 @@ def _newest(spark: SparkSession, store: str) -> DataFrame:
 
 def manifest(spark: SparkSession, store: str, status: str = GOOD) -> DataFrame:
     """The current report files (or metadata files), each in its newest version."""
-    return _newest(spark, store).where(F.col("status") == status).drop("status")
+    return newest_files(spark, store).where(F.col("status") == status).drop("status")
 
 
 def rejected(spark: SparkSession, store: str) -> DataFrame:
@@ -189,7 +189,7 @@ def quarantine(spark: SparkSession, store: str) -> DataFrame:
     rows = spark.read.schema(STORED).parquet(f"{store}/{RECORDS}").withColumnRenamed(
         "status", "reason"
     )
-    newest = _newest(spark, store).select(*VERSION, "status")
+    newest = newest_files(spark, store).select(*VERSION, "status")
     refused = F.when(F.col("reason").isin(BAD_ROUTE, BAD_WIDTH), F.col("reason")).when(
         F.col("status") == REJECTED, REJECTED
     )
