@@ -91,6 +91,37 @@ def test_one_large_block_is_ranked_without_its_pairs(spark):
     assert found["ada"].AvgResidualRightsSharePctg == 40.0
 
 
+def test_one_block_in_many_files_takes_bytes_in_proportion(spark):
+    """All claims of a block in every file: rows do not grow with the number of files."""
+    sizes = {}
+    for files in (200, 800):
+        quarter = F.concat(F.lit("q"), (F.col("id") % files).cast("string")).alias("Quarter")
+        row = spark.range(2 * files).repartition(4)
+        txn = F.concat(F.lit("T"), (F.col("id") / files).cast("int").cast("string"))
+        su = row.select(
+            F.lit("ads").alias("service"), quarter, F.lit("B").alias("BlockId"), txn.alias("SalesTransactionId"),
+            F.lit(2.0).alias("Usages"), F.lit(1.0).alias("NetRevenue"),
+        )
+        li = row.select(
+            F.lit("ads").alias("service"), quarter, F.lit("B").alias("BlockId"),
+            txn.alias("ParentSalesTransactionId"), F.lit("Residual").alias("RightsController"),
+            F.lit(40.0).alias("RightSharePercent"), F.lit("MechanicalRight").alias("RightsType"),
+            F.lit(1.0).alias("AllocatedUsages"), F.lit(1.0).alias("AllocatedAmount"),
+            F.lit(1.0).alias("AllocatedNetRevenue"),
+        )
+        as_ = row.where(F.col("id") < files).select(
+            F.lit("ads").alias("service"), quarter, F.lit("B").alias("BlockId"), F.lit("I").alias("ResourceISRC"),
+            F.lit("t").alias("ResourceTitle"), F.lit("Ada & Bob").alias("ResourceDisplayArtistName"),
+            F.lit("k").alias("ResourceType"), F.lit(None).cast("string").alias("ResourceSubTitle"),
+        )
+        blocks = block_usage(su, li)
+        found = artist_usage(as_, blocks).where("Artist = 'ada'").first()
+        assert (found.ResidualObservations, found.AvgResidualRightsSharePctg) == (2, 40.0)
+        assert found.TotalUsages == 4.0 * files
+        sizes[files] = sum(len(str(r)) for r in blocks.collect())
+    assert sizes[800] < 4.2 * sizes[200]
+
+
 @pytest.mark.parametrize("n, slices", [(40_000, 200), (100_000, 5_000)])
 def test_long_series_is_cut(spark, n, slices):
     key = F.when(F.col("id") % 3 > 0, "HOT").otherwise(F.col("id").cast("string"))
