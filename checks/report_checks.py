@@ -16,7 +16,7 @@ from checks.standins import (
     report_records,
     sales,
     service_col,
-    stored_records,
+    block_records,
     summary_rows,
     with_records,
 )
@@ -566,10 +566,10 @@ def top(spark: SparkSession, sf: str) -> DataFrame:
     'SELECT * FROM split WHERE "Artist" IN (SELECT "Artist" FROM ranked20)', merged_sql(), RANKED
 ))
 def songs(spark: SparkSession, sf: str) -> DataFrame:
-    r = stored_records(spark, sf)
+    r = block_records(spark, sf)
     # The ranking is read for its songs and again to tell whose they are.
-    best = settled(top_residual_artists(r.as_, r.su, r.li, TOP), "top-artists")
-    return top_artist_songs(best, r.as_, r.su, r.li, TOP)
+    best = settled(top_residual_artists(r["as_"], r["su"], r["li"], TOP), "top-artists")
+    return top_artist_songs(best, r["as_"], r["su"], r["li"], TOP)
 
 
 @check("summary_dedupe", with_records('SELECT DISTINCT * FROM sy'))

@@ -165,13 +165,19 @@ def report_records(spark: SparkSession, sf_dir: str) -> Records:
     )
 
 
-def stored_records(spark: SparkSession, sf_dir: str) -> Records:
-    """The same, stored by block as record tables are, for queries that read them often."""
-    if sf_dir in KEPT:
-        return KEPT[sf_dir]
+def block_records(spark: SparkSession, sf_dir: str) -> dict[str, DataFrame]:
+    """Claims, sales and recordings stored by block, for queries that read them often."""
+    r = KEPT.get(sf_dir)
+    if r is not None:
+        return {"as_": r.as_, "su": r.su, "li": r.li}
     r = report_records(spark, sf_dir)
-    by_block = store_by_block({"li": r.li, "su": r.su, "as_": r.as_}, "records")
-    return Records(sy=settled(r.sy, "records"), **by_block)
+    return store_by_block({"as_": r.as_, "su": r.su, "li": r.li}, "records")
+
+
+def stored_records(spark: SparkSession, sf_dir: str) -> Records:
+    """The records, stored as record tables are."""
+    summaries = settled(report_records(spark, sf_dir).sy, "records")
+    return Records(sy=summaries, **block_records(spark, sf_dir))
 
 
 def keep_records(spark: SparkSession, sf_dir: str) -> None:

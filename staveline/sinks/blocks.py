@@ -37,27 +37,22 @@ def store_by_block(
     As many buckets as the session has shuffle partitions, unless given; tables that
     are joined need the same number.
 
-    A bucket is not split at run time. So the largest block is counted first, and where
-    it has more than ``largest`` rows the tables are stored without buckets: the same
+    A bucket is not split at run time. So the largest block is counted, in place, and
+    where it has more than ``largest`` rows the files are read as plain ones: the same
     operators then shuffle them, and split what is skewed.
     """
     spark = next(iter(tables.values())).sparkSession
     number = buckets or int(spark.conf.get("spark.sql.shuffle.partitions"))
     folder = scratch_folder(spark, label)
-    first = {}
-    for name, df in tables.items():
-        # One writing of what may be a long computation; the layout is made from it.
-        df.write.parquet(f"{folder}/rows/{name}")
-        first[name] = spark.read.schema(df.schema).parquet(f"{folder}/rows/{name}")
-    if largest_block(first) > largest:
-        return first
-    spark.conf.set(SUBSET_KEYS, "false")
     stored = {}
-    for name, df in first.items():
+    for name, df in tables.items():
         table = f"{label}_{name}_{uuid.uuid4().hex}".replace("-", "_")
         # Rows of a bucket come together, so that a bucket is one sorted file.
         together = df.repartition(number, F.col(BLOCK))
         writer = together.write.bucketBy(number, BLOCK).sortBy(*SORTED)
-        writer.option("path", f"{folder}/buckets/{name}").saveAsTable(table)
+        writer.option("path", f"{folder}/{name}").saveAsTable(table)
         stored[name] = spark.table(table)
+    if largest_block(stored) > largest:
+        return {name: spark.read.schema(df.schema).parquet(f"{folder}/{name}") for name, df in tables.items()}
+    spark.conf.set(SUBSET_KEYS, "false")
     return stored
