@@ -24,11 +24,11 @@ CLASS_RATIO = 1.5
 # is fixed; a fuller filter lets more through and changes no result.
 FILTER_BITS = 1 << 27
 BUCKET_ROWS = 2048
+# Shingles of a block of sets that are verified together, about.
+BLOCK_SHINGLES = 2_000_000
 LEAF = 16
 # Shingles of recent sets that a verifying task remembers.
 HELD_SHINGLES = 4_000_000
-# Rounds in which each set only tries its nearest partner of another component.
-NEAREST_ROUNDS = 1
 
 _ODD = np.uint64(0x9E3779B97F4A7C15)
 _MIX = np.uint64(0xBF58476D1CE4E5B9)
@@ -42,7 +42,7 @@ def _mixed(x: np.ndarray) -> np.ndarray:
 class Shingles:
     """Distinct shingles of a text as sorted 64-bit hashes; hashes of words are remembered."""
 
-    CACHED = 500_000
+    CACHED = 100_000
 
     def __init__(self, words: int):
         self.words = words
@@ -281,61 +281,120 @@ def _whole_buckets(batches: Iterable[pa.RecordBatch]) -> Iterator[pa.Table]:
         yield pa.Table.from_batches(held)
 
 
-def _searched(batches: Iterable[pa.RecordBatch], num: int, den: int, nearest: bool) -> Iterator[pa.RecordBatch]:
-    """Pairs of different components in one bucket that its R-tree does not rule out.
+def _near(table: pa.Table, num: int, den: int) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
+    """(a, b, similarity): rows of one bucket and different components that no bound rules out.
 
     Rows come sorted by bucket and pair of blocks. A bucket that fits into one leaf
     is the leaf: its pairs meet directly, those of many buckets at once and each once.
     In a larger one the sets outside its largest component look for partners in the
-    tree of all. With ``nearest`` each set keeps only the pair of the highest bound.
+    tree of all. The similarity is the greatest that the bound allows.
+    """
+    keys = np.stack([table.column(i).to_numpy() for i in range(3)])
+    starts = np.concatenate([[0], np.flatnonzero((keys[:, 1:] != keys[:, :-1]).any(axis=0)) + 1])
+    count = np.diff(np.append(starts, table.num_rows))
+    left, one = (table.column(i).to_numpy() for i in (3, 4))
+    ids = table.column(5).to_numpy()
+    _, root_of = np.unique(table.column(6).to_numpy(), return_inverse=True)
+    sizes, points = table.column(7).to_numpy(), _points(table.column(8))
+    pairs = []
+    for m in np.unique(count[count <= LEAF]):
+        x, y = np.triu_indices(m, 1)
+        at = starts[count == m][:, None]
+        a, b = (at + x).ravel(), (at + y).ravel()
+        meets = one[a] | (left[a] != left[b])
+        pairs.append(np.stack([a[meets], b[meets]]))
+    for at, m in zip(starts[count > LEAF], count[count > LEAF]):
+        rows = np.arange(at, at + m)
+        most = np.bincount(root_of[rows]).argmax()
+        few, many = rows[root_of[rows] != most], rows[root_of[rows] == most]
+        if one[at]:
+            sides = [(few, rows)]
+        else:
+            sides = [(few[left[few]], rows[~left[rows]]), (few[~left[few]], many[left[many]])]
+        for asking, asked in sides:
+            if len(asked) and len(asking):
+                tree = RTree(points[asked], sizes[asked])
+                for a, b in tree.search(points[asking], sizes[asking], num, den):
+                    pairs.append(np.stack([asking[a], np.full(len(a), asked[b])]))
+    a, b = np.concatenate([*pairs, np.empty((2, 0), dtype=np.int64)], axis=1).astype(np.int64)
+    apart = (root_of[a] != root_of[b]) & (ids[a] != ids[b])
+    low, high = np.minimum(a[apart], b[apart]), np.maximum(a[apart], b[apart])
+    a, b = np.divmod(np.unique(low * table.num_rows + high), max(table.num_rows, 1))
+    parts = [slice(i, i + 65536) for i in range(0, len(a), 65536)]
+    both = np.concatenate([*[_overlap(points[a[p]], points[b[p]]) for p in parts], np.empty(0, np.int64)])
+    keep = _allowed(both, sizes[a], sizes[b], num, den)
+    a, b, both = a[keep], b[keep], both[keep]
+    return a, b, both / np.maximum(sizes[a] + sizes[b] - both, 1)
+
+
+def _least(n: int, a: np.ndarray, b: np.ndarray) -> np.ndarray:
+    """The smallest place that each of n places reaches by the pairs a, b."""
+    least = np.arange(n)
+    while True:
+        low = np.minimum(least[a], least[b])
+        new = least.copy()
+        for x in (a, b, least[a], least[b]):
+            np.minimum.at(new, x, low)
+        new = new[new]
+        if np.array_equal(new, least):
+            return least
+        least = new
+
+
+def _searched(batches: Iterable[pa.RecordBatch], num: int, den: int) -> Iterator[pa.RecordBatch]:
+    """Each set with a near one of another component, linked to the first set that near ones reach.
+
+    So many near pairs of a bucket take no more rows than it has sets.
     """
     for table in _whole_buckets(batches):
-        keys = np.stack([table.column(i).to_numpy() for i in range(3)])
-        starts = np.concatenate([[0], np.flatnonzero((keys[:, 1:] != keys[:, :-1]).any(axis=0)) + 1])
-        count = np.diff(np.append(starts, table.num_rows))
-        left, one = (table.column(i).to_numpy() for i in (3, 4))
+        a, b, _ = _near(table, num, den)
         ids, id_of = np.unique(table.column(5).to_numpy(), return_inverse=True)
-        _, root_of = np.unique(table.column(6).to_numpy(), return_inverse=True)
-        sizes, points = table.column(7).to_numpy(), _points(table.column(8))
-        pairs = []
-        for m in np.unique(count[count <= LEAF]):
-            x, y = np.triu_indices(m, 1)
-            at = starts[count == m][:, None]
-            a, b = (at + x).ravel(), (at + y).ravel()
-            meets = one[a] | (left[a] != left[b])
-            pairs.append(np.stack([a[meets], b[meets]]))
-        for at, m in zip(starts[count > LEAF], count[count > LEAF]):
-            rows = np.arange(at, at + m)
-            most = np.bincount(root_of[rows]).argmax()
-            few, many = rows[root_of[rows] != most], rows[root_of[rows] == most]
-            if one[at]:
-                sides = [(few, rows)]
-            else:
-                sides = [(few[left[few]], rows[~left[rows]]), (few[~left[few]], many[left[many]])]
-            for asking, asked in sides:
-                if len(asked) and len(asking):
-                    tree = RTree(points[asked], sizes[asked])
-                    for a, b in tree.search(points[asking], sizes[asking], num, den):
-                        pairs.append(np.stack([asking[a], np.full(len(a), asked[b])]))
-        a, b = np.concatenate([*pairs, np.empty((2, 0), dtype=np.int64)], axis=1).astype(np.int64)
-        apart = root_of[a] != root_of[b]
-        a, b = a[apart], b[apart]
-        low, high = np.minimum(id_of[a], id_of[b]), np.maximum(id_of[a], id_of[b])
-        _, first = np.unique(low * table.num_rows + high, return_index=True)
-        a, b = a[first], b[first]
-        parts = [slice(i, i + 65536) for i in range(0, len(a), 65536)]
-        both = np.concatenate([*[_overlap(points[a[p]], points[b[p]]) for p in parts], np.empty(0, np.int64)])
-        keep = _allowed(both, sizes[a], sizes[b], num, den)
-        a, b, both = a[keep], b[keep], both[keep]
-        if nearest:
-            alike = both / np.maximum(sizes[a] + sizes[b] - both, 1)
-            best = np.zeros(len(a), dtype=bool)
-            for own in (id_of[a], id_of[b]):
-                order = np.lexsort((-alike, own))
-                best[order[np.concatenate([[True], own[order][1:] != own[order][:-1]])[: len(order)]]] = True
-            a, b = a[best], b[best]
-        ends = (np.minimum(id_of[a], id_of[b]), np.maximum(id_of[a], id_of[b]))
-        yield pa.RecordBatch.from_arrays([pa.array(ids[x]) for x in ends], names=["u", "v"])
+        a, b = id_of[a], id_of[b]
+        least = _least(len(ids), a, b)
+        u = np.unique(np.concatenate([a, b]))
+        u = u[least[u] != u]
+        yield pa.RecordBatch.from_arrays([pa.array(ids[u]), pa.array(ids[least[u]])], names=["u", "v"])
+
+
+def _compared(batches: Iterable[pa.RecordBatch], words: int, num: int, den: int) -> Iterator[pa.RecordBatch]:
+    """Links of sets of different components in one cluster, verified on their texts.
+
+    The nearest pairs are tried first, and pairs that links found here already
+    connect are not tried again: at most one link less than the group has sets.
+    """
+    shingles = Shingles(words)
+    for table in _whole_buckets(batches):
+        a, b, alike = _near(table, num, den)
+        ids, roots, texts = table.column(5).to_numpy(), table.column(6).to_numpy(), table.column(9)
+        above: dict[int, int] = {}
+
+        def top(x: int) -> int:
+            while x in above:
+                above[x] = above.get(above[x], above[x])
+                x = above[x]
+            return x
+
+        known: dict[int, np.ndarray] = {}
+        held, found = 0, []
+        for i in np.argsort(-alike, kind="stable"):
+            ends = (int(a[i]), int(b[i]))
+            x, y = (top(int(roots[e])) for e in ends)
+            if x == y:
+                continue
+            for e in ends:
+                if ids[e] not in known:
+                    if held > HELD_SHINGLES:
+                        known.clear()
+                        held = 0
+                    known[ids[e]] = shingles(texts[e].as_py() or b"")
+                    held += len(known[ids[e]])
+            p, q = (known[ids[e]] if ids[e] in known else shingles(texts[e].as_py() or b"") for e in ends)
+            both = len(np.intersect1d(p, q, assume_unique=True))
+            if den * both >= num * (len(p) + len(q) - both):
+                above[max(x, y)] = min(x, y)
+                found.append([ids[e] for e in ends])
+        u, v = np.array(found, dtype=np.int64).reshape(-1, 2).T
+        yield pa.RecordBatch.from_arrays([pa.array(u), pa.array(v)], names=["u", "v"])
 
 
 def _allowed(both: np.ndarray, a: np.ndarray, b: np.ndarray, num: int, den: int) -> np.ndarray:
@@ -460,43 +519,68 @@ class _Join:
         best = members.join(hubs, "key").groupBy("id").agg(F.max("hub").alias("hub"))
         return best.select(F.col("id").alias("u"), F.col("hub.id").alias("v")).filter("u <> v")
 
-    def across(self, members: DataFrame, sets: DataFrame, roots: DataFrame, nearest: bool) -> DataFrame:
-        """Pairs (u, v) not yet connected that share a key and pass the R-tree of its bucket."""
-        num, den = self.num, self.den
-        named = members.join(roots.withColumnRenamed("node", "id"), "id", "left").select(
-            "key", "id", F.coalesce("root", "id").alias("root")
+    def dealt(self, members: DataFrame, sets: DataFrame, roots: DataFrame, blocks: Column) -> DataFrame:
+        """The sets of every bucket (key, id) that holds several components, as ``SEARCHED``.
+
+        A large bucket is searched block by block, each pair of blocks once.
+        """
+        named = (
+            members.join(sets.select("id", "n"), "id")
+            .join(roots.withColumnRenamed("node", "id"), "id", "left")
+            .withColumn("root", F.coalesce("root", "id"))
         )
         mixed = (
             named.groupBy("key")
-            .agg(F.min("root").alias("a"), F.max("root").alias("b"), F.count("*").alias("m"))
+            .agg(F.min("root").alias("a"), F.max("root").alias("b"), F.ceil(blocks).cast("int").alias("blocks"))
             .filter("a <> b")
-            .select("key", F.ceil(F.col("m") / BUCKET_ROWS).cast("int").alias("blocks"))
+            .select("key", "blocks")
         )
-        # A bucket of many rows is searched block by block, each pair of blocks once.
-        dealt = (
+        return (
             named.join(mixed, "key")
             .withColumn("block", F.pmod(F.xxhash64("id"), F.col("blocks")).cast("int"))
             .withColumn("other", F.explode(F.sequence(F.lit(0), F.col("blocks") - 1)))
             .select(
-                "key",
+                F.col("key").alias("bucket"),
                 F.least("block", "other").alias("i"),
                 F.greatest("block", "other").alias("j"),
                 (F.col("block") <= F.col("other")).alias("left"),
                 (F.col("block") == F.col("other")).alias("one"),
                 "id",
                 "root",
+                "n",
             )
-            .join(sets.select("id", "n", "point"), "id")
+            .join(sets.select("id", "point"), "id")
+            .select(*SEARCHED)
         )
+
+    def near(self, members: DataFrame, sets: DataFrame, roots: DataFrame) -> DataFrame:
+        """(key, id): clusters of sets that near ones of other components connect.
+
+        Near are two sets that share a bucket and that its R-tree does not rule out.
+        """
+        num, den = self.num, self.den
         # Sorted by bucket, so that a task works through its many small buckets in a stream.
+        pairs = (
+            self.dealt(members, sets, roots, F.count("*") / BUCKET_ROWS)
+            .repartition("bucket", "i", "j")
+            .sortWithinPartitions("bucket", "i", "j")
+            .mapInArrow(lambda it: _searched(it, num, den), "u long, v long")
+        )
+        clusters = components(pairs.distinct(), "ngram-near")
+        return clusters.select(F.col("root").alias("key"), F.col("node").alias("id"))
+
+    def across(self, clusters: DataFrame, sets: DataFrame, roots: DataFrame, texts: DataFrame) -> DataFrame:
+        """Links (u, v) that connect all linked sets of different components of a cluster."""
+        words, num, den = self.words, self.num, self.den
+        dealt = self.dealt(clusters, sets, roots, F.sum("n") / BLOCK_SHINGLES)
         found = (
-            dealt.withColumnRenamed("key", "bucket")
-            .select(*SEARCHED)
+            dealt.join(texts, "id")
+            .select(*SEARCHED, "text")
             .repartition("bucket", "i", "j")
             .sortWithinPartitions("bucket", "i", "j")
-            .mapInArrow(lambda it: _searched(it, num, den, nearest), "u long, v long")
+            .mapInArrow(lambda it: _compared(it, words, num, den), "u long, v long")
         )
-        return found.distinct()
+        return settled(found, "ngram-links")
 
 
 def _rooted(docs: DataFrame, words: int, num: int, den: int) -> DataFrame:
@@ -516,12 +600,10 @@ def _rooted(docs: DataFrame, words: int, num: int, den: int) -> DataFrame:
     texts = join.texts(wanted)
     links = join.linked(join.bounded(join.stars(members).unionByName(twins), wanted), texts)
     roots = components(links, "ngram-roots")
-    for turn in range(NEAREST_ROUNDS + 1):
-        pairs = join.across(members, wanted, roots, nearest=turn < NEAREST_ROUNDS)
-        fresh = join.linked(pairs, texts)
-        if not fresh.isEmpty():
-            links = links.unionByName(fresh)
-            roots = components(links, "ngram-roots")
+    clusters = settled(join.near(members, wanted, roots), "ngram-clusters")
+    fresh = join.across(clusters, wanted, roots, texts)
+    if not fresh.isEmpty():
+        roots = components(links.unionByName(fresh), "ngram-roots")
     named = wanted.join(roots.withColumnRenamed("node", "id"), "id").select("set_id", "root")
     # Numbers of components are told from set_ids by their length.
     label = F.coalesce(F.lpad(F.col("root").cast("string"), 20, "0").cast("binary"), "set_id")
@@ -542,11 +624,13 @@ def jaccard_components(docs: DataFrame, words: int = 4, num: int = 85, den: int
     buckets of their groups. Each set is a point of 128 group counts; the sum of
     coordinate minima bounds the overlap of two sets, and R-trees over the points of
     a bucket bound it for many at once. Pairs that no bound rules out are verified on
-    their texts. First each set meets the most popular set of its buckets, then its
-    nearest partner of another component, and what is linked is connected. At last
-    all pairs of all buckets are searched that are not connected yet. So a large group
-    of near copies takes a few verified pairs for each text, and no link between
-    different components is lost.
+    their texts. First each set meets the most popular set of its buckets, and what is
+    linked is connected. Then all buckets are searched for pairs that are not connected
+    yet; they are not written out, but connect their sets to clusters. The sets of a
+    cluster meet once more, block by block and with their texts, nearest pairs first,
+    and every pair that no link connects is verified where it is found. So a large group
+    of near copies takes as many rows as it has texts, and no link between different
+    components is lost. Very long texts are sets like others; a text is read whole.
 
     Null or empty texts have no shingles, and are components of their own. Every row
     is a document; rows with equal sets are linked; component_id is the smallest
