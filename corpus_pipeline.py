@@ -56,6 +56,8 @@ ORACLE_SQL = None
 def run(spark: SparkSession, sf_dir: str) -> DataFrame:
     """All stages over ``documents``, each written and read again."""
     tune(spark)
+    # Whole documents pass the Python workers; a few hundred of them bound a batch, whatever its stage.
+    spark.conf.set("spark.sql.execution.arrow.maxRecordsPerBatch", "500")
     docs = table(spark, sf_dir, "documents")
     for name, stage in STAGES[:-1]:
         docs = settled(stage(spark, docs, sf_dir), f"pipeline-{name}")
