@@ -2,6 +2,7 @@
 
 import collections
 import hashlib
+import random
 
 import duckdb
 import pytest
@@ -160,6 +161,62 @@ def test_ngram_components(spark, n, num, den):
     assert set(found(stay, "key", "bucket", "rank")) == {(EXTRA[1], EXTRA[3], EXTRA[4])}
 
 
+def near_threshold_rows():
+    """A text, and copies of it whose similarities to each other lie on both sides of 0.85."""
+    pick = random.Random(8)
+    first = prose(60, 200).split(" ")
+    rows = []
+    for i in range(60):
+        words = list(first)
+        for at in pick.sample(range(len(words)), i % 6):
+            words[at] = f"v{i}x{at}"
+        rows.append((i, " ".join(words)))
+    return rows
+
+
+def test_ngram_components_block_by_block(spark, monkeypatch):
+    monkeypatch.setattr(ngram_join, "BUCKET_ROWS", 7)
+    monkeypatch.setattr(ngram_join, "BLOCK_SHINGLES", 1500)
+    rows = near_threshold_rows()
+    groups = linked_groups([shingles(t, 4) for _, t in rows], 85, 100)
+    least = {g: min(d for (d, _), h in zip(rows, groups) if h == g) for g in groups}
+    assert 1 < len(least) < len(rows)
+    joined = ngram_join.jaccard_components(documents(spark, rows), 4, 85, 100)
+    assert {r.doc_id: r.component_id for r in joined.collect()} == {d: least[g] for (d, _), g in zip(rows, groups)}
+
+
+def test_last_search_writes_no_more_rows_than_sets():
+    import numpy as np
+    import pyarrow as pa
+
+    rows = near_threshold_rows()
+    hashed = [ngram_join.Shingles(4)(t.encode()) for _, t in rows]
+    ids = [d for d, _ in rows]
+    # Two buckets of the same sets, each set a component of its own.
+    columns = {
+        "bucket": [1] * len(ids) + [2] * len(ids), "i": 0, "j": 0, "left": True, "one": True, "id": ids * 2,
+        "root": ids * 2, "n": [len(h) for h in hashed] * 2,
+        "point": [ngram_join.point_of(h).tobytes() for h in hashed] * 2,
+    }
+    columns = {k: v if isinstance(v, list) else [v] * 2 * len(ids) for k, v in columns.items()}
+    batch = pa.RecordBatch.from_pydict(columns)
+    near = [r for out in ngram_join._searched([batch], 85, 100) for r in out.to_pylist()]
+    # Fewer rows than sets for each bucket, however many pairs are near.
+    assert len({r["u"] for r in near}) < len(ids) and len(near) < 2 * len(ids)
+    assert all(r["v"] < r["u"] for r in near)
+    # Links of one bucket connect what all pairs connect.
+    texts = pa.array([t.encode() for _, t in rows])
+    one = pa.RecordBatch.from_arrays([*batch.slice(0, len(ids)).columns, texts], names=[*batch.schema.names, "text"])
+    links = [r for out in ngram_join._compared([one], 4, 85, 100) for r in out.to_pylist()]
+    groups = linked_groups([shingles(t, 4) for _, t in rows], 85, 100)
+    group_of = dict(zip(ids, groups))
+    assert all(group_of[r["u"]] == group_of[r["v"]] for r in links)
+    assert len(links) == len(ids) - len(set(groups))
+    n = len(ids)
+    least = ngram_join._least(n, np.array([r["u"] for r in links]), np.array([r["v"] for r in links]))
+    assert len(set(least.tolist())) == len(set(groups))
+
+
 def test_ngram_join_of_nothing(spark):
     assert ngram_join.jaccard_components(documents(spark, [])).count() == 0
     assert ngram_join.one_of_each(documents(spark, [])).count() == 0
