@@ -24,6 +24,8 @@ RUNTIME_SETTINGS = {
     "spark.sql.adaptive.forceOptimizeSkewedJoin": "true",
 }
 
+SHUFFLE_CLEANUP = "spark.sql.classic.shuffleDependency.fileCleanup.enabled"
+
 
 def tune(spark: SparkSession) -> SparkSession:
     """Apply the run-time settings to an existing session."""
@@ -87,14 +89,21 @@ def scratch_folder(spark: SparkSession, label: str) -> str:
     return f"{base.rstrip('/')}/{label}-{uuid.uuid4().hex}"
 
 
-def settled(df: DataFrame, label: str) -> DataFrame:
+def settled(df: DataFrame, label: str, drop_shuffles: bool = False) -> DataFrame:
     """The frame written to the shared folder and read back; runs its jobs at once.
 
     For results that are read more than once: the work is done once and a lost
     executor does not bring it back. ``release`` removes the folder again.
+    ``drop_shuffles`` has Spark remove the shuffle files of the write once it has
+    ended, for jobs of many rounds whose shuffles are large against what is stored.
     """
-    folder = scratch_folder(df.sparkSession, label)
-    df.write.parquet(folder)
+    spark, folder = df.sparkSession, scratch_folder(df.sparkSession, label)
+    before = spark.conf.get(SHUFFLE_CLEANUP)
+    spark.conf.set(SHUFFLE_CLEANUP, "true" if drop_shuffles else before)
+    try:
+        df.write.parquet(folder)
+    finally:
+        spark.conf.set(SHUFFLE_CLEANUP, before)
     stored = df.sparkSession.read.schema(df.schema).parquet(folder)
     stored.stored_in = folder
     return stored
