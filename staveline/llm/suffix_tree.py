@@ -15,8 +15,9 @@ import zstandard
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from staveline.llm.chunks import chunks, dealt, ordered_blob, ordered_from, squeeze, unsqueeze
+from staveline.llm.chunks import chunks, squeeze, unsqueeze
 from staveline.llm.common import held_out, partitions
+from staveline.llm.stored import chunk_codes, chunk_columns, chunk_words, each_row, listed, store_chunks
 from staveline.session import settled
 
 # A word is a symbol of its own from this count on; words seen once are one symbol,
@@ -32,33 +33,16 @@ DIVERGENCE = 3.0
 PRIOR = 8.0
 
 
-@dataclass
-class Level:
-    """Next-symbol counts after the contexts of one length.
-
-    ``keys`` are context * symbols + next symbol, sorted; contexts of the next
-    length are places in this table.
-    """
-
-    keys: np.ndarray
-    counts: np.ndarray
-    totals: np.ndarray  # occurrences of each context
-    parent: np.ndarray  # context without its first symbol, one length less
-    kept: np.ndarray  # contexts that passed the divergence test
-    share: np.ndarray  # of the stored counts that this context's own estimate takes
-    left: np.ndarray  # probability that goes to the shorter context
-
-
-def _find(keys: np.ndarray, wanted: np.ndarray) -> np.ndarray:
-    """Place of each wanted key, -1 where it is not there."""
-    if not len(keys):
-        return np.full(len(wanted), -1, dtype=np.int64)
-    place = np.minimum(np.searchsorted(keys, wanted), len(keys) - 1)
-    return np.where(keys[place] == wanted, place, -1)
-
-
-def _symbols(words: list[bytes], symbol: dict[bytes, int], rare: int) -> np.ndarray:
-    return np.fromiter((symbol.get(w, rare) for w in words), dtype=np.int64, count=len(words))
+CHUNK = "doc_ids array<long>, flags array<boolean>, lengths array<long>, hashes binary, words binary, codes binary"
+WORDS = "chunk long, bucket int, words binary, counts binary, tokens long, documents long"
+COUNTED = (
+    "chunk long, bucket int, totals binary, distinct long, once long, twice long, tokens long, documents long"
+)
+SCORED = "doc_id long, n_tokens long, n_known long, base_score double, score double"
+ANSWER = "chunk long, kind int, bucket int, blob binary"
+MESSAGE = "chunk long, kind int, bucket int, keys binary, body binary"
+# Stand for the rare words and the end where symbols are hashes.
+RARE_HASH, END_HASH = (np.uint64(xxhash.xxh3_64_intdigest(b" " + x)) for x in (b"rare", b"end"))
 
 
 def _sequence(codes: np.ndarray, lengths: np.ndarray, of_word: np.ndarray, end: int) -> np.ndarray:
@@ -72,57 +56,93 @@ def _sequence(codes: np.ndarray, lengths: np.ndarray, of_word: np.ndarray, end:
     return out
 
 
-def _contexts(x: np.ndarray, levels: list[Level], symbols: int, end: int) -> list[np.ndarray]:
-    """For each token x[1:], its context of each length as a number, -1 if it is not tried.
+def _packed(*arrays: np.ndarray) -> bytes:
+    """Arrays compressed byte by byte of their width."""
+    press = zstandard.ZstdCompressor(level=1)
 
-    No context reaches over the start of a document.
-    """
-    found = [x[:-1]]
-    start = x == end
-    for level in levels:
-        before = np.concatenate([[-1], found[-1][:-1]])
-        before[start[:-1]] = -1  # the context would begin in the document before
-        key = np.where(before >= 0, before * symbols + x[:-1], -1)
-        found.append(_find(level.keys, key))
-    return found
-
-
-def _word_rows(batches: Iterable[pa.RecordBatch], buckets: int) -> Iterator[pa.RecordBatch]:
-    """Distinct words of each chunk with their counts in training documents."""
+    def planes(a: np.ndarray) -> bytes:
+        return press.compress(np.ascontiguousarray(a).view(np.uint8).reshape(-1, a.dtype.itemsize).T.tobytes())
+
+    return pickle.dumps([(a.dtype.str, planes(a)) for a in arrays])
+
+
+def _unpacked(blob: bytes) -> list[np.ndarray]:
+    press = zstandard.ZstdDecompressor()
+
+    def array(kind: str, planes: bytes) -> np.ndarray:
+        rows = np.frombuffer(press.decompress(planes), np.uint8).reshape(np.dtype(kind).itemsize, -1)
+        return np.ascontiguousarray(rows.T).view(kind).ravel()
+
+    return [array(*a) for a in pickle.loads(blob)]
+
+
+def _packed_keys(keys: np.ndarray) -> bytes:
+    """Sorted hashes as the steps between them."""
+    return _packed(np.diff(keys, prepend=np.uint64(0)))
+
+
+def _unpacked_keys(blob: bytes) -> np.ndarray:
+    return np.cumsum(_unpacked(blob)[0], dtype=np.uint64)
+
+
+def _mixed(a: np.ndarray, b: np.ndarray) -> np.ndarray:
+    """64-bit hashes of pairs of hashes, the order of a pair counting."""
+    z = a * np.uint64(0x9E3779B97F4A7C15) + b
+    z = (z ^ (z >> np.uint64(30))) * np.uint64(0xBF58476D1CE4E5B9)
+    z = (z ^ (z >> np.uint64(27))) * np.uint64(0x94D049BB133111EB)
+    return z ^ (z >> np.uint64(31))
+
+
+def _cuts(keys: np.ndarray, buckets: int) -> np.ndarray:
+    """Where each bucket begins in sorted keys; buckets are ranges of hashes."""
+    of_key = ((keys >> np.uint64(32)) * np.uint64(buckets)) >> np.uint64(32)
+    return np.searchsorted(of_key, np.arange(buckets + 1, dtype=np.uint64))
+
+
+def _chunk_rows(batches: Iterable[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
     for chunk in chunks(batches, lower=True):
-        order, bounds = dealt(chunk, buckets)
-        train = np.repeat(np.array(chunk.flags), chunk.lengths)
-        counts = np.bincount(chunk.codes[train], minlength=len(chunk.words))
-        spans = [order[bounds[b] : bounds[b + 1]] for b in range(buckets)]
+        hashes = np.fromiter(map(xxhash.xxh3_64_intdigest, chunk.words), np.uint64, len(chunk.words))
         yield pa.RecordBatch.from_arrays(
             [
-                pa.array([chunk.key] * buckets, pa.int64()),
-                pa.array(range(buckets), pa.int32()),
-                pa.array([b" ".join(chunk.words[i] for i in s) for s in spans], pa.binary()),
-                pa.array([squeeze(counts[s]) for s in spans], pa.binary()),
-                pa.array([int(counts.sum())] * buckets, pa.int64()),
-                pa.array([sum(chunk.flags)] * buckets, pa.int64()),
+                pa.array([chunk.doc_ids], pa.list_(pa.int64())),
+                pa.array([chunk.flags], pa.list_(pa.bool_())),
+                pa.array([chunk.lengths.tolist()], pa.list_(pa.int64())),
+                pa.array([hashes.tobytes()], pa.binary()),
+                *chunk_columns(chunk.words, chunk.codes),
             ],
-            names=["chunk", "bucket", "words", "counts", "tokens", "documents"],
+            names=["doc_ids", "flags", "lengths", "hashes", "words", "codes"],
         )
 
 
-WORDS = "chunk long, bucket int, words binary, counts binary, tokens long, documents long"
-COUNTED = (
-    "chunk long, bucket int, totals binary, distinct long, once long, twice long, tokens long,"
-    " documents long, frequent array<binary>, frequency array<long>"
-)
-
-
-def _counted_bucket(group: pa.Table) -> pa.Table:
-    return _counted(group, named=True)
-
+def _by_hash(blob: pa.Scalar) -> tuple[np.ndarray, np.ndarray]:
+    """Hashes of the words of a chunk, and the word numbers in their order, in which words are sent."""
+    hashes = np.frombuffer(blob.as_py(), np.uint64)
+    return hashes, np.argsort(hashes, kind="stable")
+
+
+def _word_rows(row: dict[str, pa.Scalar], buckets: int) -> Iterator[pa.RecordBatch]:
+    """Distinct words of a chunk with their counts in training documents."""
+    hashes, order = _by_hash(row["hashes"])
+    cuts = _cuts(hashes[order], buckets)
+    words, flags = chunk_words(row["words"]), listed(row["flags"], bool)
+    train = np.repeat(flags, listed(row["lengths"]))
+    counts = np.bincount(chunk_codes(row["codes"])[train], minlength=len(words))
+    spans = [order[i:j] for i, j in zip(cuts, cuts[1:])]
+    yield pa.RecordBatch.from_arrays(
+        [
+            pa.array([row["chunk"].as_py()] * buckets, pa.int64()),
+            pa.array(range(buckets), pa.int32()),
+            pa.array([b" ".join(words[i] for i in s) for s in spans], pa.binary()),
+            pa.array([squeeze(counts[s]) for s in spans], pa.binary()),
+            pa.array([int(counts.sum())] * buckets, pa.int64()),
+            pa.array([int(flags.sum())] * buckets, pa.int64()),
+        ],
+        names=["chunk", "bucket", "words", "counts", "tokens", "documents"],
+    )
 
-def _counted(group: pa.Table, named: bool = False) -> pa.Table:
-    """Training counts of the words of the bucket, summed, for each chunk that has them.
 
-    ``named`` also lists the words that are symbols, for a tree in one process.
-    """
+def _counted(group: pa.Table) -> pa.Table:
+    """Training counts of the words of the bucket, summed, for each chunk that has them."""
     total: Counter[bytes] = Counter()
     rows = []
     for blob, counts in zip(group.column("words").to_pylist(), group.column("counts").to_pylist()):
@@ -130,195 +150,25 @@ def _counted(group: pa.Table, named: bool = False) -> pa.Table:
         rows.append(words)
         for word, n in zip(words, unsqueeze(counts).tolist()):
             total[word] += n
-    tokens = pc.sum(group.column("tokens")).as_py()
-    documents = pc.sum(group.column("documents")).as_py()
     seen = [n for n in total.values() if n]
-    often = sorted((w, n) for w, n in total.items() if n >= SYMBOL) if named else []
-    blobs = [squeeze(np.array([total[w] for w in row], dtype=np.uint32)) for row in rows]
-    chunk = group.column("chunk").to_pylist()
+    blobs = [_packed(np.array([total[w] for w in row], dtype=np.int64)) for row in rows]
     n = len(rows)
-    bucket = group.column("bucket")[0].as_py()
 
-    def summary(value: int | list, empty: int | list) -> list:
-        return [*[empty] * n, value]
+    def summary(value: int) -> pa.Array:
+        return pa.array([*[0] * n, value], pa.int64())
 
     return pa.table({
-        "chunk": pa.array([*chunk, None], pa.int64()),
-        "bucket": pa.array([bucket] * (n + 1), pa.int32()),
+        "chunk": pa.array([*group.column("chunk").to_pylist(), None], pa.int64()),
+        "bucket": pa.array([group.column("bucket")[0].as_py()] * (n + 1), pa.int32()),
         "totals": pa.array([*blobs, b""], pa.binary()),
-        "distinct": pa.array(summary(len(seen), 0), pa.int64()),
-        "once": pa.array(summary(sum(c == 1 for c in seen), 0), pa.int64()),
-        "twice": pa.array(summary(sum(c == 2 for c in seen), 0), pa.int64()),
-        "tokens": pa.array(summary(tokens, 0), pa.int64()),
-        "documents": pa.array(summary(documents, 0), pa.int64()),
-        "frequent": pa.array(summary([w for w, _ in often], []), pa.list_(pa.binary())),
-        "frequency": pa.array(summary([c for _, c in often], []), pa.list_(pa.int64())),
+        "distinct": summary(len(seen)),
+        "once": summary(sum(c == 1 for c in seen)),
+        "twice": summary(sum(c == 2 for c in seen)),
+        "tokens": summary(pc.sum(group.column("tokens")).as_py()),
+        "documents": summary(pc.sum(group.column("documents")).as_py()),
     })
 
 
-def _next_counts(
-    batches: Iterable[pa.RecordBatch], symbol: dict[bytes, int], levels: list[Level], least: float
-) -> Iterator[pa.RecordBatch]:
-    """(context, next symbol) counts of training documents, for contexts of the next length."""
-    rare, end = len(symbol), len(symbol) + 1
-    symbols = end + 1
-    for chunk in chunks(batches, lower=True):
-        x = _sequence(chunk.codes, chunk.lengths, _symbols(chunk.words, symbol, rare), end)
-        context = _contexts(x, levels, symbols, end)[-1]
-        train = np.repeat(np.array(chunk.flags, dtype=bool), chunk.lengths + 1)
-        use = train & (context >= 0)
-        if levels:
-            use &= np.where(context >= 0, levels[-1].counts[context], 0) >= least
-        keys, counts = np.unique(context[use] * symbols + x[1:][use], return_counts=True)
-        yield pa.RecordBatch.from_arrays([pa.array(keys), pa.array(counts)], names=["key", "n"])
-
-
-def _level(
-    keys: np.ndarray, counts: np.ndarray, totals: np.ndarray, levels: list[Level], symbols: int, root: np.ndarray
-) -> Level:
-    """Parents, the divergence test, and smoothing for the contexts of one length."""
-    context = keys // symbols
-    n = len(totals)
-    if len(levels) == 0:
-        parent = np.zeros(n, dtype=np.int64)
-    elif len(levels) == 1:
-        parent = levels[0].keys % symbols
-    else:
-        # (a, b, c) without a: the entry c after the context (b), found through (a, b)'s parent.
-        long = levels[-1]
-        parent = _find(levels[-2].keys, long.parent[long.keys // symbols] * symbols + long.keys % symbols)
-    own = counts / np.maximum(totals[context], 1)
-    shorter = _probability(levels, parent[context], keys % symbols, symbols, root)
-    stored = np.bincount(context, counts, minlength=n)
-    # Counts times log ratios of all stored symbols, and of the rest taken together.
-    each = counts * np.log(own / np.maximum(shorter, 1e-300))
-    gain = np.bincount(context, each, minlength=n).astype(float)
-    expected = np.bincount(context, shorter, minlength=n)
-    rest = np.maximum(totals - stored, 0)
-    ratio = (rest / np.maximum(totals, 1)) / np.maximum(1 - expected, 1e-12)
-    gain += np.where(rest > 0, rest * np.log(np.maximum(ratio, 1e-12)), 0)
-    many = np.bincount(context, minlength=n)
-    kept = (gain > DIVERGENCE * np.maximum(many, 1)) & (many > 0) & (parent >= 0)
-    share = totals / (totals + PRIOR)
-    left = 1 - share * stored / np.maximum(totals, 1)
-    return Level(keys, counts, totals, parent, kept, share, left)
-
-
-def _probability(
-    levels: list[Level], context: np.ndarray, nxt: np.ndarray, symbols: int, root: np.ndarray
-) -> np.ndarray:
-    """P(next | context), the contexts being of length len(levels); shorter ones fill in."""
-    if not levels:
-        return root[nxt]
-    level = levels[-1]
-    shorter = _probability(levels[:-1], level.parent[context], nxt, symbols, root)
-    place = _find(level.keys, context * symbols + nxt)
-    stored = np.where(place >= 0, level.counts[place] if len(level.counts) else 0, 0)
-    mixed = level.share[context] * stored / np.maximum(level.totals[context], 1) + level.left[context] * shorter
-    return np.where(level.kept[context], mixed, shorter)
-
-
-@dataclass
-class Model:
-    symbol: dict[bytes, int]
-    root: np.ndarray  # probability of each symbol: words, rare, end
-    levels: list[Level]
-    tokens: int
-    distinct: int
-    documents: int
-    discount: float
-    rare_total: float  # discounted counts of all rare words and the unknown one
-    unknown: float
-
-    def scores(self, codes: np.ndarray, lengths: np.ndarray, of_word: np.ndarray, totals: np.ndarray):
-        """(known tokens, base score, score) of each document of a chunk.
-
-        ``of_word`` and ``totals`` are the symbol and the training count of each word.
-        """
-        rare, end = len(self.symbol), len(self.symbol) + 1
-        symbols = end + 1
-        x = _sequence(codes, lengths, of_word, end)
-        count = np.full(len(x) - 1, self.documents, dtype=np.int64)
-        inside = np.arange(len(codes)) + np.repeat(np.arange(len(lengths)), lengths)
-        count[inside] = totals[codes] if len(codes) else codes
-        nxt = x[1:]
-        known = count > 0
-        base = np.log10((count + 0.5) / (self.tokens + 0.5 * (self.distinct + 1)))
-        contexts = _contexts(x, self.levels[:-1], symbols, end)
-        p = self.root[nxt]
-        for level, context in zip(self.levels, contexts):
-            at = np.flatnonzero(context >= 0)
-            at = at[context[at] < len(level.totals)]
-            at = at[level.kept[context[at]]]
-            c = context[at]
-            place = _find(level.keys, c * symbols + nxt[at])
-            stored = np.where(place >= 0, level.counts[place], 0)
-            p[at] = level.share[c] * stored / level.totals[c] + level.left[c] * p[at]
-        # A rare word has its part of the rare symbol; unknown words share one part.
-        single = np.where(known, count - self.discount, self.unknown)
-        p = np.where(nxt == rare, p * single / self.rare_total, p)
-        ends = np.cumsum(lengths + 1)
-        starts = ends - lengths - 1
-        add = np.add.reduceat
-        return (
-            add(known.astype(np.int64), starts),
-            add(base, starts),
-            add(np.log10(np.maximum(p, 1e-300)), starts),
-        )
-
-
-def _fit(slim: DataFrame, summary: DataFrame) -> Model:
-    """The tree of a small table in one process, which ``score`` has to agree with."""
-    spark = slim.sparkSession
-    rows = summary.collect()
-    words = sum(r["tokens"] for r in rows[:1])
-    documents = sum(r["documents"] for r in rows[:1])
-    tokens = words + documents
-    distinct = sum(r["distinct"] for r in rows) + (documents > 0)
-    once, twice = sum(r["once"] for r in rows), sum(r["twice"] for r in rows)
-    discount = once / (once + 2 * twice) if once else 0.0
-    pairs = sorted((bytes(w), n) for r in rows for w, n in zip(r["frequent"], r["frequency"]))
-    symbol = {w: i for i, (w, _) in enumerate(pairs)}
-    rare, end = len(symbol), len(symbol) + 1
-    symbols = end + 1
-    # Counts that single words, the end and the event of an unknown word add up to.
-    unknown = max(discount * (distinct - (documents > 0)), 0.5)
-    root = np.zeros(symbols)
-    root[:rare] = [c - discount for _, c in pairs]
-    root[end] = max(documents, 0.5)
-    rare_words = distinct - (documents > 0) - len(pairs)
-    root[rare] = words - sum(c for _, c in pairs) - discount * rare_words + unknown
-    rare_total = root[rare]
-    root /= root.sum()
-    levels: list[Level] = []
-    totals = np.array([*[c for _, c in pairs], words - sum(c for _, c in pairs), documents])
-    for depth in range(DEPTH):
-        sent = spark.sparkContext.broadcast((symbol, list(levels)))
-
-        def counted(it, sent=sent):
-            names, tree = sent.value
-            return _next_counts(it, names, tree, CONTEXT)
-
-        sums = slim.mapInArrow(counted, "key long, n long").groupBy("key").agg(F.sum("n").alias("n"))
-        stored = sums.filter(F.col("n") >= ENTRY).toArrow()
-        order = np.argsort(stored.column("key").to_numpy())
-        keys = stored.column("key").to_numpy()[order]
-        counts = stored.column("n").to_numpy()[order]
-        if depth:
-            totals = np.where(levels[-1].counts >= CONTEXT, levels[-1].counts, 0)
-        levels.append(_level(keys, counts, totals, levels, symbols, root))
-        if not len(keys):
-            break
-    return Model(symbol, root, levels, tokens, distinct, documents, discount, rare_total, unknown)
-
-
-SCORED = "doc_id long, n_tokens long, n_known long, base_score double, score double"
-STATE = "chunk long, kind int, bucket int, blob binary"
-MESSAGE = "chunk long, kind int, bucket int, keys binary, body binary"
-# Stand for the rare words and the end where symbols are hashes.
-RARE_HASH, END_HASH = (np.uint64(xxhash.xxh3_64_intdigest(b" " + x)) for x in (b"rare", b"end"))
-
-
 @dataclass
 class Totals:
     """What all training documents add up to."""
@@ -351,72 +201,6 @@ def _totals(summary: DataFrame) -> Totals:
     return Totals(words, documents, distinct + (documents > 0), once, discount, unknown)
 
 
-def _packed(*arrays: np.ndarray) -> bytes:
-    return zstandard.ZstdCompressor(level=1).compress(pickle.dumps(arrays, protocol=5))
-
-
-def _unpacked(blob: bytes) -> tuple:
-    return pickle.loads(zstandard.ZstdDecompressor().decompress(blob))
-
-
-def _mixed(a: np.ndarray, b: np.ndarray) -> np.ndarray:
-    """64-bit hashes of pairs of hashes, the order of a pair counting."""
-    z = a * np.uint64(0x9E3779B97F4A7C15) + b
-    z = (z ^ (z >> np.uint64(30))) * np.uint64(0xBF58476D1CE4E5B9)
-    z = (z ^ (z >> np.uint64(27))) * np.uint64(0x94D049BB133111EB)
-    return z ^ (z >> np.uint64(31))
-
-
-def _cuts(keys: np.ndarray, buckets: int) -> np.ndarray:
-    """Where each bucket begins in sorted keys; buckets are ranges of hashes."""
-    of_key = ((keys >> np.uint64(32)) * np.uint64(buckets)) >> np.uint64(32)
-    return np.searchsorted(of_key, np.arange(buckets + 1, dtype=np.uint64))
-
-
-def _document_rows(batches: Iterable[pa.RecordBatch], buckets: int) -> Iterator[pa.RecordBatch]:
-    for chunk in chunks(batches, lower=True):
-        order, _ = dealt(chunk, buckets)
-        hashes = np.fromiter(map(xxhash.xxh3_64_intdigest, chunk.words), np.uint64, len(chunk.words))
-        yield pa.RecordBatch.from_arrays(
-            [
-                pa.array([chunk.key], pa.int64()),
-                pa.array([chunk.doc_ids], pa.list_(pa.int64())),
-                pa.array([chunk.flags], pa.list_(pa.bool_())),
-                pa.array([chunk.lengths.tolist()], pa.list_(pa.int64())),
-                pa.array([squeeze(chunk.codes)], pa.binary()),
-                pa.array([ordered_blob(order)], pa.binary()),
-                pa.array([hashes.tobytes()], pa.binary()),
-            ],
-            names=["d_chunk", "doc_ids", "flags", "lengths", "codes", "word_order", "hashes"],
-        )
-
-
-def _state(documents: pa.Table, found: pa.Table) -> pa.Table:
-    """A chunk as symbols: words from SYMBOL on, then known rare words, unknown ones, and the end."""
-    if not documents.num_rows:
-        raise ValueError("the documents were not read in the same order twice")
-    by_bucket = dict(zip(found.column("bucket").to_pylist(), found.column("totals").to_pylist()))
-    lists = [unsqueeze(by_bucket[b]) for b in sorted(by_bucket)]
-    in_order = np.concatenate([*lists, np.empty(0, np.uint32)]).astype(np.int64)
-    blobs = []
-    for row in documents.to_pylist():
-        order, codes = ordered_from(row["word_order"]), unsqueeze(row["codes"]).astype(np.int64)
-        if len(order) != len(in_order):
-            raise ValueError("the documents were not read in the same order twice")
-        totals = np.empty(len(order), dtype=np.int64)
-        totals[order] = in_order
-        often = totals >= SYMBOL
-        n = int(often.sum())
-        of_word = np.where(often, np.cumsum(often) - 1, np.where(totals > 0, n, n + 1))
-        x = _sequence(codes, np.array(row["lengths"], dtype=np.int64), of_word, n + 2)
-        hashes = np.frombuffer(row["hashes"], np.uint64)[often]
-        kept = (row["doc_ids"], row["flags"], squeeze(x), squeeze(totals[often]), hashes.tobytes())
-        blobs.append(pickle.dumps(kept))
-    zeros = pa.array([0] * len(blobs), pa.int32())
-    chunk = pa.array(documents.column("d_chunk").to_pylist(), pa.int64())
-    return pa.table({"chunk": chunk, "kind": zeros, "bucket": zeros, "blob": pa.array(blobs, pa.binary())})
-
-
 class _Walk:
     """The tokens of a chunk, level by level, as far as the buckets have answered.
 
@@ -425,27 +209,31 @@ class _Walk:
     what the next level is tested against.
     """
 
-    def __init__(self, group: pa.Table, totals: Totals):
-        kinds, buckets, blobs = (group.column(c).to_pylist() for c in ("kind", "bucket", "blob"))
-        states = [b for k, b in zip(kinds, blobs) if k == 0]
-        self.copies = len(states)
+    def __init__(self, chunk: pa.Table, answers: pa.Table, totals: Totals):
+        row = {name: chunk.column(name)[0] for name in chunk.column_names}
+        self.chunk = row["chunk"].as_py()
         self.answers: dict[int, dict[int, bytes]] = {}
-        for kind, bucket, blob in zip(kinds, buckets, blobs):
-            if kind:
-                self.answers.setdefault(kind, {})[bucket] = blob
-        self.doc_ids, flags, x, counts, hashes = pickle.loads(states[0])
-        self.flags = np.array(flags, dtype=bool)
-        self.x = unsqueeze(x).astype(np.int64)
-        counts = unsqueeze(counts).astype(np.int64)
+        for kind, bucket, blob in zip(*(answers.column(c).to_pylist() for c in ("kind", "bucket", "blob"))):
+            self.answers.setdefault(kind, {})[bucket] = blob
+        self.doc_ids = row["doc_ids"].as_py()
+        hashes, order = _by_hash(row["hashes"])
+        count = np.empty(len(order), dtype=np.int64)
+        count[order] = self._answer(0)[0]
+        # Words from SYMBOL on, then known rare words, unknown ones, and the end.
+        often = count >= SYMBOL
+        n = int(often.sum())
+        of_word = np.where(often, np.cumsum(often) - 1, np.where(count > 0, n, n + 1))
+        counts, hashes = count[often], hashes[often]
+        self.lengths = listed(row["lengths"])
+        self.x = _sequence(chunk_codes(row["codes"]), self.lengths, of_word, n + 2)
+        self.train = np.repeat(listed(row["flags"], bool), self.lengths + 1)
         self.rare = len(counts)
         self.end = self.rare + 2
         self.all = totals
         self.counts = np.concatenate([counts, [totals.once, totals.once, totals.documents]])
         tail = np.array([RARE_HASH, RARE_HASH, END_HASH], np.uint64)
-        self.hashes = np.concatenate([np.frombuffer(hashes, np.uint64), tail])[self.x]
+        self.hashes = np.concatenate([hashes, tail])[self.x]
         self.nxt = self.x[1:]
-        self.lengths = np.diff(np.flatnonzero(self.x == self.end)) - 1
-        self.train = np.repeat(self.flags, self.lengths + 1)
         root = np.concatenate([counts - totals.discount, [totals.rare, totals.rare, max(totals.documents, 0.5)]])
         self.p = (root / totals.mass)[self.nxt]
         self.context = self.hashes[:-1]
@@ -464,29 +252,30 @@ class _Walk:
         found = self.answers.get(kind, {})
         parts = [_unpacked(found[b]) for b in sorted(found)]
         out = [np.concatenate(p) for p in zip(*parts)]
-        return out or [np.empty(0, np.uint32), np.empty(0, bool)]
+        return out or [np.empty(0, np.int64), np.empty(0, bool)]
 
     def gram_rows(self) -> tuple[np.ndarray, list[np.ndarray]]:
-        n = np.bincount(self.of_gram[self.train[self.at]], minlength=len(self.grams)) * self.copies
-        return self.grams, [n.astype(np.uint32)]
+        n = np.bincount(self.of_gram[self.train[self.at]], minlength=len(self.grams))
+        return self.grams, [n]
 
     def counted(self, level: int) -> None:
         """Take the counts of the grams in; contexts and what this chunk has to say of them."""
         self.n_gram, self.own = self._answer(2 * level)
-        self.n = self.n_gram.astype(np.int64)[self.of_gram]
+        self.n = self.n_gram[self.of_gram]
         self.contexts, at, self.of_context = np.unique(self.context, return_index=True, return_inverse=True)
         self.total = self.times[at]
 
     def context_rows(self) -> tuple[np.ndarray, list[np.ndarray]]:
         """Sums over the stored grams that this chunk reports, for each of its contexts."""
         own = np.flatnonzero(self.own)
-        n = self.n_gram[own].astype(np.float64)
+        n = self.n_gram[own]
         place = self.first[own]
         context, p = self.of_context[place], self.p[self.at[place]]
         many = len(self.contexts)
         each = n * np.log(n / np.maximum(p, 1e-300))
-        sums = [np.bincount(context, w, minlength=many).astype(float) for w in (n, np.ones(len(n)), each, p)]
-        return self.contexts, [self.total, *sums]
+        stored = np.bincount(context, n, minlength=many).astype(np.int64)
+        sums = [np.bincount(context, w, minlength=many).astype(float) for w in (each, p)]
+        return self.contexts, [self.total, stored, np.bincount(context, minlength=many), *sums]
 
     def mixed(self, level: int) -> None:
         """Take the test of the contexts in."""
@@ -503,14 +292,14 @@ class _Walk:
         self._grams()
 
 
-def _rows_of(walk: _Walk, chunk: int, level: int, buckets: int) -> Iterator[tuple]:
+def _rows_of(walk: _Walk, level: int, buckets: int) -> Iterator[tuple]:
     """Messages of a round: grams of ``level``, and contexts of the level before."""
 
     def messages(kind: int, keys: np.ndarray, body: list[np.ndarray]) -> Iterator[tuple]:
         cuts = _cuts(keys, buckets)
         for b in np.flatnonzero(np.diff(cuts)):
             span = slice(cuts[b], cuts[b + 1])
-            yield chunk, kind, int(b), keys[span].tobytes(), _packed(*[a[span] for a in body])
+            yield walk.chunk, kind, int(b), _packed_keys(keys[span]), _packed(*[a[span] for a in body])
 
     for depth in range(1, level):
         walk.counted(depth)
@@ -524,12 +313,11 @@ def _rows_of(walk: _Walk, chunk: int, level: int, buckets: int) -> Iterator[tupl
         yield from messages(2 * level, *walk.gram_rows())
 
 
-def _asking(totals: Totals, level: int, buckets: int) -> Callable[[pa.Table], pa.Table]:
+def _asking(totals: Totals, level: int, buckets: int) -> Callable[[pa.Table, pa.Table], pa.Table]:
     kinds = {"chunk": pa.int64(), "kind": pa.int32(), "bucket": pa.int32(), "keys": pa.binary(), "body": pa.binary()}
 
-    def messages(group: pa.Table) -> pa.Table:
-        chunk = group.column("chunk")[0].as_py()
-        rows = list(_rows_of(_Walk(group, totals), chunk, level, buckets))
+    def messages(chunk: pa.Table, answers: pa.Table) -> pa.Table:
+        rows = list(_rows_of(_Walk(chunk, answers, totals), level, buckets))
         columns = list(zip(*rows)) or [()] * len(kinds)
         return pa.table({k: pa.array(c, kind) for (k, kind), c in zip(kinds.items(), columns)})
 
@@ -538,9 +326,11 @@ def _asking(totals: Totals, level: int, buckets: int) -> Callable[[pa.Table], pa
 
 def _answers(group: pa.Table) -> pa.Table:
     """Counts of the grams of a bucket, or the divergence test of its contexts, for each chunk."""
-    group = group.sort_by("chunk")
-    keys = [np.frombuffer(b.as_buffer(), np.uint64) for b in group.column("keys")]
-    bodies = [np.concatenate(a) for a in zip(*(_unpacked(b.as_py()) for b in group.column("body")))]
+    chunk = group.column("chunk").to_numpy()
+    order = np.argsort(chunk)
+    keys = [_unpacked_keys(group.column("keys")[int(i)].as_py()) for i in order]
+    parts = [_unpacked(group.column("body")[int(i)].as_py()) for i in order]
+    bodies = [np.concatenate(a) for a in zip(*parts)]
     every, first, place = np.unique(np.concatenate(keys), return_index=True, return_inverse=True)
     kind = group.column("kind")[0].as_py()
     if kind % 2 == 0:
@@ -549,7 +339,7 @@ def _answers(group: pa.Table) -> pa.Table:
         # One chunk reports a gram to its context, so that it counts once.
         own = np.zeros(len(place), dtype=bool)
         own[first[n > 0]] = True
-        out = [n[place].astype(np.uint32), own]
+        out = [n[place], own]
     else:
         total = bodies[0][first]
         stored, many, gain, expected = (np.bincount(place, a, minlength=len(every)) for a in bodies[1:])
@@ -562,11 +352,16 @@ def _answers(group: pa.Table) -> pa.Table:
         out = [np.where(kept, 1 - stored / (total + PRIOR), -1.0)[place]]
     cuts = np.cumsum([0, *map(len, keys)])
     blobs = [_packed(*[a[i:j] for a in out]) for i, j in zip(cuts, cuts[1:])]
-    return group.select(["chunk", "kind", "bucket"]).append_column("blob", pa.array(blobs, pa.binary()))
+    return pa.table({
+        "chunk": pa.array(chunk[order], pa.int64()),
+        "kind": group.column("kind"),
+        "bucket": group.column("bucket"),
+        "blob": pa.array(blobs, pa.binary()),
+    })
 
 
-def _scored(group: pa.Table, totals: Totals) -> pa.Table:
-    walk = _Walk(group, totals)
+def _scored(chunk: pa.Table, answers: pa.Table, totals: Totals) -> pa.Table:
+    walk = _Walk(chunk, answers, totals)
     for level in range(1, DEPTH + 1):
         walk.counted(level)
         walk.mixed(level)
@@ -581,14 +376,13 @@ def _scored(group: pa.Table, totals: Totals) -> pa.Table:
     single = np.where(unseen, totals.unknown, count - totals.discount)
     p = np.where(rare, walk.p * single / totals.rare, walk.p)
     starts = np.cumsum(walk.lengths + 1) - walk.lengths - 1
-    n = walk.copies
 
     def summed(values: np.ndarray) -> np.ndarray:
-        return np.tile(np.add.reduceat(values, starts), n)
+        return np.add.reduceat(values, starts)
 
     return pa.table({
-        "doc_id": pa.array(walk.doc_ids * n, pa.int64()),
-        "n_tokens": pa.array(np.tile(walk.lengths + 1, n), pa.int64()),
+        "doc_id": pa.array(walk.doc_ids, pa.int64()),
+        "n_tokens": pa.array(walk.lengths + 1, pa.int64()),
         "n_known": pa.array(summed((count > 0).astype(np.int64)), pa.int64()),
         "base_score": pa.array(summed(base), pa.float64()),
         "score": pa.array(summed(np.log10(np.maximum(p, 1e-300))), pa.float64()),
@@ -614,34 +408,33 @@ def score(docs: DataFrame, modulus: int = 5, remainder: int = 1, buckets: int |
     of documents send their distinct words, grams and contexts to hash buckets, which
     sum them, make the test and answer by position. A gram reaches its context through
     one chunk, as sums, so a frequent context is one row a chunk. 64-bit hashes stand
-    for grams.
+    for grams. Chunks are stored once, in buckets, and stay in place: a round moves its
+    questions and the answers so far, and leaves only answers on disk.
 
     Returns doc_id, n_tokens, n_known, base_score, score, train_tokens. Null text is
     empty: one token. A null doc_id counts as empty text for the split. Repeated rows
-    count and are scored each. Other columns are not read. An empty table gives an
-    empty table. The input has to come in the same order whenever it is read.
+    count and are scored each. A text of any length is scored whole, in one chunk. Other
+    columns are not read. An empty table gives an empty table. The input is read once, in
+    any order.
     """
     spark = docs.sparkSession
     n = buckets or partitions(spark)
     train = ~held_out(remainder, modulus)
     slim = docs.select(F.col("doc_id").cast("long").alias("doc_id"), train.alias("flag"), "text")
-    words = slim.mapInArrow(lambda it: _word_rows(it, n), WORDS)
-    counted = settled(
-        words.groupBy("bucket").applyInArrow(lambda t: _counted(t), COUNTED), "lm-words"
-    )
+    held = store_chunks(slim.mapInArrow(_chunk_rows, CHUNK), "lm_chunks")
+    words = held.mapInArrow(each_row(lambda row: _word_rows(row, n)), WORDS)
+    counted = settled(words.groupBy("bucket").applyInArrow(_counted, COUNTED), "lm-words", drop_shuffles=True)
     totals = _totals(counted.filter(F.col("chunk").isNull()).drop("chunk", "bucket", "totals"))
-    documents = slim.mapInArrow(
-        lambda it: _document_rows(it, n),
-        "d_chunk long, doc_ids array<long>, flags array<boolean>, lengths array<long>, codes binary,"
-        " word_order binary, hashes binary",
-    )
-    found = counted.filter(F.col("chunk").isNotNull()).select("chunk", "bucket", "totals")
-    held = settled(
-        documents.groupBy("d_chunk").cogroup(found.groupBy("chunk")).applyInArrow(_state, STATE), "lm-chunks"
-    )
+    # The counts of the words are the first answers.
+    found = counted.filter(F.col("chunk").isNotNull())
+    answers = found.select("chunk", F.lit(0).alias("kind"), "bucket", F.col("totals").alias("blob"))
+
+    def walked(work: Callable[[pa.Table, pa.Table], pa.Table], schema: str) -> DataFrame:
+        return held.groupBy("chunk").cogroup(answers.groupBy("chunk")).applyInArrow(work, schema)
+
     for level in range(1, DEPTH + 2):
-        asked = held.groupBy("chunk").applyInArrow(_asking(totals, level, n), MESSAGE)
-        answered = asked.groupBy("kind", "bucket").applyInArrow(_answers, STATE)
-        held = held.unionAll(settled(answered, f"lm-level-{level}"))
-    scored = held.groupBy("chunk").applyInArrow(lambda t: _scored(t, totals), SCORED)
+        asked = walked(_asking(totals, level, n), MESSAGE)
+        answered = asked.groupBy("kind", "bucket").applyInArrow(_answers, ANSWER)
+        answers = answers.unionAll(settled(answered, f"lm-level-{level}", drop_shuffles=True))
+    scored = walked(lambda chunk, given: _scored(chunk, given, totals), SCORED)
     return scored.withColumn("train_tokens", F.lit(totals.words + totals.documents).cast("long"))

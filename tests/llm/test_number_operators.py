@@ -10,10 +10,12 @@ import pytest
 from pyspark.sql import functions as F
 
 from staveline.llm import neighbours, packing, sharding, suffix_tree, toxicity
+from staveline.llm.queries import QUERIES
 from staveline.llm.tokens import byte_bpe, load, vocabulary_path
 from tests.llm.fixtures import EXTRA, documents, found, prose, texts
 
 BYTE_BPE = vocabulary_path("byte_bpe_50k.json")
+SF = "/root/testdata/sf0.001"
 
 
 # --- packing --------------------------------------------------------------------
@@ -291,24 +293,81 @@ def test_suffix_tree_counts_and_base(spark):
     assert sum(r.score for r in held) > 0.8 * sum(r.base_score for r in held)
 
 
-def test_suffix_tree_probabilities_add_up(spark):
-    from staveline.llm.common import held_out
+class PlainTree:
+    """The tree from its definition, with a dictionary of all grams."""
+
+    def __init__(self, docs):
+        self.words = collections.Counter(w for d in docs for w in d)
+        once, twice = (sum(c == k for c in self.words.values()) for k in (1, 2))
+        self.discount = once / (once + 2 * twice) if once else 0.0
+        self.unknown = max(self.discount * len(self.words), 0.5)
+        self.rare = once * (1 - self.discount) + self.unknown
+        counts = collections.Counter(self.symbol(w) for d in docs for w in d)
+        counts["end"] = len(docs)
+        root = {s: c - self.discount for s, c in counts.items() if isinstance(s, bytes)}
+        root.update(rare=self.rare, end=max(len(docs), 0.5))
+        self.root = {s: c / sum(root.values()) for s, c in root.items()}
+        self.n = collections.Counter({(s,): c for s, c in counts.items()})
+        for d in docs:
+            x = self.sequence(d)
+            for length in range(2, suffix_tree.DEPTH + 2):
+                self.n.update(tuple(x[i : i + length]) for i in range(len(x) - length + 1))
+        after = collections.defaultdict(dict)
+        for gram, n in self.n.items():
+            if len(gram) > 1 and n >= suffix_tree.ENTRY:
+                after[gram[:-1]][gram[-1]] = n
+        self.left = {}
+        for context in sorted(after, key=len):
+            total, stored = self.n[context], sum(after[context].values())
+            if len(context) > 1 and total < suffix_tree.CONTEXT:
+                continue
+            shorter = {s: self.p(context[1:], s) for s in after[context]}
+            gain = sum(n * math.log(n / total / shorter[s]) for s, n in after[context].items())
+            if total > stored:
+                ratio = (total - stored) / total / max(1 - sum(shorter.values()), 1e-12)
+                gain += (total - stored) * math.log(max(ratio, 1e-12))
+            if gain > suffix_tree.DIVERGENCE * len(after[context]):
+                self.left[context] = 1 - stored / (total + suffix_tree.PRIOR)
+
+    def symbol(self, word):
+        return word if self.words[word] >= suffix_tree.SYMBOL else "rare"
+
+    def sequence(self, words):
+        return ["end", *map(self.symbol, words), "end"]
+
+    def p(self, context, s):
+        p = self.root[s]
+        for length in range(1, len(context) + 1):
+            c = context[-length:]
+            if c in self.left:
+                n = self.n[(*c, s)]
+                n = n if n >= suffix_tree.ENTRY else 0
+                p = n / (self.n[c] + suffix_tree.PRIOR) + self.left[c] * p
+        return p
+
+    def score(self, words):
+        x, total = self.sequence(words), 0.0
+        for i in range(1, len(x)):
+            p = self.p(tuple(x[max(0, i - suffix_tree.DEPTH) : i]), x[i])
+            if x[i] == "rare":
+                known = self.words[words[i - 1]]
+                p *= (known - self.discount if known else self.unknown) / self.rare
+            total += math.log10(p)
+        return total
+
+
+def plain_tree(rows):
+    low = bytes.maketrans(bytes(range(65, 91)), bytes(range(97, 123)))
+    split = [(d, (t or "").encode().translate(low).split()) for d, t in rows]
+    held = lambda d: zlib.crc32(b"" if d is None else str(d).encode()) % 5 == 1
+    return PlainTree([ws for d, ws in split if not held(d)]), split
+
 
-    docs = documents(spark, language_rows()).select("doc_id", (~held_out(1, 5)).alias("flag"), "text")
-    words = docs.mapInArrow(lambda it: suffix_tree._word_rows(it, 2), suffix_tree.WORDS)
-    counted = words.groupBy("bucket").applyInArrow(suffix_tree._counted_bucket, suffix_tree.COUNTED)
-    model = suffix_tree._fit(docs, counted.filter("chunk IS NULL").drop("chunk", "bucket", "totals"))
-    assert len(model.levels) > 1 and any(level.kept.any() for level in model.levels[1:])
-    symbols = len(model.root)
-    assert math.isclose(model.root.sum(), 1)
-    for depth, level in enumerate(model.levels):
-        for context in np.flatnonzero(level.kept)[:20]:
-            p = suffix_tree._probability(
-                model.levels[: depth + 1], np.full(symbols, context), np.arange(symbols), symbols, model.root
-            )
-            assert math.isclose(p.sum(), 1, rel_tol=1e-9) and (p >= 0).all()
-    # Rare words and the unknown one share the rare symbol.
-    assert model.rare_total > model.unknown > 0
+def test_the_plain_tree_is_a_distribution():
+    tree, _ = plain_tree(language_rows())
+    assert {len(c) for c in tree.left} == {1, 2, 3}
+    for context in sorted(tree.left, key=str)[:300]:
+        assert math.isclose(sum(tree.p(context, s) for s in tree.root), 1, rel_tol=1e-9)
 
 
 def test_suffix_tree_of_nothing(spark):
@@ -318,27 +377,26 @@ def test_suffix_tree_of_nothing(spark):
     assert all(math.isfinite(r.score) and math.isfinite(r.base_score) for r in only)
 
 
-def test_suffix_tree_is_that_of_one_process(spark):
-    from staveline.llm.chunks import chunks
-    from staveline.llm.common import held_out
-
+@pytest.mark.parametrize("pieces", [1, 4])
+def test_suffix_tree_is_the_plain_one(spark, pieces):
     rows = [*language_rows(), *language_rows()[:30]]
-    docs = documents(spark, rows).select("doc_id", (~held_out(1, 5)).alias("flag"), "text").coalesce(1)
-    words = docs.mapInArrow(lambda it: suffix_tree._word_rows(it, 2), suffix_tree.WORDS)
-    counted = words.groupBy("bucket").applyInArrow(suffix_tree._counted_bucket, suffix_tree.COUNTED)
-    model = suffix_tree._fit(docs, counted.filter("chunk IS NULL").drop("chunk", "bucket", "totals"))
-    assert len(model.levels) == 3 and all(level.kept.any() for level in model.levels)
-    (chunk,) = chunks(docs.toArrow().to_batches(), lower=True)
-    tokens = np.repeat(np.array(chunk.flags), chunk.lengths)
-    totals = np.bincount(chunk.codes[tokens], minlength=len(chunk.words))
-    of_word = suffix_tree._symbols(chunk.words, model.symbol, len(model.symbol))
-    scores = model.scores(chunk.codes, chunk.lengths, of_word, totals)[2]
-    want = sorted(((d or 0), round(float(s), 6)) for d, s in zip(chunk.doc_ids, scores))
-    for pieces in (1, 4):
-        out = suffix_tree.score(documents(spark, rows).repartition(pieces), buckets=5).collect()
-        got = sorted(((r.doc_id or 0), round(r.score, 6)) for r in out)
-        assert [d for d, _ in got] == [d for d, _ in want]
-        assert np.allclose([s for _, s in got], [s for _, s in want], rtol=1e-7, atol=2e-6)
+    tree, split = plain_tree(rows)
+    want = sorted(((d or 0), tree.score(ws)) for d, ws in split)
+    out = suffix_tree.score(documents(spark, rows).repartition(pieces), buckets=5).collect()
+    got = sorted(((r.doc_id or 0), r.score) for r in out)
+    assert [d for d, _ in got] == [d for d, _ in want]
+    assert np.allclose([s for _, s in got], [s for _, s in want], rtol=1e-7, atol=2e-6)
+
+
+def test_suffix_tree_query_is_the_plain_one(spark):
+    rows = [tuple(r) for r in spark.read.parquet(f"{SF}/documents.parquet").select("doc_id", "text").collect()]
+    tree, split = plain_tree(rows)
+    want = {d: tree.score(ws) for d, ws in split}
+    got = {r.doc_id: r for r in QUERIES["op10_suffix_tree"](spark, SF).collect()}
+    assert got.keys() == want.keys() and len(want) == len(rows)
+    assert all(math.isclose(got[d].score, s, rel_tol=1e-7, abs_tol=2e-6) for d, s in want.items())
+    held = [r for r in got.values() if r.held_out]
+    assert sum(r.score for r in held) > sum(r.base_score for r in held)
 
 
 def test_a_passage_is_learnt_whatever_else_there_is(spark):
