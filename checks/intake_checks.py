@@ -37,6 +37,7 @@ from staveline.sinks.tables import (
 from staveline.sources.dsr import check_bad_rows, read_dsr, to_lines, typed_records
 from staveline.sources.landed import read_landed
 from staveline.sources.lookups import load_artist_metadata, read_seed_artists
+from staveline.streaming.changes import ingest_changes, part_records
 from staveline.streaming.gate import completed, emit_completed
 from staveline.streaming.intake import (
     artist_metadata,
@@ -148,6 +149,46 @@ def sent_again(spark: SparkSession, sf: str) -> DataFrame:
     return _stored(spark, store)
 
 
+# --- intake by a log of changes ---------------------------------------------------
+
+@check("intake_changes", USED_SQL.format(service=SERVICE_SQL, usages="""CASE
+    WHEN o_orderkey % 4 = 2 THEN 3
+    WHEN o_orderkey % 4 = 3 OR o_orderkey % 8 >= 4 THEN 1
+    WHEN o_orderkey % 3 = 0 THEN 2 END"""))
+def changed_parts(spark: SparkSession, sf: str) -> DataFrame:
+    """Deliveries in two parts; parts come again under new names, then one delivery as a whole.
+
+    A file that no event names is not taken, nor does a deletion count.
+    """
+    base = scratch_folder(spark, "changes")
+    log, landing, store, state = (f"{base}/{part}" for part in ("log", "landing", "store", "state"))
+    orders = table(spark, sf, "orders")
+
+    def send(service: str, mark: str, usages: Column, minute: int, kind: str = "finalized") -> None:
+        key, (part, parts) = F.col("o_orderkey"), (int(n) for n in mark.split("of"))
+        of_part = (F.floor(key / 4) % parts == part - 1) & (key % 4 == list(FILE_NAMES).index(service))
+        name = f"1998_Q1/Report_{FILE_NAMES[service]}_{mark}_19980501T00{minute:02}00.tsv"
+        lines = orders.where(of_part).select(_used(usages).alias("value")).where("value IS NOT NULL")
+        _put(spark, lines, f"{landing}/{name}")
+        event = [F.lit(kind).alias("kind"), F.lit(f"landing/{name}").alias("name")]
+        at = F.lit(f"1998-05-01T00:{minute:02}:00Z").alias("at")
+        spark.range(1).select(*event, at).write.mode("append").json(log)
+
+    for service in FILE_NAMES:
+        for mark in ("1of2", "2of2"):
+            send(service, mark, F.lit(1), 1)
+    ingest_changes(spark, log, landing, store, state)
+    for service in ("ads", "hardware"):
+        send(service, "1of2", F.when(F.col("o_orderkey") % 3 == 0, 2), 2)
+    send("subs_premium", "1of2", F.lit(9), 2, kind="deleted")
+    ingest_changes(spark, log, landing, store, state)
+    send("subs_music", "1of1", F.lit(3), 3)
+    ingest_changes(spark, log, landing, store, state)
+    ingest_changes(spark, log, landing, store, state)
+    rows = typed_records(part_records(spark, store), "ST01")
+    return rows.select("service", F.col("BlockId").alias("block"), F.col("Usages").alias("usages"))
+
+
 @check("intake_new_checkpoint", USED_SQL.format(service=SERVICE_SQL, usages="1"))
 def new_checkpoint(spark: SparkSession, sf: str) -> DataFrame:
     """A second checkpoint on the same store: nothing is lost, nothing counts twice."""
