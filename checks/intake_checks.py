@@ -34,6 +34,7 @@ from staveline.sinks.tables import (
     write_replace,
     write_report,
 )
+from staveline.sources.documents import flatten_documents, payloads, read_documents
 from staveline.sources.dsr import check_bad_rows, read_dsr, to_lines, typed_records
 from staveline.sources.landed import read_landed
 from staveline.sources.lookups import load_artist_metadata, read_seed_artists
@@ -454,6 +455,38 @@ def landed_files(spark: SparkSession, sf: str) -> DataFrame:
     return rows.select("track_id", "platform", F.explode("obj.value").alias("value"))
 
 
+@check("landed_unknown_shape", """
+SELECT track_id, "id", price AS "price.total", currency AS "price.currency", clerk AS "clerk.name",
+    tags AS "clerk.tags", mix
+FROM (
+    SELECT o_orderkey AS track_id, o_custkey AS id,
+        CASE WHEN o_orderkey % 3 = 0 THEN CAST(o_totalprice AS DOUBLE) END AS price,
+        CASE WHEN o_orderkey % 3 = 2 THEN 'EUR' END AS currency,
+        CASE WHEN o_orderkey % 3 = 1 THEN o_orderpriority END AS clerk,
+        CASE WHEN o_orderkey % 3 = 1 THEN concat(o_orderkey, ',', o_custkey) END AS tags,
+        CASE WHEN o_orderkey % 3 = 2 THEN CASE WHEN o_orderkey % 2 = 0 THEN CAST(o_custkey AS VARCHAR)
+            ELSE o_orderstatus END END AS mix
+    FROM orders WHERE o_orderkey % 5 > 0)""")
+def landed_unknown_shape(spark: SparkSession, sf: str) -> DataFrame:
+    """Responses whose fields no schema names, flat; fields differ from row to row, and one in kind."""
+    path = scratch_folder(spark, "unknown")
+    key = F.col("o_orderkey")
+    texts = [F.lit('{"track_id":'), key, F.lit(',"obj":{"id":'), F.col("o_custkey")]
+    price = F.concat(F.lit(',"price":{"total":'), F.col("o_totalprice").cast("string"), F.lit("}}}"))
+    name = F.to_json(F.struct(F.col("o_orderpriority").alias("name"), F.array(key, F.col("o_custkey")).alias("tags")))
+    clerk = F.concat(F.lit(',"clerk":'), name, F.lit("}}"))
+    status = F.concat(F.lit('"'), F.col("o_orderstatus"), F.lit('"'))
+    mix = F.when(key % 2 == 0, F.col("o_custkey").cast("string")).otherwise(status)
+    other = F.concat(F.lit(',"price":{"currency":"EUR"},"mix":'), mix, F.lit("}}"))
+    some = F.concat(*texts, F.when(key % 3 == 0, price).when(key % 3 == 1, clerk).otherwise(other))
+    none = F.concat(F.lit('{"track_id":'), key, F.when(key % 2 == 0, ',"obj":{}}').otherwise("}"))
+    rows = table(spark, sf, "orders").select(F.when(key % 5 > 0, some).otherwise(none).alias("value"))
+    rows.write.text(path)
+    flat = flatten_documents(payloads(read_documents(spark, path), tags="track_id bigint"))
+    tags = F.array_join(F.col("`clerk.tags`").cast("array<string>"), ",")
+    return flat.withColumn("clerk.tags", tags)
+
+
 @check("seed_file", """
 SELECT c_custkey, c_name FROM customer WHERE c_name IN (SELECT c_name FROM customer WHERE c_acctbal > 0)""")
 def seed_file(spark: SparkSession, sf: str) -> DataFrame:
