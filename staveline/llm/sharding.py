@@ -35,9 +35,11 @@ def shard(docs: DataFrame, shards: int = 40, bundles: int = BUNDLES) -> DataFram
     A group of equal texts that is a sixteenth of a shard or more is a unit of its
     own; so there are at most 16 * shards of them. All other groups fall into a
     fixed number of bundles by hash. Units are placed greedily on the driver:
-    their number is bounded by the parameters, whatever the corpus. A group larger
-    than half a shard is cut into parts by hash of its rows, as no shard could hold
-    it and stay equal.
+    their number is bounded by the parameters, whatever the corpus. A group stays whole
+    as long as its bytes fit a shard of mean size. A larger one is cut into parts of
+    about a quarter of a shard by hash of its rows, as no shard could hold it and stay
+    equal. A
+    single text is never cut; one that is larger than a shard makes its shard larger.
 
     Returns the input columns without ``text``, and size (UTF-8 bytes of the text
     plus 16; null: 16), tokens (words between ASCII white space), text_crc32,
@@ -67,7 +69,7 @@ def shard(docs: DataFrame, shards: int = 40, bundles: int = BUNDLES) -> DataFram
         groups.filter(F.col("bytes") >= share / 16).select(
             "g1",
             "g2",
-            F.when(F.col("bytes") > share / 2, F.ceil(F.col("bytes") * 4 / share))
+            F.when(F.col("bytes") > share, F.ceil(F.col("bytes") * 4 / share))
             .otherwise(1)
             .cast("int")
             .alias("parts"),

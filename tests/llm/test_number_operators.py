@@ -258,6 +258,27 @@ def test_sharding(spark, shards, bundles):
             assert len(small[crc, n + 16]) == 1
 
 
+def test_sharding_query_keeps_groups_that_fit(spark):
+    folder = "/root/testdata/sf0.01"
+    texts_of = {r.doc_id: r.text or "" for r in spark.read.parquet(f"{folder}/documents.parquet").collect()}
+    found = QUERIES["op9_sharding"](spark, folder).collect()
+    assert sorted(r.doc_id for r in found) == sorted(texts_of)
+    shards, members, bytes_of = collections.Counter(), collections.defaultdict(set), collections.Counter()
+    slots = collections.defaultdict(list)
+    for r in found:
+        text = texts_of[r.doc_id]
+        assert (r.size, r.text_crc32) == (len(text.encode()) + 16, zlib.crc32(text.encode()))
+        shards[r.shard] += r.size
+        slots[r.shard].append(r.slot)
+        members[text].add(r.shard)
+        bytes_of[text] += r.size
+    share = sum(shards.values()) / 40
+    assert all(len(members[t]) == 1 for t, n in bytes_of.items() if n <= share)
+    assert any(share / 2 < n <= share for n in bytes_of.values())
+    assert all(sorted(s) == list(range(len(s))) for s in slots.values())
+    assert len(shards) == 40 and max(shards.values()) - min(shards.values()) < 0.1 * share
+
+
 def test_sharding_of_nothing(spark):
     assert sharding.shard(documents(spark, [])).count() == 0
 
