@@ -1,9 +1,11 @@
 """Records made from the driver tables lie by block, and what joins on a block leaves them there."""
 
 import datetime
+import re
 
 import pytest
 
+from checks import standins
 from checks.standins import report_records
 from staveline.operators.usage import merged_usage
 from staveline.plans.report import ReportTerms, distinct_rows
@@ -51,6 +53,12 @@ def shuffles(df):
     return df._jdf.queryExecution().executedPlan().toString().count("Exchange hashpartitioning")
 
 
+def other_shuffles(df):
+    """Shuffles by a block and more, or by a transaction."""
+    plan = df._jdf.queryExecution().executedPlan().toString()
+    return re.findall(r"Exchange hashpartitioning\((?:BlockId#\d+, [a-zA-Z]|SalesT|ResourceT|service).*", plan)
+
+
 def test_records_lie_by_block(spark, tables, large_tables):
     r = report_records(spark, tables)
     for df in (r.li, r.su, r.as_):
@@ -59,6 +67,16 @@ def test_records_lie_by_block(spark, tables, large_tables):
     assert shuffles(merged) == shuffles(r.li) + shuffles(r.su) + shuffles(r.as_)
 
 
+def test_parts_grow_with_the_table(spark, tables, large_tables, monkeypatch):
+    before = [sorted(map(str, df.collect())) for df in vars(report_records(spark, tables)).values()]
+    monkeypatch.setattr(standins, "BYTES_OF_A_PART", 100)
+    r = report_records(spark, tables)
+    merged = merged_usage(r.as_, r.su, r.li, money_type=MONEY)
+    assert not other_shuffles(merged)
+    assert r.li.rdd.getNumPartitions() > 2 * spark.sparkContext.defaultParallelism
+    assert [sorted(map(str, df.collect())) for df in vars(r).values()] == before
+
+
 def test_rows_of_the_records(spark, tables, large_tables):
     r = report_records(spark, tables)
     first, third = ("2024_Q1", "hardware"), ("2024_Q3", "subs_music")
