@@ -27,6 +27,10 @@ BUCKET_ROWS = 2048
 # Shingles of a block of sets that are verified together, about.
 BLOCK_SHINGLES = 2_000_000
 LEAF = 16
+# Beyond so many shingles the counts of the groups are too alike to tell sets apart; parities do.
+WIDE = 2048
+# Bytes of parities that are compared at once.
+COMPARED_BYTES = 1 << 23
 # Shingles of recent sets that a verifying task remembers.
 HELD_SHINGLES = 4_000_000
 
@@ -129,6 +133,25 @@ def point_of(shingles: np.ndarray) -> np.ndarray:
     return counts.astype("<u4" if counts.max() > 255 else "u1")
 
 
+def bits_of(n: int) -> int:
+    """Parity bits of a set of n shingles: a power of two above 0.7 n, none for a set that is not wide."""
+    return 1 << (7 * n // 10).bit_length() if n > WIDE else 0
+
+
+def parities_of(shingles: np.ndarray) -> np.ndarray:
+    """Whether odd numbers of shingles fall into finer groups of their hash, eight groups a byte."""
+    bits = bits_of(len(shingles))
+    if not bits:
+        return np.empty(0, np.uint8)
+    group = ((shingles >> np.uint64(8)) % np.uint64(bits)).astype(np.int64)
+    return np.packbits((np.bincount(group, minlength=bits) & 1).astype(np.uint8), bitorder="little")
+
+
+def shape_of(shingles: np.ndarray) -> bytes:
+    """The point of a set and, behind it, its parities."""
+    return point_of(shingles).tobytes() + parities_of(shingles).tobytes()
+
+
 def set_id(shingles: np.ndarray) -> bytes:
     return xxhash.xxh3_128_digest(shingles.tobytes())
 
@@ -177,8 +200,14 @@ class RTree:
                 stack += [(depth - 1, i, asking) for i in range(node * LEAF, min((node + 1) * LEAF, below))]
 
 
-def _points(column: pa.ChunkedArray) -> np.ndarray:
-    blobs = column.to_pylist()
+def _shapes(blobs: list[bytes], sizes: np.ndarray) -> tuple[np.ndarray, list[np.ndarray]]:
+    """Points and parities of sets of these sizes."""
+    cut = [len(x) - bits_of(n) // 8 for x, n in zip(blobs, sizes.tolist())]
+    parities = [np.frombuffer(x, np.uint8, offset=c) if c < len(x) else np.empty(0, np.uint8) for x, c in zip(blobs, cut)]
+    return _points([x[:c] for x, c in zip(blobs, cut)]), parities
+
+
+def _points(blobs: list[bytes]) -> np.ndarray:
     out = np.empty((len(blobs), GROUPS), dtype=np.uint32)
     wide = np.array([len(x) > GROUPS for x in blobs], dtype=bool)
     for kind, chosen in (("u1", ~wide), ("<u4", wide)):
@@ -192,6 +221,32 @@ def _overlap(a: np.ndarray, b: np.ndarray) -> np.ndarray:
     return np.minimum(a, b).sum(axis=1, dtype=np.int64)
 
 
+def _folded(parities: np.ndarray, width: int) -> np.ndarray:
+    """Parities of groups brought together, down to so many bytes."""
+    return np.bitwise_xor.reduce(parities.reshape(-1, width), axis=0).view(np.uint64)
+
+
+def _differing(parities: list[np.ndarray], a: np.ndarray, b: np.ndarray) -> np.ndarray:
+    """For each pair (a, b) of wide sets how many shingles only one of them has, at least; 0 for others.
+
+    A group whose parity differs holds such a shingle.
+    """
+    width = np.array([len(x) for x in parities], dtype=np.int64)
+    common = np.minimum(width[a], width[b])
+    out = np.zeros(len(a), dtype=np.int64)
+    for w in np.unique(common[common > 0]).tolist():
+        pairs = np.flatnonzero(common == w)
+        rows, place = np.unique(np.concatenate([a[pairs], b[pairs]]), return_inverse=True)
+        folded = np.stack([_folded(parities[r], w) for r in rows])
+        x, y = np.split(place, 2)
+        step = max(COMPARED_BYTES // w, 1)
+        for i in range(0, len(pairs), step):
+            part = slice(i, i + step)
+            odd = np.bitwise_count(folded[x[part]] ^ folded[y[part]])
+            out[pairs[part]] = odd.sum(axis=1, dtype=np.int64)
+    return out
+
+
 def _listed(lists: list[np.ndarray]) -> pa.ListArray:
     ends = np.cumsum([0, *map(len, lists)])
     values = np.concatenate([*lists, np.empty(0, np.int64)]).astype(np.int64)
@@ -209,7 +264,7 @@ def _measured(batches: Iterable[pa.RecordBatch], words: int, num: int, den: int)
                 pa.array([len(s) for s in sets], pa.int64()),
                 pa.array(ids, pa.binary()),
                 pa.array([node_of(i) for i in ids], pa.int64()),
-                pa.array([point_of(s).tobytes() for s in sets], pa.binary()),
+                pa.array([shape_of(s) for s in sets], pa.binary()),
                 _listed([keys_of(s, num, den) for s in sets]),
                 *batch.columns[2:],
             ],
@@ -248,10 +303,14 @@ def _in_filter(bits: np.ndarray, values: np.ndarray) -> np.ndarray:
 
 
 def _bounded(batches: Iterable[pa.RecordBatch], num: int, den: int) -> Iterator[pa.RecordBatch]:
-    """Pairs of sets that sizes and the sum of coordinate minima allow to be linked."""
+    """Pairs of sets that sizes, the sum of coordinate minima and parities allow to be linked."""
     for batch in batches:
         a, b = (batch.column(i).to_numpy(zero_copy_only=False) for i in (2, 3))
-        both = _overlap(_points(batch.column(4)), _points(batch.column(5)))
+        blobs = batch.column(4).to_pylist() + batch.column(5).to_pylist()
+        points, parities = _shapes(blobs, np.concatenate([a, b]))
+        left, right = np.split(np.arange(len(blobs)), 2)
+        both = _overlap(points[left], points[right])
+        both = np.minimum(both, (a + b - _differing(parities, left, right)) // 2)
         yield batch.select([0, 1]).filter(pa.array(_allowed(both, a, b, num, den)))
 
 
@@ -295,7 +354,8 @@ def _near(table: pa.Table, num: int, den: int) -> tuple[np.ndarray, np.ndarray,
     left, one = (table.column(i).to_numpy() for i in (3, 4))
     ids = table.column(5).to_numpy()
     _, root_of = np.unique(table.column(6).to_numpy(), return_inverse=True)
-    sizes, points = table.column(7).to_numpy(), _points(table.column(8))
+    sizes = table.column(7).to_numpy()
+    points, parities = _shapes(table.column(8).to_pylist(), sizes)
     pairs = []
     for m in np.unique(count[count <= LEAF]):
         x, y = np.triu_indices(m, 1)
@@ -322,6 +382,7 @@ def _near(table: pa.Table, num: int, den: int) -> tuple[np.ndarray, np.ndarray,
     a, b = np.divmod(np.unique(low * table.num_rows + high), max(table.num_rows, 1))
     parts = [slice(i, i + 65536) for i in range(0, len(a), 65536)]
     both = np.concatenate([*[_overlap(points[a[p]], points[b[p]]) for p in parts], np.empty(0, np.int64)])
+    both = np.minimum(both, (sizes[a] + sizes[b] - _differing(parities, a, b)) // 2)
     keep = _allowed(both, sizes[a], sizes[b], num, den)
     a, b, both = a[keep], b[keep], both[keep]
     return a, b, both / np.maximum(sizes[a] + sizes[b] - both, 1)

@@ -217,6 +217,39 @@ def test_last_search_writes_no_more_rows_than_sets():
     assert len(set(least.tolist())) == len(set(groups))
 
 
+def test_wide_sets_are_told_apart_without_their_texts():
+    import math
+
+    import numpy as np
+    import pyarrow as pa
+
+    pick = np.random.default_rng(5)
+
+    def some(n):
+        return pick.integers(0, 1 << 63, n, dtype=np.uint64)
+
+    # Sets of like size without a common shingle, on both sides of a step in the number of parities.
+    sets = [np.unique(some(n)) for n in (2925, 2926, 3000, 5000, 5100, 5850, 5851, 6000, 6100, 7000) for _ in range(3)]
+    unlike = len(sets)
+    # As different as a link allows, a set that is just wide and one that is not among them.
+    for n in (2049, 2300, 2927, 5851, 6000, 20000):
+        whole = np.unique(some(n))
+        sets += [whole, whole[: math.ceil(0.8 * len(whole))]]
+    ids = list(range(len(sets)))
+    columns = {
+        "bucket": 1, "i": 0, "j": 0, "left": True, "one": True, "id": ids, "root": ids,
+        "n": [len(s) for s in sets], "point": [ngram_join.shape_of(s) for s in sets],
+    }
+    columns = {k: v if isinstance(v, list) else [v] * len(ids) for k, v in columns.items()}
+    a, b, _ = ngram_join._near(pa.Table.from_pydict(columns), 80, 100)
+    want = {(i, i + 1) for i in range(unlike, len(ids), 2)}
+    assert {(min(p), max(p)) for p in zip(a.tolist(), b.tolist())} == want
+    parities = [ngram_join.parities_of(s) for s in sets]
+    x, y = np.triu_indices(len(sets), 1)
+    least = ngram_join._differing(parities, x, y).tolist()
+    assert all(d <= len(np.setxor1d(sets[i], sets[j])) for d, i, j in zip(least, x, y))
+
+
 def test_ngram_join_of_nothing(spark):
     assert ngram_join.jaccard_components(documents(spark, [])).count() == 0
     assert ngram_join.one_of_each(documents(spark, [])).count() == 0
