@@ -24,6 +24,8 @@ from staveline.llm.tokens import load
 from staveline.session import settled
 
 BATCH = 8192
+# Bytes of decoded text and ids that leave a task at a time.
+OUT_BYTES = 1 << 20
 # Buckets that words meet in, at least; a small input is dealt like a large one.
 BUCKETS = 64
 
@@ -98,8 +100,14 @@ def _encoded_bucket(group: pa.Table, vocabulary: str) -> pa.Table:
     })
 
 
+ASSEMBLED = pa.schema([("doc_id", pa.int64()), ("ids", pa.list_(pa.int32())), ("decoded", pa.string())])
+
+
 def _assembled(documents: pa.Table, found: pa.Table) -> pa.Table:
-    """ids and decoded text of the documents of a chunk, from its words' ids and its ids' pieces."""
+    """ids and decoded text of the documents of a chunk, from its words' ids and its ids' pieces.
+
+    The table is in batches of ``OUT_BYTES``, or one document if that is longer.
+    """
     if not documents.num_rows:
         raise ValueError("the documents were not read in the same order twice")
     of_words = found.filter(pc.is_valid(found.column("ids")))
@@ -112,7 +120,14 @@ def _assembled(documents: pa.Table, found: pa.Table) -> pa.Table:
     ids = np.concatenate([*flat, np.empty(0, np.uint32)])
     of_ids = found.filter(pc.is_valid(found.column("piece")))
     piece = dict(zip(of_ids.column("id").to_pylist(), of_ids.column("piece").to_pylist()))
-    doc_ids, all_ids, texts = [], [], []
+    batches, doc_ids, all_ids, texts, size = [], [], [], [], 0
+
+    def packed() -> pa.RecordBatch:
+        offsets = pa.array(np.cumsum([0, *map(len, all_ids)]), pa.int32())
+        listed = pa.ListArray.from_arrays(offsets, pa.array(np.concatenate(all_ids), pa.int32()))
+        columns = [pa.array(doc_ids, pa.int64()), listed, pa.array(texts, pa.string())]
+        return pa.RecordBatch.from_arrays(columns, schema=ASSEMBLED)
+
     for row in documents.to_pylist():
         place = np.empty(len(lengths), dtype=np.int64)
         place[ordered_from(row["word_order"])] = np.arange(len(lengths))
@@ -125,14 +140,13 @@ def _assembled(documents: pa.Table, found: pa.Table) -> pa.Table:
             doc_ids.append(doc_id)
             all_ids.append(own.astype(np.int32))
             texts.append(" ".join([piece[i] for i in own.tolist()]))
-    offsets = np.concatenate([[0], np.cumsum([len(x) for x in all_ids])])
-    values = np.concatenate([*all_ids, np.empty(0, np.int32)])
-    listed = pa.ListArray.from_arrays(pa.array(offsets, pa.int32()), pa.array(values, pa.int32()))
-    return pa.table({
-        "doc_id": pa.array(doc_ids, pa.int64()),
-        "ids": listed,
-        "decoded": pa.array(texts, pa.string()),
-    })
+            size += len(texts[-1]) + 4 * len(own) + 64
+            if size >= OUT_BYTES:
+                batches.append(packed())
+                doc_ids, all_ids, texts, size = [], [], [], 0
+    if doc_ids:
+        batches.append(packed())
+    return pa.Table.from_batches(batches, ASSEMBLED)
 
 
 def encode_and_decode(docs: DataFrame, vocabulary: str, buckets: int | None = None) -> DataFrame:

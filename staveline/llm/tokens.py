@@ -26,8 +26,12 @@ def vocabulary_path(name: str) -> str:
     return public_tokenizers.path(name)
 
 
+@functools.cache
 def load(vocabulary: str):
-    """The tokenizer of a file, one thread, without truncation or padding."""
+    """The tokenizer of a file, one thread, without truncation or padding.
+
+    Read once a process: each reading anew leaves some megabytes that are not given back.
+    """
     os.environ["TOKENIZERS_PARALLELISM"] = "false"
     from tokenizers import Tokenizer
 

@@ -5,6 +5,7 @@ import hashlib
 import random
 
 import duckdb
+import pyarrow as pa
 import pytest
 from pyspark.sql import functions as F
 
@@ -52,6 +53,30 @@ def test_bpe_of_nothing(spark):
     assert found(only.withColumn("ids", F.size("ids"))) == {(1, 0, ""): 1, (2, 0, ""): 1}
 
 
+def test_bpe_reads_its_vocabulary_once_a_process():
+    assert load(WORD_BPE) is load(WORD_BPE)
+
+
+def test_bpe_hands_out_a_chunk_in_small_batches(monkeypatch):
+    monkeypatch.setattr(bpe, "OUT_BYTES", 1000)
+    rows = [(i, f"word{i} " * 40) for i in range(30)] + [(None, None), (7, ""), (8, "long " * 900)]
+    columns = [pa.array([r[0] for r in rows], pa.int64()), pa.array([False] * len(rows)), pa.array([r[1] for r in rows])]
+    texts = [pa.RecordBatch.from_arrays(columns, ["doc_id", "flag", "text"])]
+    words = pa.Table.from_batches(bpe._word_rows(texts, 1))
+    encoded = bpe._encoded_bucket(words, WORD_BPE)
+    used = encoded.column("used")[0].as_py()
+    pieces = {i: p for p, i in load(WORD_BPE).get_vocab(with_added_tokens=True).items()}
+    of_ids = pa.table({"id": pa.array(used, pa.int32()), "piece": [pieces[i] for i in used]})
+    found_ = pa.concat_tables([encoded.drop_columns(["used"]), of_ids], promote_options="default")
+    got = bpe._assembled(pa.Table.from_batches(bpe._document_rows(texts, 1)), found_)
+    batches = got.to_batches()
+    assert len(batches) > 5
+    assert max(b.num_rows for b in batches) < 10
+    want = [load(WORD_BPE).encode(text or "", add_special_tokens=False).ids for _, text in rows]
+    assert got.column("doc_id").to_pylist() == [r[0] for r in rows]
+    assert got.column("ids").to_pylist() == want
+
+
 def test_bpe_refuses_vocabularies_with_a_decoder(spark):
     with pytest.raises(ValueError):
         bpe.encode_and_decode(documents(spark), vocabulary_path("byte_bpe_50k.json"))
