@@ -25,9 +25,10 @@ from staveline.llm.stored import (
 )
 from staveline.session import settled
 
-CHUNK_BYTES = 12 << 20
+CHUNK_BYTES = 6 << 20
 GRAM = 5  # words of the shortest prefix
-GROUP = 250_000  # suffixes that one task sorts at a time
+GROUP = 250_000  # suffixes of one prefix that are sorted together
+TREE = 60_000  # suffixes of all prefixes that one task sorts at a time, on average
 NO_ID = -(1 << 63)  # a null doc_id, smaller than all others
 CODE_BYTES = 6  # of the 64-bit number of a word, in a suffix
 
@@ -225,20 +226,22 @@ def _tree(group: pa.Table, width: int) -> pa.Table:
     if isinstance(blob, pa.ChunkedArray):
         blob = blob.chunk(0)
     ends = np.frombuffer(blob.buffers()[1], np.int32)[blob.offset : blob.offset + len(blob) + 1].astype(np.int64)
-    codes = np.zeros((int(ends[-1] - ends[0]) // CODE_BYTES, 8), np.uint8)
+    # All words, and one more that stands for the places behind the end.
+    codes = np.zeros((int(ends[-1] - ends[0]) // CODE_BYTES + 1, 8), np.uint8)
     raw = np.frombuffer(blob.buffers()[2], np.uint8)[ends[0] : ends[-1]]
-    codes[:, :CODE_BYTES] = raw.reshape(-1, CODE_BYTES)
-    codes = np.append(codes.view("<u8").ravel(), np.uint64(0))
+    codes[:-1, :CODE_BYTES] = raw.reshape(-1, CODE_BYTES)
+    codes = codes.view("<u8").ravel()
     start = (ends[:-1] - ends[0]) // CODE_BYTES
     size = np.diff(ends) // CODE_BYTES
     n_windows = size - width + 1
     behind = size - before
-    column = np.arange(width)
-    at = np.where(column < behind[:, None], (start + before)[:, None] + column, len(codes) - 1)
-    suffix = codes[at]
-    order = np.lexsort(suffix.T[::-1])
-    inside = np.cumprod(suffix[order[1:]] == suffix[order[:-1]], axis=1).sum(axis=1)
-    depth = np.concatenate([[0], inside])
+    columns = [codes[np.where(j < behind, start + before + j, len(codes) - 1)] for j in range(width)]
+    order = np.lexsort(columns[::-1])
+    depth, same = np.zeros(len(order), np.int64), np.ones(len(order) - 1, bool)
+    while columns:
+        column = columns.pop(0)[order]
+        same &= column[1:] == column[:-1]
+        depth[1:] += same
     cuts = np.cumsum(n_windows) - n_windows
     least = np.repeat(lo, n_windows)
     front = np.zeros(len(size), np.uint64)
@@ -346,7 +349,8 @@ def dedup_substrings(docs: DataFrame, words: int = 13, group: int = GROUP) -> Da
     window, and carry the up to ``words`` - 5 words before it. Their prefix splits them into
     groups: five words where up to ``group`` suffixes share them, all words of a
     window where there are more, each then sent once a chunk. Prefixes that no
-    other document has are left out first. Groups hold ``group`` suffixes on average.
+    other document has are left out first. Groups hold ``TREE`` suffixes on average, or
+    ``group`` if that is less.
     Each group is sorted, and its inner nodes that are deep enough tell the smallest
     doc_id of each window. 48 bits of a 64-bit hash stand for a word.
     """
@@ -377,7 +381,7 @@ def dedup_substrings(docs: DataFrame, words: int = 13, group: int = GROUP) -> Da
         "substring-anchors",
     )
     total = lists.agg(F.sum("n")).first()[0] or 0
-    groups = max(partitions(spark), -(-total // group))
+    groups = max(partitions(spark), -(-total // min(group, TREE)))
     met = chunks.join(lists.drop("n"), "chunk", "left")
     sent = met.filter("short IS NOT NULL").mapInArrow(each_row(lambda row: _suffix_rows(row, words, groups)), SUFFIX)
     answers = settled(

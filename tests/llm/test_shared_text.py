@@ -97,6 +97,28 @@ def test_chunks_of_any_size_give_the_same(spark, monkeypatch):
     assert spans_of(got) == brute_dedup(rows, 13)
 
 
+def test_trees_need_little_beside_their_suffixes():
+    import tracemalloc
+
+    import pyarrow as pa
+
+    pick, m = np.random.default_rng(1), 20_000
+    before = pick.integers(0, 9, m).astype(np.int32)
+    size = np.minimum(before + 1, pick.integers(1, 10, m)) + 12
+    words = [pick.integers(0, 256, n * substrings.CODE_BYTES, dtype=np.uint8).tobytes() for n in size]
+    lo = pick.integers(0, 1000, m)
+    table = pa.table({
+        "chunk": np.arange(m), "place": np.arange(m, dtype=np.int32), "before": before,
+        "words": pa.array(words, pa.binary()), "lo": lo, "hi": lo,
+    })
+    tracemalloc.start()
+    substrings._tree(table, 13)
+    peak = tracemalloc.get_traced_memory()[1]
+    tracemalloc.stop()
+    # Its words and twice the 13 of each suffix, 8 bytes each, and 100 bytes a suffix for all else.
+    assert peak < 8 * int(size.sum()) + 2 * 13 * 8 * m + 100 * m
+
+
 def test_anchor_is_the_smallest_gram_of_each_window():
     import pyarrow as pa
 
