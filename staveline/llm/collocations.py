@@ -9,9 +9,11 @@ from functools import reduce
 import numpy as np
 import pyarrow as pa
 import xxhash
+import zstandard
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
+from staveline.llm.chunks import squeeze, unsqueeze
 from staveline.llm.common import partitions
 from staveline.llm.stored import (
     SEED,
@@ -20,7 +22,6 @@ from staveline.llm.stored import (
     chunk_columns,
     chunk_words,
     each_row,
-    listed,
     rolled,
     store_chunks,
     word_hashes,
@@ -37,6 +38,8 @@ _TABLE = bytes.maketrans(
 )
 ID_BYTES = 8
 RUN = 256
+# Words of the corpus for each part that keys are counted in; a part has less than one key a word.
+PART_WORDS = 2_000_000
 
 
 def _chunks(batches: Iterable[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
@@ -82,32 +85,86 @@ def _ids(row: dict[str, pa.Scalar]) -> tuple[np.ndarray, list[bytes]]:
     return ids, words
 
 
-def _counted(row: dict[str, pa.Scalar], keys: np.ndarray, n: np.ndarray) -> pa.RecordBatch:
-    chunk = np.full(len(keys), row["chunk"].as_py(), np.int64)
-    columns = [pa.array(keys.view(np.int64)), pa.array(chunk), pa.array(n.astype(np.int64))]
-    return pa.RecordBatch.from_arrays(columns, ["key", "chunk", "n"])
+def _wide(numbers: np.ndarray) -> bytes:
+    """Unsigned 64-bit numbers, compressed byte by byte of their width."""
+    planes = np.ascontiguousarray(numbers, dtype="<u8").view(np.uint8).reshape(-1, 8).T
+    return zstandard.ZstdCompressor(level=3).compress(planes.tobytes())
 
 
-COUNTED = "key long, chunk long, n long"
+def _from_wide(blob: bytes) -> np.ndarray:
+    planes = np.frombuffer(zstandard.ZstdDecompressor().decompress(blob), np.uint8).reshape(8, -1)
+    return np.ascontiguousarray(planes.T).view("<u8").ravel()
 
 
-def _word_counts(row: dict[str, pa.Scalar]) -> Iterator[pa.RecordBatch]:
-    ids, _ = _ids(row)
+def _counted(row: dict[str, pa.Scalar], keys: np.ndarray, n: np.ndarray, parts: int) -> pa.RecordBatch:
+    """One row for each part of the range of keys: ascending keys as steps, and their counts."""
+    of = ((keys >> np.uint64(32)) * np.uint64(parts) >> np.uint64(32)).astype(np.int64)
+    bounds = np.searchsorted(of, np.arange(parts + 1))
+    full = np.flatnonzero(bounds[:-1] < bounds[1:])
+    cuts = [slice(bounds[p], bounds[p + 1]) for p in full]
+    columns = [
+        pa.array(full.astype(np.int32)),
+        pa.array(np.full(len(full), row["chunk"].as_py(), np.int64)),
+        pa.array([_wide(np.diff(keys[c], prepend=np.uint64(0))) for c in cuts], pa.binary()),
+        pa.array([squeeze(n[c]) for c in cuts], pa.binary()),
+    ]
+    return pa.RecordBatch.from_arrays(columns, ["part", "chunk", "keys", "counts"])
+
+
+COUNTED = "part int, chunk long, keys binary, counts binary"
+SUMMED = "part int, chunk long, state binary, totals binary"
+
+
+def _summed(group: pa.Table, min_count: int) -> pa.Table:
+    """The state of each key of a part in each chunk: 0 if too rare, else 1, or 2 in its first chunk.
+
+    ``totals`` are the counts over all chunks of those in state 2.
+    """
+    group = group.sort_by("chunk")
+    steps = [np.cumsum(_from_wide(b), dtype=np.uint64) for b in group.column("keys").to_pylist()]
+    ends = np.cumsum([0, *map(len, steps)])
+    keys = np.concatenate(steps)
+    n = np.concatenate([unsqueeze(b) for b in group.column("counts").to_pylist()]).astype(np.int64)
+    order = np.argsort(keys, kind="stable")
+    new = np.concatenate([[True], keys[order[1:]] != keys[order[:-1]]])
+    each = np.add.reduceat(n[order], np.flatnonzero(new))[np.cumsum(new) - 1]
+    state, totals = np.zeros(len(keys), np.uint8), np.zeros(len(keys), np.uint64)
+    state[order], totals[order] = (each >= min_count) * (1 + new), each
+    zipped = zstandard.ZstdCompressor(level=3)
+    cuts = [slice(a, b) for a, b in zip(ends[:-1], ends[1:])]
+    return pa.table({
+        "part": group.column("part"),
+        "chunk": group.column("chunk"),
+        "state": pa.array([zipped.compress(state[c].tobytes()) for c in cuts], pa.binary()),
+        "totals": pa.array([_wide(totals[c][state[c] == 2]) for c in cuts], pa.binary()),
+    })
+
+
+def _states(found: pa.Scalar) -> tuple[np.ndarray, np.ndarray]:
+    """The states of all keys of a chunk, in order of the keys, and the totals of those in state 2."""
+    parts = found.as_py()
+    unzipped = zstandard.ZstdDecompressor()
+    state = b"".join(unzipped.decompress(p["state"]) for p in parts)
+    return np.frombuffer(state, np.uint8), np.concatenate([_from_wide(p["totals"]) for p in parts]).astype(np.int64)
+
+
+def _word_keys(row: dict[str, pa.Scalar]) -> tuple[np.ndarray, np.ndarray, list[bytes]]:
+    """The words of a chunk as 64-bit numbers, the numbers of its words in order of these, and the words."""
+    ids, words = _ids(row)
+    return ids, np.argsort(ids[1:]) + 1, words
+
+
+def _word_counts(row: dict[str, pa.Scalar], parts: int) -> Iterator[pa.RecordBatch]:
+    ids, order, _ = _word_keys(row)
     n = np.bincount(chunk_codes(row["codes"]), minlength=len(ids))
-    yield _counted(row, ids[1:], n[1:])
+    yield _counted(row, ids[order], n[order], parts)
 
 
 def _frequent(row: dict[str, pa.Scalar]) -> np.ndarray:
     """All words of a chunk in order as 64-bit numbers; breaks and rare words are 0."""
-    ids, _ = _ids(row)
-    wanted = np.sort(listed(row["frequent"]).view(np.uint64))
-    return np.where(_isin(ids, wanted), ids, np.uint64(0))[chunk_codes(row["codes"])]
-
-
-def _isin(numbers: np.ndarray, ordered: np.ndarray) -> np.ndarray:
-    if not len(ordered):
-        return np.zeros(len(numbers), bool)
-    return ordered[np.minimum(np.searchsorted(ordered, numbers), len(ordered) - 1)] == numbers
+    ids, order, _ = _word_keys(row)
+    ids[order[_states(row["frequent"])[0] == 0]] = 0
+    return ids[chunk_codes(row["codes"])]
 
 
 def _pairs(words: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
@@ -115,10 +172,10 @@ def _pairs(words: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
     return rolled(words, 2), (words[:-1] != 0) & (words[1:] != 0)
 
 
-def _pair_counts(row: dict[str, pa.Scalar]) -> Iterator[pa.RecordBatch]:
+def _pair_counts(row: dict[str, pa.Scalar], parts: int) -> Iterator[pa.RecordBatch]:
     pairs, both = _pairs(_frequent(row))
     keys, n = np.unique(pairs[both], return_counts=True)
-    yield _counted(row, keys, n)
+    yield _counted(row, keys, n, parts)
 
 
 def _grams(words: np.ndarray, places: np.ndarray, size: int) -> pa.Array:
@@ -128,20 +185,11 @@ def _grams(words: np.ndarray, places: np.ndarray, size: int) -> pa.Array:
     return pa.Array.from_buffers(pa.binary(), len(places), [None, pa.py_buffer(ends), pa.py_buffer(text)])
 
 
-def _own(row: dict[str, pa.Scalar], keys: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
-    """Where among these keys those are that this chunk has to tell of, each once, and their counts."""
-    own, n = listed(row["own"]).view(np.uint64), listed(row["own_n"])
-    order = np.argsort(own)
-    own, n = own[order], n[order]
-    distinct, first = np.unique(keys, return_index=True)
-    mine = _isin(distinct, own)
-    return first[mine], n[np.searchsorted(own, distinct[mine])]
-
-
 def _own_words(row: dict[str, pa.Scalar]) -> Iterator[pa.RecordBatch]:
     """(gram, n, lang, word) of the frequent words that this chunk has to tell of."""
-    ids, words = _ids(row)
-    mine, n = _own(row, ids)
+    ids, order, words = _word_keys(row)
+    state, n = _states(row["frequent"])
+    mine = order[state == 2]
     texts = pa.array([words[i] for i in mine], pa.binary()).cast(pa.string())
     langs = pa.array([row["lang"].as_py()] * len(mine), pa.string())
     yield pa.RecordBatch.from_arrays([_grams(ids, mine, 1), pa.array(n), langs, texts], ["gram", "n", "lang", "word"])
@@ -152,8 +200,9 @@ def _own_pairs(row: dict[str, pa.Scalar]) -> Iterator[pa.RecordBatch]:
     words = _frequent(row)
     pairs, both = _pairs(words)
     places = np.flatnonzero(both)
-    mine, n = _own(row, pairs[places])
-    yield pa.RecordBatch.from_arrays([_grams(words, places[mine], 2), pa.array(n)], ["gram", "n"])
+    state, n = _states(row["pairs"])
+    _, first = np.unique(pairs[places], return_index=True)
+    yield pa.RecordBatch.from_arrays([_grams(words, places[first[state == 2]], 2), pa.array(n)], ["gram", "n"])
 
 
 def _runs(row: dict[str, pa.Scalar], longest: int) -> Iterator[pa.RecordBatch]:
@@ -164,7 +213,9 @@ def _runs(row: dict[str, pa.Scalar], longest: int) -> Iterator[pa.RecordBatch]:
     """
     words = _frequent(row)
     pairs, both = _pairs(words)
-    joined = np.concatenate([[False], both & _isin(pairs, np.sort(listed(row["pairs"]).view(np.uint64))), [False]])
+    _, of_pair = np.unique(pairs[both], return_inverse=True)
+    joined = np.zeros(len(both) + 2, bool)
+    joined[1:-1][both] = _states(row["pairs"])[0][of_pair] > 0
     first = np.flatnonzero(joined[1:] & ~joined[:-1])
     starts = np.flatnonzero(joined[:-1] & ~joined[1:]) - first - 1
     # Cut after RUN starts; all but the last piece of a run are followed by more words.
@@ -181,23 +232,16 @@ def _runs(row: dict[str, pa.Scalar], longest: int) -> Iterator[pa.RecordBatch]:
     yield pa.RecordBatch.from_arrays([runs, pa.array(n.astype(np.int32))], ["run", "starts"])
 
 
-def _reaching(chunks: DataFrame, counted: Callable, min_count: int, label: str) -> DataFrame:
-    """(chunk, keys, own, own_n): the keys of each chunk that reach the count over all chunks.
+def _reaching(chunks: DataFrame, counted: Callable, parts: int, min_count: int, label: str) -> DataFrame:
+    """(chunk, found): which keys of each chunk reach the count over all chunks.
 
-    ``own`` are those that the chunk of smallest number has, with their counts. A key
-    comes as one row a chunk, so a frequent one is as many rows as there are chunks.
+    A chunk sends its keys as one row for each part of their range, and gets back a
+    state for each in their order; a frequent key is one entry a chunk.
     """
-    alike = Window.partitionBy("key")
-    rows = chunks.mapInArrow(each_row(counted), COUNTED)
-    reached = (
-        rows.withColumn("all", F.sum("n").over(alike))
-        .withColumn("owner", F.min("chunk").over(alike))
-        .filter(F.col("all") >= min_count)
-    )
-    own = F.when(F.col("owner") == F.col("chunk"), F.struct("key", "all"))
-    grouped = reached.groupBy("chunk").agg(F.collect_list("key").alias("keys"), F.collect_list(own).alias("own"))
-    grouped = grouped.select("chunk", "keys", F.col("own.key").alias("own"), F.col("own.all").alias("own_n"))
-    return bucketed(grouped, label)
+    rows = chunks.mapInArrow(each_row(lambda row: counted(row, parts)), COUNTED)
+    states = rows.groupBy("part").applyInArrow(lambda group: _summed(group, min_count), SUMMED)
+    in_order = F.sort_array(F.collect_list(F.struct("part", "state", "totals")))
+    return bucketed(states.groupBy("chunk").agg(in_order.alias("found")), label)
 
 
 def _flows(runs: DataFrame, longest: int) -> list[DataFrame]:
@@ -263,13 +307,12 @@ def collocations(docs: DataFrame, longest: int = 5, min_count: int = 100, top: i
     chunks = store_chunks(
         slim.mapInArrow(_chunks, "lang string, n long, words binary, codes binary"), "phrase-chunks"
     )
-    words = _reaching(chunks, _word_counts, min_count, "phrase-words")
-    words = words.withColumnRenamed("keys", "frequent")
-    met = chunks.join(words, "chunk")
-    spelt = met.mapInArrow(each_row(_own_words), "gram binary, n long, lang string, word string")
+    parts = max(partitions(docs.sparkSession), -(-(chunks.agg(F.sum("n")).first()[0] or 0) // PART_WORDS))
+    words = _reaching(chunks, _word_counts, parts, min_count, "phrase-words").withColumnRenamed("found", "frequent")
+    known = chunks.join(words, "chunk")
+    spelt = known.mapInArrow(each_row(_own_words), "gram binary, n long, lang string, word string")
     spelt = settled(spelt, "phrase-spelt")
-    known = met.drop("own", "own_n")
-    pairs = _reaching(known, _pair_counts, min_count, "phrase-pairs").withColumnRenamed("keys", "pairs")
+    pairs = _reaching(known, _pair_counts, parts, min_count, "phrase-pairs").withColumnRenamed("found", "pairs")
     linked = known.join(pairs, "chunk")
     levels = _flows(linked.mapInArrow(each_row(lambda row: _runs(row, longest)), "run binary, starts int"), longest)
     levels = [*levels, linked.mapInArrow(each_row(_own_pairs), "gram binary, n long"), spelt.select("gram", "n")]

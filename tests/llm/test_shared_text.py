@@ -325,6 +325,41 @@ def test_collocations_of_small_chunks_and_no_texts(spark, monkeypatch):
     assert collocations.collocations(documents(spark), min_count=10**6).count() == 0
 
 
+def test_keys_of_collocations_are_counted_in_parts(spark, monkeypatch):
+    monkeypatch.setattr(collocations, "CHUNK_BYTES", 500)
+    monkeypatch.setattr(collocations, "PART_WORDS", 20)
+    rows = chatter(9, 100)
+    docs = spark.createDataFrame([(t, lang) for lang, t in rows], "text string, lang string").coalesce(2)
+    assert found(collocations.collocations(docs, 5, 8, 100), *PHRASE) == dict.fromkeys(brute_collocations(rows, 5, 8, 100), 1)
+
+
+def test_keys_travel_in_fewer_bytes_than_they_have():
+    import pyarrow as pa
+
+    pick, keys = np.random.default_rng(2), []
+    for chunk in range(3):
+        keys.append(np.unique(pick.integers(0, 5000, 60_000, dtype=np.uint64) * np.uint64(0x9E3779B97F4A7C15) + np.uint64(chunk // 2)))
+    counts = [pick.integers(1, 9, len(k)) for k in keys]
+    rows = [collocations._counted({"chunk": pa.scalar(7 - i)}, k, n, 4) for i, (k, n) in enumerate(zip(keys, counts))]
+    assert sum(r.nbytes for r in rows) < 8 * sum(map(len, keys))
+    want = collections.Counter()
+    for k, n in zip(keys, counts):
+        want.update(dict(zip(k.tolist(), n.tolist())))
+    told = {}
+    summed = [
+        collocations._summed(pa.Table.from_batches([r.slice(i, 1) for r in rows for i in range(r.num_rows) if r["part"][i].as_py() == part]), 6)
+        for part in range(4)
+    ]
+    answers = [row for table in summed for row in table.to_pylist()]
+    for i, k in enumerate(keys):
+        state, totals = collocations._states(pa.scalar([row for row in answers if row["chunk"] == 7 - i]))
+        assert [s > 0 for s in state] == [want[x] >= 6 for x in k.tolist()]
+        for key, total in zip(k[state == 2].tolist(), totals.tolist()):
+            assert key not in told
+            told[key] = total
+    assert told == {k: n for k, n in want.items() if n >= 6}
+
+
 def test_scores_beyond_64_bits(spark):
     """1000 * a * n passes 64 bits: the largest counts come from repeated rows."""
     rows = [("en", "big deal. " * 20_000 + prose(4, 50))]
