@@ -25,7 +25,7 @@ from staveline.llm.stored import (
 )
 from staveline.session import settled
 
-CHUNK_BYTES = 6 << 20
+CHUNK_BYTES = 3 << 20
 GRAM = 5  # words of the shortest prefix
 GROUP = 250_000  # suffixes of one prefix that are sorted together
 TREE = 60_000  # suffixes of all prefixes that one task sorts at a time, on average

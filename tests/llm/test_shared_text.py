@@ -119,6 +119,26 @@ def test_trees_need_little_beside_their_suffixes():
     assert peak < 8 * int(size.sum()) + 2 * 13 * 8 * m + 100 * m
 
 
+def test_a_chunk_needs_little_memory():
+    import tracemalloc
+
+    import pyarrow as pa
+
+    pick = np.random.default_rng(6)
+    text = lambda: " ".join(f"w{i}" for i in pick.integers(0, 50_000, 1000))
+    rows = pa.RecordBatch.from_pydict({"doc_id": list(range(1100)), "text": [text() for _ in range(1100)]})
+    chunks = list(substrings._chunks([rows]))
+    assert sum(len(c["head"][0]) for c in chunks) == 1100
+    for chunk in chunks:
+        row = {name: chunk.column(name)[0] for name in chunk.schema.names} | {"chunk": pa.scalar(1)}
+        tracemalloc.start()
+        for _ in substrings._anchors(row, 13):
+            pass
+        peak = tracemalloc.get_traced_memory()[1]
+        tracemalloc.stop()
+        assert peak < 50 << 20
+
+
 def test_anchor_is_the_smallest_gram_of_each_window():
     import pyarrow as pa
 
