@@ -8,12 +8,12 @@ on once; what was found comes back to the chunk, in the order in which it was se
 
 from __future__ import annotations
 
-from collections import defaultdict
 from collections.abc import Iterable, Iterator
 from dataclasses import dataclass
 
 import numpy as np
 import pyarrow as pa
+import pyarrow.compute as pc
 import xxhash
 import zstandard
 
@@ -44,28 +44,40 @@ def unsqueeze(blob: bytes) -> np.ndarray:
 
 
 def _chunk(held: list[tuple[int | None, bool, bytes]]) -> Chunk:
-    number: defaultdict[bytes, int] = defaultdict()
-    number.default_factory = number.__len__
-    codes, lengths, digest = [], [], xxhash.xxh3_64()
+    digest = xxhash.xxh3_64()
     for doc_id, flag, text in held:
         digest.update(f"{doc_id} {flag} {len(text)} ".encode())
         digest.update(text)
-        coded = np.array([number[w] for w in text.split()], dtype=np.uint32)
-        codes.append(coded)
-        lengths.append(len(coded))
+    lengths, codes, words = _numbered([text for _, _, text in held])
     return Chunk(
         int.from_bytes(digest.digest(), "big", signed=True),
         [d for d, _, _ in held],
         [f for _, f, _ in held],
-        np.array(lengths, dtype=np.int64),
-        np.concatenate(codes),
-        list(number),
+        lengths,
+        codes,
+        words,
     )
 
 
-def chunks(batches: Iterable[pa.RecordBatch], lower: bool = False) -> Iterator[Chunk]:
+def _numbered(texts: list[bytes]) -> tuple[np.ndarray, np.ndarray, list[bytes]]:
+    """Words of each text, the numbers of all words, and the distinct words in order of first use."""
+    split = pc.ascii_split_whitespace(pa.array(texts, pa.large_binary()).view(pa.large_string()))
+    words, starts = split.flatten(), split.offsets.to_numpy()
+    # White space at the ends of a text leaves empty words there.
+    full = pc.greater(pc.binary_length(words), 0)
+    before = np.concatenate([[0], np.cumsum(full.to_numpy(zero_copy_only=False))])
+    coded = words.filter(full).view(pa.large_binary()).dictionary_encode()
+    numbered = np.diff(before[starts]), coded.indices.to_numpy().astype(np.uint32), coded.dictionary.to_pylist()
+    del split, words, full, coded
+    pa.default_memory_pool().release_unused()
+    return numbered
+
+
+def chunks(batches: Iterable[pa.RecordBatch], lower: bool = False, limit: int = CHUNK_BYTES) -> Iterator[Chunk]:
     """Chunks of rows (doc_id, flag, text): words between ASCII white space, in order.
 
+    A chunk ends with the text that brings it to ``limit`` bytes.
+
     The key of a chunk is a hash of all it holds, so reading the same rows again in
     the same order gives the same keys.
     """
@@ -76,7 +88,7 @@ def chunks(batches: Iterable[pa.RecordBatch], lower: bool = False) -> Iterator[C
             text = value.as_py() or b""
             held.append((doc_id.as_py(), bool(flag.as_py()), text.translate(ASCII_LOWER) if lower else text))
             size += len(text) + 64
-            if size >= CHUNK_BYTES:
+            if size >= limit:
                 yield _chunk(held)
                 held, size = [], 0
     if held:

@@ -17,8 +17,17 @@ from pyspark.sql import functions as F
 
 from staveline.llm.chunks import chunks, squeeze, unsqueeze
 from staveline.llm.common import held_out, partitions
-from staveline.llm.stored import chunk_codes, chunk_columns, chunk_words, each_row, listed, store_chunks
-from staveline.session import settled
+from staveline.llm.stored import (
+    bucketed,
+    chunk_codes,
+    chunk_columns,
+    chunk_words,
+    each_row,
+    few_rows_a_batch,
+    listed,
+    store_chunks,
+)
+from staveline.session import release, settled
 
 # A word is a symbol of its own from this count on; words seen once are one symbol,
 # shared out by their own counts.
@@ -27,6 +36,8 @@ SYMBOL = 2
 CONTEXT = 2
 ENTRY = 2
 DEPTH = 3
+CHUNK_BYTES = 5 << 20
+BATCH = 2  # chunks with their answers that go to a worker at once
 # A context stays if its counts tell it from its suffix by so many nats for each stored symbol.
 DIVERGENCE = 3.0
 # Weight of the shorter context, in occurrences.
@@ -42,6 +53,8 @@ SCORED = "doc_id long, n_tokens long, n_known long, base_score double, score dou
 ANSWER = "chunk long, kind int, bucket int, blob binary"
 MESSAGE = "chunk long, kind int, bucket int, keys binary, body binary"
 # Stand for the rare words and the end where symbols are hashes.
+ROUND = "round_"  # columns with the answers of each round
+SPARE_BITS = np.uint64(8)  # of the 64 of a hash; 56 stand for a gram
 RARE_HASH, END_HASH = (np.uint64(xxhash.xxh3_64_intdigest(b" " + x)) for x in (b"rare", b"end"))
 
 
@@ -57,32 +70,38 @@ def _sequence(codes: np.ndarray, lengths: np.ndarray, of_word: np.ndarray, end:
 
 
 def _packed(*arrays: np.ndarray) -> bytes:
-    """Arrays compressed byte by byte of their width."""
+    """Arrays compressed byte by byte of their width, without the high bytes that no number needs."""
     press = zstandard.ZstdCompressor(level=1)
 
-    def planes(a: np.ndarray) -> bytes:
-        return press.compress(np.ascontiguousarray(a).view(np.uint8).reshape(-1, a.dtype.itemsize).T.tobytes())
+    def planes(a: np.ndarray) -> tuple[str, int, bytes]:
+        width = a.dtype.itemsize
+        if a.dtype.kind in "iu" and len(a) and a.min() >= 0:
+            width = max(-(-int(a.max()).bit_length() // 8), 1)
+        columns = np.ascontiguousarray(a).view(np.uint8).reshape(-1, a.dtype.itemsize).T[:width]
+        return a.dtype.str, width, press.compress(columns.tobytes())
 
-    return pickle.dumps([(a.dtype.str, planes(a)) for a in arrays])
+    return pickle.dumps([planes(a) for a in arrays])
 
 
 def _unpacked(blob: bytes) -> list[np.ndarray]:
     press = zstandard.ZstdDecompressor()
 
-    def array(kind: str, planes: bytes) -> np.ndarray:
-        rows = np.frombuffer(press.decompress(planes), np.uint8).reshape(np.dtype(kind).itemsize, -1)
-        return np.ascontiguousarray(rows.T).view(kind).ravel()
+    def array(kind: str, width: int, planes: bytes) -> np.ndarray:
+        columns = np.frombuffer(press.decompress(planes), np.uint8).reshape(width, -1)
+        rows = np.zeros((columns.shape[1], np.dtype(kind).itemsize), np.uint8)
+        rows[:, :width] = columns.T
+        return rows.view(kind).ravel()
 
     return [array(*a) for a in pickle.loads(blob)]
 
 
 def _packed_keys(keys: np.ndarray) -> bytes:
-    """Sorted hashes as the steps between them."""
-    return _packed(np.diff(keys, prepend=np.uint64(0)))
+    """Sorted hashes of grams as the steps between them."""
+    return _packed(np.diff(keys >> SPARE_BITS, prepend=np.uint64(0)))
 
 
 def _unpacked_keys(blob: bytes) -> np.ndarray:
-    return np.cumsum(_unpacked(blob)[0], dtype=np.uint64)
+    return np.cumsum(_unpacked(blob)[0], dtype=np.uint64) << SPARE_BITS
 
 
 def _mixed(a: np.ndarray, b: np.ndarray) -> np.ndarray:
@@ -90,7 +109,7 @@ def _mixed(a: np.ndarray, b: np.ndarray) -> np.ndarray:
     z = a * np.uint64(0x9E3779B97F4A7C15) + b
     z = (z ^ (z >> np.uint64(30))) * np.uint64(0xBF58476D1CE4E5B9)
     z = (z ^ (z >> np.uint64(27))) * np.uint64(0x94D049BB133111EB)
-    return z ^ (z >> np.uint64(31))
+    return ((z ^ (z >> np.uint64(31))) >> SPARE_BITS) << SPARE_BITS
 
 
 def _cuts(keys: np.ndarray, buckets: int) -> np.ndarray:
@@ -99,8 +118,32 @@ def _cuts(keys: np.ndarray, buckets: int) -> np.ndarray:
     return np.searchsorted(of_key, np.arange(buckets + 1, dtype=np.uint64))
 
 
+def _order(keys: np.ndarray) -> np.ndarray:
+    """Places of hashes in order, sorted as numbers that hold the place in the last bits."""
+    places = np.uint64((1 << len(keys).bit_length()) - 1)
+    order = (np.sort((keys & ~places) | np.arange(len(keys), dtype=np.uint64)) & places).astype(np.int64)
+    ordered = keys[order]
+    if (ordered[1:] < ordered[:-1]).any():  # hashes that differ in these bits only
+        order = np.argsort(keys, kind="stable")
+    return order
+
+
+def _distinct(keys: np.ndarray) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
+    """Sorted distinct keys, some place of each, and the number of each place's key.
+
+    As ``np.unique``, in a fraction of its time.
+    """
+    order = _order(keys)
+    ordered = keys[order]
+    new = np.ones(len(keys), bool)
+    new[1:] = ordered[1:] != ordered[:-1]
+    number = np.empty(len(keys), np.int32)
+    number[order] = np.cumsum(new, dtype=np.int32) - 1
+    return ordered[new], order[new], number
+
+
 def _chunk_rows(batches: Iterable[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-    for chunk in chunks(batches, lower=True):
+    for chunk in chunks(batches, lower=True, limit=CHUNK_BYTES):
         hashes = np.fromiter(map(xxhash.xxh3_64_intdigest, chunk.words), np.uint64, len(chunk.words))
         yield pa.RecordBatch.from_arrays(
             [
@@ -117,7 +160,7 @@ def _chunk_rows(batches: Iterable[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
 def _by_hash(blob: pa.Scalar) -> tuple[np.ndarray, np.ndarray]:
     """Hashes of the words of a chunk, and the word numbers in their order, in which words are sent."""
     hashes = np.frombuffer(blob.as_py(), np.uint64)
-    return hashes, np.argsort(hashes, kind="stable")
+    return hashes, _order(hashes)
 
 
 def _word_rows(row: dict[str, pa.Scalar], buckets: int) -> Iterator[pa.RecordBatch]:
@@ -209,12 +252,14 @@ class _Walk:
     what the next level is tested against.
     """
 
-    def __init__(self, chunk: pa.Table, answers: pa.Table, totals: Totals):
-        row = {name: chunk.column(name)[0] for name in chunk.column_names}
+    def __init__(self, row: dict[str, pa.Scalar], totals: Totals):
         self.chunk = row["chunk"].as_py()
-        self.answers: dict[int, dict[int, bytes]] = {}
-        for kind, bucket, blob in zip(*(answers.column(c).to_pylist() for c in ("kind", "bucket", "blob"))):
-            self.answers.setdefault(kind, {})[bucket] = blob
+        self.answers: dict[int, dict[int, pa.Scalar]] = {}
+        for name, given in row.items():
+            if name.startswith(ROUND) and given.values is not None:
+                kind, bucket, blob = given.values.flatten()
+                for i in range(len(blob)):
+                    self.answers.setdefault(kind[i].as_py(), {})[bucket[i].as_py()] = blob[i]
         self.doc_ids = row["doc_ids"].as_py()
         hashes, order = _by_hash(row["hashes"])
         count = np.empty(len(order), dtype=np.int64)
@@ -232,64 +277,89 @@ class _Walk:
         self.all = totals
         self.counts = np.concatenate([counts, [totals.once, totals.once, totals.documents]])
         tail = np.array([RARE_HASH, RARE_HASH, END_HASH], np.uint64)
-        self.hashes = np.concatenate([hashes, tail])[self.x]
+        hashes = np.concatenate([hashes, tail])
+        self.hashes = hashes[self.x]
         self.nxt = self.x[1:]
         root = np.concatenate([counts - totals.discount, [totals.rare, totals.rare, max(totals.documents, 0.5)]])
         self.p = (root / totals.mass)[self.nxt]
         self.context = self.hashes[:-1]
         self.times = self.counts[self.x[:-1]]  # training count of each context
         self.at = np.arange(len(self.nxt))
-        self._grams()
-
-    def _grams(self) -> None:
-        """Distinct grams: the contexts and the symbols behind them."""
-        keys = _mixed(self.context, self.hashes[1:][self.at])
-        self.keys = keys
-        self.grams, self.first, self.of_gram = np.unique(keys, return_index=True, return_inverse=True)
+        symbols, _, of_symbol = _distinct(hashes)
+        self._contexts(symbols, of_symbol[self.x[:-1]])
+        self._grams(np.ones(len(self.at), bool))
+
+    def _contexts(self, keys: np.ndarray, of_key: np.ndarray) -> None:
+        """Distinct contexts, in order, of the sorted keys that they are among."""
+        used = np.zeros(len(keys), bool)
+        used[of_key] = True
+        self.contexts, self.of_context = keys[used], (np.cumsum(used, dtype=np.int32) - 1)[of_key]
+
+    def _grams(self, asked: np.ndarray) -> None:
+        """Distinct grams that are asked for: the contexts and the symbols behind them."""
+        self.asked = np.flatnonzero(asked)
+        self.keys = _mixed(self.context[self.asked], self.hashes[1:][self.at[self.asked]])
+        self.grams, self.first, self.of_gram = _distinct(self.keys)
 
     def _answer(self, kind: int) -> list[np.ndarray]:
         """The answers of all buckets, one after the other."""
         found = self.answers.get(kind, {})
-        parts = [_unpacked(found[b]) for b in sorted(found)]
+        parts = [_unpacked(found[b].as_py()) for b in sorted(found)]
         out = [np.concatenate(p) for p in zip(*parts)]
         return out or [np.empty(0, np.int64), np.empty(0, bool)]
 
     def gram_rows(self) -> tuple[np.ndarray, list[np.ndarray]]:
-        n = np.bincount(self.of_gram[self.train[self.at]], minlength=len(self.grams))
+        n = np.bincount(self.of_gram[self.train[self.at[self.asked]]], minlength=len(self.grams))
         return self.grams, [n]
 
     def counted(self, level: int) -> None:
-        """Take the counts of the grams in; contexts and what this chunk has to say of them."""
+        """Take the counts of the grams in; a gram that was not asked for has none."""
         self.n_gram, self.own = self._answer(2 * level)
-        self.n = self.n_gram[self.of_gram]
-        self.contexts, at, self.of_context = np.unique(self.context, return_index=True, return_inverse=True)
-        self.total = self.times[at]
+        self.n = np.zeros(len(self.at), np.int64)
+        self.n[self.asked] = self.n_gram[self.of_gram]
 
     def context_rows(self) -> tuple[np.ndarray, list[np.ndarray]]:
-        """Sums over the stored grams that this chunk reports, for each of its contexts."""
+        """Sums over the stored grams that this chunk reports, for each of its contexts.
+
+        What the bucket can tell by itself is zero, which takes no room: the count of a context
+        without such grams, and the sum of logarithms over a single one.
+        """
         own = np.flatnonzero(self.own)
         n = self.n_gram[own]
-        place = self.first[own]
+        place = self.asked[self.first[own]]
         context, p = self.of_context[place], self.p[self.at[place]]
         many = len(self.contexts)
         each = n * np.log(n / np.maximum(p, 1e-300))
         stored = np.bincount(context, n, minlength=many).astype(np.int64)
-        sums = [np.bincount(context, w, minlength=many).astype(float) for w in (each, p)]
-        return self.contexts, [self.total, stored, np.bincount(context, minlength=many), *sums]
+        logs, expected = (np.bincount(context, w, minlength=many).astype(float) for w in (each, p))
+        grams = np.bincount(context, minlength=many)
+        total = np.zeros(many, np.int64)
+        total[self.of_context] = self.times
+        total[grams == 0] = 0
+        return self.contexts, [total, stored, grams, np.where(grams > 1, logs, 0.0), expected]
 
     def mixed(self, level: int) -> None:
         """Take the test of the contexts in."""
-        left = self._answer(2 * level + 1)[0][self.of_context] if len(self.contexts) else np.empty(0)
-        kept = left >= 0
-        at = self.at[kept]
-        self.p[at] = self.n[kept] / (self.times[kept] + PRIOR) + left[kept] * self.p[at]
+        # One more than the sum of the stored grams; zero for a context that is not in the tree.
+        stored = self._answer(2 * level + 1)[0][self.of_context] if len(self.contexts) else np.empty(0)
+        kept = np.flatnonzero(stored)
+        at, total = self.at[kept], self.times[kept] + PRIOR
+        self.p[at] = self.n[kept] / total + (1 - (stored[kept] - 1) / total) * self.p[at]
 
     def longer(self) -> None:
-        """Contexts with one symbol more: the grams that were found often enough, inside a document."""
-        inside = (self.n >= CONTEXT) & (self.nxt[self.at] != self.end)
-        self.context, self.times = self.keys[inside], self.n[inside]
-        self.at = self.at[inside] + 1
-        self._grams()
+        """Contexts with one symbol more: the grams that were found often enough, inside a document.
+
+        A gram is at most as frequent as the one without its first symbol, so only those whose
+        shorter gram was found ``ENTRY`` times are asked for; the others would come back as zero.
+        """
+        n = self.n[self.asked]
+        inside = np.flatnonzero((n >= CONTEXT) & (self.nxt[self.at[self.asked]] != self.end))
+        shorter = np.zeros(len(self.nxt) + 1, bool)
+        shorter[self.at] = self.n >= ENTRY
+        self.context, self.times = self.keys[inside], n[inside]
+        self.at = self.at[self.asked[inside]] + 1
+        self._contexts(self.grams, self.of_gram[inside])
+        self._grams(shorter[self.at])
 
 
 def _rows_of(walk: _Walk, level: int, buckets: int) -> Iterator[tuple]:
@@ -313,13 +383,13 @@ def _rows_of(walk: _Walk, level: int, buckets: int) -> Iterator[tuple]:
         yield from messages(2 * level, *walk.gram_rows())
 
 
-def _asking(totals: Totals, level: int, buckets: int) -> Callable[[pa.Table, pa.Table], pa.Table]:
+def _asking(totals: Totals, level: int, buckets: int) -> Callable[[dict[str, pa.Scalar]], Iterable[pa.RecordBatch]]:
     kinds = {"chunk": pa.int64(), "kind": pa.int32(), "bucket": pa.int32(), "keys": pa.binary(), "body": pa.binary()}
 
-    def messages(chunk: pa.Table, answers: pa.Table) -> pa.Table:
-        rows = list(_rows_of(_Walk(chunk, answers, totals), level, buckets))
+    def messages(row: dict[str, pa.Scalar]) -> Iterator[pa.RecordBatch]:
+        rows = list(_rows_of(_Walk(row, totals), level, buckets))
         columns = list(zip(*rows)) or [()] * len(kinds)
-        return pa.table({k: pa.array(c, kind) for (k, kind), c in zip(kinds.items(), columns)})
+        yield pa.RecordBatch.from_arrays([pa.array(c, k) for k, c in zip(kinds.values(), columns)], list(kinds))
 
     return messages
 
@@ -341,7 +411,10 @@ def _answers(group: pa.Table) -> pa.Table:
         own[first[n > 0]] = True
         out = [n[place], own]
     else:
-        total = bodies[0][first]
+        total = np.zeros(len(every), np.int64)
+        np.maximum.at(total, place, bodies[0])
+        single = np.flatnonzero(bodies[2] == 1)
+        bodies[3][single] = bodies[1][single] * np.log(bodies[1][single] / np.maximum(bodies[4][single], 1e-300))
         stored, many, gain, expected = (np.bincount(place, a, minlength=len(every)) for a in bodies[1:])
         # Counts times log ratios of all stored symbols, and of the rest taken together.
         gain = gain - stored * np.log(np.maximum(total, 1))
@@ -349,7 +422,7 @@ def _answers(group: pa.Table) -> pa.Table:
         ratio = (rest / np.maximum(total, 1)) / np.maximum(1 - expected, 1e-12)
         gain += np.where(rest > 0, rest * np.log(np.maximum(ratio, 1e-12)), 0)
         kept = (gain > DIVERGENCE * np.maximum(many, 1)) & (many > 0)
-        out = [np.where(kept, 1 - stored / (total + PRIOR), -1.0)[place]]
+        out = [np.where(kept, stored + 1, 0).astype(np.int64)[place]]
     cuts = np.cumsum([0, *map(len, keys)])
     blobs = [_packed(*[a[i:j] for a in out]) for i, j in zip(cuts, cuts[1:])]
     return pa.table({
@@ -360,8 +433,8 @@ def _answers(group: pa.Table) -> pa.Table:
     })
 
 
-def _scored(chunk: pa.Table, answers: pa.Table, totals: Totals) -> pa.Table:
-    walk = _Walk(chunk, answers, totals)
+def _scored(row: dict[str, pa.Scalar], totals: Totals) -> Iterator[pa.RecordBatch]:
+    walk = _Walk(row, totals)
     for level in range(1, DEPTH + 1):
         walk.counted(level)
         walk.mixed(level)
@@ -380,7 +453,7 @@ def _scored(chunk: pa.Table, answers: pa.Table, totals: Totals) -> pa.Table:
     def summed(values: np.ndarray) -> np.ndarray:
         return np.add.reduceat(values, starts)
 
-    return pa.table({
+    yield pa.RecordBatch.from_pydict({
         "doc_id": pa.array(walk.doc_ids, pa.int64()),
         "n_tokens": pa.array(walk.lengths + 1, pa.int64()),
         "n_known": pa.array(summed((count > 0).astype(np.int64)), pa.int64()),
@@ -408,8 +481,8 @@ def score(docs: DataFrame, modulus: int = 5, remainder: int = 1, buckets: int |
     of documents send their distinct words, grams and contexts to hash buckets, which
     sum them, make the test and answer by position. A gram reaches its context through
     one chunk, as sums, so a frequent context is one row a chunk. 64-bit hashes stand
-    for grams. Chunks are stored once, in buckets, and stay in place: a round moves its
-    questions and the answers so far, and leaves only answers on disk.
+    for grams, 56 bits of them. Chunks are stored once, in buckets, and stay in place: a round
+    moves its questions and its answers once, and leaves only answers on disk, in the same buckets.
 
     Returns doc_id, n_tokens, n_known, base_score, score, train_tokens. Null text is
     empty: one token. A null doc_id counts as empty text for the split. Repeated rows
@@ -425,16 +498,20 @@ def score(docs: DataFrame, modulus: int = 5, remainder: int = 1, buckets: int |
     words = held.mapInArrow(each_row(lambda row: _word_rows(row, n)), WORDS)
     counted = settled(words.groupBy("bucket").applyInArrow(_counted, COUNTED), "lm-words", drop_shuffles=True)
     totals = _totals(counted.filter(F.col("chunk").isNull()).drop("chunk", "bucket", "totals"))
+    def with_answers(chunks: DataFrame, given: DataFrame, level: int) -> DataFrame:
+        """The chunks with the answers of a round, which are brought to their buckets once."""
+        lists = given.groupBy("chunk").agg(F.collect_list(F.struct("kind", "bucket", "blob")).alias(f"{ROUND}{level}"))
+        return chunks.join(bucketed(lists, f"lm_level_{level}", drop_shuffles=True), "chunk", "left")
+
     # The counts of the words are the first answers.
     found = counted.filter(F.col("chunk").isNotNull())
     answers = found.select("chunk", F.lit(0).alias("kind"), "bucket", F.col("totals").alias("blob"))
-
-    def walked(work: Callable[[pa.Table, pa.Table], pa.Table], schema: str) -> DataFrame:
-        return held.groupBy("chunk").cogroup(answers.groupBy("chunk")).applyInArrow(work, schema)
-
-    for level in range(1, DEPTH + 2):
-        asked = walked(_asking(totals, level, n), MESSAGE)
-        answered = asked.groupBy("kind", "bucket").applyInArrow(_answers, ANSWER)
-        answers = answers.unionAll(settled(answered, f"lm-level-{level}", drop_shuffles=True))
-    scored = walked(lambda chunk, given: _scored(chunk, given, totals), SCORED)
+    with few_rows_a_batch(spark, BATCH):
+        walked = with_answers(held.drop("words"), answers, 0)
+        release(counted)
+        for level in range(1, DEPTH + 2):
+            asked = walked.mapInArrow(each_row(_asking(totals, level, n)), MESSAGE)
+            answered = asked.groupBy("kind", "bucket").applyInArrow(_answers, ANSWER)
+            walked = with_answers(walked, answered, level)
+        scored = settled(walked.mapInArrow(each_row(lambda row: _scored(row, totals)), SCORED), "lm-scores")
     return scored.withColumn("train_tokens", F.lit(totals.words + totals.documents).cast("long"))

@@ -420,6 +420,57 @@ def test_suffix_tree_query_is_the_plain_one(spark):
     assert sum(r.score for r in held) > sum(r.base_score for r in held)
 
 
+def test_distinct_hashes_are_those_of_unique():
+    pick = np.random.default_rng(3)
+    wide = pick.integers(0, 2**64, 500, dtype=np.uint64)
+    # Alike but for the bits that hold the place while they are sorted.
+    close = (wide[:5, None] + np.arange(40, dtype=np.uint64)).ravel()
+    for keys in (wide[pick.integers(0, 500, 3000)], pick.permutation(np.repeat(close, 3)), wide[:1], wide[:0]):
+        found_, place, number = suffix_tree._distinct(keys)
+        assert (found_ == np.unique(keys)).all() and (keys[place] == found_).all() and (found_[number] == keys).all()
+
+
+def test_numbers_travel_in_the_bytes_that_they_need():
+    pick = np.random.default_rng(4)
+    counts, wide = pick.integers(0, 200, 5000), pick.integers(-9, 2**62, 50)
+    given = [counts, wide, pick.random(7), np.array([True, False]), np.zeros(0, np.int64)]
+    back = suffix_tree._unpacked(suffix_tree._packed(*given))
+    assert all(a.dtype == b.dtype and (a == b).all() for a, b in zip(given, back))
+    plain = suffix_tree._packed(counts.astype(np.uint8))
+    assert len(suffix_tree._packed(counts)) == len(plain)
+    keys = np.unique(pick.integers(0, 2**56, 5000, dtype=np.uint64)) << np.uint64(8)
+    assert (suffix_tree._unpacked_keys(suffix_tree._packed_keys(keys)) == keys).all()
+
+
+def test_only_grams_of_frequent_ends_are_asked_for():
+    """A gram whose end was seen once cannot be seen twice, so the second round leaves it out."""
+    import pyarrow as pa
+
+    class Summary:
+        def collect(self):
+            return [r for r in counted.to_pylist() if r["chunk"] is None]
+
+    # Every "b n" comes once, "a b" and all words often.
+    docs = [f"a b {i}" for i in range(100)] + [f"{i}" for i in range(100)]
+    batch = pa.RecordBatch.from_pydict({"doc_id": list(range(200)), "flag": [True] * 200, "text": docs})
+    (chunk,) = suffix_tree._chunk_rows([batch])
+    row = {"chunk": pa.scalar(0)} | {name: chunk.column(name)[0] for name in chunk.schema.names}
+    counted = suffix_tree._counted(pa.Table.from_batches(suffix_tree._word_rows(row, 1)))
+    totals, asked = suffix_tree._totals(Summary()), {}
+    given = [{"kind": 0, "bucket": 0, "blob": counted["totals"][0].as_py()}]
+    struct = pa.list_(pa.struct([("kind", pa.int32()), ("bucket", pa.int32()), ("blob", pa.binary())]))
+    for level in (1, 2):
+        row[f"{suffix_tree.ROUND}{level}"] = pa.scalar(given, struct)
+        (messages,) = suffix_tree._asking(totals, level, 1)(row)
+        given = []
+        for one in (messages.slice(i, 1) for i in range(messages.num_rows)):
+            answer = suffix_tree._answers(pa.Table.from_batches([one])).select(["kind", "bucket", "blob"])
+            given += answer.to_pylist()
+            asked[one["kind"][0].as_py()] = len(suffix_tree._unpacked_keys(one["keys"][0].as_py()))
+    # start a, a b, 100 of b n, 100 of n end, 100 of start n; then start a b alone.
+    assert asked == {2: 302, 3: 103, 4: 1}
+
+
 def test_a_passage_is_learnt_whatever_else_there_is(spark):
     passage = " ".join(f"passage{i}" for i in range(40))
     few = [(i, passage) for i in range(8)]

@@ -9,7 +9,7 @@ import pyarrow as pa
 import pytest
 from pyspark.sql import functions as F
 
-from staveline.llm import bpe, copies, licenses, lines, ngram_join
+from staveline.llm import bpe, chunks, copies, licenses, lines, ngram_join
 from staveline.llm.tokens import load, vocabulary_path
 from tests.llm.fixtures import (
     EXTRA,
@@ -27,6 +27,17 @@ WORD_BPE = vocabulary_path("word_bpe_49k.json")
 
 # --- BPE ------------------------------------------------------------------------
 
+def test_words_are_numbered_as_they_come():
+    pick = random.Random(8)
+    signs = [b" ", b"\t", b"\n", b"\x0b", b"\x0c", b"\r", b"\x1c", b"\xc2\x85", b"\xc2\xa0", b"a", b"b", b"\xff", b"\0"]
+    for _ in range(300):
+        given = [b"".join(pick.choices(signs, k=pick.randint(0, 12))) for _ in range(pick.randint(1, 5))]
+        lengths, codes, words = chunks._numbered(given)
+        split = [t.split() for t in given]
+        assert lengths.tolist() == [len(w) for w in split] and words == list(dict.fromkeys(sum(split, [])))
+        assert [words[i] for i in codes] == sum(split, [])
+
+
 def test_bpe_is_the_tokenizer_on_every_text(spark):
     tokenizer = load(WORD_BPE)
     want = collections.Counter()
