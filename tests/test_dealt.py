@@ -111,3 +111,18 @@ def test_report_rows_need_no_shuffle_of_recordings(spark, tables, large_tables):
     found = distinct_rows(r.li.where("RightsController = 'PubA'"), r.su, r.as_, ReportTerms("PubA", "p", "s", "c"))
     above = found._jdf.queryExecution().executedPlan().toString().split("Join")[0]
     assert "Exchange" not in above
+
+
+def test_records_are_stored_as_they_were_dealt(spark, tables, large_tables, monkeypatch):
+    """One bucket for each part: storing the records by block shuffles nothing a second time."""
+    plain = [sorted(map(str, df.collect())) for df in vars(report_records(spark, tables)).values()]
+    monkeypatch.setattr(standins, "BYTES_OF_A_PART", 100)
+    parts = standins._parts(spark, tables)
+    r = report_records(spark, tables)
+    for df in (r.li, r.su, r.as_):
+        assert shuffles(df.repartition(parts, "BlockId")) == shuffles(df)
+        assert df.rdd.getNumPartitions() == parts
+    stored = standins.block_records(spark, tables)
+    assert {blocks.buckets_of(df) for df in stored.values()} == {parts}
+    names = ("li", "su", "as_")
+    assert [sorted(map(str, stored[n].collect())) for n in names] == plain[1:]

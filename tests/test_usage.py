@@ -15,7 +15,13 @@ from staveline.operators.usage import (
     songs_of,
     with_artists,
 )
-from staveline.plans.ranking import RankingTerms, top_artist_songs, top_residual_artists
+from staveline.plans import ranking
+from staveline.plans.ranking import (
+    RankingTerms,
+    artist_statistics,
+    top_artist_songs,
+    top_residual_artists,
+)
 from staveline.session import settled
 from staveline.sinks import blocks
 from tests.helpers import close, column, rows
@@ -221,6 +227,47 @@ def test_a_name_that_stands_twice_is_two_rows(spark):
     assert rows(songs_of(wanted, as_, su, li)) == rows(expected) and expected.count() == 3
 
 
+def test_songs_are_made_in_place(spark):
+    """A block of many songs and claims: its merged rows are neither grouped nor sent."""
+    before = {k: spark.conf.get(k) for k in (blocks.SUBSET_KEYS, "spark.sql.autoBroadcastJoinThreshold")}
+    spark.conf.set("spark.sql.autoBroadcastJoinThreshold", "-1")
+    try:
+        as_, su, li = random_records(spark, 4, size=80)
+        wanted = spark.createDataFrame([("a",), ("b",)], "Artist string")
+        songs = songs_of(wanted, as_, su, li, money_type=MONEY)
+        plan = songs._jdf.queryExecution().sparkPlan().toString()
+        assert 0 < plan.index("SortMergeJoin") < plan.index("Aggregate")
+        for chosen in ({}, {"current_service": "ads"}):
+            merged = merged_usage(as_, su, li, money_type=MONEY, **chosen)
+            expected = with_artists(merged).join(wanted, "Artist", "left_semi")
+            assert rows(songs_of(wanted, as_, su, li, money_type=MONEY, **chosen)) == rows(expected)
+            assert expected.count() > 0
+    finally:
+        for key, value in before.items():
+            spark.conf.set(key, value)
+
+
+def test_statistics_of_stored_records_lie_in_their_buckets(spark, monkeypatch):
+    before = {k: spark.conf.get(k) for k in (blocks.SUBSET_KEYS, "spark.sql.autoBroadcastJoinThreshold")}
+    spark.conf.set("spark.sql.autoBroadcastJoinThreshold", "-1")
+    try:
+        plain = dict(zip(("as_", "su", "li"), random_records(spark, 6, size=80)))
+        stored = blocks.store_by_block(plain, "records", buckets=5)
+        terms = RankingTerms(money_type=MONEY)
+        assert blocks.buckets_of(stored["li"]) == 5 and blocks.buckets_of(plain["li"]) is None
+        kept, store = [], ranking.store_by_block
+        monkeypatch.setattr(ranking, "store_by_block", lambda *a: kept.append(a) or store(*a))
+        stats = [artist_statistics(t["as_"], t["su"], t["li"], terms) for t in (plain, stored)]
+        assert [a[1:] for a in kept] == [("block-usage", 5)]
+        assert from_tables(kept[0][0]["blocks"], "records_su", "records_li") == []
+        plan = stats[1]._jdf.queryExecution().executedPlan().toString()
+        assert "hashpartitioning(BlockId" not in plan
+        assert rows(stats[0]) == rows(stats[1])
+    finally:
+        for key, value in before.items():
+            spark.conf.set(key, value)
+
+
 def test_whole_ranking(spark):
     as_, su, li = random_records(spark, 5, size=80)
     terms = RankingTerms(k=2, money_type=MONEY)
