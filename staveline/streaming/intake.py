@@ -17,9 +17,11 @@ from collections.abc import Sequence
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
+from staveline.session import shuffles_dropped
 from staveline.sources.dsr import (
     MAX_BAD_ROWS,
     SERVICES,
+    fields,
     is_routed,
     object_name,
     parse_lines,
@@ -43,12 +45,17 @@ MANIFEST_FIELDS = (
 VERSION = ["file", "modified", "load"]
 
 
-def _write(df: DataFrame, path: str, *partitions: str) -> None:
+def _together(df: DataFrame, *partitions: str) -> DataFrame:
     # Rows of a folder come together before they are written, so that the number
     # of files follows the folders and not the tasks; a large folder is split.
-    df.hint("rebalance", *[F.col(c) for c in partitions]).write.mode("overwrite").option(
-        "partitionOverwriteMode", "static"
-    ).partitionBy(*partitions).parquet(path)
+    return df.hint("rebalance", *[F.col(c) for c in partitions])
+
+
+def _write(df: DataFrame, path: str, *partitions: str) -> None:
+    with shuffles_dropped(df.sparkSession):
+        df.write.mode("overwrite").option("partitionOverwriteMode", "static").partitionBy(
+            *partitions
+        ).parquet(path)
 
 
 def load_batch(
@@ -67,11 +74,13 @@ def load_batch(
         .when(~well_formed(), BAD_WIDTH)
         .otherwise(GOOD)
     )
-    rows = parse_lines(lines, keep=["modified"]).withColumn("status", status)
+    rows = parse_lines(lines, keep=["modified", "value"]).withColumn("status", status)
     known = (F.col("status") == GOOD) & F.col("record_type").isin(list(LAYOUTS))
     rows = rows.withColumn("record_type", F.when(known, F.col("record_type")).otherwise(OTHER))
-    folder = f"{store}/{RECORDS}/load={load}"
-    _write(rows, folder, "status", "record_type", "service", "quarter")
+    folder, folders = f"{store}/{RECORDS}/load={load}", ["status", "record_type", "service", "quarter"]
+    # The line is sent about as it is and split again: its fields take more room.
+    sent = _together(rows.drop("f"), *folders).withColumn("f", fields()).drop("value")
+    _write(sent, folder, *folders)
 
     stored = spark.read.schema(STORED.removeprefix("load string, ")).parquet(folder)
     counts = stored.groupBy("service", "quarter", "file", "modified").agg(
@@ -81,7 +90,7 @@ def load_batch(
     )
     verdict = F.coalesce("special", F.when(F.col("bad") > max_bad, REJECTED).otherwise(GOOD))
     files = counts.withColumn("status", verdict).drop("special")
-    _write(files, f"{store}/{MANIFEST}/load={load}", "status")
+    _write(_together(files, "status"), f"{store}/{MANIFEST}/load={load}", "status")
 
 
 def _lines(df: DataFrame, landing: str) -> DataFrame:

@@ -5,7 +5,8 @@ import re
 
 import pytest
 
-from checks import standins
+from checks import intake_checks, standins
+from checks.registry import QUERIES
 from checks.standins import report_records
 from staveline.operators.usage import merged_usage
 from staveline.plans.report import ReportTerms, distinct_rows
@@ -126,3 +127,29 @@ def test_records_are_stored_as_they_were_dealt(spark, tables, large_tables, monk
     assert {blocks.buckets_of(df) for df in stored.values()} == {parts}
     names = ("li", "su", "as_")
     assert [sorted(map(str, stored[n].collect())) for n in names] == plain[1:]
+
+
+def test_report_files_follow_their_folders(spark, tables, large_tables, tmp_path):
+    """However many tasks make the lines, those of a folder lie in one file."""
+    rows = standins.claims(spark, tables)
+    spread = rows.unionByName(rows).repartition(16)
+    intake_checks._write_lines(spread, "LI01.03", f"{tmp_path}/spread")
+    made = standins.claims(spark, tables, intake_checks.FOLDER)
+    assert sorted(map(str, made.collect())) == sorted(map(str, rows.collect()))
+    part = made.where("Quarter = '2024_Q1'")
+    intake_checks._write_lines(part, "LI01.03", f"{tmp_path}/part", together=True)
+    for place, lines in (("spread", 2 * rows.count()), ("part", part.count())):
+        files = list((tmp_path / place).rglob("part-*"))
+        assert len(files) == len({f.parent for f in files}) > 1
+        assert spark.read.option("recursiveFileLookup", "true").text(f"{tmp_path}/{place}").count() == lines
+
+
+def test_no_file_is_left_for_each_task(spark, tables, large_tables, tmp_path, monkeypatch):
+    """The landing folder of the intake query, with line items in very many parts."""
+    monkeypatch.setattr(standins, "BYTES_OF_A_PART", 100)
+    monkeypatch.setattr(intake_checks, "scratch_folder", lambda *a: f"{tmp_path}/intake")
+    found = QUERIES["stream_ingest"](spark, tables)
+    written = spark.read.option("recursiveFileLookup", "true").text(f"{tmp_path}/intake/landing")
+    assert found.count() == written.count() == standins.claims(spark, tables).count()
+    files = list((tmp_path / "intake" / "landing").rglob("part-*"))
+    assert len(files) == len({f.parent for f in files}) > 1
