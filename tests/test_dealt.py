@@ -153,3 +153,13 @@ def test_no_file_is_left_for_each_task(spark, tables, large_tables, tmp_path, mo
     assert found.count() == written.count() == standins.claims(spark, tables).count()
     files = list((tmp_path / "intake" / "landing").rglob("part-*"))
     assert len(files) == len({f.parent for f in files}) > 1
+
+
+def test_scalars_are_loaded_from_few_files(spark, tables, large_tables, tmp_path, monkeypatch):
+    """Two loads of claims and summaries: one file of each for a service and quarter."""
+    expected = sorted(map(str, QUERIES["loaded_scalars"](spark, tables).collect()))
+    monkeypatch.setattr(standins, "BYTES_OF_A_PART", 100)
+    monkeypatch.setattr(intake_checks, "scratch_folder", lambda *a: f"{tmp_path}/scalars")
+    assert sorted(map(str, QUERIES["loaded_scalars"](spark, tables).collect())) == expected != []
+    files = list((tmp_path / "scalars" / "landing").rglob("part-*"))
+    assert 0 < len(files) <= 2 * len({f.parent for f in files})
